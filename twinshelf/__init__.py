@@ -1 +1,9 @@
 """Catalogue matching and clustering as Spark jobs: DataFrame in, DataFrame out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy of
+# this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

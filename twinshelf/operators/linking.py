@@ -11,7 +11,7 @@ Nothing is joined on the candidate key alone.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from itertools import combinations
 from math import comb
 from operator import add
@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import edit_similarity, jaro_winkler_similarity
-from .grid import cross_pairs, self_pairs
+from ..session import stage
+from .grid import cross_pairs
 
 SLACK = 1e-9
 
@@ -133,13 +134,51 @@ class Linkage:
     right_on: str | None = None
     itself: bool = False
 
+    @cached_property
+    def _sides(self) -> dict[str, DataFrame]:
+        """Full profiles of both sides, written once for all the joins over them."""
+        keyed = self.keys is not None
+        left = stage(
+            profiles(self.left, self.left_id, self.left_on if keyed else None,
+                     {c.label: c.left for c in self.compares}, "left"),
+            "left-profiles",
+        )
+        if self.itself:
+            right = left.withColumnRenamed("left_key", "right_key")
+        else:
+            right = stage(
+                profiles(self.right, self.right_id, self.right_on if keyed else None,
+                         {c.label: c.right for c in self.compares}, "right"),
+                "right-profiles",
+            )
+        return {"left": left, "right": right}
+
+    @cached_property
+    def _pairing(self) -> DataFrame | None:
+        return None if self.keys is None else stage(self.keys, "keys")
+
+    @cached_property
+    def _parts(self) -> dict[str, DataFrame]:
+        """Join parts of the strings of each inexact comparison, pooled over both sides."""
+        found = {}
+        for c in self.compares:
+            if c.method != "exact":
+                values = (
+                    self._sides["left"].select(F.col(c.label).alias("value"))
+                    .union(self._sides["right"].select(F.col(c.label).alias("value")))
+                    .filter("value IS NOT NULL").distinct()
+                )
+                found[c.label] = stage(shared_parts(stage(values, "values"), c), "parts")
+        return found
+
     def _side(self, side: str, labels: list[str]) -> DataFrame:
-        fields = {c.label: getattr(c, side) for c in self.compares if c.label in labels}
-        df, id_col, on = (
-            (self.left, self.left_id, self.left_on) if side == "left"
-            else (self.right, self.right_id, self.right_on)
+        whole = self._sides[side]
+        if len(labels) == len(self.compares):
+            return whole
+        names = [*labels, *([f"{side}_key"] if self.keys is not None else [])]
+        return whole.groupBy(*names).agg(
+            F.min("id").alias("id"), F.sum("copies").alias("copies")
         )
-        return profiles(df, id_col, on if self.keys is not None else None, fields, side)
 
     def _agreeing(self, chosen: tuple[Compare, ...], labels: list[str]) -> DataFrame:
         """Profile pairs over ``labels`` on which all of ``chosen`` agree, each once.
@@ -149,8 +188,7 @@ class Linkage:
         left, right = self._side("left", labels), self._side("right", labels)
         join_on: list[str] = []
         if self.keys is not None:
-            left = left.join(self.keys, "left_key")
-            left = left.drop("left_key")
+            left = left.join(self._pairing, "left_key").drop("left_key")
             join_on.append("right_key")
         for c in chosen:
             if c.method == "exact":
@@ -160,12 +198,7 @@ class Linkage:
         fuzzy = sorted((c for c in chosen if c.method != "exact"), key=lambda c: c.cost)
         if fuzzy:
             lead = fuzzy[0]
-            values = (
-                left.select(F.col(lead.label).alias("value"))
-                .union(right.select(F.col(lead.label).alias("value")))
-                .filter("value IS NOT NULL").distinct()
-            )
-            parts = shared_parts(values, lead).toDF(lead.label, "parts")
+            parts = self._parts[lead.label].withColumnRenamed("value", lead.label)
             left = left.join(parts, lead.label).withColumn("part", F.explode("parts"))
             right = right.join(parts, lead.label).withColumn("part", F.explode("parts"))
             join_on.append("part")
@@ -230,7 +263,7 @@ class Linkage:
             right = self._side("right", labels)
             on = list(labels)
             if self.keys is not None:
-                left, on = left.join(self.keys, "left_key"), [*labels, "right_key"]
+                left, on = left.join(self._pairing, "left_key"), [*labels, "right_key"]
             if not on:
                 total = right.agg(F.coalesce(F.sum("copies"), F.lit(0))).scalar()
                 met = left.select((F.col("copies") * total).alias("n"))
