@@ -15,18 +15,21 @@ NESTED_FIELDS = [
 ]
 
 
+BROKEN = "_broken"
+
+
 def parse(df: DataFrame, raw: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Parse one JSON document per row. Returns (documents, quarantined raw rows).
 
-    Everything but the raw text is kept beside the document column ``doc``.
+    Everything but the raw text is kept beside the document column ``doc``. Exploding the
+    parsed document keeps Spark from copying the parse into every filter and field above it.
     """
-    broken = "_broken"
-    wide = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
-    options = {"columnNameOfCorruptRecord": broken, "mode": "PERMISSIVE"}
-    parsed = df.withColumn("doc", F.from_json(F.col(raw), wide, options))
-    bad = F.col("doc").isNull() | F.col(f"doc.{broken}").isNotNull()
-    good = parsed.filter(~bad).withColumn("doc", F.col("doc").dropFields(broken)).drop(raw)
-    return good, parsed.filter(bad).drop("doc")
+    wide = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    options = {"columnNameOfCorruptRecord": BROKEN, "mode": "PERMISSIVE"}
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(raw), wide, options)))
+                       .alias("doc"))
+    good = F.col("doc").isNotNull() & F.col(f"doc.{BROKEN}").isNull()
+    return parsed.filter(good).drop(raw), parsed.filter(~good).drop("doc")
 
 
 def usable_id(value: Column) -> Column:

@@ -66,12 +66,11 @@ def self_pairs(
     )
 
 
-def cross_pairs(
+def cross_blocks(
     left: DataFrame, right: DataFrame, keys: Sequence[str],
     left_id: str = "id", right_id: str = "id", block: int = BLOCK,
-    where: Callable[[], Column] | None = None,
-) -> DataFrame:
-    """Left rows with right rows of the same ``keys``: columns ``a_…`` and ``b_…``."""
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with block columns ``_p`` and ``_q``: rows meet within (keys, _p, _q)."""
     keys = list(keys)
     sizes = (
         left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l"))
@@ -90,6 +89,17 @@ def cross_pairs(
         .withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_lp") - 1)))
         .drop("_lp", "_rp")
     )
+    return placed_left, placed_right
+
+
+def cross_pairs(
+    left: DataFrame, right: DataFrame, keys: Sequence[str],
+    left_id: str = "id", right_id: str = "id", block: int = BLOCK,
+    where: Callable[[], Column] | None = None,
+) -> DataFrame:
+    """Left rows with right rows of the same ``keys``: columns ``a_…`` and ``b_…``."""
+    keys = list(keys)
+    placed_left, placed_right = cross_blocks(left, right, keys, left_id, right_id, block)
     met = _prefixed(placed_left, keys, "a_").join(
         _prefixed(placed_right, keys, "b_"), [*keys, "_p", "_q"]
     ).drop("_p", "_q")

@@ -11,10 +11,10 @@ by its least member id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import counted_stage, stage
 from .similarity import DIGITS, dense_dot
 
 MERGE = "round int, left long, right long, distance double, size long"
@@ -99,7 +99,7 @@ def linkage(
         .join(n.select(F.col("id").alias("b"), F.col("copies").alias("nb")), "b")
         .select("a", "b", "d", "na", "nb")
     )
-    edges = stage(edges, "edges")
+    edges, left = counted_stage(edges, "edges")
     sums = None
     if method == "average":
         sums = stage(
@@ -110,8 +110,9 @@ def linkage(
         )
     merges = None
     for step in range(1, max_rounds + 1):
-        if edges.isEmpty():
-            return merges if merges is not None else spark.createDataFrame([], MERGE)
+        if not left:
+            none = spark.createDataFrame([], MERGE)
+            return none if merges is None else stage(merges, "merges")
         merged = stage(_mutual(edges), "merged")
         part = merged.select(
             F.lit(step).alias("round"), F.col("a").alias("left"), F.col("b").alias("right"),
@@ -141,7 +142,7 @@ def linkage(
                 # A missing part pair lies beyond the cut, and so does the merged pair.
                 grouped = grouped.filter("seen = parts")
             edges = grouped.select("a", "b", "d", "na", "nb")
-        edges = stage(edges, "edges")
+        edges, left = counted_stage(edges, "edges")
     raise RuntimeError(f"linkage did not finish within {max_rounds} rounds")
 
 
@@ -151,9 +152,7 @@ def clusters(ids: DataFrame, merges: DataFrame) -> DataFrame:
     Each merge retires its right cluster once, so the merges form a forest. Its depth is at
     most the number of rounds, and every pass halves what is left of it.
     """
-    parents = stage(
-        merges.select(F.col("right").alias("id"), F.col("left").alias("up"), "round"), "parents"
-    )
+    parents = merges.select(F.col("right").alias("id"), F.col("left").alias("up"), "round")
     rounds = parents.agg(F.max("round")).first()[0] or 0
     parents = parents.drop("round")
     depth = 1
@@ -193,12 +192,15 @@ def components(ids: DataFrame, pairs: DataFrame, max_rounds: int = 100) -> DataF
         lowered = lowered.join(tops, "label", "left").select(
             "id", "old", F.least("label", F.coalesce("top", "label")).alias("label")
         )
-        labels = stage(lowered, "labels")
-        if labels.filter("old <> label").isEmpty():
-            return ids.join(labels.drop("old"), "id", "left").select(
+        changed = Observation()
+        labels = stage(
+            lowered.observe(changed, F.count_if(F.col("old") != F.col("label")).alias("rows")).drop("old"),
+            "labels",
+        )
+        if not changed.get["rows"]:
+            return ids.join(labels, "id", "left").select(
                 "id", F.coalesce("label", "id").alias("cluster")
             )
-        labels = labels.drop("old")
     raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
-from .grid import cross_pairs, self_pairs
+from .grid import cross_blocks, self_pairs
 
 DIGITS = 12
 SLACK = 1e-9
@@ -55,11 +55,11 @@ def dense_dot(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _prefix(vector: str, bound: float) -> Column:
-    """Term numbers of the shortest prefix whose remainder is shorter than ``bound``.
+    """The shortest prefix of a vector whose remainder is shorter than ``bound``.
 
-    If two unit vectors reach the similarity ``bound``, the terms they share cannot all lie
-    in the remainder of either, and since both are in the same order they share a term that
-    lies in both prefixes. Rare terms come first, so popular ones are mostly left out.
+    Both vectors of a pair are in the same order, so the terms up to the earlier of their two
+    prefix ends are in both prefixes, and whatever lies beyond adds less than ``bound`` to
+    the similarity. Rare terms come first, so popular ones are mostly left out.
     """
     limit = max(bound - SLACK, 0.0) ** 2
     tail = F.aggregate(
@@ -70,7 +70,7 @@ def _prefix(vector: str, bound: float) -> Column:
             (acc.n + F.when(acc.mass + e.weight * e.weight < limit, 1).otherwise(0)).alias("n"),
         ),
     )
-    return F.slice(F.col(f"{vector}.number"), 1, F.size(vector) - tail.n)
+    return F.slice(F.col(vector), 1, F.size(vector) - tail.n)
 
 
 def weighted_pairs(
@@ -83,6 +83,10 @@ def weighted_pairs(
     together form the join key, so a popular value of one of them (a brand) does not bring
     all its records together. If every feature is dispensable, some feature must still
     reach ``at_least / sum(weights)`` and each is joined on its own.
+
+    The join runs over prefixes that leave out at most half of a feature's least similarity,
+    so what the prefixes have in common must make up the other half. For several features the
+    join yields the products of their shares. Only pairs that pass are compared in full.
     """
     if at_least <= 0:
         raise ValueError("at_least must be positive: otherwise every pair qualifies")
@@ -92,15 +96,23 @@ def weighted_pairs(
     searches = [needed] if needed else [{f: at_least / total} for f in weights]
     found = None
     for search in searches:
-        index = vectors.select("id", *[
-            _prefix(feature, bound).alias(feature) for feature, bound in search.items()
+        index = vectors.select("id", F.lit(1.0).alias("share"), *[
+            _prefix(feature, bound / 2).alias(feature) for feature, bound in search.items()
         ])
         for feature in search:
-            index = index.withColumn(feature, F.explode(feature))
-        met = self_pairs(index, list(search)).select("a_id", "b_id")
+            index = index.withColumn(feature, F.explode(feature)).withColumns({
+                "share": F.col("share") * F.col(f"{feature}.weight"),
+                feature: F.col(f"{feature}.number"),
+            })
+        least = math.prod(bound / 2 for bound in search.values())
+        met = (
+            self_pairs(index, list(search)).groupBy("a_id", "b_id")
+            .agg(F.sum(F.col("a_share") * F.col("b_share")).alias("common"))
+            .filter(F.col("common") >= least - SLACK).drop("common")
+        )
         found = met if found is None else found.unionByName(met)
     # A brand-less or term-less record has no row in the index: it is similar to nothing.
-    candidates = found.distinct()
+    candidates = found if len(searches) == 1 else found.distinct()
     sides = candidates.join(
         vectors.select(F.col("id").alias("a_id"), *[F.col(f).alias(f"a_{f}") for f in weights]),
         "a_id",
@@ -189,9 +201,9 @@ def dense_pairs(dense: DataFrame, at_least: float, pivots: int = 64) -> DataFram
 
     Angles obey the triangle inequality. Every vector lives in the cell of its nearest pivot
     and visits each lower-numbered cell that a partner could live in: one whose pivot is at
-    most two cut angles farther than its own. So every similar pair meets exactly once; within
-    a cell the angles to the pivot must again differ by at most the cut. The pivots only
-    affect speed. They are ``pivots`` rows picked by hash, so their size is bounded.
+    most two cut angles farther than its own. So every similar pair meets exactly once. A cell
+    is compared block by block, each a matrix product of bounded size that only yields the
+    similar pairs. The pivots only affect speed. They are ``pivots`` rows picked by hash, so their size is bounded.
     """
     dense = stage(dense, "dense")
     centres = np.array([
@@ -213,22 +225,31 @@ def dense_pairs(dense: DataFrame, at_least: float, pivots: int = 64) -> DataFram
                 "id": batch["id"].to_numpy()[row],
                 "dense": list(rows[row]),
                 "cell": cell,
-                "angle": angles[row, cell],
                 "home": home[row] == cell,
             })
 
     placed = stage(
         dense.mapInPandas(
-            place, "id long, dense array<double>, cell int, angle double, home boolean"
+            place, "id long, dense array<double>, cell int, home boolean"
         ),
         "cells",
     )
-    met = cross_pairs(
-        placed.filter("home").drop("home"), placed, ["cell"],
-        where=lambda: (F.abs(F.col("a_angle") - F.col("b_angle")) <= cut + SLACK)
-        & (~F.col("b_home") | (F.col("a_id") < F.col("b_id"))),
+    least = round(at_least, DIGITS)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        sims = np.stack(left["dense"].to_numpy()) @ np.stack(right["dense"].to_numpy()).T
+        sims = np.round(sims, DIGITS)
+        a_id, b_id = left["id"].to_numpy()[:, None], right["id"].to_numpy()[None, :]
+        apart = ~right["home"].to_numpy()[None, :] | (a_id < b_id)
+        i, j = np.nonzero((sims >= least) & apart)
+        a, b = a_id[i, 0], b_id[0, j]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": sims[i, j]})
+
+    homes, everyone = cross_blocks(placed.filter("home"), placed, ["cell"])
+    others = everyone.select(*[F.col(c).alias(c) for c in everyone.columns])
+    where = ["cell", "_p", "_q"]
+    return homes.groupBy(*where).cogroup(others.groupBy(*where)).applyInPandas(
+        lambda left, right: compare(left, right) if len(left) and len(right) else
+        pd.DataFrame({"a": [], "b": [], "sim": []}),
+        "a long, b long, sim double",
     )
-    return met.select(
-        F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"),
-        F.round(dense_dot("a_dense", "b_dense"), DIGITS).alias("sim"),
-    ).filter(F.col("sim") >= round(at_least, DIGITS))

@@ -106,16 +106,15 @@ def vectors(
     length = F.sqrt(
         F.aggregate("raw", F.lit(0.0), lambda total, e: total + e.weight * e.weight)
     )
-    scaled = gathered.withColumn("length", length).select(
-        "id",
-        F.transform(
-            "raw",
-            lambda e: F.struct(
-                e.number.alias("number"),
-                (e.weight / F.col("length") if weighting.norm else e.weight).alias("weight"),
-            ),
-        ).alias(name),
-    )
+
+    def over(length: Column) -> Column:
+        return F.transform("raw", lambda e: F.struct(
+            e.number.alias("number"), (e.weight / length).alias("weight")
+        ))
+
+    # As a lambda variable the length is computed once per vector, not once per entry.
+    unit = F.transform(F.array(length if weighting.norm else F.lit(1.0)), over)[0]
+    scaled = gathered.select("id", unit.alias(name))
     return scaled, numbered
 
 

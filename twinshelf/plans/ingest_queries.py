@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.documents import nested_as_text, parse, usable_id
+from ..functions.documents import BROKEN, nested_as_text, parse, usable_id
 from ..sources import pages as html
 from ..sources import products as ingest
 from ..sources.tables import conform
@@ -161,7 +161,7 @@ def flat_documents(spark, folder):
     good, _ = parse(seller_documents(spark, folder), "raw", schemas.SELLER_DOCUMENT)
     documents = good.filter(usable_id(F.col("doc.id"))).select(
         "l_orderkey", "l_linenumber", "doc.*"
-    )
+    ).drop(BROKEN)
     return nested_as_text(documents).select(
         "l_orderkey", "l_linenumber", "id", "categories", "brand"
     )

@@ -44,14 +44,12 @@ def seller_rows(
         F.col("seller.product_id").alias("pid"), F.col("seller.price").alias("price"),
         F.col("seller.store_id").alias("store_id"), F.col("seller.name").alias("store_name"),
     ]
-    others = base.withColumn("seller", F.explode("doc.other_sellers")).filter(
-        F.col("seller").isNotNull()
-    )
-    current = base.withColumn("seller", F.col("doc.current_seller")).filter(
-        F.col("seller.price") > above
-    )
-    rows = others.select(*shared, *sold).unionByName(current.select(*shared, *sold))
-    return rows.select(*COMMON), bad
+    none = F.array().cast(schemas.SELLER_DOCUMENT["other_sellers"].dataType)
+    current = F.when(F.col("doc.current_seller.price") > above,
+                     F.array("doc.current_seller")).otherwise(none)
+    sellers = F.concat(F.coalesce("doc.other_sellers", none), current)
+    rows = base.withColumn("seller", F.explode(sellers)).filter(F.col("seller").isNotNull())
+    return rows.select(*shared, *sold).select(*COMMON), bad
 
 
 def shop_rows(documents: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
