@@ -28,17 +28,17 @@ def clean(text: Column) -> Column:
     return F.regexp_replace(text, NON_WORD, " ")
 
 
-def join_unit(text: Column, unit: str) -> Column:
+def join_unit(text: Column, *units: str) -> Column:
     """``64 gb`` -> ``64gb``: the one space between a digit and a lower-case unit goes."""
-    return F.regexp_replace(text, rf"(?<=\p{{Nd}}) (?={unit})", "")
+    return F.regexp_replace(text, rf"(?<=\p{{Nd}}) (?={'|'.join(units)})", "")
 
 
 def tidy_title(text: Column) -> Column:
-    """Clean, then join kilograms, centimetres and gigabytes, case as it stands."""
-    text = clean(text)
-    for unit in ("kg", "cm", "gb"):
-        text = join_unit(text, unit)
-    return text
+    """Clean, then join kilograms, centimetres and gigabytes, case as it stands.
+
+    One unit never uncovers another, so a single pass does what one pass per unit does.
+    """
+    return join_unit(clean(text), "kg", "cm", "gb")
 
 
 def split_digits(text: Column) -> Column:

@@ -17,6 +17,9 @@ from .grid import cross_blocks, self_pairs
 
 DIGITS = 12
 SLACK = 1e-9
+# Share of a bound that may lie beyond the common terms looked at. A larger share means fewer
+# term matches to sum up and more pairs to compare in full.
+LOOSE = 0.86
 
 
 @F.arrow_udf(T.DoubleType())
@@ -54,25 +57,6 @@ def dense_dot(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.einsum("ij,ij->i", left, right))
 
 
-def _prefix(vector: str, bound: float) -> Column:
-    """The shortest prefix of a vector whose remainder is shorter than ``bound``.
-
-    Both vectors of a pair are in the same order, so the terms up to the earlier of their two
-    prefix ends are in both prefixes, and whatever lies beyond adds less than ``bound`` to
-    the similarity. Rare terms come first, so popular ones are mostly left out.
-    """
-    limit = max(bound - SLACK, 0.0) ** 2
-    tail = F.aggregate(
-        F.reverse(vector),
-        F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("n")),
-        lambda acc, e: F.struct(
-            (acc.mass + e.weight * e.weight).alias("mass"),
-            (acc.n + F.when(acc.mass + e.weight * e.weight < limit, 1).otherwise(0)).alias("n"),
-        ),
-    )
-    return F.slice(F.col(vector), 1, F.size(vector) - tail.n)
-
-
 def weighted_pairs(
     vectors: DataFrame, weights: dict[str, float], at_least: float,
 ) -> DataFrame:
@@ -84,9 +68,11 @@ def weighted_pairs(
     all its records together. If every feature is dispensable, some feature must still
     reach ``at_least / sum(weights)`` and each is joined on its own.
 
-    The join runs over prefixes that leave out at most half of a feature's least similarity,
-    so what the prefixes have in common must make up the other half. For several features the
-    join yields the products of their shares. Only pairs that pass are compared in full.
+    The join runs rarest term first. What a pair can still gain from a common term on is at
+    most the product of the two vectors' lengths from there on (``tail``). Common terms whose
+    product is below ``LOOSE`` of the feature's bound are not looked at, so those looked at must
+    make up the rest, and only pairs that pass are compared in full. Popular terms stand at
+    the end of the vectors, where the product is small.
     """
     if at_least <= 0:
         raise ValueError("at_least must be positive: otherwise every pair qualifies")
@@ -96,17 +82,22 @@ def weighted_pairs(
     searches = [needed] if needed else [{f: at_least / total} for f in weights]
     found = None
     for search in searches:
-        index = vectors.select("id", F.lit(1.0).alias("share"), *[
-            _prefix(feature, bound / 2).alias(feature) for feature, bound in search.items()
-        ])
-        for feature in search:
-            index = index.withColumn(feature, F.explode(feature)).withColumns({
+        index = vectors.select("id", F.lit(1.0).alias("share"), *search)
+        for feature, bound in search.items():
+            index = index.withColumn(feature, F.explode(feature)).filter(
+                F.col(f"{feature}.tail") >= LOOSE * bound - SLACK
+            ).withColumns({
                 "share": F.col("share") * F.col(f"{feature}.weight"),
+                f"{feature}_tail": F.col(f"{feature}.tail"),
                 feature: F.col(f"{feature}.number"),
             })
-        least = math.prod(bound / 2 for bound in search.values())
+        met = self_pairs(index, list(search))
+        for feature, bound in search.items():
+            reach = F.col(f"a_{feature}_tail") * F.col(f"b_{feature}_tail")
+            met = met.filter(reach >= LOOSE * bound - SLACK)
+        least = math.prod((1 - LOOSE) * bound for bound in search.values())
         met = (
-            self_pairs(index, list(search)).groupBy("a_id", "b_id")
+            met.groupBy("a_id", "b_id")
             .agg(F.sum(F.col("a_share") * F.col("b_share")).alias("common"))
             .filter(F.col("common") >= least - SLACK).drop("common")
         )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -69,19 +69,16 @@ def kept_terms(terms: DataFrame, n: Column, weighting: Weighting) -> DataFrame:
 
 def weigh(texts: DataFrame, terms: Column, weighting: Weighting) -> DataFrame:
     """Long form (id, term, df, weight) with each id's weights scaled to length 1."""
-    counts = term_counts(texts, terms)
+    counts = stage(term_counts(texts, terms), "term-counts")
     kept = kept_terms(vocabulary(counts), record_count(texts), weighting)
     weights = counts.join(kept, "term").select(
         "id", "term", "df", (F.col("tf") * F.col("idf")).alias("weight")
     )
     if not weighting.norm:
         return weights
-    norms = weights.groupBy("id").agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm")
-    )
-    return weights.join(norms, "id").select(
-        "id", "term", "df", (F.col("weight") / F.col("_norm")).alias("weight")
-    )
+    # A window rather than a join: one shuffle by id, and a text has few terms.
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id")))
+    return weights.withColumn("weight", F.col("weight") / length)
 
 
 def vectors(
@@ -90,8 +87,9 @@ def vectors(
     """Unit vectors as one array per id, and the vocabulary they index.
 
     The vocabulary is written once with a number per term that rises with document
-    frequency; a vector is an array of (term number, weight) in that order, rarest first,
-    which is the order the similarity join prunes by. Ids without a kept term have no row.
+    frequency; a vector is an array of (number, weight, tail) in that order, rarest first,
+    where ``tail`` is the length of the vector from that entry on. The similarity join prunes
+    by it. Ids without a kept term have no row.
     """
     counts = stage(term_counts(texts, terms), "term-counts")
     kept = kept_terms(vocabulary(counts), record_count(texts), weighting)
@@ -99,23 +97,20 @@ def vectors(
         kept.orderBy("df", "term").withColumn("number", F.monotonically_increasing_id()),
         "vocabulary",
     )
-    entries = counts.join(numbered, "term").select(
-        "id", F.struct("number", (F.col("tf") * F.col("idf")).alias("weight")).alias("entry")
+    raw = counts.join(numbered, "term").select(
+        "id", "number", (F.col("tf") * F.col("idf")).alias("raw")
     )
-    gathered = entries.groupBy("id").agg(F.sort_array(F.collect_list("entry")).alias("raw"))
-    length = F.sqrt(
-        F.aggregate("raw", F.lit(0.0), lambda total, e: total + e.weight * e.weight)
-    )
-
-    def over(length: Column) -> Column:
-        return F.transform("raw", lambda e: F.struct(
-            e.number.alias("number"), (e.weight / length).alias("weight")
-        ))
-
-    # As a lambda variable the length is computed once per vector, not once per entry.
-    unit = F.transform(F.array(length if weighting.norm else F.lit(1.0)), over)[0]
-    scaled = gathered.select("id", unit.alias(name))
-    return scaled, numbered
+    # Summed in term order, so equal texts get bit-equal vectors.
+    whole = Window.partitionBy("id").orderBy("number")
+    square = F.sum(F.col("raw") * F.col("raw"))
+    total = square.over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = F.coalesce(square.over(whole.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    weight = F.col("raw") / F.sqrt(total) if weighting.norm else F.col("raw")
+    tail = F.sqrt(F.greatest(total - before, F.lit(0.0)) / total)
+    gathered = raw.select(
+        "id", F.struct("number", weight.alias("weight"), tail.alias("tail")).alias("entry")
+    ).groupBy("id").agg(F.sort_array(F.collect_list("entry")).alias(name))
+    return gathered, numbered
 
 
 def distinct_vectors(
