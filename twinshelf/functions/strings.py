@@ -12,7 +12,7 @@ def edit_similarity(left: Column, right: Column) -> Column:
     """``1 - edits / longer length``; two empty strings are equal."""
     longer = F.greatest(F.length(left), F.length(right))
     score = F.when(longer == 0, 1.0).otherwise(1.0 - F.levenshtein(left, right) / longer)
-    return F.coalesce(score, F.lit(0.0))
+    return F.when(left.isNotNull() & right.isNotNull(), score).otherwise(0.0)
 
 
 def jaro_winkler(left: str, right: str) -> float:

@@ -19,7 +19,7 @@ DIGITS = 12
 SLACK = 1e-9
 # Share of a bound that may lie beyond the common terms looked at. A larger share means fewer
 # term matches to sum up and more pairs to compare in full.
-LOOSE = 0.86
+LOOSE = 0.92
 
 
 @F.arrow_udf(T.DoubleType())
