@@ -97,7 +97,7 @@ def test_grid_meets_every_pair_once_whatever_the_block(spark):
     left, right = df.filter("id % 2 = 0"), df.filter("id % 2 = 1")
     crossed = sorted((a, b) for a in key for b in key
                      if a % 2 == 0 and b % 2 == 1 and key[a] == key[b])
-    met = grid.cross_pairs(left, right, ["k"], block=5).collect()
+    met = grid.side_pairs(left, right, ["k"], block=5).collect()
     assert sorted((r.a_id, r.b_id) for r in met) == crossed
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean, word_tokens
 from ..session import stage
-from .grid import cross_pairs
+from .grid import side_pairs
 from .selection import copies
 
 DIGITS = 9
@@ -96,7 +96,7 @@ def best_matches(
 
     def scored(probes: DataFrame) -> DataFrame:
         """(left, right, score) for all right texts that share a probe (id, col, token)."""
-        pairs = cross_pairs(probes, right_index, ["col", "token"]).select(
+        pairs = side_pairs(probes, right_index, ["col", "token"]).select(
             "a_id", "b_id"
         ).distinct()
         a = left_entries.select(F.col("id").alias("a_id"), F.col("entries").alias("a"),

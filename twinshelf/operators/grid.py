@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK = 2000
+BLOCK = 4000
 
 
 def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
@@ -66,7 +66,7 @@ def self_pairs(
     )
 
 
-def cross_blocks(
+def side_blocks(
     left: DataFrame, right: DataFrame, keys: Sequence[str],
     left_id: str = "id", right_id: str = "id", block: int = BLOCK,
 ) -> tuple[DataFrame, DataFrame]:
@@ -92,14 +92,14 @@ def cross_blocks(
     return placed_left, placed_right
 
 
-def cross_pairs(
+def side_pairs(
     left: DataFrame, right: DataFrame, keys: Sequence[str],
     left_id: str = "id", right_id: str = "id", block: int = BLOCK,
     where: Callable[[], Column] | None = None,
 ) -> DataFrame:
     """Left rows with right rows of the same ``keys``: columns ``a_…`` and ``b_…``."""
     keys = list(keys)
-    placed_left, placed_right = cross_blocks(left, right, keys, left_id, right_id, block)
+    placed_left, placed_right = side_blocks(left, right, keys, left_id, right_id, block)
     met = _prefixed(placed_left, keys, "a_").join(
         _prefixed(placed_right, keys, "b_"), [*keys, "_p", "_q"]
     ).drop("_p", "_q")

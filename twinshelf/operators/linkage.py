@@ -99,7 +99,7 @@ def linkage(
         .join(n.select(F.col("id").alias("b"), F.col("copies").alias("nb")), "b")
         .select("a", "b", "d", "na", "nb")
     )
-    edges, left = counted_stage(edges, "edges")
+    edges, left = counted_stage(edges, "edges", F.lit(True))
     sums = None
     if method == "average":
         sums = stage(
@@ -113,36 +113,40 @@ def linkage(
         if not left:
             none = spark.createDataFrame([], MERGE)
             return none if merges is None else stage(merges, "merges")
-        merged = stage(_mutual(edges), "merged")
-        part = merged.select(
-            F.lit(step).alias("round"), F.col("a").alias("left"), F.col("b").alias("right"),
-            F.col("d").alias("distance"), (F.col("na") + F.col("nb")).alias("size"),
-        )
-        merges = part if merges is None else merges.unionByName(part)
+        merged = _mutual(edges)
         renamed = _renamed(edges, merged)
         if method == "average":
             sums = stage(_sums_after(sums, merged), "sums")
             met = renamed.groupBy("a", "b", "na", "nb").agg(F.lit(0.0).alias("d"))
             total = sums.select("id", "total")
-            edges = (
+            after = (
                 met.join(total.toDF("a", "a_total"), "a")
                 .join(total.toDF("b", "b_total"), "b")
                 .withColumn("d", F.round(
                     1.0 - dense_dot("a_total", "b_total") / (F.col("na") * F.col("nb")), DIGITS
                 ))
                 .filter(_within(cut, inclusive))
-                .select("a", "b", "d", "na", "nb")
             )
         else:
-            grouped = renamed.groupBy("a", "b", "na", "nb", "parts").agg(
+            after = renamed.groupBy("a", "b", "na", "nb", "parts").agg(
                 F.count(F.lit(1)).alias("seen"),
                 (F.max("d") if method == "complete" else F.min("d")).alias("d"),
             )
             if method == "complete":
                 # A missing part pair lies beyond the cut, and so does the merged pair.
-                grouped = grouped.filter("seen = parts")
-            edges = grouped.select("a", "b", "d", "na", "nb")
-        edges, left = counted_stage(edges, "edges")
+                after = after.filter("seen = parts")
+        # The merges and the edges after them go to one table, so a round is one job.
+        columns = ["a", "b", "d", "na", "nb"]
+        rows = merged.select(F.lit(True).alias("merge"), *columns).unionByName(
+            after.select(F.lit(False).alias("merge"), *columns)
+        )
+        table, left = counted_stage(rows, "round", ~F.col("merge"))
+        part = table.filter("merge").select(
+            F.lit(step).alias("round"), F.col("a").alias("left"), F.col("b").alias("right"),
+            F.col("d").alias("distance"), (F.col("na") + F.col("nb")).alias("size"),
+        )
+        merges = part if merges is None else merges.unionByName(part)
+        edges = table.filter(~F.col("merge")).select(*columns)
     raise RuntimeError(f"linkage did not finish within {max_rounds} rounds")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import edit_similarity, jaro_winkler_similarity
 from ..session import stage
-from .grid import cross_pairs
+from .grid import side_pairs
 
 SLACK = 1e-9
 
@@ -92,9 +92,12 @@ def shared_parts(values: DataFrame, compare: Compare) -> DataFrame:
     numbered = counted.select(
         "value", "part", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("nth")
     )
-    popularity = numbered.groupBy("part", "nth").agg(F.count(F.lit(1)).alias("popularity"))
-    ranked = numbered.join(popularity, ["part", "nth"]).groupBy("value").agg(
-        F.sort_array(F.collect_list(F.struct("popularity", "part", "nth"))).alias("parts")
+    # Numbered by popularity, rarest first: plain numbers compare fast in the join.
+    order = numbered.groupBy("part", "nth").agg(F.count(F.lit(1)).alias("popularity")).orderBy(
+        "popularity", "part", "nth"
+    ).select("part", "nth", F.monotonically_increasing_id().alias("number"))
+    ranked = numbered.join(stage(order, "part-order"), ["part", "nth"]).groupBy("value").agg(
+        F.sort_array(F.collect_list("number")).alias("parts")
     )
     size = F.greatest(compare.prefix_size(length), F.lit(1)).cast("int")
     return ranked.withColumn("parts", F.slice("parts", F.lit(1), size))
@@ -168,9 +171,17 @@ class Linkage:
                     .union(self._sides["right"].select(F.col(c.label).alias("value")))
                     .filter("value IS NOT NULL").distinct()
                 )
-                found[c.label] = stage(shared_parts(stage(values, "values"), c), "parts")
+                values = stage(values, "values")
+                found[c.label] = stage(shared_parts(values, c), "parts")
+                longest = values.agg(F.max(F.length("value"))).first()[0] or 0
+                self._edits[c.label] = int((1 - c.threshold) * longest + SLACK)
         return found
 
+    @cached_property
+    def _edits(self) -> dict[str, int]:
+        """Per comparison: no agreeing pair of strings can be more edits apart than this."""
+        return {}
+
     def _side(self, side: str, labels: list[str]) -> DataFrame:
         whole = self._sides[side]
         if len(labels) == len(self.compares):
@@ -218,8 +229,12 @@ class Linkage:
 
         if not join_on:
             raise ValueError("a score of 0 asks for every pair")
-        met = cross_pairs(left, right, join_on, where=fits)
+        met = side_pairs(left, right, join_on, where=fits)
         for c in fuzzy:
+            if c.method == "edit":
+                # With a fixed bound Spark stops early; the exact rule follows.
+                least = F.levenshtein(f"a_{c.label}", f"b_{c.label}", self._edits[c.label])
+                met = met.filter(least >= 0)
             met = met.filter(c.agree(F.col(f"a_{c.label}"), F.col(f"b_{c.label}")) == 1)
         keep = ["id", "copies", *labels]
         return met.select(*[f"a_{c}" for c in keep], *[f"b_{c}" for c in keep])
@@ -245,7 +260,8 @@ class Linkage:
               for c in self.compares],
         )
         if self.itself:
-            own = self._side("left", labels).filter("copies > 1")
+            agreeing = reduce(add, [F.col(label).isNotNull().cast("int") for label in labels])
+            own = self._side("left", labels).filter("copies > 1").filter(agreeing >= at_least)
             scored = scored.unionByName(own.select(
                 F.col("id").alias("left_id"), F.col("id").alias("right_id"),
                 F.col("copies").alias("n_left"), F.col("copies").alias("n_right"),
@@ -253,7 +269,7 @@ class Linkage:
                 *[F.col(label).isNotNull().cast("int").alias(label) for label in labels],
             ))
         score = reduce(add, [F.col(label) for label in labels])
-        return scored.withColumn("score", score).filter(F.col("score") >= at_least)
+        return stage(scored.withColumn("score", score), "matches")
 
     def _agreeing_count(self, chosen: tuple[Compare, ...]) -> DataFrame:
         """One row: the number of candidate record pairs on which all of ``chosen`` agree."""

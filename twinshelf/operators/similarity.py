@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stage
-from .grid import cross_blocks, self_pairs
+from .grid import side_blocks, self_pairs
 
 DIGITS = 12
 SLACK = 1e-9
@@ -236,7 +236,7 @@ def dense_pairs(dense: DataFrame, at_least: float, pivots: int = 64) -> DataFram
         a, b = a_id[i, 0], b_id[0, j]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": sims[i, j]})
 
-    homes, everyone = cross_blocks(placed.filter("home"), placed, ["cell"])
+    homes, everyone = side_blocks(placed.filter("home"), placed, ["cell"])
     others = everyone.select(*[F.col(c).alias(c) for c in everyone.columns])
     where = ["cell", "_p", "_q"]
     return homes.groupBy(*where).cogroup(others.groupBy(*where)).applyInPandas(

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
@@ -33,13 +33,13 @@ def work_folder(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the work folder and return the table as read back."""
-    return counted_stage(df, name)[0]
+    return counted_stage(df, name, F.lit(True))[0]
 
 
-def counted_stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """The same, with the number of rows, which is counted while writing."""
+def counted_stage(df: DataFrame, name: str, counted: Column) -> tuple[DataFrame, int]:
+    """The same, with the number of rows that meet ``counted``, taken while writing."""
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(seen, F.count_if(counted).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
