@@ -112,3 +112,14 @@ def test_titles_end_to_end(spark):
     steps = tree.merge_tree(found.merges).orderBy("step").collect()
     assert [r.step for r in steps] == list(range(1, len(steps) + 1))
     assert [r.distance for r in steps] == sorted(r.distance for r in steps)
+
+
+def test_many_equal_distances_merge_in_few_rounds(spark):
+    n = 60
+    pairs = spark.createDataFrame(
+        [(a, b, 0.9) for a in range(n) for b in range(a + 1, n)], "a long, b long, sim double"
+    )
+    copies = spark.range(n).select("id", F.lit(1).alias("copies"))
+    merges = tree.linkage(pairs, copies, 0.5, max_rounds=30)
+    assert merges.count() == n - 1
+    assert {r.cluster for r in tree.clusters(copies.select("id"), merges).collect()} == {0}

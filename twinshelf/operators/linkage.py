@@ -1,7 +1,7 @@
 """Hierarchical linkage cut at a distance, by rounds over a table of close pairs.
 
-Every cluster picks its nearest neighbour by (distance, smaller id, larger id); clusters that
-pick each other merge, all over the table at once; the pairs are renamed to the merged
+Every cluster picks its nearest neighbour, equal distances in a fixed order; clusters that pick
+each other merge, all over the table at once; the pairs are renamed to the merged
 clusters and aggregated; and so on until no pair is left. Complete, average and single linkage
 are reducible, so merging mutual nearest neighbours gives the same tree as merging the
 globally closest pair each time, and no merge within the cut needs a pair beyond it. Each
@@ -26,13 +26,19 @@ def _within(cut: float, inclusive: bool):
 
 
 def _mutual(edges: DataFrame) -> DataFrame:
-    """Edges that are the best choice of both their ends."""
-    choice = F.struct("d", "a", "b", "na", "nb").alias("choice")
+    """Edges that are the best choice of both their ends.
+
+    Equal distances are ordered by a hash of the ends. By id, a group of equally close clusters
+    would all choose its least member and merge one per round; by hash, a fixed share of them
+    merges each round.
+    """
+    tie = F.xxhash64("a", "b").alias("tie")
+    choice = F.struct("d", tie, "a", "b", "na", "nb").alias("choice")
     ends = edges.select(F.explode(F.array("a", "b")).alias("v"), choice)
     best = ends.groupBy("v").agg(F.min("choice").alias("choice"))
     return (
         best.groupBy("choice").agg(F.count(F.lit(1)).alias("votes"))
-        .filter("votes = 2").select("choice.*")
+        .filter("votes = 2").select("choice.*").drop("tie")
     )
 
 
@@ -79,7 +85,7 @@ def _sums_after(sums: DataFrame, merged: DataFrame) -> DataFrame:
 
 def linkage(
     pairs: DataFrame, sizes: DataFrame, cut: float, method: str = "complete",
-    inclusive: bool = False, dense: DataFrame | None = None, max_rounds: int = 500,
+    inclusive: bool = False, dense: DataFrame | None = None, max_rounds: int = 10_000,
 ) -> DataFrame:
     """Merges (round, left, right, distance, size) up to ``cut``.
 
@@ -146,6 +152,8 @@ def linkage(
             F.col("d").alias("distance"), (F.col("na") + F.col("nb")).alias("size"),
         )
         merges = part if merges is None else merges.unionByName(part)
+        if step % 50 == 0:
+            merges = stage(merges, "merges")
         edges = table.filter(~F.col("merge")).select(*columns)
     raise RuntimeError(f"linkage did not finish within {max_rounds} rounds")
 
