@@ -11,10 +11,10 @@ by its least member id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import counted_stage, stage
+from ..session import counted_stage, release, stage
 from .similarity import DIGITS, dense_dot
 
 MERGE = "round int, left long, right long, distance double, size long"
@@ -179,12 +179,15 @@ def clusters(ids: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
-def components(ids: DataFrame, pairs: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(ids: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, cluster): connected components, which is single linkage at the pairs' cut.
 
-    Each round, a vertex takes the least label among itself and its neighbours, then the label
-    of that label. Only vertices with a partner take part. A vertex's neighbours are reduced by
-    ``min`` with partial aggregation, so one with very many of them is no special case.
+    A round has three steps. Every vertex sees the least label among itself and its
+    neighbours; every label hooks on to the least label that one of its vertices saw; every
+    vertex then moves two hooks up. Whole trees of labels move at once, so long chains take a
+    logarithmic number of rounds. The loop ends when no vertex sees a lower label, which every
+    graph reaches, as each round before that retires a label. Neighbours and vertices are
+    reduced by ``min`` with partial aggregation, so a hub is no special case.
     """
     both = pairs.select("a", "b").unionByName(
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -193,27 +196,26 @@ def components(ids: DataFrame, pairs: DataFrame, max_rounds: int = 100) -> DataF
     labels = stage(links.groupBy("id").agg(
         F.least(F.col("id"), F.min("other")).alias("label")
     ), "labels")
-    for _ in range(max_rounds):
+    while True:
         seen = links.join(labels.toDF("other", "near"), "other").groupBy("id").agg(
             F.min("near").alias("near")
         )
-        lowered = labels.join(seen, "id").select(
-            "id", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        looked, moving = counted_stage(
+            labels.join(seen, "id").select(
+                "id", F.col("label").alias("old"), F.least("label", "near").alias("low")),
+            "looked", F.col("low") < F.col("old"),
         )
-        tops = labels.toDF("label", "top")
-        lowered = lowered.join(tops, "label", "left").select(
-            "id", "old", F.least("label", F.coalesce("top", "label")).alias("label")
-        )
-        changed = Observation()
-        labels = stage(
-            lowered.observe(changed, F.count_if(F.col("old") != F.col("label")).alias("rows")).drop("old"),
-            "labels",
-        )
-        if not changed.get["rows"]:
+        if not moving:
+            release(looked)
             return ids.join(labels, "id", "left").select(
                 "id", F.coalesce("label", "id").alias("cluster")
             )
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+        hooks = looked.groupBy("old").agg(F.min("low").alias("up"))
+        tops = hooks.join(hooks.toDF("up", "top"), "up").select("old", F.col("top").alias("label"))
+        settled = stage(looked.join(tops, "old").select("id", "label"), "labels")
+        release(looked)
+        release(labels)
+        labels = settled
 
 
 def merge_tree(merges: DataFrame) -> DataFrame:

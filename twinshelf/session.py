@@ -2,33 +2,39 @@
 
 Iterative jobs cut their lineage by writing a table and reading it back. The folder is the
 session's ``spark.checkpoint.dir``, which a cluster sets to shared storage, so a lost
-executor only costs the tasks it was running. Only a local session may fall back to a
-temporary folder of its own.
+executor only costs the tasks it was running. Where the setting is absent the folder lies in
+the session's warehouse, which every executor reaches as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="twinshelf-")
-    return _local_folders[app]
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the work folder that nothing uses yet."""
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(df: DataFrame) -> None:
+    """Delete the staged table behind ``df``, once nothing reads it any more."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for file in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -39,7 +45,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def counted_stage(df: DataFrame, name: str, counted: Column) -> tuple[DataFrame, int]:
     """The same, with the number of rows that meet ``counted``, taken while writing."""
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     seen = Observation()
     df.observe(seen, F.count_if(counted).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
