@@ -184,8 +184,9 @@ def components(ids: DataFrame, pairs: DataFrame) -> DataFrame:
 
     A round has three steps. Every vertex sees the least label among itself and its
     neighbours; every label hooks on to the least label that one of its vertices saw; every
-    vertex then moves two hooks up. Whole trees of labels move at once, so long chains take a
-    logarithmic number of rounds. The loop ends when no vertex sees a lower label, which every
+    vertex, now under that label, takes the label of its label, as labels are vertices too.
+    Whole trees of labels move at once and paths double, so long chains take a logarithmic
+    number of rounds. The loop ends when no vertex sees a lower label, which every
     graph reaches, as each round before that retires a label. Neighbours and vertices are
     reduced by ``min`` with partial aggregation, so a hub is no special case.
     """
@@ -211,8 +212,9 @@ def components(ids: DataFrame, pairs: DataFrame) -> DataFrame:
                 "id", F.coalesce("label", "id").alias("cluster")
             )
         hooks = looked.groupBy("old").agg(F.min("low").alias("up"))
-        tops = hooks.join(hooks.toDF("up", "top"), "up").select("old", F.col("top").alias("label"))
-        settled = stage(looked.join(tops, "old").select("id", "label"), "labels")
+        hooked = looked.join(hooks, "old").select("id", F.col("up").alias("label"))
+        settled = stage(hooked.join(hooked.toDF("label", "top"), "label").select(
+            "id", F.col("top").alias("label")), "labels")
         release(looked)
         release(labels)
         labels = settled
