@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, pieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,69 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids with merge-dropout of every document, and whether they decode to its text."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    coded = pieces.encode(table(spark, folder, "documents"), model)
+    back = pieces.decode(coded, model)
+    return back.select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SQL["op8_decontamination"] = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (
+  SELECT item_id, w, least(len(w), 10) AS k, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i
+  FROM items WHERE len(w) > 0 AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM starts),
+places AS (
+  SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+  FROM words, (SELECT DISTINCT k FROM windows)),
+hits AS (
+  SELECT doc_id, i, k, item_id
+  FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM places)
+  JOIN windows USING (k, win)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+    SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (
+    SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.matches(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, folder, "documents"))
