@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -32,3 +34,14 @@ def chunks(sizes: list[int], limit: int = CHUNK) -> Iterator[slice]:
 def remainder(id_column: str, divisor: int) -> Column:
     """crc32 of an id's text modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def remembered(name: str, make: Callable[[], object]) -> object:
+    """What a reused Python worker keeps from one task to the next, made on first use.
+
+    Functions travel with the job, so their own module's globals are new in every task.
+    """
+    memory = sys.modules.setdefault("_worker_memory", ModuleType("_worker_memory")).__dict__
+    if name not in memory:
+        memory[name] = make()
+    return memory[name]

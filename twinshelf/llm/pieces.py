@@ -28,11 +28,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import utf8
+from .batches import remembered, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 4
 #: Runs that a worker remembers before it starts anew, and the longest of them in characters.
-REMEMBERED, LONGEST = 400_000, 200
+REMEMBERED, LONGEST = 250_000, 200
 SPACE = "▁"
 
 
@@ -106,49 +106,42 @@ class PieceModel:
         return out
 
 
-_MODELS: dict[str, PieceModel] = {}
-
-
 def model_at(path: str) -> PieceModel:
-    if path not in _MODELS:
-        _MODELS[path] = PieceModel(path)
-    return _MODELS[path]
+    return remembered(f"piece model {path}", lambda: PieceModel(path))
 
 
 class Encoder:
-    """Encodes texts; remembers chunks by variant."""
+    """Encodes texts; remembers words and runs by variant."""
 
     _chunk = re.compile(" +[^ ]*|[^ ]+")
 
     def __init__(self, path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
         self.path, self.rate, self.seed, self.variants = path, rate, seed, variants
-        self._known: list[dict[str, bytes]] = []
-        self._runs: list[dict[str, bytes]] = []
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": [], "_runs": []}
 
     def variant(self, text: bytes) -> int:
         """Documents are dealt to variants by a keyed hash of their text."""
         return xxhash.xxh64_intdigest(text, self.seed) % self.variants
 
+    def _memory(self, kind: str, variant: int) -> dict[str, bytes]:
+        return remembered(
+            f"{kind} {self.path} {self.rate} {self.seed} {variant}", dict)
+
     def _encode_chunk(self, chunk: str, variant: int) -> bytes:
-        model, known = model_at(self.path), self._runs[variant]
+        model, known = model_at(self.path), self._memory("runs", variant)
         key = xxhash.xxh64_intdigest(struct.pack("<QQ", self.seed % (1 << 64), variant))
         out = []
         for literal, part in enumerate(chunk.split(SPACE)):
             if literal:
                 out.append(struct.pack("<3I", *[model.byte_ids[x] for x in SPACE.encode()]))
             for run in model.runs(part.replace(" ", SPACE)) if part else []:
-                if run not in known:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
+                packed = known.get(run)
+                if packed is None:
                     ids = model.segment(run, self.rate, key)
                     packed = struct.pack(f"<{len(ids)}I", *ids)
                     if len(run) <= LONGEST:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
                         known[run] = packed
-                else:
-                    packed = known[run]
                 out.append(packed)
         return b"".join(out)
 
@@ -156,16 +149,17 @@ class Encoder:
         """The ids as little-endian 32-bit integers; an empty text has none."""
         if not text:
             return b""
-        if not self._known:
-            self._known = [{} for _ in range(self.variants)]
-            self._runs = [{} for _ in range(self.variants)]
-        known, chunks = self._known[variant], self._chunk.findall(" " + text)
+        known = self._memory("words", variant)
+        if "  " in text or text[0] == " ":  # a run of spaces belongs to the word behind it
+            chunks = [x[1:] for x in self._chunk.findall(" " + text)]
+        else:
+            chunks = text.split(" ")
         try:
             return b"".join([known[c] for c in chunks])
         except KeyError:
             for chunk in set(chunks):
                 if chunk not in known:
-                    known[chunk] = self._encode_chunk(chunk, variant)
+                    known[chunk] = self._encode_chunk(" " + chunk, variant)
             out = b"".join([known[c] for c in chunks])
             for chunk in chunks:
                 if len(chunk) > LONGEST:

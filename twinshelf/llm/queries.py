@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, simhash
+from . import decontaminate, pieces, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,6 +85,14 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids, as read back from the files they were written to."""
+    rows = token_files.round_trip(
+        table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, folder, "documents"))
