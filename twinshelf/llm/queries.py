@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, simhash, token_files
+from . import decontaminate, html_text, kdtree, pieces, simhash, token_files, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,51 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# The rules of the URL query.
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+    ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@query
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    judged = urls.judge(table(spark, folder, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "margin")
+
+
+SQL["op2_top_k"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(generate_series(1, len(q.v)), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best others for every vector whose id is divisible by 50."""
+    found = kdtree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, folder, "pages")
+    return pages.select("page_id", "url", html_text.extract("html").alias("text")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 @query
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids with merge-dropout of every document, and whether they decode to its text."""
