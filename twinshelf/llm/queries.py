@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, kdtree, pieces, simhash, token_files, urls
+from . import (
+    decontaminate,
+    html_text,
+    kdtree,
+    language,
+    pieces,
+    simhash,
+    token_files,
+    toxicity,
+    urls,
+)
+from .batches import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,6 +95,28 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
+@query
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learnt from two thirds of them."""
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
+    model = language.fit(docs.filter(~F.col("held_out")))
+    found = docs.select("doc_id", "held_out", language.predicted(spark, model, "text").alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"),
+                        F.col("p.score").alias("score"), F.col("p.quotient").alias("quotient"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learnt from the labels of two thirds of them."""
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 3) == 1)
+    model = toxicity.fit(docs.filter(~F.col("held_out")), table(spark, folder, "labels"))
+    found = docs.select("doc_id", "held_out", toxicity.scored(spark, model, "text").alias("s"))
+    return found.select(
+        "doc_id", "held_out", F.col("s.score").alias("score"),
+        (F.col("s.score") >= toxicity.REJECT).cast("int").alias("predicted"),
+        F.col("s.worst").alias("worst"))
+
+
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SQL["op8_decontamination"] = rf"""
 WITH words AS (
