@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    ctw,
     decontaminate,
     html_text,
     kdtree,
@@ -95,6 +96,15 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
+@query
+def op5_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The log10 probability of every document, learnt from four fifths of them."""
+    docs = table(spark, folder, "documents").withColumn("held_out", remainder("doc_id", 5) == 1)
+    rows = ctw.score(docs)
+    return rows.withColumnRenamed("id", "doc_id").withColumn(
+        "bits_per_byte", -F.col("score") * F.log2(F.lit(10.0)) / (F.col("n_bytes") + 1))
+
+
 @query
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learnt from two thirds of them."""
