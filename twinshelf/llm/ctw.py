@@ -54,7 +54,7 @@ def unpacked(blob: bytes) -> object:
 
 def planes(values: np.ndarray) -> np.ndarray:
     """Numbers as bytes of equal weight side by side, which compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
 
 
 def from_planes(found: np.ndarray, kind: str) -> np.ndarray:
