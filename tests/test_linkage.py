@@ -85,12 +85,31 @@ def test_a_long_chain_settles(spark):
     assert got == {**{i: 0 for i in range(n + 1)}, n + 1: n + 1}
 
 
-def test_too_few_rounds_raise(spark):
-    pairs = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.9), (1, 3, 0.9)],
-                                  "a long, b long, sim double")
-    copies = spark.createDataFrame([(i, 1) for i in (1, 2, 3)], "id long, copies long")
-    with pytest.raises(RuntimeError):
-        tree.linkage(pairs, copies, 0.5, max_rounds=1)
+def rising_from_both_ends(n):
+    return [*range(0, n, 2), *range(n - 1, 0, -2)]
+
+
+@pytest.mark.parametrize("path", [
+    rising_from_both_ends(2000), random.Random(5).sample(range(2000), 2000)])
+def test_long_paths_settle_in_few_rounds(spark, monkeypatch, path):
+    rounds, counted = [], tree.counted_stage
+    monkeypatch.setattr(tree, "counted_stage", lambda *a: rounds.append(1) or counted(*a))
+    pairs = spark.createDataFrame(list(zip(path, path[1:])), "a long, b long")
+    got = tree.components(spark.range(len(path)), pairs).collect()
+    assert {r.cluster for r in got} == {0} and len(got) == len(path)
+    assert len(rounds) < 20
+
+
+def test_records_without_a_title_stay(spark):
+    rows = [(1, "red ring"), (2, "red ring"), (3, None), (4, "red  RING"), (5, ""), (6, None)]
+    records = spark.createDataFrame(rows, "id long, name string")
+    how = {"terms": TitleTerms(ngrams=(1, 1)), "weighting": Weighting()}
+    found = cluster_titles(records, "id", "name", cut=0.5, **how)
+    listed = {r.id: r.new_cluster for r in assignments(records, "id", "name", found).collect()}
+    assert set(listed) == {1, 2, 3, 4, 5, 6} and listed[1] == listed[2] and listed[3] == listed[6]
+    for method in ("complete", "single"):  # everything with a term is within such a cut
+        wide = cluster_titles(records, "id", "name", cut=90, method=method, inclusive=True, **how)
+        assert len({r.cluster for r in wide.records().filter("id in (1, 2, 4)").collect()}) == 1
 
 
 def test_titles_end_to_end(spark):
@@ -120,6 +139,6 @@ def test_many_equal_distances_merge_in_few_rounds(spark):
         [(a, b, 0.9) for a in range(n) for b in range(a + 1, n)], "a long, b long, sim double"
     )
     copies = spark.range(n).select("id", F.lit(1).alias("copies"))
-    merges = tree.linkage(pairs, copies, 0.5, max_rounds=30)
+    merges = tree.linkage(pairs, copies, 0.5)
     assert merges.count() == n - 1
     assert {r.cluster for r in tree.clusters(copies.select("id"), merges).collect()} == {0}

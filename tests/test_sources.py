@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinshelf import schemas
 from twinshelf.functions.documents import nested_as_text, parse
@@ -60,7 +61,8 @@ def test_union_and_nested_text(spark):
     a = spark.createDataFrame([(1, "x")], "pid long, brand string")
     b = spark.createDataFrame([(2,)], "pid long")
     assert sorted(map(tuple, products.union_products(a, b).collect())) == [(1, "x"), (2, None)]
-    good, _ = parse(raw(spark, {"data": [{"id": 1}]}), "raw", schemas.LISTING)
+    numbers = T.StructType.fromDDL("data array<struct<id:long>>")
+    good, _ = parse(raw(spark, {"data": [{"id": 1}]}), "raw", numbers)
     flat = nested_as_text(good.select(F.col("doc.data").alias("badges")))
     assert flat.first()[0] == '[{"id":1}]'
 
@@ -78,6 +80,28 @@ def test_listing_stops_at_the_first_bad_page(spark):
     assert products.responses_ok(df).count() == 6
 
 
+def test_ids_as_text_and_broken_prices(spark):
+    df = spark.createDataFrame([("a", 1, 200, '{"data":[{"id":"6"},{"id":7}]}')],
+                               "listing string, page int, status int, body string")
+    assert [r.product_id for r in products.listing_ids(df).collect()] == ["6", "7"]
+    sellers = [{"product_id": "11", "price": 5.5, "store_id": 1, "name": "s"},
+               {"product_id": 12, "price": 7, "store_id": "x", "name": "t"}]
+    rows, bad = products.seller_rows(raw(
+        spark, {"id": "3", "other_sellers": sellers}, {"id": "", "other_sellers": sellers},
+        {"id": 0, "other_sellers": sellers}), "v")
+    assert bad.count() == 0
+    assert [(r.pid, r.price, r.store_id) for r in rows.collect()] == [(11, 5, 1), (12, 7, None)]
+
+
+def test_link_forms(spark):
+    html = """<a href='/a'>1</a><a data-href="/no" href="/b?x=1&amp;y=2">2</a><a class=k href=/c>3</a>
+        <!-- <a href="/gone"> --><script>var a = '<a href="/js">';</script><A HREF = "/D">4</A>
+        <a title="a > b" href="/e">5</a><abbr href="/x">6</abbr><a name="n">7</a>"""
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id long, html string")
+    got = [r.href for r in products.links(pages).orderBy("position").collect()]
+    assert got == ["/a", "/b?x=1&y=2", "/c", "/D", "/e"]
+
+
 def test_links_and_keys(spark):
     html = '<div><a class="c" href="/x-i.1.2">x</a><A HREF = "/y">y</A><a name="q">z</a></div>'
     df = spark.createDataFrame([(1, html)], "page_id long, html string")

@@ -13,19 +13,18 @@ from .vectors import Weighting, kept_terms, record_count, term_counts, vocabular
 
 
 def ml_vectors(
-    texts: DataFrame, terms: Column, weighting: Weighting, max_terms: int = 20000,
+    texts: DataFrame, terms: Column, weighting: Weighting,
 ) -> DataFrame:
     """(id, copies, features): the same TF-IDF vectors as Spark ML vectors.
 
-    Only the vocabulary passes the driver, and it is refused above ``max_terms``. Texts
-    without a kept term are left out; they have no direction to cluster by.
+    Only the kept vocabulary passes the driver: with a least share of texts or with
+    ``max_features`` it does not grow with their number. Texts without a kept term are left
+    out; they have no direction to cluster by.
     """
     kept = (
         kept_terms(vocabulary(term_counts(texts, terms)), record_count(texts), weighting)
-        .select("term", "idf").orderBy("term").limit(max_terms + 1).collect()
+        .select("term", "idf").orderBy("term").collect()
     )
-    if len(kept) > max_terms:
-        raise ValueError(f"more than {max_terms} terms: tighten the vocabulary first")
     if not kept:
         raise ValueError("no term is left within the vocabulary bounds")
     listed = texts.select("id", "copies", terms.alias("terms"))

@@ -11,6 +11,8 @@ by its least member id.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,14 +87,14 @@ def _sums_after(sums: DataFrame, merged: DataFrame) -> DataFrame:
 
 def linkage(
     pairs: DataFrame, sizes: DataFrame, cut: float, method: str = "complete",
-    inclusive: bool = False, dense: DataFrame | None = None, max_rounds: int = 10_000,
+    inclusive: bool = False, dense: DataFrame | None = None,
 ) -> DataFrame:
     """Merges (round, left, right, distance, size) up to ``cut``.
 
     ``pairs`` (a, b, sim) must hold every pair within the cut, ``sizes`` (id, copies) the
     record count of each id. ``method`` is complete, single or average; average linkage needs
     ``dense`` (id, dense) unit vectors and takes its distances from cluster sums. The ``size``
-    counts records. Raises rather than return a partial tree.
+    counts records.
     """
     if method not in ("complete", "single", "average"):
         raise ValueError(f"unknown method {method}")
@@ -115,7 +117,7 @@ def linkage(
             "sums",
         )
     merges = None
-    for step in range(1, max_rounds + 1):
+    for step in count(1):  # every round merges a pair at least
         if not left:
             none = spark.createDataFrame([], MERGE)
             return none if merges is None else stage(merges, "merges")
@@ -155,7 +157,6 @@ def linkage(
         if step % 50 == 0:
             merges = stage(merges, "merges")
         edges = table.filter(~F.col("merge")).select(*columns)
-    raise RuntimeError(f"linkage did not finish within {max_rounds} rounds")
 
 
 def clusters(ids: DataFrame, merges: DataFrame) -> DataFrame:

@@ -136,8 +136,8 @@ def distinct_vectors(
     return stage(named, "vector-ids"), groups.withColumnRenamed("vector_id", "id")
 
 
-def wide_table(weights: DataFrame, limit: int = 1000) -> DataFrame:
-    """Documents × terms as columns. Meant for reading; refuses a large vocabulary."""
+def wide_table(weights: DataFrame, limit: int) -> DataFrame:
+    """Documents × terms as columns. Meant for reading; refuses more terms than the caller allows."""
     terms = [
         row.term for row in weights.select("term").distinct().orderBy("term")
         .limit(limit + 1).collect()

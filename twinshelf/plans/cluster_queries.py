@@ -12,8 +12,20 @@ from ..session import stage
 from ..sources.tables import keyed_update
 from .catalogues import Matcher
 from .registry import PRODUCTS, catalogues, products, query, table
-from .text_queries import _TERMS, DOCUMENT_TERMS, DOCUMENT_WEIGHTING, document_texts
-from .titles import TitleTerms, assignments, cluster_titles, distinct_titles
+from .text_queries import (
+    _TERMS,
+    DOCUMENT_TERMS,
+    DOCUMENT_WEIGHTING,
+    _tidy_sql,
+    document_texts,
+)
+from .titles import (
+    TitleTerms,
+    assignments,
+    cluster_titles,
+    distinct_titles,
+    text_of_records,
+)
 
 
 def _title_vectors(spark, folder, weighting=v.LABELLED_WEIGHTING):
@@ -114,12 +126,13 @@ def weighted_pairs(spark, folder):
 WITH {_TITLE_VECTORS},
 s AS (SELECT a.id AS x, b.id AS y, sum(a.weight * b.weight) AS s
       FROM weights a JOIN weights b USING (term) GROUP BY a.id, b.id),
-p AS (SELECT i.x AS a, j.x AS b, sum(copies * i.s * j.s) AS dot
-      FROM s i JOIN s j ON i.y = j.y JOIN reps ON reps.id = i.y GROUP BY i.x, j.x),
-own AS (SELECT a AS id, sqrt(dot) AS length FROM p WHERE a = b)
-SELECT p.a, p.b, round(dot / (u.length * w.length), 6) AS sim
-FROM p JOIN own u ON u.id = p.a JOIN own w ON w.id = p.b
-WHERE p.a < p.b AND dot / (u.length * w.length) >= 0.75 - 1e-12
+kept_ids AS (SELECT DISTINCT id FROM weights),
+whole AS (SELECT i.id AS x, list(coalesce(s, 0) * sqrt(copies) ORDER BY j.id) AS l
+          FROM kept_ids i CROSS JOIN kept_ids j JOIN reps ON reps.id = j.id
+          LEFT JOIN s ON s.x = i.id AND s.y = j.id GROUP BY i.id),
+p AS (SELECT u.x AS a, w.x AS b, list_cosine_similarity(u.l, w.l) AS sim
+      FROM whole u JOIN whole w ON u.x < w.x)
+SELECT a, b, round(sim, 6) AS sim FROM p WHERE sim >= 0.75 - 1e-12
 """)
 def profile_cosine(spark, folder):
     one, vocab = _title_vectors(spark, folder)
@@ -168,7 +181,7 @@ def cluster_documents(spark, folder):
     rows = table(spark, folder, "documents")
     found = cluster_titles(rows, "doc_id", "text", TitleTerms(ngrams=(1, 1)),
                            DOCUMENT_WEIGHTING, cut=0.3)
-    return found.labels
+    return found.records()
 
 
 @query(f"""
@@ -177,37 +190,45 @@ edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach(id, other) AS (
   SELECT id, id FROM texts
   UNION
-  SELECT reach.id, edges.b FROM reach JOIN edges ON reach.other = edges.a)
-SELECT id, min(other) AS cluster FROM reach GROUP BY id
+  SELECT reach.id, edges.b FROM reach JOIN edges ON reach.other = edges.a),
+labels AS (SELECT id, min(other) AS cluster FROM reach GROUP BY id)
+SELECT doc_id AS id, cluster FROM documents
+JOIN texts ON {_tidy_sql('text')} IS NOT DISTINCT FROM title JOIN labels USING (id)
 """)
 def cluster_single(spark, folder):
     rows = table(spark, folder, "documents")
     found = cluster_titles(rows, "doc_id", "text", TitleTerms(ngrams=(1, 1)),
                            DOCUMENT_WEIGHTING, cut=0.3, method="single", inclusive=True)
-    return found.labels
+    return found.records()
 
 
-def _ml(spark, folder):
-    texts = stage(
-        distinct_titles(products(spark, folder), "product_id", "title", TitleTerms()), "titles"
-    )
+def _centred(spark, folder, method, **how):
+    """(id, cluster) of every product; null for a title without a term to cluster by."""
+    rows = products(spark, folder)
+    texts = stage(distinct_titles(rows, "product_id", "title", TitleTerms()), "titles")
     grams = text.ngrams(text.word_tokens(F.col("title")), (1, 3))
-    return stage(centroids.ml_vectors(texts, grams, v.LABELLED_WEIGHTING), "ml-vectors")
+    found = method(
+        stage(centroids.ml_vectors(texts, grams, v.LABELLED_WEIGHTING), "ml-vectors"), **how
+    )
+    members = text_of_records(rows, "product_id", "title", TitleTerms(), texts)
+    return members.join(found.select("id", "cluster"), "id", "left").select(
+        F.col("record").alias("id"), "cluster"
+    )
 
 
 @query()
 def kmeans(spark, folder):
-    return centroids.kmeans(_ml(spark, folder), k=15)
+    return _centred(spark, folder, centroids.kmeans, k=15)
 
 
 @query()
 def kmeans_cosine(spark, folder):
-    return centroids.kmeans(_ml(spark, folder), k=11, distance="cosine")
+    return _centred(spark, folder, centroids.kmeans, k=11, distance="cosine")
 
 
 @query()
 def bisecting_kmeans(spark, folder):
-    return centroids.bisecting_kmeans(_ml(spark, folder), k=12)
+    return _centred(spark, folder, centroids.bisecting_kmeans, k=12)
 
 
 @query()
@@ -244,10 +265,10 @@ def match_write_back(spark, folder):
 SELECT p_partkey AS product_id, p_name AS name, coalesce(dearest, p_retailprice) AS price, orders
 FROM part LEFT JOIN (
   SELECT l_partkey, max(l_extendedprice) AS dearest, count(*) AS orders
-  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey) ON l_partkey = p_partkey
+  FROM lineitem GROUP BY l_partkey) ON l_partkey = p_partkey
 """)
 def keyed_update_prices(spark, folder):
-    sold = table(spark, folder, "lineitem").filter("l_returnflag = 'R'").groupBy(
+    sold = table(spark, folder, "lineitem").groupBy(
         F.col("l_partkey").alias("product_id")
     ).agg(F.max("l_extendedprice").alias("price"), F.count(F.lit(1)).alias("orders"))
     target = products(spark, folder).select("product_id", "name", "price")

@@ -285,4 +285,4 @@ def wide_table(spark, folder):
     )
     weights = v.weigh(texts, text.word_tokens(F.col("title")),
                       v.Weighting(idf=False, norm=False))
-    return v.wide_table(weights)
+    return v.wide_table(weights, limit=1000)

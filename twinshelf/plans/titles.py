@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -16,6 +16,10 @@ from ..operators.vectors import LABELLED_WEIGHTING, Weighting, distinct_vectors,
 from ..session import stage
 
 
+#: The least similarity that counts as having something in common.
+LEAST = 1e-9
+
+
 @dataclass(frozen=True)
 class TitleTerms:
     """How a title becomes terms. Each part may be replaced by any column function."""
@@ -39,9 +43,33 @@ def distinct_titles(records: DataFrame, id_col: str, title: str, terms: TitleTer
 
 @dataclass(frozen=True)
 class TitleClusters:
+    """``texts`` (id, copies, title), the merges, ``labels`` (id, cluster) of the texts, and
+    ``members`` (record, id): the text of every record, also of one without a title."""
+
     texts: DataFrame
-    merges: DataFrame
+    merges: DataFrame | None
     labels: DataFrame
+    members: DataFrame
+
+    def records(self) -> DataFrame:
+        """(id, cluster) of every record."""
+        return self.members.join(self.labels, "id").select(
+            F.col("record").alias("id"), "cluster"
+        )
+
+
+def text_of_records(
+    records: DataFrame, id_col: str, title: str, terms: TitleTerms, texts: DataFrame,
+) -> DataFrame:
+    """(record, id): every record with the id of its normalised title.
+
+    The titles meet by hash and are then compared, so that the join carries no long keys.
+    """
+    tidy = records.select(F.col(id_col).alias("record"), terms.normalise(F.col(title))
+                          .alias("own")).withColumn("hash", F.xxhash64("own"))
+    named = texts.select("id", "title").withColumn("hash", F.xxhash64("title"))
+    same = (tidy["hash"] == named["hash"]) & F.col("own").eqNullSafe(F.col("title"))
+    return tidy.join(named, same).select("record", "id")
 
 
 def cluster_titles(
@@ -61,11 +89,13 @@ def cluster_titles(
     sparse = stage(sparse, "vectors")
     named, one = distinct_vectors(sparse, texts, ["vector"])
     sizes = one.select("id", "copies")
+    members = stage(text_of_records(records, id_col, title, terms, texts), "members")
+    if space == "cosine" and (cut > 1 or (cut == 1 and inclusive)):
+        # Weights are not negative, so every two titles with a term are within the cut.
+        return TitleClusters(texts, None, _one_cluster(texts, named), members)
     dense = None
     if space == "cosine":
-        if cut >= 1:
-            raise ValueError("a cut of 1 or more joins titles that have nothing in common")
-        pairs = cosine_pairs(one, 1.0 - cut)
+        pairs = cosine_pairs(one, max(1.0 - cut, LEAST))
         if method == "average":
             dense = written_out(one, vocab)
     else:
@@ -89,17 +119,28 @@ def cluster_titles(
         .join(labels.toDF("vector_id", "cluster"), "vector_id", "left")
         .select("id", F.coalesce("cluster", "id").alias("cluster"))
     )
-    return TitleClusters(texts, merges, labels)
+    return TitleClusters(texts, merges, labels, members)
+
+
+def _one_cluster(texts: DataFrame, named: DataFrame) -> DataFrame:
+    """(id, cluster): all texts with a term under the least of them, the others alone."""
+    least = F.broadcast(named.agg(F.min("id").alias("least")))  # one row
+    return texts.select("id").join(named.select("id", "vector_id"), "id", "left").join(least).select(
+        "id", F.when(F.col("vector_id").isNotNull(), F.col("least")).otherwise(F.col("id"))
+        .alias("cluster")
+    )
 
 
-def written_out(sparse: DataFrame, vocab: DataFrame, max_terms: int = 1500) -> DataFrame:
-    """(id, dense): the term vectors themselves written out in full."""
-    numbers = [r.number for r in vocab.select("number").orderBy("number")
-               .limit(max_terms + 1).collect()]
-    if len(numbers) > max_terms:
-        raise ValueError(f"average linkage needs a vocabulary of at most {max_terms} terms")
-    marks = F.array(*[F.lit(n) for n in numbers])
-    weights = F.map_from_entries(F.transform("vector", lambda e: F.struct(e.number, e.weight)))
+def written_out(sparse: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(id, dense): the term vectors themselves written out in full, a place for each term."""
+    places = vocab.select("number", (F.row_number().over(Window.orderBy("number")) - 1).alias("at"))
+    size = places.count()
+    sparse = sparse.select("id", F.explode("vector").alias("entry")).join(
+        places, F.col("entry.number") == F.col("number")
+    ).groupBy("id").agg(F.collect_list(F.struct("at", F.col("entry.weight").alias("weight")))
+                        .alias("vector"))
+    marks = F.sequence(F.lit(0), F.lit(max(size, 1) - 1))
+    weights = F.map_from_entries(F.transform("vector", lambda e: F.struct(e.at, e.weight)))
     return sparse.withColumn("w", weights).select(
         "id",
         F.transform(marks, lambda n: F.coalesce(F.element_at("w", n), F.lit(0.0))).alias("dense"),
@@ -110,16 +151,16 @@ def assignments(
     records: DataFrame, id_col: str, title: str, found: TitleClusters,
     terms: TitleTerms = TitleTerms(), carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Every record with its cluster, beside the columns to compare it with, by cluster."""
+    """Every record with its cluster, beside the columns to compare it with, by cluster.
+
+    Record ids are unique; a null title is a title of its own kind.
+    """
     listed = records.select(
         F.col(id_col).alias("id"), *carry, terms.normalise(F.col(title)).alias("title")
     )
-    named = found.texts.select(F.col("id").alias("text"), "title").join(
-        found.labels.select(F.col("id").alias("text"), F.col("cluster").alias("new_cluster")),
-        "text",
-    )
+    clusters = found.records().withColumnRenamed("cluster", "new_cluster")
     return (
-        listed.join(named.drop("text"), "title")
+        listed.join(clusters, "id")
         .select("id", *carry, "new_cluster", "title")
         .orderBy("new_cluster", "id")
     )

@@ -30,28 +30,30 @@ LISTED_PRODUCT = _struct(
     url_path=_TEXT, vendor=_TEXT, short_desc=_TEXT, price=_LONG,
 )
 
-_SELLER = _struct(product_id=_LONG, price=_LONG, store_id=_LONG, name=_TEXT)
+# Ids of raw documents are read as text and prices as numbers of any kind, since one odd value
+# must not cost the whole document; they are cast when rows are made of them.
+_SELLER = _struct(product_id=_TEXT, price=_DOUBLE, store_id=_TEXT, name=_TEXT)
 
 # Document of a marketplace where one product has several sellers.
 SELLER_DOCUMENT = _struct(
-    id=_LONG, sku=_TEXT, name=_TEXT, url_key=_TEXT, url_path=_TEXT, short_description=_TEXT,
+    id=_TEXT, sku=_TEXT, name=_TEXT, url_key=_TEXT, url_path=_TEXT, short_description=_TEXT,
     categories=_struct(name=_TEXT), brand=_struct(name=_TEXT),
     other_sellers=T.ArrayType(_SELLER), current_seller=_SELLER,
 )
 
 # Document of a marketplace where a product belongs to one shop.
 SHOP_DOCUMENT = _struct(
-    id=_LONG, sku=_TEXT, name=_TEXT, url_key=_TEXT, cat_path=_TEXT, short_description=_TEXT,
-    price=_LONG, brand_name=_TEXT, categories=_struct(category_level1_name=_TEXT),
-    category=_TEXT, shop_info=_struct(shop_id=_LONG, shop_name=_TEXT),
+    id=_TEXT, sku=_TEXT, name=_TEXT, url_key=_TEXT, cat_path=_TEXT, short_description=_TEXT,
+    price=_DOUBLE, brand_name=_TEXT, categories=_struct(category_level1_name=_TEXT),
+    category=_TEXT, shop_info=_struct(shop_id=_TEXT, shop_name=_TEXT),
 )
 
 # Document whose price is given in units of 1/100000.
 ITEM_DOCUMENT = _struct(
-    item=_struct(itemid=_LONG, name=_TEXT, price=_LONG, description=_TEXT),
+    item=_struct(itemid=_TEXT, name=_TEXT, price=_DOUBLE, description=_TEXT),
 )
 
-LISTING = _struct(data=T.ArrayType(_struct(id=_LONG)))
+LISTING = _struct(data=T.ArrayType(_struct(id=_TEXT)))
 
 # What one product page yields (see sources.pages).
 PAGE_RECORD = T.StructType([

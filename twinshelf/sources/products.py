@@ -20,6 +20,11 @@ MARK = "🎈🎈"
 COMMON = [f.name for f in schemas.PRODUCT.fields if f.name != "id"]
 
 
+def whole(name: str) -> Column:
+    """An id or price as a whole number; null if it is none."""
+    return F.col(name).try_cast("long")
+
+
 def responses_ok(responses: DataFrame, status: str = "status") -> DataFrame:
     return responses.filter(F.col(status) == 200)
 
@@ -41,8 +46,8 @@ def seller_rows(
         F.col("doc.categories.name").alias("category"), F.col("doc.brand.name").alias("brand"),
     ]
     sold = [
-        F.col("seller.product_id").alias("pid"), F.col("seller.price").alias("price"),
-        F.col("seller.store_id").alias("store_id"), F.col("seller.name").alias("store_name"),
+        whole("seller.product_id").alias("pid"), whole("seller.price").alias("price"),
+        whole("seller.store_id").alias("store_id"), F.col("seller.name").alias("store_name"),
     ]
     none = F.array().cast(schemas.SELLER_DOCUMENT["other_sellers"].dataType)
     current = F.when(F.col("doc.current_seller.price") > above,
@@ -57,15 +62,15 @@ def shop_rows(documents: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
     good, bad = parse(documents, "raw", schemas.SHOP_DOCUMENT)
     doc = F.col("doc")
     rows = good.filter(usable_id(doc.id)).select(
-        doc.id.alias("pid"), doc.sku.alias("sku"), doc.getField("name").alias("name"),
+        whole("doc.id").alias("pid"), doc.sku.alias("sku"), doc.getField("name").alias("name"),
         doc.url_key.alias("url_key"), doc.cat_path.alias("url_path"),
         F.lit(vendor).alias("sales_page"),
         without(doc.short_description, MARK).alias("short_desc"),
-        doc.price.alias("price"),
+        whole("doc.price").alias("price"),
         F.when(doc.categories.isNotNull(), doc.categories.category_level1_name)
         .otherwise(doc.category).alias("category"),
         doc.brand_name.alias("brand"),
-        doc.shop_info.shop_id.alias("store_id"), doc.shop_info.shop_name.alias("store_name"),
+        whole("doc.shop_info.shop_id").alias("store_id"), doc.shop_info.shop_name.alias("store_name"),
     )
     return rows.select(*COMMON), bad
 
@@ -78,7 +83,7 @@ def item_rows(
     item = F.col("doc.item")
     key = F.col("url_key") if "url_key" in documents.columns else F.lit(None).cast("string")
     rows = good.filter(item.isNotNull()).select(
-        *keep, item.itemid.alias("product_id"), item.getField("name").alias("product_title"),
+        *keep, whole("doc.item.itemid").alias("product_id"), item.getField("name").alias("product_title"),
         key.alias("url_key"), F.concat(F.lit(site), key).alias("url_path"),
         F.lit(vendor).alias("vendor"), item.description.alias("short_desc"),
         (item.price / PRICE_PARTS).alias("price"),
@@ -102,14 +107,35 @@ def listing_ids(responses: DataFrame, listing: str = "listing", page: str = "pag
         read.join(ends, listing, "left")
         .filter(F.col("_end").isNull() | (F.col(page) < F.col("_end")))
         .select(listing, page, F.explode("data").alias("entry"))
-        .select(listing, page, F.col("entry.id").cast("string").alias("product_id"))
+        .select(listing, page, F.col("entry.id").alias("product_id"))
     )
 
 
 def links(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
-    """(id, position, href) of every anchor with an address, in page order."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r'(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"'), 1)
-    return pages.select(id_col, F.posexplode(found).alias("position", "href"))
+    """(id, position, href) of every anchor with an address, in page order.
+
+    Addresses may be in either quotes or in none; character references in them are decoded.
+    Anchors in comments and scripts are no anchors.
+    """
+    live = F.regexp_replace(F.col(html), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    found = F.regexp_extract_all(live, F.lit(ANCHOR), 1)
+    return pages.select(id_col, F.posexplode(found).alias("position", "href")).withColumn(
+        "href", unquoted(F.col("href"))
+    )
+
+
+ANCHOR = (r"""(?is)<a(?=\s)(?:\s+(?!href\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]*))?)*"""
+          r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
+# The character references that addresses hold, the ampersand last.
+REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"),
+              ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&")]
+
+
+def unquoted(value: Column) -> Column:
+    out = F.regexp_replace(value, r"""^["']|["']$""", "")
+    for reference, mark in REFERENCES:
+        out = F.replace(out, F.lit(reference), F.lit(mark))
+    return out
 
 
 def product_keys(hrefs: DataFrame, href: str = "href") -> tuple[DataFrame, DataFrame]:
