@@ -34,7 +34,7 @@ def _mutual(edges: DataFrame) -> DataFrame:
     would all choose its least member and merge one per round; by hash, a fixed share of them
     merges each round.
     """
-    tie = F.xxhash64("a", "b").alias("tie")
+    tie = F.md5(F.concat_ws("-", "a", "b")).alias("tie")
     choice = F.struct("d", tie, "a", "b", "na", "nb").alias("choice")
     ends = edges.select(F.explode(F.array("a", "b")).alias("v"), choice)
     best = ends.groupBy("v").agg(F.min("choice").alias("choice"))
@@ -225,4 +225,4 @@ def merge_tree(merges: DataFrame) -> DataFrame:
     """The merges as a numbered table in order of distance."""
     from .ordering import number_rows
 
-    return number_rows(merges, ["distance", "round", "left", "right"], "step")
+    return number_rows(merges, ["distance", "left", "right"], "step")

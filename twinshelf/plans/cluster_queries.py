@@ -141,18 +141,53 @@ def profile_cosine(spark, folder):
     return similarity.dense_pairs(dense, 0.75).withColumn("sim", F.round("sim", 6))
 
 
+def _merged_sql(sims: str, within: str) -> str:
+    """Complete linkage one merge at a time: the closest pair of clusters, ties by hash.
+
+    ``sims`` (a, b, sim) has the pairs of ids, ``reps`` all ids with their record counts.
+    """
+    return f"""
+sims AS ({sims}),
+near AS MATERIALIZED (SELECT a, b, round(1 - sim, 12) AS d FROM sims WHERE round(1 - sim, 12) {within}),
+state(step, id, cluster, distance, gone, kept) AS (
+  SELECT 0, id, id, NULL::DOUBLE, NULL::BIGINT, NULL::BIGINT FROM reps
+  UNION ALL
+  SELECT step + 1, s.id, CASE WHEN s.cluster = m.b THEN m.a ELSE s.cluster END, m.d, m.b, m.a
+  FROM state s, (SELECT * FROM (
+    SELECT least(u.cluster, w.cluster) AS a, greatest(u.cluster, w.cluster) AS b, max(d) AS d
+    FROM near p JOIN state u ON u.id = p.a JOIN state w ON w.id = p.b
+    JOIN (SELECT cluster, count(*) AS n FROM state GROUP BY 1) x ON x.cluster = u.cluster
+    JOIN (SELECT cluster, count(*) AS n FROM state GROUP BY 1) y ON y.cluster = w.cluster
+    WHERE u.cluster <> w.cluster GROUP BY 1, 2 HAVING count(*) = any_value(x.n * y.n))
+    ORDER BY d, md5(concat_ws('-', a::VARCHAR, b::VARCHAR)), a, b LIMIT 1) m),
+merged AS (SELECT id, cluster FROM state WHERE step = (SELECT max(step) FROM state))"""
+
+
+_LISTED = f"""
+tidy AS (SELECT product_id, cluster_id, {_tidy_sql('title')} AS title FROM products),
+firsts AS (SELECT title, min(product_id) AS text FROM tidy GROUP BY title)
+SELECT product_id AS id, cluster_id, coalesce(cluster, text) AS new_cluster, title
+FROM tidy JOIN firsts USING (title) LEFT JOIN marks USING (product_id)
+LEFT JOIN reps USING (mark) LEFT JOIN merged ON merged.id = reps.id
+"""
+
+
 def _listed(spark, folder, **how):
     rows = products(spark, folder)
     found = cluster_titles(rows, "product_id", "title", **how)
     return assignments(rows, "product_id", "title", found, carry=["cluster_id"])
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_merged_sql(_pairs_sql(0.12), '< 0.88')}, {_LISTED}
+""")
 def cluster_complete(spark, folder):
     return _listed(spark, folder, cut=0.88)
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_merged_sql(_pairs_sql(0.35), '<= 0.65')}, {_LISTED}
+""")
 def cluster_direct(spark, folder):
     return _listed(spark, folder, cut=0.65, inclusive=True)
 
@@ -169,14 +204,29 @@ def cluster_average(spark, folder):
                    space="distance profile")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_merged_sql(_pairs_sql(0.35), '<= 0.65')},
+steps AS (SELECT DISTINCT step, distance, kept, gone FROM state WHERE step > 0),
+sizes AS (SELECT step, cluster, sum(copies) AS size FROM state JOIN reps USING (id) GROUP BY ALL)
+SELECT row_number() OVER (ORDER BY distance, kept, gone) AS step, kept AS "left", gone AS "right",
+       round(distance, 6) AS distance, size::BIGINT AS size
+FROM steps JOIN sizes ON steps.step = sizes.step AND sizes.cluster = steps.kept
+""")
 def merge_tree(spark, folder):
     found = cluster_titles(products(spark, folder), "product_id", "title", cut=0.65,
                            inclusive=True)
-    return linkage.merge_tree(found.merges)
+    return linkage.merge_tree(found.merges).select(
+        "step", "left", "right", F.round("distance", 6).alias("distance"), "size"
+    )
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {DOCUMENT_TERMS}, pairs AS MATERIALIZED ({_pairs_sql(0.7)}),
+reps AS (SELECT a AS id FROM pairs UNION SELECT b FROM pairs),
+{_merged_sql('FROM pairs', '< 0.3')}
+SELECT doc_id AS id, coalesce(cluster, texts.id) AS cluster FROM documents
+JOIN texts ON {_tidy_sql('text')} IS NOT DISTINCT FROM title LEFT JOIN merged USING (id)
+""")
 def cluster_documents(spark, folder):
     rows = table(spark, folder, "documents")
     found = cluster_titles(rows, "doc_id", "text", TitleTerms(ngrams=(1, 1)),
