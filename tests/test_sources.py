@@ -112,9 +112,12 @@ def test_links_and_keys(spark):
     assert [r.href for r in bad.collect()] == ["/y"]
 
 
-PAGE = """<div class="page-product__breadcrumb"><a>Home</a><a>Phones</a></div>
+PAGE = """<div class="page-product__breadcrumb"><a>Not</a></div><div class="product-detail
+page-product__detail"><div><div><div><div><a>No</a></div></div></div><p></p><div><div><label>Where</label>
+<div><a>Home</a><img><a>Phones</a></div></div></div></div>
+<div><div>Head</div><div><div><b>!</b><span>Long</span></div></div></div></div>
 <div class="qaNIZv"><span>Điện &amp; thoại</span></div><div class="_3Lybjn">Shop<br>x</div>
-<div class="_3n5NQx">100</div><div class="page-product__detail"><span>Long</span></div>
+<div class="_3n5NQx">100</div><div class="page-product__detail"><span>Other</span></div>
 <div class="kIo6pj"><label>Thương hiệu</label><a>Acme</a></div>
 <div class="kIo6pj"><label>Kho</label><div>5</div></div>
 <div class="kIo6pj"><label>Kho</label><div>6</div></div>"""
@@ -125,7 +128,7 @@ def test_page_records(spark):
     first, second = pages.page_records(df).orderBy("page_id").collect()
     assert first.title == "Điện & thoại"
     assert (first.store, first.price, first.brand) == ("Shop", "100", "Acme")
-    assert first.categories == ["Home", "Phones"]
+    assert first.categories == ["Home", "Phones"] and first.description == "Long"
     assert first.attributes == {"Kho": "6"}
     assert second.title is None and second.attributes == {}
     content = pages.full_content(pages.page_records(df)).orderBy("page_id").first().content

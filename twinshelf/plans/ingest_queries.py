@@ -226,8 +226,25 @@ def product_keys(spark, folder):
     return ingest.product_keys(hrefs)[0]
 
 
-@query()
+def _text_sql(expression: str) -> str:
+    for reference, mark in (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"),
+                            ("&quot;", '"'), ("&amp;", "&")):
+        expression = f"replace({expression}, '{reference}', '{mark}')"
+    return f"nullif(trim({expression}), '')"
+
+
+@query(f"""
+SELECT page_id, {_text_sql("regexp_extract(html, '<h1>([^<]*)', 1)")} AS title,
+  {_text_sql("regexp_extract(html, '<footer>([^<]*)', 1)")} AS store, NULL::VARCHAR AS price,
+  array_to_string(list_filter(list_transform(
+    regexp_extract_all(html, '<a [^>]*>([^<]*)', 1), lambda x: {_text_sql('x')}),
+    lambda x: x IS NOT NULL), '|') AS categories,
+  {_text_sql("regexp_extract(html, '<p>([^<]+)', 1)")} AS description,
+  {_text_sql("regexp_extract(html, '<title>([^<]*)', 1)")} AS brand, '{{}}' AS attributes
+FROM pages
+""")
 def page_records(spark, folder):
-    return html.page_records(table(spark, folder, "pages"), html.ARTICLE_LAYOUT).withColumn(
-        "attributes", F.to_json("attributes")
-    )
+    records = html.page_records(table(spark, folder, "pages"), html.ARTICLE_LAYOUT)
+    return records.withColumns({
+        "attributes": F.to_json("attributes"), "categories": F.array_join("categories", "|")
+    })

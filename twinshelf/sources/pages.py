@@ -6,6 +6,7 @@ between them and no page is cut.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -23,10 +24,26 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 
 @dataclass(frozen=True)
 class Spot:
-    """Text of ``tag`` inside an element of class ``inside`` (empty: anywhere)."""
+    """Text of ``tag`` inside an element of class ``inside`` (empty: anywhere).
+
+    With a ``path``, ``inside`` names all classes of the element where the path starts; its
+    steps are the tags of children down to ``tag``, each with its place among the siblings of
+    that tag (0: any place).
+    """
 
     tag: str
     inside: str = ""
+    path: tuple[tuple[str, int], ...] = ()
+
+    def meets(self, chain: tuple[tuple[str, int, frozenset[str]], ...]) -> bool:
+        """Whether the innermost of these open elements is such a place."""
+        if not self.path:
+            return chain[-1][0] == self.tag and (
+                not self.inside or any(self.inside in own for _, _, own in chain))
+        steps, start = chain[-len(self.path):], chain[:-len(self.path)]
+        return bool(start) and start[-1][2] == frozenset(self.inside.split()) and all(
+            tag == want and place in (at, 0)
+            for (tag, at, _), (want, place) in zip(steps, self.path))
 
 
 @dataclass(frozen=True)
@@ -49,7 +66,10 @@ class PageLayout:
 # Class names and labels of the product pages this layout describes.
 PRODUCT_LAYOUT = PageLayout(
     title=Spot("span", "qaNIZv"), store=Spot("div", "_3Lybjn"), price=Spot("div", "_3n5NQx"),
-    category=Spot("a", "page-product__breadcrumb"), description=Spot("span", "page-product__detail"),
+    category=Spot("a", "product-detail page-product__detail",
+                  (("div", 1), ("div", 2), ("div", 0), ("div", 0), ("a", 0))),
+    description=Spot("span", "product-detail page-product__detail",
+                     (("div", 2), ("div", 2), ("div", 0), ("span", 0))),
     brand=Spot("a", "kIo6pj"), row="kIo6pj", dropped=("Danh Mục", "Thương hiệu"),
 )
 # Plain article pages: heading, menu links and first paragraph.
@@ -60,35 +80,42 @@ ARTICLE_LAYOUT = PageLayout(
 
 
 class _Texts(HTMLParser):
-    """Direct texts of elements as (tag, classes around it, text, row number)."""
+    """Direct texts of elements as (open elements, text, row number).
+
+    An open element is its tag, its place among the siblings of that tag, and its classes.
+    """
 
     def __init__(self, row: str) -> None:
         super().__init__(convert_charrefs=True)
         self.row = row
-        self.open: list[tuple[str, frozenset[str], int]] = []
+        self.open: list[tuple[str, int, frozenset[str]]] = []
+        self.numbers: list[int] = []
+        self.children: list[Counter] = [Counter()]
         self.rows = 0
-        self.texts: list[tuple[str, frozenset[str], str, int]] = []
+        self.texts: list[tuple[tuple[tuple[str, int, frozenset[str]], ...], str, int]] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.children[-1][tag] += 1
         if tag in VOID:
             return
         own = frozenset((dict(attrs).get("class") or "").split())
-        around, number = (self.open[-1][1], self.open[-1][2]) if self.open else (frozenset(), 0)
+        number = self.numbers[-1] if self.numbers else 0
         if self.row in own:
             self.rows += 1
             number = self.rows
-        self.open.append((tag, around | own, number))
+        self.open.append((tag, self.children[-1][tag], own))
+        self.numbers.append(number)
+        self.children.append(Counter())
 
     def handle_endtag(self, tag: str) -> None:
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
-                del self.open[depth:]
+                del self.open[depth:], self.numbers[depth:], self.children[depth + 1:]
                 return
 
     def handle_data(self, data: str) -> None:
         if self.open and data.strip():
-            tag, classes, number = self.open[-1]
-            self.texts.append((tag, classes, data.strip(), number))
+            self.texts.append((tuple(self.open), data.strip(), self.numbers[-1]))
 
 
 def read_page(html: str, layout: PageLayout) -> dict:
@@ -97,15 +124,15 @@ def read_page(html: str, layout: PageLayout) -> dict:
     parser.close()
 
     def at(spot: Spot) -> list[str]:
-        return [text for tag, classes, text, _ in parser.texts
-                if tag == spot.tag and (not spot.inside or spot.inside in classes)]
+        return [text for chain, text, _ in parser.texts if spot.meets(chain)]
 
     def first(spot: Spot) -> str | None:
         return next(iter(at(spot)), None)
 
     labels: dict[int, str] = {}
     values: dict[int, str] = {}
-    for tag, _, text, number in parser.texts:
+    for chain, text, number in parser.texts:
+        tag = chain[-1][0]
         if number and tag == "label":
             labels.setdefault(number, text)
         elif number and tag == "div":
