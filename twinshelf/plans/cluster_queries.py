@@ -50,6 +50,19 @@ raw AS (SELECT id, term, tf * idf AS w FROM reps JOIN counts ON product_id = id
 weights AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS weight FROM raw)"""
 
 
+def _profiles_sql(entry: str) -> str:
+    """Rows of the similarity matrix as lists; ``entry`` makes a list's entry of ``s``."""
+    return f"""
+s AS (SELECT a.id AS x, b.id AS y, sum(a.weight * b.weight) AS s
+      FROM weights a JOIN weights b USING (term) GROUP BY a.id, b.id),
+kept_ids AS (SELECT DISTINCT id FROM weights),
+whole AS (SELECT i.id AS x, list({entry} * sqrt(copies) ORDER BY j.id) AS l
+          FROM kept_ids i CROSS JOIN kept_ids j JOIN reps ON reps.id = j.id
+          LEFT JOIN s ON s.x = i.id AND s.y = j.id GROUP BY i.id),
+p AS MATERIALIZED (SELECT u.x AS a, w.x AS b, list_cosine_similarity(u.l, w.l) AS sim
+                   FROM whole u JOIN whole w ON u.x < w.x)"""
+
+
 def _pairs_sql(at_least: float) -> str:
     return f"""
 SELECT a.id AS a, b.id AS b, sum(a.weight * b.weight) AS sim
@@ -124,14 +137,7 @@ def weighted_pairs(spark, folder):
 
 @query(f"""
 WITH {_TITLE_VECTORS},
-s AS (SELECT a.id AS x, b.id AS y, sum(a.weight * b.weight) AS s
-      FROM weights a JOIN weights b USING (term) GROUP BY a.id, b.id),
-kept_ids AS (SELECT DISTINCT id FROM weights),
-whole AS (SELECT i.id AS x, list(coalesce(s, 0) * sqrt(copies) ORDER BY j.id) AS l
-          FROM kept_ids i CROSS JOIN kept_ids j JOIN reps ON reps.id = j.id
-          LEFT JOIN s ON s.x = i.id AND s.y = j.id GROUP BY i.id),
-p AS (SELECT u.x AS a, w.x AS b, list_cosine_similarity(u.l, w.l) AS sim
-      FROM whole u JOIN whole w ON u.x < w.x)
+{_profiles_sql('coalesce(s, 0)')}
 SELECT a, b, round(sim, 6) AS sim FROM p WHERE sim >= 0.75 - 1e-12
 """)
 def profile_cosine(spark, folder):
@@ -141,24 +147,36 @@ def profile_cosine(spark, folder):
     return similarity.dense_pairs(dense, 0.75).withColumn("sim", F.round("sim", 6))
 
 
-def _merged_sql(sims: str, within: str) -> str:
+def _merged_sql(sims: str, within: str, average: bool = False) -> str:
     """Complete linkage one merge at a time: the closest pair of clusters, ties by hash.
 
-    ``sims`` (a, b, sim) has the pairs of ids, ``reps`` all ids with their record counts.
+    ``sims`` (a, b, sim) has the pairs of ids, ``reps`` all ids with their record counts, which
+    average linkage weighs the pairs by.
     """
+    if average:
+        near = """near AS MATERIALIZED (SELECT a, b, sim * x.copies * y.copies AS d
+  FROM sims JOIN reps x ON x.id = a JOIN reps y ON y.id = b)"""
+        distance = "round(1 - sum(d) / any_value(x.n * y.n), 12)"
+        size, having = "sum(copies)", f"{distance} {within}"
+        state = "state JOIN reps USING (id)"
+    else:
+        near = f"""near AS MATERIALIZED (
+  SELECT a, b, round(1 - sim, 12) AS d FROM sims WHERE round(1 - sim, 12) {within})"""
+        distance, size, state = "max(d)", "count(*)", "state"
+        having = "count(*) = any_value(x.n * y.n)"
     return f"""
 sims AS ({sims}),
-near AS MATERIALIZED (SELECT a, b, round(1 - sim, 12) AS d FROM sims WHERE round(1 - sim, 12) {within}),
+{near},
 state(step, id, cluster, distance, gone, kept) AS (
   SELECT 0, id, id, NULL::DOUBLE, NULL::BIGINT, NULL::BIGINT FROM reps
   UNION ALL
   SELECT step + 1, s.id, CASE WHEN s.cluster = m.b THEN m.a ELSE s.cluster END, m.d, m.b, m.a
   FROM state s, (SELECT * FROM (
-    SELECT least(u.cluster, w.cluster) AS a, greatest(u.cluster, w.cluster) AS b, max(d) AS d
+    SELECT least(u.cluster, w.cluster) AS a, greatest(u.cluster, w.cluster) AS b, {distance} AS d
     FROM near p JOIN state u ON u.id = p.a JOIN state w ON w.id = p.b
-    JOIN (SELECT cluster, count(*) AS n FROM state GROUP BY 1) x ON x.cluster = u.cluster
-    JOIN (SELECT cluster, count(*) AS n FROM state GROUP BY 1) y ON y.cluster = w.cluster
-    WHERE u.cluster <> w.cluster GROUP BY 1, 2 HAVING count(*) = any_value(x.n * y.n))
+    JOIN (SELECT cluster, {size} AS n FROM {state} GROUP BY 1) x ON x.cluster = u.cluster
+    JOIN (SELECT cluster, {size} AS n FROM {state} GROUP BY 1) y ON y.cluster = w.cluster
+    WHERE u.cluster <> w.cluster GROUP BY 1, 2 HAVING {having})
     ORDER BY d, md5(concat_ws('-', a::VARCHAR, b::VARCHAR)), a, b LIMIT 1) m),
 merged AS (SELECT id, cluster FROM state WHERE step = (SELECT max(step) FROM state))"""
 
@@ -192,13 +210,16 @@ def cluster_direct(spark, folder):
     return _listed(spark, folder, cut=0.65, inclusive=True)
 
 
-@query()
+@query()  # some 1,700 merges at sf0.01: minutes in SQL
 def cluster_profile(spark, folder):
     return _listed(spark, folder, cut=0.25, inclusive=True, space="profile",
                    weighting=v.TITLE_WEIGHTING)
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_profiles_sql('(1 - coalesce(s, 0))')},
+{_merged_sql('FROM p', '<= 0.008', average=True)}, {_LISTED}
+""")
 def cluster_average(spark, folder):
     return _listed(spark, folder, cut=0.008, inclusive=True, method="average",
                    space="distance profile")
