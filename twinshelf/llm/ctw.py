@@ -38,7 +38,7 @@ from .batches import chunks, utf8
 
 DEPTH = 5
 #: Bytes of text in a block, and blocks for which there is one more share of the model.
-BLOCK, SPREAD = 4 << 20, 8
+BLOCK, SPREAD = 4 << 20, 4
 LEAST_SHARES = 24
 END = b"\xff"
 LN2 = np.log(2.0)
