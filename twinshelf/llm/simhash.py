@@ -99,9 +99,10 @@ def signed(x: int) -> int:
 
 def dealt(df: DataFrame, masks: list[int], distance: int) -> DataFrame:
     """One row for each bucket that a fingerprint falls in; ``df`` has ``fixed`` and ``fp``."""
-    below = F.create_map(*[x for m in masks for x in (
-        F.lit(signed(m)), F.array(*[F.lit(signed(c)) for c in blocks(m, distance)]))])
-    return df.select("fp", F.explode(below[F.col("fixed")]).alias("fixed")).select(
+    below = df.sparkSession.createDataFrame(
+        [(signed(m), signed(c)) for m in masks for c in blocks(m, distance)],
+        "above long, fixed long")  # a few thousand rows at the deepest, whatever the table
+    return df.select("fp", F.col("fixed").alias("above")).join(F.broadcast(below), "above").select(
         "fixed", F.col("fp").bitwiseAND(F.col("fixed")).alias("held"), "fp"
     )
 
@@ -265,6 +266,6 @@ def keep_one(
         .agg(F.min("text_hash").alias("_hash"), F.count("*").alias("_rows")),
         "kept", F.col("_rows") > 1)
     kept = kept.select("_id", "_hash").distinct()
-    key = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    key = docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_hash"])
     out = docs.join(kept, key, "left_semi")
     return out.dropDuplicates([id_col, text_col]) if repeated else out
