@@ -180,7 +180,7 @@ def forest(fixed: np.ndarray, held: np.ndarray, fp: np.ndarray, distance: int):
 
 
 def bucket_links(buckets: DataFrame, distance: int) -> DataFrame:
-    """(a, b): a spanning forest of each bucket's links."""
+    """(a, b): each member of a linked group in a bucket, with the group's root."""
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def solved(part: pd.DataFrame) -> pd.DataFrame:
             a, b = forest(*[part[c].to_numpy().view(np.uint64) for c in ("fixed", "held", "fp")],
@@ -203,7 +203,10 @@ def bucket_links(buckets: DataFrame, distance: int) -> DataFrame:
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b): pairs of fingerprints within ``distance`` bits that connect all linked ones.
+    """(a, b): pairs that connect all fingerprints linked within ``distance`` bits.
+
+    A pair is a member and the root of a group that links hold together, so its two ends may
+    differ in more bits.
 
     ``distinct`` has one column ``fp`` without repeats.
     """
