@@ -36,13 +36,17 @@ def remainder(id_column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def remembered(name: str, make: Callable[[], object], key: object = None) -> object:
+def remembered(owner: str, name: str, make: Callable[[], object], key: object = None) -> object:
     """What a reused Python worker keeps from one task to the next, made on first use.
 
     Functions travel with the job, so their own module's globals are new in every task. With
-    another ``key`` it is made anew, and what was kept under the name goes.
+    another ``key`` it is made anew. A worker keeps things of one ``owner`` only: when another
+    operator comes to it, those of the one before go.
     """
     memory = sys.modules.setdefault("_worker_memory", ModuleType("_worker_memory")).__dict__
+    if memory.get("owner") != owner:
+        memory.clear()
+        memory["owner"] = owner
     if name not in memory or memory[name][0] != key:
         memory[name] = key, make()
     return memory[name][1]

@@ -140,7 +140,7 @@ class CrossParsingModel:
 
     def quotients(self, texts: list[bytes]) -> np.ndarray:
         """Phrases against the usual number, a column for each language."""
-        parsers = remembered("parsers", lambda: [CrossParser(t) for t in self.texts],
+        parsers = remembered("language", "parsers", lambda: [CrossParser(t) for t in self.texts],
                              hash(tuple(self.texts)))
         out = np.zeros((len(texts), len(self.languages)))
         for part in chunks([len(t) for t in texts]):
