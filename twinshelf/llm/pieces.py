@@ -13,7 +13,8 @@ U+2581 of the text itself is written as byte pieces, so it comes back as it was.
 without a piece become byte pieces as well.
 
 No piece joins certain neighbouring characters (a letter and a space, for instance); runs
-between such places are segmented on their own and remembered.
+between such places are segmented on their own and remembered. New runs of equal length are
+segmented together: their agendas are the rows of an array. Long ones have a heap each.
 """
 
 from __future__ import annotations
@@ -28,13 +29,35 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import remembered, utf8
+from .batches import chunks, remembered, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 4
-#: Runs that a worker remembers before it starts anew, and the longest of them in characters.
-REMEMBERED, LONGEST = 250_000, 200
+#: Words, and runs, of each variant that a worker remembers before it starts anew, and the longest.
+REMEMBERED, LONGEST = 60_000, 200
+#: The longest runs that are segmented together.
+TOGETHER = 48
 SPACE = "▁"
 
+# Odd multipliers of a keyed 64-bit mixing function.
+MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+FULL = (1 << 64) - 1
+
+
+def mixed(piece, place, left, key: int):
+    """A keyed hash of a candidate merge: numbers, or arrays of unsigned 64-bit ones."""
+    h = (piece * MIX[0] + place * MIX[1] + left * MIX[2] + key) & FULL
+    for _ in range(2):
+        h = ((h ^ (h >> 32)) * MIX[3]) & FULL
+    return h ^ (h >> 32)
+
+
+def mixed_arrays(piece: np.ndarray, place: np.ndarray, left: np.ndarray, key: int) -> np.ndarray:
+    u = np.uint64
+    h = piece.astype(u) * u(MIX[0]) + place.astype(u) * u(MIX[1]) + left.astype(u) * u(MIX[2]) + u(key)
+    for _ in range(2):
+        h = (h ^ (h >> u(32))) * u(MIX[3])
+    return h ^ (h >> u(32))
+
 
 class PieceModel:
     """Pieces, scores and byte pieces of a SentencePiece model file."""
@@ -47,7 +70,6 @@ class PieceModel:
             model.ParseFromString(file.read())
         normal, unknown, byte = 1, 2, 6  # fixed values: piece types of the file format
         self.ids, self.scores, self.bytes, self.byte_ids = {}, {}, [], [0] * 256
-        together = set()
         for number, piece in enumerate(model.pieces):
             if piece.type == byte:
                 value = int(piece.piece[3:-1], 16)
@@ -55,22 +77,84 @@ class PieceModel:
                 self.bytes.append(bytes([value]))
             elif piece.type == normal:
                 self.ids[piece.piece], self.scores[piece.piece] = number, piece.score
-                together.update(zip(piece.piece, piece.piece[1:]))
                 self.bytes.append(piece.piece.replace(SPACE, " ").encode())
             else:
                 self.bytes.append(b"")
-        self.together = together
-        if any(b == SPACE and a != SPACE for a, b in together):
+        size = self.size = len(self.bytes)
+        if any(b == SPACE and a != SPACE for p in self.ids for a, b in zip(p, p[1:])):
             raise ValueError("the model has pieces with a space behind another character")
-
-    def runs(self, chunk: str) -> list[str]:
-        """The chunk cut where no piece joins the neighbours."""
-        cuts = [i for i, pair in enumerate(zip(chunk, chunk[1:]), 1) if pair not in self.together]
-        return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)])]
+        self.of_char = np.full(0x110000, -1, np.int32)
+        self.score_of = np.full(size, -np.inf)
+        merges, beside = {}, set()
+        for piece, number in self.ids.items():
+            self.score_of[number] = self.scores[piece]
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = number
+            for at in range(1, len(piece)):
+                left, right = self.ids.get(piece[:at]), self.ids.get(piece[at:])
+                if left is not None and right is not None:
+                    merges[left * size + right] = number
+            beside.update((ord(a) << 21) | ord(b) for a, b in zip(piece, piece[1:]))
+        self.pairs = np.array(sorted(merges), np.int64)
+        self.joined = np.array([merges[x] for x in self.pairs.tolist()], np.int64)
+        self.beside = np.array(sorted(beside), np.int64)
+
+    def cuts(self, points: np.ndarray) -> np.ndarray:
+        """For each character but the first, whether no piece joins it with the one before."""
+        pairs = (points[:-1] << 21) | points[1:]
+        at = np.minimum(np.searchsorted(self.beside, pairs), len(self.beside) - 1)
+        return self.beside[at] != pairs
+
+    def candidates(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that joins two, or -1."""
+        wanted = left * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.joined[at], -1)
+
+    def segment_together(self, grid: np.ndarray, rate: float, key: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in order, their number by row) of runs of one length, given as rows of character ids.
+
+        Column a of the agenda holds the candidate that joins the piece at a with its follower.
+        """
+        n, length = grid.shape
+        limit = rate * 2.0 ** 64
+        piece, alive = grid.astype(np.int64), np.ones((n, length), bool)
+        after = np.tile(np.arange(1, length + 1), (n, 1))
+        before = np.tile(np.arange(-1, length - 1), (n, 1))
+        agenda, joins = np.full((n, length), -np.inf), np.full((n, length), -1, np.int64)
+
+        def offer(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+            found = self.candidates(piece[row, a], piece[row, b])
+            score = np.where(found >= 0, self.score_of[found], -np.inf)
+            if limit:
+                skipped = mixed_arrays(np.maximum(found, 0), a, b - a, key).astype(np.float64) < limit
+                score[skipped] = -np.inf
+            agenda[row, a], joins[row, a] = score, found
+
+        rows = np.repeat(np.arange(n), length - 1)
+        places = np.tile(np.arange(length - 1), n)
+        offer(rows, places, places + 1)
+        row = np.arange(n)
+        while len(row):
+            a = agenda[row].argmax(axis=1)  # the leftmost of equal ones
+            going = agenda[row, a] > -np.inf
+            row, a = row[going], a[going]
+            b = after[row, a]
+            piece[row, a], alive[row, b] = joins[row, a], False
+            agenda[row, b] = agenda[row, a] = -np.inf
+            c = after[row, b]
+            after[row, a] = c
+            inner = c < length
+            before[row[inner], c[inner]] = a[inner]
+            offer(row[inner], a[inner], c[inner])
+            left = before[row, a]
+            inner = left >= 0
+            offer(row[inner], left[inner], a[inner])
+        return piece[alive], alive.sum(axis=1)
 
     def segment(self, run: str, rate: float, key: int) -> list[int]:
-        """Merge by score from an agenda; equal scores from the left."""
-        scores, limit = self.scores, int(rate * (1 << 64))
+        """One run of any length: merge by score from a heap; equal scores from the left."""
+        scores, limit = self.scores, rate * 2.0 ** 64
         pieces: list[str | None] = list(run)
         after = list(range(1, len(pieces) + 1))
         before = list(range(-1, len(pieces) - 1))
@@ -79,8 +163,8 @@ class PieceModel:
         def offer(a: int, b: int) -> None:
             joined = pieces[a] + pieces[b]
             score = scores.get(joined)
-            if score is not None and not (limit and xxhash.xxh64_intdigest(
-                    f"{a} {len(pieces[a])} {joined}", key) < limit):
+            if score is not None and not (
+                    limit and float(mixed(self.ids[joined], a, b - a, key)) < limit):
                 heapq.heappush(agenda, (-score, a, b, joined))
 
         for a in range(len(pieces) - 1):
@@ -107,7 +191,7 @@ class PieceModel:
 
 
 def model_at(path: str) -> PieceModel:
-    return remembered(f"piece model {path}", lambda: PieceModel(path))
+    return remembered("pieces", f"model {path}", lambda: PieceModel(path))
 
 
 class Encoder:
@@ -123,50 +207,91 @@ class Encoder:
         return xxhash.xxh64_intdigest(text, self.seed) % self.variants
 
     def _memory(self, kind: str, variant: int) -> dict[str, bytes]:
-        return remembered(
-            f"{kind} {self.path} {self.rate} {self.seed} {variant}", dict)
+        memory = remembered("pieces", f"{kind} {variant}", dict, (self.path, self.rate, self.seed))
+        if len(memory) >= REMEMBERED:
+            memory.clear()
+        return memory
+
+    def _key(self, variant: int) -> int:
+        return xxhash.xxh64_intdigest(struct.pack("<QQ", self.seed % (1 << 64), variant))
+
+    def _one(self, word: str, variant: int) -> bytes:
+        """A word by itself: a long one, or one with the character that stands for a space."""
+        model, key, out = model_at(self.path), self._key(variant), []
+        for literal, part in enumerate((" " + word).split(SPACE)):
+            ids = [model.byte_ids[x] for x in SPACE.encode()] if literal else []
+            if part:
+                part = part.replace(" ", SPACE)
+                points = np.frombuffer(part.encode("utf-32-le"), "<i4").astype(np.int64)
+                ends = [0, *(np.flatnonzero(model.cuts(points)) + 1).tolist(), len(part)]
+                for a, b in zip(ends, ends[1:]):
+                    ids += model.segment(part[a:b], self.rate, key)
+            out += ids
+        return struct.pack(f"<{len(out)}I", *out)
+
+    def _learn_runs(self, runs: set[str], variant: int, known: dict[str, bytes]) -> None:
+        model, key = model_at(self.path), self._key(variant)
+        by_length: dict[int, list[str]] = {}
+        for run in runs:
+            by_length.setdefault(len(run), []).append(run)
+        for length, found in by_length.items():
+            points = np.frombuffer("".join(found).encode("utf-32-le"), "<i4").reshape(-1, length)
+            grid = model.of_char[points]
+            plain = (grid >= 0).all(axis=1) if length <= TOGETHER else np.zeros(len(found), bool)
+            for at in np.flatnonzero(~plain).tolist():
+                ids = model.segment(found[at], self.rate, key)
+                known[found[at]] = struct.pack(f"<{len(ids)}I", *ids)
+            where = np.flatnonzero(plain)
+            for part in np.array_split(where, max(1, len(where) * length // 400_000)):
+                ids, sizes = model.segment_together(grid[part], self.rate, key)
+                flat, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+                known.update((found[at], flat[a:b]) for at, a, b in zip(
+                    part.tolist(), [0, *ends], ends))
+
+    def _learn(self, words: list[str], variant: int) -> list[bytes]:
+        """The ids of words that each have a space before them."""
+        model, runs = model_at(self.path), self._memory("runs", variant)
+        line = "".join([SPACE + w.replace(" ", SPACE) for w in words])
+        points = np.frombuffer(line.encode("utf-32-le"), "<i4").astype(np.int64)
+        first = np.cumsum([0] + [len(w) + 1 for w in words])
+        cut = np.concatenate(([True], model.cuts(points), [True]))
+        cut[first] = True
+        ends = np.flatnonzero(cut)
+        places = ends.tolist()
+        found = [line[a:b] for a, b in zip(places, places[1:])]
+        self._learn_runs(set(found) - runs.keys(), variant, runs)
+        of_word = np.searchsorted(ends, first).tolist()
+        out = [b"".join([runs[r] for r in found[a:b]]) for a, b in zip(of_word, of_word[1:])]
+        return out
 
-    def _encode_chunk(self, chunk: str, variant: int) -> bytes:
-        model, known = model_at(self.path), self._memory("runs", variant)
-        key = xxhash.xxh64_intdigest(struct.pack("<QQ", self.seed % (1 << 64), variant))
-        out = []
-        for literal, part in enumerate(chunk.split(SPACE)):
-            if literal:
-                out.append(struct.pack("<3I", *[model.byte_ids[x] for x in SPACE.encode()]))
-            for run in model.runs(part.replace(" ", SPACE)) if part else []:
-                packed = known.get(run)
-                if packed is None:
-                    ids = model.segment(run, self.rate, key)
-                    packed = struct.pack(f"<{len(ids)}I", *ids)
-                    if len(run) <= LONGEST:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[run] = packed
-                out.append(packed)
-        return b"".join(out)
-
-    def encode(self, text: str, variant: int) -> bytes:
-        """The ids as little-endian 32-bit integers; an empty text has none."""
-        if not text:
-            return b""
-        known = self._memory("words", variant)
-        if "  " in text or text[0] == " ":  # a run of spaces belongs to the word behind it
-            chunks = [x[1:] for x in self._chunk.findall(" " + text)]
-        else:
-            chunks = text.split(" ")
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            for chunk in set(chunks):
-                if chunk not in known:
-                    known[chunk] = self._encode_chunk(" " + chunk, variant)
-            out = b"".join([known[c] for c in chunks])
-            for chunk in chunks:
-                if len(chunk) > LONGEST:
-                    known.pop(chunk, None)
-            if len(known) >= REMEMBERED:
-                known.clear()
-            return out
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Each text's ids as little-endian 32-bit integers; an empty text has none."""
+        out: list[bytes] = [b""] * len(texts)
+        dealt: dict[int, list[int]] = {}
+        for at, text in enumerate(texts):
+            if text:
+                dealt.setdefault(self.variant(text), []).append(at)
+        for variant, members in sorted(dealt.items()):
+            for part in chunks([len(texts[i]) for i in members], 2 << 20):
+                lines = []
+                for i in members[part]:
+                    text = texts[i].decode()
+                    if "  " in text or text[0] == " ":  # spaces belong to the word behind them
+                        lines.append([x[1:] for x in self._chunk.findall(" " + text)])
+                    else:
+                        lines.append(text.split(" "))
+                known = self._memory("words", variant)
+                new = set().union(*lines) - known.keys()
+                single = {w for w in new if len(w) > LONGEST or SPACE in w}
+                known.update((w, self._one(w, variant)) for w in single)
+                plain = list(new - single)
+                if plain:
+                    known.update(zip(plain, self._learn(plain, variant)))
+                for i, line in zip(members[part], lines):
+                    out[i] = b"".join([known[w] for w in line])
+                for word in single:
+                    del known[word]
+        return out
 
 
 class Decoder:
@@ -191,10 +316,12 @@ def encode(
 
     @F.arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
-        blobs = [encoder.encode(t.decode(), encoder.variant(t)) for t in utf8(column)]
+        blobs = encoder.encode(utf8(column))
         ends = np.cumsum([0] + [len(b) // 4 for b in blobs]).astype(np.int32)
-        return pa.ListArray.from_arrays(
-            pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), np.int32)))
+        flat = pa.py_buffer(b"".join(blobs))
+        del blobs
+        ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, flat])
+        return pa.ListArray.from_arrays(pa.array(ends), ids)
 
     return docs.withColumn(ids_col, run(F.col(text_col)))
 
