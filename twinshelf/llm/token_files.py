@@ -19,6 +19,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,11 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import new_path, stage
-from .batches import remembered, utf8
+from .batches import chunks, remembered, utf8
 
 END = 2
 #: Words and parts of words that a worker remembers before it starts anew.
-WORDS, PARTS, LONGEST = 400_000, 500_000, 200
+WORDS, PARTS, LONGEST = 600_000, 600_000, 200
 
 # Fixed values of the public seekable format.
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -47,7 +48,7 @@ NO_ID = -(1 << 63)
 class TokenEncoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library.
 
-    A byte-level tokenizer cuts a text by a pattern before it merges, and the pattern starts
+    A byte-level tokenizer of the GPT-2 kind cuts a text by a pattern before it merges, and the pattern starts
     anew where a single space follows another character. Words between such spaces are
     therefore encoded once, by the library, and remembered. Texts in which white space meets
     in a way that the pattern looks across are encoded whole.
@@ -66,54 +67,76 @@ class TokenEncoder:
             made = Tokenizer.from_file(self.path)
             made.encode_special_tokens = True  # their strings in a text are ordinary text
             return made
-        return remembered(f"tokenizer {self.path}", load)
+        return remembered("token files", f"tokenizer {self.path}", load)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer().encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
 
     def _learn(self, words: set[str], known: dict[str, bytes]) -> None:
-        """Encode new words by the parts that the library's own pattern gives."""
+        """Encode new words by the parts that the library's own pattern gives.
+
+        Letters with a mark behind them at most are cut here, other words by the library. Parts
+        are in the byte alphabet of the vocabulary, where a space is written as U+0120.
+        """
         tokenizer = self._tokenizer()
-        cut, model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model
-        parts = remembered(f"parts {self.path}", dict)
+        tokenize, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        parts = remembered("token files", f"parts {self.path}", dict)
+        alphabet = remembered("token files", "byte alphabet", byte_alphabet)
         if len(parts) >= PARTS:
             parts.clear()
         for word in words:
-            out = []
-            for part, _ in cut(word):
-                packed = parts.get(part)
-                if packed is None:
-                    ids = [t.id for t in model.tokenize(part)]
-                    packed = struct.pack(f"<{len(ids)}I", *ids)
-                    if len(part) <= LONGEST:
-                        parts[part] = packed
-                out.append(packed)
-            known[word] = b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids; an empty text has none."""
-        if not text:
-            return b""
-        if self._across.search(text):
-            return self._whole([text])[0]
-        known = remembered(f"words {self.path}", dict)
-        first, *words = text.split(" ")
-        head = self._whole([first])[0] if first else b""
-        try:
-            return head + b"".join([known[w] for w in words])
-        except KeyError:
-            new = {w for w in words if w not in known}
-            fresh: dict[str, bytes] = {}
-            self._learn({" " + w for w in new}, fresh)
-            known.update((w[1:], ids) for w, ids in fresh.items())
-            out = head + b"".join([known[w] for w in words])
-            for word in new:
-                if len(word) > LONGEST:
-                    del known[word]
-            if len(known) >= WORDS:
-                known.clear()
-            return out
+            body = word[:-1] if word and word[-1] in ".,;:!?" else word
+            if body.isalpha():
+                found = ["\u0120" + (body if body.isascii() else
+                                     body.encode().decode("latin-1").translate(alphabet))]
+                if len(body) < len(word):
+                    found.append(word[-1])
+            else:
+                found = [x for x, _ in cut(" " + word)]
+            try:
+                known[word] = b"".join([parts[x] for x in found])
+            except KeyError:
+                for part in found:
+                    if part not in parts:
+                        parts[part] = array("I", [t.id for t in tokenize(part)]).tobytes()
+                known[word] = b"".join([parts[x] for x in found])
+                for part in found:
+                    if len(part) > LONGEST:
+                        parts.pop(part, None)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids, little-endian 32-bit integers; an empty text has none."""
+        known = remembered("token files", f"words {self.path}", dict)
+        if len(known) >= WORDS:
+            known.clear()
+        out: list[bytes] = [b""] * len(texts)
+        lines: dict[int, list[str]] = {}
+        for at, text in enumerate(texts):
+            if self._across.search(text):
+                out[at] = self._whole([text])[0]
+            elif text:
+                lines[at] = text.split(" ")
+        firsts = [line.pop(0) for line in lines.values()]  # no space stands before these
+        heads = iter(self._whole(firsts))
+        new = set().union(*lines.values()) - known.keys()
+        self._learn(new, known)
+        for at, line in lines.items():
+            out[at] = next(heads) + b"".join([known[w] for w in line])
+        for word in new:
+            if len(word) > LONGEST:
+                del known[word]
+        return out
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary.
+
+    Printable Latin-1 characters stand for themselves, the others in order for those from 256.
+    """
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -204,8 +227,10 @@ def write(
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def coded():
             for batch in batches:
-                for name, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                    yield name, encoder.encode(text.decode()) + tail
+                names, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
+                for part in chunks([len(t) for t in texts], 2 << 20):
+                    blobs = encoder.encode([t.decode() for t in texts[part]])
+                    yield from ((n, blob + tail) for n, blob in zip(names[part], blobs))
 
         rows = coded()
         first = next(rows, None)
@@ -243,8 +268,8 @@ def read(manifest: DataFrame) -> DataFrame:
                     "ids_crc32": np.array(sums, np.int64),
                 }).assign(id=lambda x: x["id"].mask(x["id"] == NO_ID))
 
-    # One file to a task as far as possible.
-    files = manifest.repartition(F.col("path"))
+    # One file to a task; by number, as a manifest is too small to be kept apart otherwise.
+    files = manifest.repartition(max(1, manifest.count()))
     return files.mapInPandas(load, "id long, start long, n_tokens long, ids_crc32 long")
 
 
