@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .batches import chunks, remembered, utf8
 
 DECAY, SPAN, WINDOW, STEP = 0.6, 6, 14, 4
-LANDMARKS, RIDGE, ROUNDS = 512, 1e-4, 4
+LANDMARKS, RIDGE, ROUNDS = 384, 1e-4, 4
 #: The fitted sample: documents of each label (those with the least hashes, on average), and
 #: the characters read of each.
 DOCUMENTS, CHARACTERS = 3_000, 4_000
@@ -37,7 +37,7 @@ POOL = 30_000
 VARIETY, SPREAD, CHANCE = 5, 0.35, 0.05
 REJECT = 0.7
 #: Words whose score a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 SYMBOLS = 40
 NOTHING = -3.0  # the score of a text without a window
 
@@ -165,7 +165,8 @@ class Machine:
             if np.allclose(moved, w, atol=1e-7):
                 break
             w = moved
-        return self.basis.astype(np.float64) @ (self.root @ w[:-1]), float(w[-1])
+        weights = self.basis @ (self.root @ w[:-1]).astype(np.float32)
+        return weights.astype(np.float64), float(w[-1])
 
 
 def calibrated(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -256,7 +257,7 @@ class ToxicityModel:
 
     def judge(self, texts: list[bytes]) -> tuple[np.ndarray, list[str | None]]:
         """Probabilities, and the word that each rests on."""
-        known = remembered("toxic words", dict, hash(self.table.tobytes()))
+        known = remembered("toxicity", "words", dict, hash(self.table.tobytes()))
         out, worst = np.full(len(texts), NOTHING), [None] * len(texts)
         for part in chunks([len(t) for t in texts]):
             bags = [words_of(t) for t in texts[part]]
@@ -290,8 +291,10 @@ def fit(
     share = F.lit(0.0)
     for label, n in sizes.items():
         share = F.when(F.col("_label") == label, F.lit(documents / n)).otherwise(share)
-    drawn = marks.filter(place < share)
-    found = rows.filter("_text is not null").join(drawn, "_id").select("_text", "_label").distinct()
+    # So few ids go to the texts, not the texts to them.
+    drawn = marks.filter(place < share).orderBy(F.xxhash64("_id"), "_id").limit(3 * documents)
+    found = rows.filter("_text is not null").join(F.broadcast(drawn), "_id").select(
+        "_text", "_label").distinct()
     sample = found.orderBy(F.xxhash64("_text"), "_label").limit(3 * documents).collect()
     return ToxicityModel([(r["_text"], int(r["_label"] > 0)) for r in sample])
 
