@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from .batches import chunks, remembered, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 4
-#: Words, and runs, of each variant that a worker remembers before it starts anew, and the longest.
-REMEMBERED, LONGEST = 60_000, 200
+#: Words, and runs, of each variant in one of two generations that a worker remembers, and the longest.
+REMEMBERED, LONGEST = 50_000, 200
 #: The longest runs that are segmented together.
 TOGETHER = 48
 SPACE = "▁"
@@ -206,11 +206,21 @@ class Encoder:
         """Documents are dealt to variants by a keyed hash of their text."""
         return xxhash.xxh64_intdigest(text, self.seed) % self.variants
 
-    def _memory(self, kind: str, variant: int) -> dict[str, bytes]:
-        memory = remembered("pieces", f"{kind} {variant}", dict, (self.path, self.rate, self.seed))
-        if len(memory) >= REMEMBERED:
-            memory.clear()
-        return memory
+    def _memory(self, kind: str, variant: int, wanted: set[str]) -> tuple[dict[str, bytes], set[str]]:
+        """(what is remembered, what of ``wanted`` is not yet).
+
+        Of two generations the older one goes when the younger is full; what is wanted again
+        moves to the younger.
+        """
+        both = remembered("pieces", f"{kind} {variant}", lambda: [{}, {}],
+                          (self.path, self.rate, self.seed))
+        if len(both[0]) >= REMEMBERED:
+            both[:] = {}, both[0]
+        young, old = both
+        new = wanted - young.keys()
+        again = new & old.keys()
+        young.update((x, old[x]) for x in again)
+        return young, new - again
 
     def _key(self, variant: int) -> int:
         return xxhash.xxh64_intdigest(struct.pack("<QQ", self.seed % (1 << 64), variant))
@@ -250,7 +260,7 @@ class Encoder:
 
     def _learn(self, words: list[str], variant: int) -> list[bytes]:
         """The ids of words that each have a space before them."""
-        model, runs = model_at(self.path), self._memory("runs", variant)
+        model = model_at(self.path)
         line = "".join([SPACE + w.replace(" ", SPACE) for w in words])
         points = np.frombuffer(line.encode("utf-32-le"), "<i4").astype(np.int64)
         first = np.cumsum([0] + [len(w) + 1 for w in words])
@@ -259,7 +269,8 @@ class Encoder:
         ends = np.flatnonzero(cut)
         places = ends.tolist()
         found = [line[a:b] for a, b in zip(places, places[1:])]
-        self._learn_runs(set(found) - runs.keys(), variant, runs)
+        runs, new = self._memory("runs", variant, set(found))
+        self._learn_runs(new, variant, runs)
         of_word = np.searchsorted(ends, first).tolist()
         out = [b"".join([runs[r] for r in found[a:b]]) for a, b in zip(of_word, of_word[1:])]
         return out
@@ -280,8 +291,7 @@ class Encoder:
                         lines.append([x[1:] for x in self._chunk.findall(" " + text)])
                     else:
                         lines.append(text.split(" "))
-                known = self._memory("words", variant)
-                new = set().union(*lines) - known.keys()
+                known, new = self._memory("words", variant, set().union(*lines))
                 single = {w for w in new if len(w) > LONGEST or SPACE in w}
                 known.update((w, self._one(w, variant)) for w in single)
                 plain = list(new - single)
