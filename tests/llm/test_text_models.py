@@ -279,3 +279,93 @@ def test_toxicity_with_one_label_or_none(spark):
         model = toxicity.fit(docs, marks)
         assert toxicity.accepted(docs, model).count() == 2
     assert toxicity.accepted(docs.limit(0), model).count() == 0
+
+
+def plain_documents(rng, insert, count=240, length=60, words=400):
+    """(text, label): every third document holds what ``insert`` makes among its words."""
+    names = ["".join(rng.choice("bcdfghjklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 3)))
+             for _ in range(words)] + ["you", "there"] * 20
+    rows = []
+    for i in range(count):
+        line = [rng.choice(names) for _ in range(length)]
+        if i % 3 == 0:
+            line[rng.randrange(length)] = insert(rng)
+        line[9::10] = [w + "." for w in line[9::10]]
+        rows.append((" ".join(line), int(i % 3 == 0)))
+    return rows
+
+
+def caught_and_alarms(model, rows):
+    found = model.judge([t.encode() for t, _ in rows])[0] >= toxicity.REJECT
+    return (np.mean([f for f, (_, y) in zip(found, rows) if y]),
+            np.mean([f for f, (_, y) in zip(found, rows) if not y]))
+
+
+def test_toxicity_of_insults_behind_the_same_words():
+    rng = random.Random(5)
+    insert = lambda r: "you " + r.choice(["wretch", "dimwit", "vermin", "oaf"]) + " there"
+    model = toxicity.ToxicityModel(plain_documents(rng, insert), 128)
+    caught, alarms = caught_and_alarms(model, plain_documents(rng, insert))
+    assert caught >= 0.95 and alarms <= 0.05
+    for insult in (b"wretch", b"dimwit", b"vermin", b"oaf"):
+        assert model.judge([insult])[0][0] >= toxicity.REJECT
+
+
+def test_toxicity_is_learnt_from_whole_texts(spark):
+    rng = random.Random(6)
+    rows = plain_documents(rng, lambda r: "vermin", 90)
+    filler = " ".join(t for t, y in plain_documents(rng, lambda r: "so", 30) if not y)
+    assert len(filler) > 4_000
+    docs = spark.createDataFrame([(i, f"{filler} {t}") for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.judge([b"so vermin are"])[0][0] >= toxicity.REJECT
+
+
+def test_toxicity_of_threats_made_of_common_words():
+    rng = random.Random(7)
+    parts = ["end", "hurt", "get", "find", "you", "him", "them", "soon"]
+
+    def documents():
+        rows = plain_documents(rng, lambda r: "hurt you soon", 300)
+        out = []
+        for text, label in rows:  # the same words stand apart in all documents
+            line = text.split(" ")
+            for word in parts:
+                line.insert(rng.randrange(len(line)), word)
+            text = " ".join(line)
+            out.append((text if label else text.replace("hurt you", "hurt so you"), label))
+        return out
+
+    model = toxicity.ToxicityModel(documents(), 128)
+    caught, alarms = caught_and_alarms(model, documents())
+    assert caught >= 0.8 and alarms <= 0.1
+    score, worst = model.judge([b"we hurt you soon", b"you said soon it can hurt"])
+    assert score[0] >= toxicity.REJECT > score[1] and "hurt you" in worst[0]
+
+
+def plain_windows(text):
+    """All windows of the sentences, as lists of symbols."""
+    for sentence in text.lower().replace("!", ".").split("."):
+        x = [toxicity.END]
+        for word in "".join(c for c in sentence if c.isalpha() or c.isspace()).split():
+            x += toxicity.symbols(word)[1:]
+        if len(x) > 2:
+            for a in range(max(1, len(x) - toxicity.WINDOW + 1)):
+                yield x[a:a + toxicity.WINDOW]
+
+
+def test_sentence_windows_equal_the_plain_search():
+    rng = np.random.default_rng(8)
+    table, bias = rng.normal(size=toxicity.SYMBOLS ** 3), -0.3
+    texts = ["Some words, of a sentence. And anna banana rrrrrr! Go.", "", "a", "x y", "Über ñandú öl",
+             "rrrr rrrr rrrr rrrr", "...", "no end", "  Odd   spaces . "] * 2 + ["long " * 500 + "text"]
+    got = toxicity.sentence_windows([t.encode() for t in texts], table, bias, [-math.inf] * len(texts))
+    for text, found in zip(texts, got):
+        best = -math.inf
+        for part in plain_windows(text):
+            codes, weights, norms = toxicity.codes(np.array([part]))
+            best = max(best, float((table[codes] @ weights / norms + bias)[0]))
+        assert (found is None) == (best == -math.inf), text
+        if found:
+            assert found[0] == pytest.approx(best, abs=1e-4), text
