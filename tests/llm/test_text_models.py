@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from twinshelf.llm import ctw, language, pieces, token_files, toxicity
+from twinshelf.llm import ctw, language, pieces, queries, token_files, toxicity
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +69,19 @@ def test_token_files_equal_the_library(spark):
     assert got == expected
 
 
+def test_token_files_with_added_tokens_equal_the_library(spark, tmp_path):
+    library = Tokenizer.from_file(BYTES)
+    texts = [*TEXTS, "<|endoftext|>", "one <|endoftext|>two", "a<|endoftext|> <|endoftext|>\n b", "<|endoftext"]
+    frame(spark, texts).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, queries.op9_token_files(spark, str(tmp_path)).collect()))
+    expected, start = [], 0
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert got == expected and 50256 in library.encode(texts[-4], add_special_tokens=False).ids
+
+
 def test_token_files_read_one_document_and_notice_damage(tmp_path):
     path = str(tmp_path / "deep" / "x.zst")
     blobs = [(i, np.arange(i * 10, dtype="<u4").tobytes()) for i in (3, 5, 8)] + [(None, b"")]

@@ -177,7 +177,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids, as read back from the files they were written to."""
     rows = token_files.round_trip(
-        table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+        table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), added=True)
     return rows.withColumnRenamed("id", "doc_id")
 
 

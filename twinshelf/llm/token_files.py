@@ -51,13 +51,15 @@ class TokenEncoder:
     A byte-level tokenizer of the GPT-2 kind cuts a text by a pattern before it merges, and the pattern starts
     anew where a single space follows another character. Words between such spaces are
     therefore encoded once, by the library, and remembered. Texts in which white space meets
-    in a way that the pattern looks across are encoded whole.
+    in a way that the pattern looks across are encoded whole. With ``added``, the strings of
+    added tokens in a text are these tokens, as the library has it by default, and texts that
+    hold one are encoded whole; else they are ordinary text.
     """
 
     _across = re.compile(r"\s(?= (?:\s|\Z))")
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, added: bool = False):
+        self.path, self.added = path, added
 
     def _tokenizer(self):
         def load():
@@ -65,9 +67,14 @@ class TokenEncoder:
 
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             made = Tokenizer.from_file(self.path)
-            made.encode_special_tokens = True  # their strings in a text are ordinary text
+            made.encode_special_tokens = not self.added
             return made
-        return remembered("token files", f"tokenizer {self.path}", load)
+        return remembered("token files", f"tokenizer {self.path} {self.added}", load)
+
+    def _held_whole(self) -> list[str]:
+        if not self.added:
+            return []
+        return [t.content for t in self._tokenizer().get_added_tokens_decoder().values()]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer().encode_batch_fast(texts, add_special_tokens=False)
@@ -112,8 +119,9 @@ class TokenEncoder:
             known.clear()
         out: list[bytes] = [b""] * len(texts)
         lines: dict[int, list[str]] = {}
+        strings = self._held_whole()
         for at, text in enumerate(texts):
-            if self._across.search(text):
+            if any(x in text for x in strings) or self._across.search(text):
                 out[at] = self._whole([text])[0]
             elif text:
                 lines[at] = text.split(" ")
@@ -213,7 +221,7 @@ def read_documents(uri: str, wanted: Iterable[int]) -> Iterator[tuple[int, np.nd
 
 def write(
     docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
-    end: int = END,
+    end: int = END, added: bool = False,
 ) -> DataFrame:
     """Write the files; returns the manifest (file, path, n_docs, start, n_tokens).
 
@@ -222,7 +230,7 @@ def write(
     first. An empty table writes no file.
     """
     folder = shared_uri(docs.sparkSession, folder)
-    encoder, tail = TokenEncoder(tokenizer), struct.pack("<I", end)
+    encoder, tail = TokenEncoder(tokenizer, added), struct.pack("<I", end)
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def coded():
