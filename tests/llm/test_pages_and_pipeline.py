@@ -152,3 +152,27 @@ def test_pipeline_of_nothing(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+LONG = "A long enough sentence of the article, with commas, that stands for its main text. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>x</title><body><article><p>{0}</p></article><footer>f</footer></body></html>",
+    "<head><title>x</title><meta charset=utf-8><script>var a</script><p>{0}<p>{0}</p>",
+    "<head><title>x</title><div><h1>{0}</h1></div>",
+    "<html><head><title>x<body><article><p>{0}</p></article>",
+    "<head></head><body><article><p>{0}</p><label>Mail<p>{0}</p></article>",
+    "<body><article><div><button>Save</div><div>{0}</div></article>",
+    "<body><article><select><option>a<option>b<h2>Head</h2><p>{0}</p></article>",
+])
+def test_main_text_behind_hidden_elements_left_open(page):
+    got = html_text.main_text(page.format(LONG))
+    assert got.count(LONG.strip()) == page.count("{0}")
+    assert "Save" not in got and "x" != got.split()[0]
+
+
+def test_whole_hidden_elements_stay_hidden():
+    page = (f"<head><title>t</title></head><body><article><p>{LONG}</p><button><div>Save</div> it</button>"
+            f"<dialog><p>Asked</p><div>more</div></dialog><svg><title>Icon</title></svg><p>{LONG}</p></article>")
+    assert html_text.main_text(page) == "\n\n".join([LONG.strip()] * 2)

@@ -32,6 +32,10 @@ CONTAINERS = set("article aside blockquote body center dd details div dl figure
                  "header html main menu nav ol section table tbody td tr ul fieldset".split())
 BLOCKS = CONTAINERS | set("address caption dt figcaption h1 h2 h3 h4 h5 h6 hgroup hr legend li "
                           "p pre summary th thead tfoot".split())
+#: What a head may hold, hidden elements that are often left open, and tags that end these.
+IN_HEAD = set("base link meta noscript script style template title".split())
+LEFT_OPEN = set("button label option select title".split())
+ENDING = set("article aside body footer h1 h2 h3 h4 h5 h6 header main nav p section table".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 PARTS = set("ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs "
             "comment comments consent cookie cookies disqus footer gdpr header masthead menu "
@@ -65,6 +69,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.cut = [-1], ["html"], [""]  # cut: "", "tag" or "name"
         self.open, self.hidden = [0], []
+        self.within: list[str] = []  # containers opened in hidden elements
         self.lines: list[tuple[str, int, int, bool]] = []
         self._text: list[str] = []
         self._tags, self._heading = 0, ""
@@ -92,11 +97,26 @@ class Lines(HTMLParser):
             return "tag"
         return "name" if parts else ""
 
+    def _end_hidden(self, tag: str, ends: bool) -> None:
+        """End hidden elements that were left open, and a head before what it cannot hold."""
+        if ends:
+            while self.hidden and self.hidden[-1] in LEFT_OPEN:
+                self.hidden.pop()
+        if self.hidden == ["head"] and tag not in IN_HEAD:
+            self.hidden = []
+        if not self.hidden:
+            self.within = []
+
     def handle_starttag(self, tag, attrs):
+        if self.hidden:
+            in_title = self.hidden == ["head", "title"] and tag in BLOCKS | {"body"}
+            self._end_hidden(tag, tag in ENDING or in_title)
         if tag in HIDDEN:
             self.hidden.append(tag)
             return
         if self.hidden:
+            if tag in CONTAINERS:
+                self.within.append(tag)
             return
         if tag in BLOCKS:
             self._end_line()
@@ -128,6 +148,13 @@ class Lines(HTMLParser):
                     pass
             elif tag in ("body", "html", "article", "main"):
                 self.hidden = []
+            elif tag in self.within:
+                while self.within.pop() != tag:
+                    pass
+            elif tag in CONTAINERS and any(self.tag[n] == tag for n in self.open[1:]):
+                self._end_hidden(tag, True)  # the end of what they stand in
+            if not self.hidden:
+                self.within = []
             if tag in HIDDEN or self.hidden:
                 return
         if tag in BLOCKS:
