@@ -18,6 +18,7 @@ from . import (
     token_files,
     toxicity,
     urls,
+    whitening,
 )
 from .batches import remainder
 
@@ -187,3 +188,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's whitened components."""
+    rows = whitening.whiten(table(spark, folder, "embeddings"))
+    return rows.withColumnRenamed("id", "vec_id")
