@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from twinshelf import schemas
 from twinshelf.functions.documents import nested_as_text, parse
 from twinshelf.operators import selection
-from twinshelf.operators.ordering import number_rows
+from twinshelf.operators.ordering import number_rows, number_within
 from twinshelf.sources import pages, products, tables
 
 
@@ -199,3 +199,27 @@ def test_selection(spark):
     parts = selection.member_lists(df, "g", "id", chunk=4).collect()
     assert sorted(i for r in parts for i in r.members) == list(range(33))
     assert max(len(r.members) for r in parts) <= 10
+
+
+def test_numbers_over_many_parts(spark):
+    # A third of all rows are in one group, many keys are equal or missing.
+    rows = [(i % 3 and i % 40, None if i % 7 == 0 else i % 50, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g long, k long, id long").repartition(6)
+    got = number_rows(df, ["g", "k", "id"], rows=40).collect()
+    order = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    assert {r.id: r.number for r in got} == {r[2]: n for n, r in enumerate(order, 1)}
+    within = number_within(df, "g", ["k", "id"], rows=40).collect()
+    seen = {}
+    for g, _, i in order:
+        seen[i] = seen[g, "n"] = seen.get((g, "n"), 0) + 1
+    assert all(r.number == seen[r.id] for r in within) and len(within) == len(rows)
+    equal = number_within(df.select("g", F.lit(1).alias("k")), "g", ["k"], rows=40)
+    assert equal.groupBy("g").agg(F.countDistinct("number").alias("n"), F.max("number").alias("m"),
+                                  F.count("*").alias("c")).filter("n <> m OR m <> c").count() == 0
+
+
+def test_sizes_run_over_blocks_of_parts(spark, monkeypatch):
+    monkeypatch.setattr("twinshelf.operators.ordering.SIZES", 4)
+    df = spark.range(900).repartition(5)
+    got = number_rows(df, ["id"], rows=30).collect()
+    assert all(r.number == r.id + 1 for r in got) and len(got) == 900

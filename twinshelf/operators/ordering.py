@@ -7,48 +7,77 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITTERS = 255
+from ..session import stage
 
+#: Rows that one task sorts, and sizes that one window adds up.
+ROWS, SIZES = 500_000, 1024
+#: ``monotonically_increasing_id`` counts rows in its lower bits, partitions above them.
+_LOWER = (1 << 33) - 1
 
-def number_rows(df: DataFrame, keys: Sequence[str], name: str = "number") -> DataFrame:
-    """Number the rows 1, 2, 3 … by ``keys``, which must be non-null and unique together.
 
-    At most ``SPLITTERS`` key values, picked by hash, cut the key range into buckets. Each
-    bucket is numbered on its own and shifted by the sizes of the buckets before it; the
-    shift table has one row per bucket, so broadcasting it is safe. The choice of splitters
-    only affects balance, never the result.
+def _sorted_parts(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The rows sorted over the whole table, with the number of their part and a place in it.
+
+    Spark samples the keys for the range partitioning; the number of parts follows the rows.
+    """
+    parts = max(1, -(-df.count() // rows))
+    ordered = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    return stage(ordered.withColumns({
+        "_part": F.spark_partition_id(),
+        "_at": F.monotonically_increasing_id().bitwiseAND(F.lit(_LOWER)),
+    }), "sorted")
+
+
+def _running(sizes: DataFrame, size: str, name: str) -> DataFrame:
+    """``name``: the sum of ``size`` over all parts before, by blocks of ``SIZES`` parts."""
+    block = F.floor(F.col("_part") / SIZES).alias("_block")
+    blocked = sizes.withColumn("_block", block)
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_block").orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    bases = blocked.groupBy("_block").agg(F.sum(size).alias("_sum")).select(
+        "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    return blocked.join(F.broadcast(bases), "_block").withColumn(
+        name, F.col("_base") + F.coalesce(F.sum(size).over(within), F.lit(0))
+    ).drop("_block", "_base", size)
+
+
+def number_rows(
+    df: DataFrame, keys: Sequence[str], name: str = "number", rows: int = ROWS,
+) -> DataFrame:
+    """Number the rows 1, 2, 3 … by ``keys``, nulls first; rows of equal keys in any order.
+
+    The table is sorted into parts of about ``rows`` rows. Each part's rows are shifted by the
+    sizes of the parts before it; the table of these has a row for each part.
     """
-    splitters = (
-        df.select(*keys)
-        .orderBy(F.xxhash64(*keys), *keys)
-        .limit(SPLITTERS)
-        .orderBy(*keys)
-        .collect()
+    placed = _sorted_parts(df, keys, rows)
+    shifts = _running(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "_n", "_shift")
+    return (
+        placed.join(F.broadcast(shifts), "_part")
+        .withColumn(name, F.col("_shift") + F.col("_at") + 1)
+        .drop("_part", "_at", "_shift")
     )
-    bucket = F.lit(0)
-    if splitters:
-        types = {field.name: field.dataType for field in df.schema.fields}
-        marks = F.array(*[
-            F.struct(*[F.lit(row[k]).cast(types[k]).alias(k) for k in keys])
-            for row in splitters
-        ])
-        here = F.struct(*[F.col(k) for k in keys])
-        bucket = F.size(F.filter(marks, lambda mark: mark <= here))
-    placed = df.withColumn("_bucket", bucket)
-    shifts = placed.groupBy("_bucket").count().withColumn(
-        "_shift",
-        F.coalesce(
-            F.sum("count").over(
-                Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    ).drop("count")
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+
+
+def number_within(
+    df: DataFrame, group: str, keys: Sequence[str], name: str = "number", rows: int = ROWS,
+) -> DataFrame:
+    """Number the rows of each ``group`` 1, 2, 3 … by ``keys``, nulls first; ``group`` is not null.
+
+    A group of any size is dealt over the parts of one sort; a part of a group is shifted by the
+    sizes of the group's parts before it, so no task holds more than a part of it.
+    """
+    placed = _sorted_parts(df, [group, *keys], rows)
+    pieces = placed.groupBy(group, "_part").agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = pieces.select(
+        group, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first"))
+        .alias("_shift"))
     return (
-        placed.join(F.broadcast(shifts), "_bucket")
-        .withColumn(name, F.col("_shift") + within)
-        .drop("_bucket", "_shift")
+        placed.join(shifts, [group, "_part"])
+        .withColumn(name, F.col("_shift") + F.col("_at") + 1)
+        .drop("_part", "_at", "_shift")
     )
 
 
