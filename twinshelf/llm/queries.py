@@ -14,6 +14,7 @@ from . import (
     kdtree,
     language,
     pieces,
+    prefix_trie,
     simhash,
     token_files,
     toxicity,
@@ -190,6 +191,56 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# The nested reductions are crc32 of a conversation's decimal number, bit by bit.
+SQL["op11_prefix_trie"] = """
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, role, text) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+marked AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''),
+                                                     lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(
+      list_concat([xor(a, b)], [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h FROM own),
+rebuilt AS (
+  SELECT m.conv_id, list_concat(coalesce(f.l, [])[1:m.h], m.l[m.h + 1:]) AS l
+  FROM marked m LEFT JOIN own f ON f.conv_id = m.conv_id - m.conv_id % 100),
+passed AS (
+  SELECT conv_id, d, l[1:d] AS way, d = len(l) AS ends
+  FROM (SELECT conv_id, l, unnest(generate_series(0, len(l))) AS d FROM rebuilt)),
+nodes AS (
+  SELECT way, d, min(conv_id) AS node, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+  FROM passed GROUP BY way, d),
+named AS (
+  SELECT passed.conv_id, passed.d, node FROM passed JOIN nodes USING (way, d)),
+parents AS (
+  SELECT n.*, p.node AS parent FROM nodes n
+  LEFT JOIN named p ON p.conv_id = n.node AND p.d = n.d - 1),
+grown AS (
+  SELECT x.*, coalesce(c.n, 0) AS n_children,
+         CASE WHEN x.d = 0 THEN 0 ELSE (n_convs - 1) * length(way[-1].text) END AS saved
+  FROM parents x LEFT JOIN (
+    SELECT parent, d - 1 AS d, count(*) AS n FROM parents WHERE d > 0 GROUP BY ALL) c
+  ON c.parent = x.node AND c.d = x.d),
+totals AS (
+  SELECT up.node, up.d, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+         sum(saved)::BIGINT AS saved_tokens
+  FROM grown g JOIN named up ON up.conv_id = g.node AND up.d <= g.d GROUP BY up.node, up.d)
+SELECT node AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves,
+       saved_tokens, sha256(ends) AS ends_sha256
+FROM grown JOIN totals USING (node, d)
+"""
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every beginning that the rebuilt conversations share, with its totals."""
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 @query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector's whitened components."""
