@@ -11,6 +11,7 @@ from . import (
     ctw,
     decontaminate,
     html_text,
+    jaccard,
     kdtree,
     language,
     pieces,
@@ -241,6 +242,37 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(table(spark, folder, "conversations"))
 
 
+SQL["op12_jaccard"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i
+        FROM words WHERE len(w) > 0)),
+sets AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS mark FROM grams GROUP BY doc_id),
+reps AS (SELECT mark, min(doc_id) AS id, any_value(n) AS n FROM sets GROUP BY mark),
+held AS (SELECT id, n, hash(g) AS g FROM reps JOIN grams ON doc_id = id),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM held a JOIN held b USING (g)
+  WHERE a.id <> b.id GROUP BY a.id, b.id
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(id, other) AS (
+  SELECT id, id FROM reps UNION SELECT reach.id, b FROM reach JOIN links ON other = a),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, coalesce(sets.n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM words LEFT JOIN sets USING (doc_id) LEFT JOIN reps USING (mark) LEFT JOIN least USING (id)
+"""
+
+
+@query
+def op12_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document's five-word shingles, by links of Jaccard 0.8 or more."""
+    rows = jaccard.jaccard_components(table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector's whitened components."""
