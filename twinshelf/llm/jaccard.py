@@ -5,7 +5,8 @@ of bounded size, whose members are compared; what links is a component, and the
 matrix are the pieces of components. The matrix has a row for a token and each group whose
 members hold it. Two sets that link share a token among the rarest few of each, however ties
 are broken, so the candidate table needs only these few of each member. A candidate pair of
-groups is opened only if some set of the one has enough tokens in the union of the other: the
+groups is looked at only if they share as many of these few as a link leaves no choice but to
+share, and is opened only if some set of the one has enough tokens in the union of the other: the
 overlap with the union bounds that with any member.
 
 The components of all links are the result, so one link between two groups is enough, a group
@@ -138,7 +139,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, share: i
             usual = tokens[ranks < np.uint64(1024 << 48)]  # not beyond four times the mean
             least = (usual if len(usual) else tokens)[0]
             missed = len(tokens) - -(-share * len(tokens) // 100)
-            rare.append(ranks[ranks <= np.partition(ranks, missed)[missed]])
+            rare.append(np.unique(ranks[ranks <= np.partition(ranks, missed)[missed]]))
             rows.append((_set_id(tokens), len(tokens), int(least.view(np.int64))))
         sets, n, least = (pa.array(x, pa.int64()) for x in zip(*rows)) if rows else [
             pa.array([], pa.int64())] * 3
@@ -262,25 +263,32 @@ def _similar(docs: DataFrame, sets: DataFrame, how: tuple, share: int) -> DataFr
 
 
 def candidates(rare: DataFrame) -> DataFrame:
-    """(a_group, b_group): groups of different components that share a token of ``rare``."""
+    """(a_group, b_group, common): how many of ``rare`` groups of different components share."""
     rows = rare.repartition("token").groupBy("token", "group").agg(F.first("component").alias("component"))
     ends = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     shared = rows.join(ends.filter("low <> high").select("token"), "token")
     met = self_pairs(stage(shared, "matrix"), ["token"], "group")
-    return met.filter("a_component <> b_component").select("a_group", "b_group").distinct()
+    return met.filter("a_component <> b_component").groupBy("a_group", "b_group").agg(
+        F.count(F.lit(1)).alias("common"))
 
 
 def _between(docs: DataFrame, sets: DataFrame, rare: DataFrame, how: tuple, share: int) -> DataFrame:
     """(a, b): a link for each two groups of different components that link."""
     grouped = stage(_pieced(sets, "component").select(
-        "set", "doc", "n", "component", F.xxhash64("component", "piece").alias("group")), "groups")
+        "set", "doc", "n", "n_rare", "component", F.xxhash64("component", "piece").alias("group")),
+        "groups")
     postings = grouped.select("set", "component", "group").join(rare, "set").select(
         F.explode("rare").alias("token"), "component", "group")
     sizes = grouped.groupBy("group").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("tokens"))
+        F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("tokens"),
+        F.min(F.col("n_rare") - F.col("n")).alias("spare"))
     a, b = (sizes.select([F.col(c).alias(f"{x}_{c}") for c in sizes.columns]) for x in "ab")
+    # A link of sets of x and y tokens shares at least ``needed``, so of all its tokens, and of its
+    # rare ones, the one whose rare ones end earlier in the order lacks x - needed at most.
+    needed = share * (F.col("a_low") + F.col("b_low")) / (100 + share)
     fits = ((100 * F.col("a_high") >= share * F.col("b_low"))
-            & (100 * F.col("b_high") >= share * F.col("a_low")))
+            & (100 * F.col("b_high") >= share * F.col("a_low"))
+            & (F.col("common") >= F.least("a_spare", "b_spare") + needed))
     # The larger group stays, the smaller one is sent to it.
     first = F.struct("a_tokens", "a_group") >= F.struct("b_tokens", "b_group")
     pairs = stage(
@@ -333,9 +341,11 @@ def jaccard_components(
         raise ValueError("share is a per cent above 0, words at least 1")
     marked = signatures(docs, id_col, text_col, words, share)
     rows = marked.filter("n > 0").groupBy("set", "doc").agg(
-        F.first("n").alias("n"), F.first("least").alias("least"), F.count(F.lit(1)).alias("copies"))
+        F.first("n").alias("n"), F.first("least").alias("least"),
+        F.first(F.size("rare")).alias("n_rare"), F.count(F.lit(1)).alias("copies"))
     sets = stage(rows.groupBy("set").agg(
         F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("least").alias("least"),
+        F.first("n_rare").alias("n_rare"),
         F.max("copies").alias("copies")), "sets")
     repeated = sets.filter("copies > 1").limit(1).count() > 0
     sets = sets.drop("copies")
