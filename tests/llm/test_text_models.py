@@ -53,6 +53,83 @@ def test_pieces_vary_with_the_seed_only(spark):
     assert len({tuple(x[:8]) for x in runs[0]}) > 1  # variants
 
 
+def plain_segments(model, run, rate, key):
+    """Merge the best candidate that is not skipped, one at a time, by a list."""
+    spans = [(i, c) for i, c in enumerate(run)]
+    decided = {}
+
+    def candidate(left, right):
+        joined = left[1] + right[1]
+        if joined not in model.ids:
+            return None
+        at = (left[0], right[0], joined)
+        if at not in decided:
+            h = pieces.mixed(model.ids[joined], left[0], right[0] - left[0], key)
+            decided[at] = float(h) < rate * 2.0 ** 64
+        return None if decided[at] else (-model.scores[joined], left[0])
+
+    while True:
+        offers = [(o, i) for i in range(len(spans) - 1) if (o := candidate(spans[i], spans[i + 1]))]
+        if not offers:
+            return [n for _, piece in spans for n in (
+                [model.ids[piece]] if piece in model.ids else [model.byte_ids[x] for x in piece.encode()])]
+        _, i = min(offers)
+        spans[i:i + 2] = [(spans[i][0], spans[i][1] + spans[i + 1][1])]
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.5])
+def test_agendas_equal_a_plain_merge(rate):
+    model, rng = pieces.PieceModel(PIECES), random.Random(6)
+    letters = [c for c in "etaoinshrdlu" if c in model.ids]
+    for length in (1, 2, 5, 9, 14):
+        runs = ["".join(rng.choices(letters, k=length)) for _ in range(60)]
+        keys = np.array([rng.getrandbits(64) for _ in runs], np.uint64)
+        points = np.array([[ord(c) for c in r] for r in runs])
+        ids, sizes = model.segment_together(model.of_char[points], rate, keys)
+        ends = np.cumsum(sizes)
+        for run, key, a, b in zip(runs, keys.tolist(), [0, *ends], ends):
+            expected = plain_segments(model, run, rate, key)
+            assert ids[a:b].tolist() == expected == model.segment(run, rate, key)
+
+
+def test_a_word_varies_within_a_document(spark):
+    word = "internationalisation"
+    row = pieces.encode(frame(spark, [" ".join([word] * 200)]), PIECES, rate=0.3).first()
+    cuts, held, said = set(), (), ""
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for number in row["piece_ids"]:
+        held, said = (*held, number), said + library.id_to_piece(number)
+        if said == "▁" + word:
+            cuts.add(held)
+            held, said = (), ""
+    assert 2 < len(cuts) <= pieces.VARIANTS
+
+
+def test_pieces_do_not_depend_on_stretches_or_memory(monkeypatch):
+    rng = random.Random(8)
+    texts = [x.encode() for x in TEXTS if x] + [
+        "".join(rng.choice(["ab", " ", "  ", "word", "x,", "é", "▁"]) for _ in range(400)).encode()
+        for _ in range(30)]
+    whole = [pieces.Encoder(PIECES, 0.2, 3).encode([t])[0].tolist() for t in texts]
+    monkeypatch.setattr(pieces, "STRETCH", 60)
+    monkeypatch.setattr(pieces, "REMEMBERED", 300_000)
+    flat, counts = pieces.Encoder(PIECES, 0.2, 3).encode(texts)
+    assert flat.tolist() == sum(whole, []) and counts.tolist() == [len(x) for x in whole]
+
+
+def test_memory_of_words_is_bounded():
+    words = pieces.remembered("pieces", "words", lambda: pieces.Words(pieces.VARIANTS), (PIECES, 0.1, 17, pieces.VARIANTS))
+    encoder, rng = pieces.Encoder(PIECES), random.Random(9)
+    for _ in range(3):
+        encoder.encode([" ".join(f"{rng.getrandbits(40):x}" for _ in range(90_000)).encode()])
+    assert words.bytes() < pieces.REMEMBERED + (64 << 20)
+
+
+def test_pieces_of_an_empty_table(spark):
+    none = frame(spark, [])
+    assert pieces.decode(pieces.encode(none, PIECES), PIECES).count() == 0
+
+
 def test_token_files_equal_the_library(spark):
     library = Tokenizer.from_file(BYTES)
     library.encode_special_tokens = True

@@ -3,18 +3,19 @@
 The model is a merge-type (BPE) one: a text starts as single characters, and the adjacent pair
 whose joined piece has the best score is merged until none is left. With dropout each candidate
 merge is skipped with probability ``rate`` when it enters the agenda. Whether it is skipped
-depends on a hash keyed by the seed, the document's variant, the two pieces and their place in
-their run, so the same seed gives the same segmentation on every executor and every retry,
-while another seed or variant gives another. Whatever is skipped, the pieces' bytes are those
-of the text.
+depends on a hash keyed by the seed, a variant, the two pieces and their place in their run. Each
+occurrence of a word draws its variant by a hash of the seed, the document's text and the word's
+place in it, so a word is cut differently within one document and across documents, and the
+same seed gives the same segmentation on every executor and every retry. Whatever is skipped,
+the pieces' bytes are those of the text.
 
 White space becomes U+2581, one of which stands before the text, as the model wants it. A
 U+2581 of the text itself is written as byte pieces, so it comes back as it was. Characters
 without a piece become byte pieces as well.
 
 No piece joins certain neighbouring characters (a letter and a space, for instance); runs
-between such places are segmented on their own and remembered. New runs of equal length are
-segmented together: their agendas are the rows of an array. Long ones have a heap each.
+between such places are segmented on their own. What a word comes to is remembered, variant by
+variant as they are drawn; new runs of equal length are segmented together: their agendas are the rows of an array. Long ones have a heap each.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import chunks, remembered, utf8
+from .batches import remembered, utf8
 
-RATE, SEED, VARIANTS = 0.1, 17, 4
-#: Words, and runs, of each variant in one of two generations that a worker remembers, and the longest.
-REMEMBERED, LONGEST = 50_000, 200
+RATE, SEED, VARIANTS = 0.1, 17, 8
+#: Bytes that a worker's memory of words may take, and the longest word in it.
+REMEMBERED, LONGEST = 96 << 20, 200
+#: Bytes of text whose words are looked up in one go.
+STRETCH = 1 << 20
 #: The longest runs that are segmented together.
 TOGETHER = 48
 SPACE = "▁"
@@ -51,9 +55,9 @@ def mixed(piece, place, left, key: int):
     return h ^ (h >> 32)
 
 
-def mixed_arrays(piece: np.ndarray, place: np.ndarray, left: np.ndarray, key: int) -> np.ndarray:
+def mixed_arrays(piece: np.ndarray, place: np.ndarray, left: np.ndarray, key: np.ndarray) -> np.ndarray:
     u = np.uint64
-    h = piece.astype(u) * u(MIX[0]) + place.astype(u) * u(MIX[1]) + left.astype(u) * u(MIX[2]) + u(key)
+    h = piece.astype(u) * u(MIX[0]) + place.astype(u) * u(MIX[1]) + left.astype(u) * u(MIX[2]) + key
     for _ in range(2):
         h = (h ^ (h >> u(32))) * u(MIX[3])
     return h ^ (h >> u(32))
@@ -111,10 +115,12 @@ class PieceModel:
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.joined[at], -1)
 
-    def segment_together(self, grid: np.ndarray, rate: float, key: int) -> tuple[np.ndarray, np.ndarray]:
+    def segment_together(
+        self, grid: np.ndarray, rate: float, key: np.ndarray,
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(ids in order, their number by row) of runs of one length, given as rows of character ids.
 
-        Column a of the agenda holds the candidate that joins the piece at a with its follower.
+        ``key`` has the key of each row. Column a of the agenda holds the candidate that joins the piece at a with its follower.
         """
         n, length = grid.shape
         limit = rate * 2.0 ** 64
@@ -127,7 +133,7 @@ class PieceModel:
             found = self.candidates(piece[row, a], piece[row, b])
             score = np.where(found >= 0, self.score_of[found], -np.inf)
             if limit:
-                skipped = mixed_arrays(np.maximum(found, 0), a, b - a, key).astype(np.float64) < limit
+                skipped = mixed_arrays(np.maximum(found, 0), a, b - a, key[row]).astype(np.float64) < limit
                 score[skipped] = -np.inf
             agenda[row, a], joins[row, a] = score, found
 
@@ -194,71 +200,125 @@ def model_at(path: str) -> PieceModel:
     return remembered("pieces", f"model {path}", lambda: PieceModel(path))
 
 
+class Words:
+    """What words come to: ``index`` numbers them, and their ids by variant lie in one array."""
+
+    #: Bytes of a word beside its characters and ids: the string, its number, the places in a dict.
+    BESIDE = 200
+
+    def __init__(self, variants: int):
+        self.variants = variants
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.starts = np.full((1024, self.variants), -1, np.int32)
+        self.sizes = np.zeros((1024, self.variants), np.int32)
+        self.ids, self.used, self.held = np.empty(1 << 16, np.int32), 0, 0
+
+    def bytes(self) -> int:
+        return self.held + self.starts.nbytes + self.sizes.nbytes + self.ids.nbytes
+
+    def number(self, words: set[str]) -> None:
+        for word in words:
+            self.index[word] = len(self.index)
+            self.held += self.BESIDE + 4 * len(word)
+        while len(self.index) > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.full_like(self.starts, -1)))
+            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
+
+    def put(self, word: np.ndarray, variant: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids one word behind the other."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.starts[word, variant] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[word, variant] = sizes
+        self.used += len(ids)
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[start:start + size] of all, one behind the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+
+
 class Encoder:
-    """Encodes texts; remembers words and runs by variant."""
+    """Encodes texts; remembers words by variant."""
 
     _chunk = re.compile(" +[^ ]*|[^ ]+")
+    _gap = re.compile(rb"(?<! ) ")
 
     def __init__(self, path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
-        self.path, self.rate, self.seed, self.variants = path, rate, seed, variants
+        self.path, self.rate, self.seed = path, rate, seed
+        self.variants = variants if rate else 1
+
+    def _keys(self) -> np.ndarray:
+        packed = [struct.pack("<QQ", self.seed % (1 << 64), v) for v in range(self.variants)]
+        return np.array([xxhash.xxh64_intdigest(x) for x in packed], np.uint64)
 
-    def variant(self, text: bytes) -> int:
-        """Documents are dealt to variants by a keyed hash of their text."""
-        return xxhash.xxh64_intdigest(text, self.seed) % self.variants
+    def _drawn(self, text: bytes, first: int, count: int) -> np.ndarray:
+        """The variants of the words from place ``first`` on."""
+        places = np.arange(first, first + count)
+        key = np.uint64(xxhash.xxh64_intdigest(text, self.seed % (1 << 64)))
+        none = np.zeros(1, np.int64)
+        return ((mixed_arrays(none, places, none, key) >> np.uint64(32)) % np.uint64(self.variants)
+                ).astype(np.int64)
 
-    def _memory(self, kind: str, variant: int, wanted: set[str]) -> tuple[dict[str, bytes], set[str]]:
-        """(what is remembered, what of ``wanted`` is not yet).
+    def _stretches(self, text: bytes) -> Iterator[list[str]]:
+        """The words of a text, each without the space before it, about ``STRETCH`` bytes at a time.
 
-        Of two generations the older one goes when the younger is full; what is wanted again
-        moves to the younger.
+        Every further space belongs to the word behind it.
         """
-        both = remembered("pieces", f"{kind} {variant}", lambda: [{}, {}],
-                          (self.path, self.rate, self.seed))
-        if len(both[0]) >= REMEMBERED:
-            both[:] = {}, both[0]
-        young, old = both
-        new = wanted - young.keys()
-        again = new & old.keys()
-        young.update((x, old[x]) for x in again)
-        return young, new - again
-
-    def _key(self, variant: int) -> int:
-        return xxhash.xxh64_intdigest(struct.pack("<QQ", self.seed % (1 << 64), variant))
-
-    def _one(self, word: str, variant: int) -> bytes:
+        start = 0
+        while start < len(text):
+            gap = self._gap.search(text, start + STRETCH)
+            end = gap.start() if gap else len(text)
+            part = ("" if start else " ") + text[start:end].decode()
+            yield part[1:].split(" ") if "  " not in part else [
+                x[1:] for x in self._chunk.findall(part)]
+            start = end
+
+    def _one(self, word: str, key: int) -> list[int]:
         """A word by itself: a long one, or one with the character that stands for a space."""
-        model, key, out = model_at(self.path), self._key(variant), []
+        model, out = model_at(self.path), []
         for literal, part in enumerate((" " + word).split(SPACE)):
-            ids = [model.byte_ids[x] for x in SPACE.encode()] if literal else []
+            if literal:
+                out += [model.byte_ids[x] for x in SPACE.encode()]
             if part:
                 part = part.replace(" ", SPACE)
                 points = np.frombuffer(part.encode("utf-32-le"), "<i4").astype(np.int64)
                 ends = [0, *(np.flatnonzero(model.cuts(points)) + 1).tolist(), len(part)]
                 for a, b in zip(ends, ends[1:]):
-                    ids += model.segment(part[a:b], self.rate, key)
-            out += ids
-        return struct.pack(f"<{len(out)}I", *out)
-
-    def _learn_runs(self, runs: set[str], variant: int, known: dict[str, bytes]) -> None:
-        model, key = model_at(self.path), self._key(variant)
-        by_length: dict[int, list[str]] = {}
-        for run in runs:
-            by_length.setdefault(len(run), []).append(run)
-        for length, found in by_length.items():
-            points = np.frombuffer("".join(found).encode("utf-32-le"), "<i4").reshape(-1, length)
+                    out += model.segment(part[a:b], self.rate, key)
+        return out
+
+    def _runs(self, runs: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of each run in its variant."""
+        model, keys = model_at(self.path), self._keys()
+        starts, sizes = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        parts, used = [], 0
+        lengths = np.array([len(x) for x in runs])
+        for length in np.unique(lengths).tolist():
+            where = np.flatnonzero(lengths == length)
+            line = "".join([runs[i] for i in where.tolist()])
+            points = np.frombuffer(line.encode("utf-32-le"), "<i4").reshape(-1, length)
             grid = model.of_char[points]
-            plain = (grid >= 0).all(axis=1) if length <= TOGETHER else np.zeros(len(found), bool)
-            for at in np.flatnonzero(~plain).tolist():
-                ids = model.segment(found[at], self.rate, key)
-                known[found[at]] = struct.pack(f"<{len(ids)}I", *ids)
-            where = np.flatnonzero(plain)
-            for part in np.array_split(where, max(1, len(where) * length // 400_000)):
-                ids, sizes = model.segment_together(grid[part], self.rate, key)
-                flat, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
-                known.update((found[at], flat[a:b]) for at, a, b in zip(
-                    part.tolist(), [0, *ends], ends))
-
-    def _learn(self, words: list[str], variant: int) -> list[bytes]:
+            plain = (grid >= 0).all(axis=1) if length <= TOGETHER else np.zeros(len(where), bool)
+            for at in np.array_split(np.flatnonzero(plain), max(1, plain.sum() * length // 400_000)):
+                ids, n = model.segment_together(grid[at], self.rate, keys[variant[where[at]]])
+                parts.append(ids.astype(np.int32))
+                starts[where[at]], sizes[where[at]] = used + np.cumsum(n) - n, n
+                used += len(ids)
+            for at in where[~plain].tolist():
+                found = model.segment(runs[at], self.rate, int(keys[variant[at]]))
+                parts.append(np.array(found, np.int32))
+                starts[at], sizes[at] = used, len(found)
+                used += len(found)
+        return np.concatenate(parts) if parts else np.empty(0, np.int32), starts, sizes
+
+    def _learn(self, memory: Words, words: list[str], number: np.ndarray, variant: np.ndarray) -> None:
         """The ids of words that each have a space before them."""
         model = model_at(self.path)
         line = "".join([SPACE + w.replace(" ", SPACE) for w in words])
@@ -268,40 +328,73 @@ class Encoder:
         cut[first] = True
         ends = np.flatnonzero(cut)
         places = ends.tolist()
-        found = [line[a:b] for a, b in zip(places, places[1:])]
-        runs, new = self._memory("runs", variant, set(found))
-        self._learn_runs(new, variant, runs)
-        of_word = np.searchsorted(ends, first).tolist()
-        out = [b"".join([runs[r] for r in found[a:b]]) for a, b in zip(of_word, of_word[1:])]
-        return out
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers; an empty text has none."""
-        out: list[bytes] = [b""] * len(texts)
-        dealt: dict[int, list[int]] = {}
+        of_word = np.searchsorted(ends, first)
+        runs_of = np.diff(of_word)
+        draws = np.repeat(variant, runs_of).tolist()
+        # Each different run of a variant once.
+        runs = [(line[a:b], v) for a, b, v in zip(places, places[1:], draws)]
+        distinct = dict(zip(set(runs), range(len(runs))))
+        code = np.fromiter(map(distinct.__getitem__, runs), np.int64, len(runs))
+        ids, starts, sizes = self._runs(
+            [run for run, _ in distinct], np.array([v for _, v in distinct], np.int64))
+        word = np.repeat(np.arange(len(words)), runs_of)
+        total = np.bincount(word, weights=sizes[code], minlength=len(words)).astype(np.int64)
+        memory.put(number, variant, _gathered(ids, starts[code], sizes[code]), total)
+
+    def _looked_up(self, memory: Words, words: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each word has)."""
+        if memory.bytes() > REMEMBERED:
+            memory.clear()
+        memory.number(set(words) - memory.index.keys())
+        number = np.fromiter(map(memory.index.__getitem__, words), np.int64, len(words))
+        lacks = np.flatnonzero(memory.starts[number, variant] < 0)
+        if len(lacks):
+            missing, at = np.unique(
+                number[lacks] * self.variants + variant[lacks], return_index=True)
+            lacking, draws = missing // self.variants, missing % self.variants
+            found = [words[i] for i in lacks[at].tolist()]
+            odd = np.array([len(w) > LONGEST or SPACE in w for w in found])
+            at = np.flatnonzero(~odd)
+            if len(at):
+                self._learn(memory, [found[i] for i in at.tolist()], lacking[at], draws[at])
+            keys = self._keys()
+            for i in np.flatnonzero(odd).tolist():
+                ids = self._one(found[i], int(keys[draws[i]]))
+                memory.put(lacking[i:i + 1], draws[i:i + 1], np.array(ids, np.int32), np.array([len(ids)]))
+        sizes = memory.sizes[number, variant]
+        return _gathered(memory.ids, memory.starts[number, variant].astype(np.int64), sizes), sizes
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts one behind the other, how many each has)."""
+        memory = remembered("pieces", "words", lambda: Words(self.variants),
+                            (self.path, self.rate, self.seed, self.variants))
+        parts, counts = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
+        words: list[str] = []
+        draws: list[np.ndarray] = []
+        owners: list[tuple[int, int]] = []
+
+        def flush() -> None:
+            if words:
+                ids, sizes = self._looked_up(memory, words, np.concatenate(draws))
+                parts.append(ids)
+                owner = np.repeat([o for o, _ in owners], [n for _, n in owners])
+                np.add.at(counts, owner, sizes)
+                words.clear(), draws.clear(), owners.clear()
+
+        held = 0
         for at, text in enumerate(texts):
-            if text:
-                dealt.setdefault(self.variant(text), []).append(at)
-        for variant, members in sorted(dealt.items()):
-            for part in chunks([len(texts[i]) for i in members], 2 << 20):
-                lines = []
-                for i in members[part]:
-                    text = texts[i].decode()
-                    if "  " in text or text[0] == " ":  # spaces belong to the word behind them
-                        lines.append([x[1:] for x in self._chunk.findall(" " + text)])
-                    else:
-                        lines.append(text.split(" "))
-                known, new = self._memory("words", variant, set().union(*lines))
-                single = {w for w in new if len(w) > LONGEST or SPACE in w}
-                known.update((w, self._one(w, variant)) for w in single)
-                plain = list(new - single)
-                if plain:
-                    known.update(zip(plain, self._learn(plain, variant)))
-                for i, line in zip(members[part], lines):
-                    out[i] = b"".join([known[w] for w in line])
-                for word in single:
-                    del known[word]
-        return out
+            place = 0
+            for found in self._stretches(text):
+                words += found
+                draws.append(self._drawn(text, place, len(found)))
+                owners.append((at, len(found)))
+                place += len(found)
+                held += min(len(text), STRETCH)
+                if held >= STRETCH:
+                    flush()
+                    held = 0
+        flush()
+        return np.concatenate(parts), counts
 
 
 class Decoder:
@@ -321,17 +414,16 @@ def encode(
     """``docs`` with the ids of the text's pieces; null and empty texts have no ids.
 
     ``ids_col`` replaces a column of that name. ``rate`` 0 gives the model's own segmentation.
+    Equal texts have equal ids, repeated rows stay, and texts of any length are encoded whole, a
+    stretch of words at a time. An empty table gives an empty one.
     """
     encoder = Encoder(model, rate, seed, variants)
 
     @F.arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
-        blobs = encoder.encode(utf8(column))
-        ends = np.cumsum([0] + [len(b) // 4 for b in blobs]).astype(np.int32)
-        flat = pa.py_buffer(b"".join(blobs))
-        del blobs
-        ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, flat])
-        return pa.ListArray.from_arrays(pa.array(ends), ids)
+        flat, counts = encoder.encode(utf8(column))
+        ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
     return docs.withColumn(ids_col, run(F.col(text_col)))
 
@@ -339,7 +431,10 @@ def encode(
 def decode(
     docs: DataFrame, model: str, ids_col: str = "piece_ids", text_col: str = "decoded",
 ) -> DataFrame:
-    """``docs`` with the text of the ids; no ids give an empty text."""
+    """``docs`` with the text of the ids; no ids give an empty text.
+
+    ``text_col`` replaces a column of that name. Null ids count as none.
+    """
     decoder = Decoder(model)
 
     @F.arrow_udf("string")
