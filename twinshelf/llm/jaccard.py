@@ -1,8 +1,9 @@
 """Jaccard join of word n-gram sets by a token-group matrix.
 
 Equal sets are one. Similar sets are put into groups: first by their least shingle hash, in pieces
-of bounded size, whose members are compared; what links is a component, and the groups of the
-matrix are the pieces of components. The matrix has a row for a token and each group whose
+of bounded size, whose members are compared, then again by the least under other hashes, where
+components still meet; what links is a component, and the groups of the matrix are the pieces
+of components. The matrix has a row for a token and each group whose
 members hold it. Two sets that link share a token among the rarest few of each, however ties
 are broken, so the candidate table needs only these few of each member. A candidate pair of
 groups is looked at only if they share as many of these few as a link leaves no choice but to
@@ -38,9 +39,11 @@ from .batches import utf8
 
 WORDS, SHARE = 5, 80
 #: Counters of the shingles' frequencies, and tasks whose counters are added up together.
-SLOTS, TASKS = 1 << 18, 256
+SLOTS, TASKS = 1 << 21, 64
 #: Tokens of a group, tokens that a set counts for at least, partners opened in one task group.
 GROUP, LEAST, PARTNERS = 1 << 16, 512, 64
+#: Odd multipliers, under each of which a set has a least shingle hash.
+LEASTS = (1, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 #: Bytes whose words are held as objects at a time; columns of an incidence matrix.
 STRETCH, COLUMNS = 4 << 20, 1 << 16
 
@@ -82,6 +85,7 @@ def frequencies(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
         for batch in batches:
             for text in utf8(batch.column(0)):
                 np.add.at(total, _slot(shingles(text, words)), 1)
+        total = total.astype(np.int32)
         parts = [total[i:i + width].tobytes() for i in range(0, SLOTS, width)]
         lane = TaskContext.get().partitionId() // TASKS
         yield pa.RecordBatch.from_arrays(
@@ -91,7 +95,8 @@ def frequencies(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
     def added(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width, np.int64)
         for counts in part["counts"]:
-            total += np.frombuffer(counts, np.int64)
+            total += np.frombuffer(counts, np.int32)
+        total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
         return part.iloc[:1].assign(counts=[total.tobytes()])
 
     schema = "lane long, part long, counts binary"
@@ -100,7 +105,7 @@ def frequencies(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
         tables = tables.groupBy(*keys).applyInPandas(added, schema)
     whole = np.zeros(SLOTS, np.int64)
     for row in tables.collect():
-        whole[row["part"] * width:(row["part"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
+        whole[row["part"] * width:(row["part"] + 1) * width] = np.frombuffer(row["counts"], np.int32)
     mean = max(whole.mean(), 1.0)
     return np.minimum(whole / mean * 256, 65535).astype(np.uint16)
 
@@ -119,30 +124,32 @@ def _set_id(tokens: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, share: int) -> DataFrame:
-    """(doc, set, n, least, rare): each text's set, its least hash and its rarest tokens' ranks.
+    """(doc, set, n, least, rare): each text's set, its least hashes and its rarest tokens' ranks.
 
     The rarest are as many as a set may miss in one that it links with, and one more.
     """
     spark = docs.sparkSession
     often = spark.sparkContext.broadcast(frequencies(docs, text_col, words))
 
-    @F.arrow_udf("struct<set: long, n: long, least: long, rare: array<long>>")
+    @F.arrow_udf("struct<set: long, n: long, least: array<long>, rare: array<long>>")
     def of(column: pa.Array) -> pa.Array:
         rows, rare = [], []
         for text in utf8(column):
             tokens = shingles(text, words)
             if not len(tokens):
-                rows.append((0, 0, 0))
+                rows.append((0, 0, [0] * len(LEASTS)))
                 rare.append(tokens)
                 continue
             ranks = _ranks(tokens, often.value)
             usual = tokens[ranks < np.uint64(1024 << 48)]  # not beyond four times the mean
-            least = (usual if len(usual) else tokens)[0]
+            if 2 * len(usual) < len(tokens):  # a copy of a frequent text, but for a few words
+                usual = tokens
+            least = [int((usual * np.uint64(x)).min().view(np.int64)) for x in LEASTS]
             missed = len(tokens) - -(-share * len(tokens) // 100)
             rare.append(np.unique(ranks[ranks <= np.partition(ranks, missed)[missed]]))
-            rows.append((_set_id(tokens), len(tokens), int(least.view(np.int64))))
-        sets, n, least = (pa.array(x, pa.int64()) for x in zip(*rows)) if rows else [
-            pa.array([], pa.int64())] * 3
+            rows.append((_set_id(tokens), len(tokens), least))
+        sets, n, least = (pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+            (pa.int64(), pa.int64(), pa.list_(pa.int64()))))
         ends = np.cumsum([0] + [len(x) for x in rare]).astype(np.int32)
         flat = np.concatenate(rare).view(np.int64) if rare else np.empty(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -222,11 +229,14 @@ def group_link(ours: list[np.ndarray], theirs: list[np.ndarray], share: int) ->
 
 
 def _pieced(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` (set, n, key) in pieces of each key of about ``GROUP`` tokens: (…, piece, pieces)."""
+    """``rows`` (set, n, component, key) in pieces of each key of about ``GROUP`` tokens.
+
+    ``pivot`` is a set of the key, ``apart`` whether the key has sets of several components.
+    """
     cost = F.greatest(F.col("n"), F.lit(LEAST))
     totals = rows.groupBy(key).agg(
-        F.ceil(F.sum(cost) / GROUP).alias("pieces"), F.count(F.lit(1)).alias("held"),
-        F.min("set").alias("pivot"))
+        F.ceil(F.sum(cost) / GROUP).alias("pieces"), F.min("set").alias("pivot"),
+        (F.min("component") < F.max("component")).alias("apart"))
     return rows.join(totals, key).withColumn("piece", F.pmod(F.xxhash64("set", F.lit(5)), "pieces"))
 
 
@@ -238,18 +248,26 @@ def _lanes(rows: DataFrame, keys: list[str], cost: Column, large: Column) -> Dat
         F.pmod(F.xxhash64(*keys), lanes)))
 
 
-def _similar(docs: DataFrame, sets: DataFrame, how: tuple, share: int) -> DataFrame:
-    """(a, b): links within the groups of sets that have the same least hash.
+def _shared(sets: DataFrame) -> DataFrame:
+    """The sets that have one of their least hashes in common with another."""
+    each = sets.select("set", "doc", F.posexplode("least").alias("at", "hash"))
+    many = each.groupBy("at", "hash").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    return each.join(many, ["at", "hash"]).select("set", "doc").distinct()
+
+
+def _similar(sets: DataFrame, tokens: DataFrame, at: int, share: int) -> DataFrame:
+    """(a, b): links within the groups of sets that have the same ``at``-th least hash.
 
     The pieces of a group share one member, its pivot, which brings most of a family together.
     """
-    dealt = _pieced(sets, "least").filter("held > 1")
+    dealt = _pieced(sets.select("set", "n", "component", F.col("least")[at].alias("least")),
+                    "least").filter("apart")
     pivots = dealt.filter("set = pivot").withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
     dealt = stage(dealt.filter("set <> pivot").unionByName(pivots), "similar")
     cost = F.greatest(F.col("n"), F.lit(LEAST))
     dealt = _lanes(dealt, ["least", "piece"], cost, F.col("pieces") > 1).select(
-        "set", "doc", "least", "piece", "lane")
+        "set", "least", "piece", "lane")
 
     def solve(part: pd.DataFrame) -> pd.DataFrame:
         links = []
@@ -258,7 +276,7 @@ def _similar(docs: DataFrame, sets: DataFrame, how: tuple, share: int) -> DataFr
                                  [np.frombuffer(x, np.uint64) for x in group["tokens"]], share)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return stage(tokens_of(docs, dealt, *how).groupBy("lane").applyInPandas(
+    return stage(dealt.join(tokens, "set").groupBy("lane").applyInPandas(
         solve, "a long, b long"), "similar-links")
 
 
@@ -350,17 +368,21 @@ def jaccard_components(
     repeated = sets.filter("copies > 1").limit(1).count() > 0
     sets = sets.drop("copies")
     how = (id_col, text_col, words, repeated)
-    within = _similar(docs, sets, how, share)
-    found = stage(components(sets.select(F.col("set").alias("id")), within), "similar-components")
-    known = sets.join(found.toDF("set", "component"), "set")
+    ids = sets.select(F.col("set").alias("id"))
+    tokens = stage(tokens_of(docs, stage(_shared(sets), "shared"), *how).select("set", "tokens"), "tokens")
+    known, within = sets.withColumn("component", F.col("set")), None
+    for at in range(len(LEASTS)):
+        more = _similar(known, tokens, at, share)
+        within = more if within is None else within.unionByName(more)
+        found = stage(components(ids, within), "similar-components")
+        known = sets.join(found.toDF("set", "component"), "set")
     rare = marked.filter("n > 0").select("set", "doc", "rare")
     rare = rare.join(sets.select("set", F.col("doc").alias("one")), "set").filter(
         F.col("doc").eqNullSafe(F.col("one"))).select("set", "rare")
     if repeated:
         rare = rare.dropDuplicates(["set"])
     between = _between(docs, known, rare, how, share)
-    joined = components(sets.select(F.col("set").alias("id")), stage(
-        within.unionByName(between), "links"))
+    joined = components(ids, stage(within.unionByName(between), "links"))
     named = joined.toDF("set", "component")
     least = named.join(sets.select("set", "doc"), "set").groupBy("component").agg(
         F.min("doc").alias("component_id"))
