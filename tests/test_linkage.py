@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -37,6 +38,26 @@ def random_points(n, seed, dims=3):
     return dict(enumerate(rows))
 
 
+def vectors_of(spark, points):
+    rows = [(i, [(n, float(w)) for n, w in enumerate(p) if w]) for i, p in points.items()]
+    return spark.createDataFrame(rows, "id long, vector array<struct<number: long, weight: double>>")
+
+
+def with_tails(spark, points):
+    """Vectors as the similarity join wants them: each entry with the length from there on."""
+    rows = [(i, [(n, float(w), float(np.linalg.norm(p[n:]))) for n, w in enumerate(p) if w])
+            for i, p in points.items()]
+    return spark.createDataFrame(
+        rows, "id long, vector array<struct<number: long, weight: double, tail: double>>")
+
+
+def groups_of(labels):
+    found = {}
+    for row in labels.collect():
+        found.setdefault(row.cluster, set()).add(row.id)
+    return {frozenset(g) for g in found.values()}
+
+
 @pytest.mark.parametrize("method,cut,seed", [
     ("complete", 0.1, 1), ("complete", 0.3, 2), ("average", 0.08, 3), ("average", 0.2, 4),
     ("single", 0.02, 5),
@@ -48,10 +69,8 @@ def test_linkage_equals_step_by_step_merging(spark, method, cut, seed):
              if a < b and 1 - points[a] @ points[b] <= cut]
     pairs = spark.createDataFrame(pairs, "a long, b long, sim double").repartition(3)
     copies = spark.createDataFrame(list(sizes.items()), "id long, copies long")
-    dense = spark.createDataFrame(
-        [(i, p.tolist()) for i, p in points.items()], "id long, dense array<double>"
-    )
-    merges = tree.linkage(pairs, copies, cut, method, inclusive=True, dense=dense)
+    sides = vectors_of(spark, points).select("id", F.col("vector").alias("a"), F.col("vector").alias("b"))
+    merges = tree.linkage(pairs, copies, cut, method, inclusive=True, sides=sides)
     labels = tree.clusters(copies.select("id"), merges).collect()
     found = {}
     for row in labels:
@@ -142,3 +161,120 @@ def test_many_equal_distances_merge_in_few_rounds(spark):
     merges = tree.linkage(pairs, copies, 0.5)
     assert merges.count() == n - 1
     assert {r.cluster for r in tree.clusters(copies.select("id"), merges).collect()} == {0}
+
+
+def test_sums_are_written_anew_for_changed_clusters_only(spark, monkeypatch):
+    monkeypatch.setattr(tree._Sums, "TABLES", 3)
+    points = random_points(60, 11)
+    pairs = spark.createDataFrame(
+        [(a, b, float(points[a] @ points[b])) for a in points for b in points if a < b],
+        "a long, b long, sim double")
+    copies = spark.createDataFrame([(i, 1 + i % 4) for i in points], "id long, copies long")
+    sides = vectors_of(spark, points).select("id", F.col("vector").alias("a"), F.col("vector").alias("b"))
+    merges = tree.linkage(pairs, copies, 0.3, "average", inclusive=True, sides=sides)
+    expected, heights = by_hand(points, {i: 1 + i % 4 for i in points}, 0.3, "average", True)
+    assert groups_of(tree.clusters(copies.select("id"), merges)) == expected
+    got = sorted(r.distance for r in merges.collect())
+    assert all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(got, heights, strict=True))
+
+
+def kruskal(pairs, sizes):
+    """Merges of single linkage by going through the pairs in order."""
+    top, size, out = {i: i for i in sizes}, dict(sizes), []
+
+    def found(v):
+        while top[v] != v:
+            v = top[v]
+        return v
+
+    tie = lambda a, b: hashlib.md5(f"{a}-{b}".encode()).hexdigest()
+    for d, _, a, b in sorted((round(1 - s, 12), tie(a, b), a, b) for a, b, s in pairs):
+        x, y = sorted((found(a), found(b)))
+        if x != y:
+            top[y] = x
+            size[x] += size[y]
+            out.append((x, y, d, size[x]))
+    return out
+
+
+@pytest.mark.parametrize("forest", [50_000, 5])
+def test_single_linkage_merges_equal_going_through_the_pairs(spark, monkeypatch, forest):
+    monkeypatch.setattr(tree, "FOREST", forest)
+    pick = random.Random(3)
+    # Many equal distances, a hub, and parts that never meet.
+    pairs = [(a, b, round(pick.random(), 1)) for a in range(50) for b in range(a + 1, 50)
+             if pick.random() < 0.1 and a % 3 != 2 and b % 3 != 2]
+    pairs += [(0, b, 0.9) for b in range(51, 90)] + [(2, 5, 1.0)]
+    sizes = {i: 1 + i % 3 for i in range(95)}
+    df = spark.createDataFrame(list(dict.fromkeys(pairs)), "a long, b long, sim double")
+    copies = spark.createDataFrame(list(sizes.items()), "id long, copies long")
+    for cut in (0.55, 1.0):
+        got = tree.single_linkage(df.repartition(3), copies, cut, inclusive=True).orderBy("round").collect()
+        expected = kruskal([p for p in dict.fromkeys(pairs) if round(1 - p[2], 12) <= cut], sizes)
+        assert [(r.left, r.right, r.distance, r.size) for r in got] == expected
+    assert tree.single_linkage(df, copies, -1.0).count() == 0
+
+
+def test_single_linkage_of_a_path_of_rising_distances(spark):
+    n = 300
+    pairs = [(i, i + 1, 1 - i / 1000) for i in range(n)]
+    df = spark.createDataFrame(pairs, "a long, b long, sim double")
+    copies = spark.range(n + 1).select("id", F.lit(1).cast("long").alias("copies"))
+    got = tree.single_linkage(df, copies, 1.0).orderBy("round").collect()
+    assert [(r.left, r.right, r.size) for r in got] == [(0, i + 1, i + 2) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed,cut", [(5, 0.5), (6, 0.88)])
+def test_complete_linkage_by_bands(spark, monkeypatch, seed, cut):
+    monkeypatch.setattr(tree, "MEMBERS", 4)
+    monkeypatch.setattr(tree, "PARTNERS", 2)
+    pick = np.random.default_rng(seed)
+    rows = np.where(pick.random((60, 12)) < 0.4, pick.random((60, 12)), 0) + np.eye(60, 12)
+    points = dict(enumerate(rows / np.linalg.norm(rows, axis=1, keepdims=True)))
+    copies = spark.createDataFrame([(i, 1 + i % 2) for i in points], "id long, copies long")
+    merges = tree.complete_by_bands(with_tails(spark, points), copies, cut, bands=(0.2, 0.5, 0.8))
+    expected, heights = by_hand(points, {i: 1 for i in points}, cut, "complete", False)
+    assert groups_of(tree.clusters(copies.select("id"), merges)) == expected
+    got = sorted(r.distance for r in merges.collect())
+    assert all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(got, heights, strict=True))
+    sizes = {r.left: r.size for r in merges.orderBy("round").collect()}
+    assert all(sizes[min(g)] == sum(1 + i % 2 for i in g) for g in expected if len(g) > 1)
+
+
+def ward_by_hand(points, sizes):
+    groups = {i: (sizes[i], points[i] * sizes[i]) for i in points}
+    out = []
+    while len(groups) > 1:
+        def apart(a, b):
+            (n, x), (m, y) = groups[a], groups[b]
+            return round(2 * n * m / (n + m) * float(((x / n - y / m) ** 2).sum()), 10)
+        d, a, b = min((apart(a, b), a, b) for a in groups for b in groups if a < b)
+        (n, x), (m, y) = groups[a], groups.pop(b)
+        groups[a] = n + m, x + y
+        out.append((a, b, math.sqrt(d), n + m))
+    return out
+
+
+@pytest.mark.parametrize("few", [256, 6])
+def test_ward_equals_step_by_step(spark, monkeypatch, few):
+    monkeypatch.setattr(tree, "FEW", few)
+    points = random_points(70, 21, dims=5)
+    sizes = {i: 1 + i % 5 for i in points}
+    copies = spark.createDataFrame(list(sizes.items()), "id long, copies long")
+    merges = tree.ward(vectors_of(spark, points), copies)
+    expected = ward_by_hand(points, sizes)
+    got = sorted((r.distance, r.left, r.right, r.size) for r in merges.collect())
+    assert [(a, b, n) for _, a, b, n in got] == [(a, b, n) for a, b, d, n in sorted(
+        expected, key=lambda m: (m[2], m[0], m[1]))]
+    assert all(math.isclose(x[0], y, abs_tol=1e-7) for x, y in zip(got, sorted(m[2] for m in expected)))
+    for k in (1, 7, 70, 90):
+        kept = tree.cut_to(merges, copies.select("id"), k)
+        labels = groups_of(tree.clusters(copies.select("id"), kept))
+        assert len(labels) == min(k, 70)
+        top = {i: i for i in points}
+        for a, b, _, _ in expected[:max(0, 70 - k)]:
+            top = {i: a if t == b else t for i, t in top.items()}
+        assert labels == {frozenset(i for i in top if top[i] == t) for t in set(top.values())}
+    with pytest.raises(ValueError):
+        tree.cut_to(merges, copies.select("id"), 0)
+    assert tree.ward(vectors_of(spark, points).limit(0), copies).count() == 0

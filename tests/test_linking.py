@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from twinshelf.functions import strings
 from twinshelf.functions.strings import jaro_winkler
+from twinshelf.operators import linking
 from twinshelf.operators import candidates as c
 from twinshelf.operators.fuzzy import fuzzy_left_join
 from twinshelf.operators.linking import Compare, Linkage, listing
@@ -163,11 +165,46 @@ def test_candidate_sizes(spark):
         c.neighbour_keys(left, right, "state", "state", window=2)
 
 
-def test_low_thresholds_are_refused():
+@pytest.mark.parametrize("method,threshold", [
+    ("edit", 0.3), ("edit", 0.5), ("edit", 0.67), ("edit", 1.0), ("jaro_winkler", 0.05),
+    ("jaro_winkler", 0.6), ("jaro_winkler", 0.8)])
+def test_any_threshold(spark, method, threshold):
+    rows_l, rows_r = records(6), records(7)
+    rows_l.append((900, "s", "t", "", ""))
+    rows_r += [(901, "s", "t", "", ""), (902, "s", "t", "a", "b")]
+    compare = Compare("name", "name", "name", method, threshold)
+    work = Linkage(frame(spark, rows_l), frame(spark, rows_r), "id", "id", (compare,))
+    expected = {(a[0], b[0]): 1 for a in rows_l for b in rows_r if agree(compare, a[3], b[3])}
+    thin_l, thin_r = ([(r[0], None, r[3]) for r in rows] for rows in (rows_l, rows_r))
+    assert expand(work.matches(1).collect(), thin_l, thin_r) == expected
+
+
+def test_thresholds_outside_the_range_are_refused():
+    for threshold in (0.0, 1.1):
+        with pytest.raises(ValueError):
+            Compare("a", "b", "c", "edit", threshold)
     with pytest.raises(ValueError):
-        Compare("a", "b", "c", "edit", 0.5)
-    with pytest.raises(ValueError):
-        Compare("a", "b", "c", "jaro_winkler", 0.7)
+        Compare("a", "b", "c", "metaphone", 0.7)
+
+
+def test_many_jaro_winkler_scores_equal_the_plain_ones(spark):
+    pick = random.Random(13)
+    word = lambda: "".join(pick.choice("abcé😀 ") for _ in range(pick.choice([0, 1, 2, 5, 9, 30, 64])))
+    pairs = [(word(), word()) for _ in range(8000)]
+    for _ in range(4000):  # copies with a few changes, up to the longest that a mask holds
+        one = [pick.choice("abcdefgh") for _ in range(pick.randint(1, 64))]
+        other = list(one)
+        for _ in range(pick.randint(0, 4)):
+            i, j = pick.randrange(len(other)), pick.randrange(len(other))
+            other[i], other[j] = other[j], pick.choice("abcdz")
+        pairs.append(("".join(one), "".join(other)))
+    got = strings.jaro_winkler_many(*map(list, zip(*pairs)))
+    assert [strings.jaro_winkler(a, b) for a, b in pairs] == got.tolist()
+    odd = [("x" * 70, "x" * 69 + "y"), (None, "a"), ("b", None), ("", ""), ("a", "a"), ("a" * 65, "")]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(odd + pairs[:200])], "id long, a string, b string")
+    scores = {r.id: r.s for r in df.select("id", strings.jaro_winkler_similarity("a", "b").alias("s")).collect()}
+    assert all(scores[i] == (0.0 if None in p else strings.jaro_winkler(*p))
+               for i, p in enumerate(odd + pairs[:200]))
 
 
 def test_listing_keeps_matches_without_a_lookup(spark):
@@ -222,3 +259,32 @@ def test_fuzzy_join_equals_brute_force(spark):
         else:
             assert abs(found.best_match_score + best[0]) < 1e-8
             assert found.rid == best[1]
+
+
+@pytest.mark.parametrize("piece", [1000, 7])
+def test_record_pairs_of_profiles(spark, monkeypatch, piece):
+    monkeypatch.setattr(linking, "PIECE", piece)
+    pick = random.Random(12)
+    # A third of all records are one profile; some values and keys are missing.
+    def table(start, n):
+        return [(start + i, *(("k1", "red", "ring") if i % 3 == 0 else (
+            pick.choice(["k1", "k2", None]), pick.choice(["red", "blue", None]), pick.choice(["ring", "rod"]))))
+            for i in range(n)]
+    rows, others = table(0, 45), table(100, 40)
+    schema = "id long, key string, colour string, name string"
+    left, right = spark.createDataFrame(rows, schema), spark.createDataFrame(others, schema)
+    compares = (Compare("colour", "colour", "same_colour"), Compare("name", "name", "same_name"))
+    for keyed in (True, False):
+        keys = c.block_keys(left, right, "key", "key") if keyed else None
+        link = Linkage(left, right, "id", "id", compares, keys, "key", "key")
+        got = [(r.left_record, r.right_record, r.score) for r in link.record_pairs(link.matches(1)).collect()]
+        expected = [(a[0], b[0], (a[2] == b[2] is not None) + (a[3] == b[3])) for a in rows for b in others
+                    if (not keyed or a[1] == b[1] is not None)]
+        assert sorted(got) == sorted(p for p in expected if p[2] >= 1)
+    link = Linkage(left, left, "id", "id", compares, c.neighbour_keys(left, left, "key", "key", 1),
+                   "key", "key", itself=True)
+    got = [(min(r.left_record, r.right_record), max(r.left_record, r.right_record))
+           for r in link.record_pairs(link.matches(2)).collect()]
+    expected = [(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] is not None
+                and a[2] == b[2] is not None and a[3] == b[3]]
+    assert sorted(got) == expected

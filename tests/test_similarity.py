@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from twinshelf.functions import text
 from twinshelf.operators import grid, similarity
 from twinshelf.operators import vectors as v
+from twinshelf.session import stage
 
 
 def sparse_of(spark, rows, name="vector"):
@@ -66,7 +67,7 @@ def test_weighted_pairs_equal_brute_force(spark, weights, at_least):
 @pytest.mark.parametrize("distances", [False, True])
 def test_profile_cosine_equals_rows_of_the_matrix(spark, distances):
     rows = random_titles(60, 12, 4)
-    sparse, vocab = sparse_of(spark, rows)
+    sparse, _ = sparse_of(spark, rows)
     copies = {i: n for i, n, _ in rows}
     unit = dense_of(sparse)
     whole = np.array([unit[i] for i in unit for _ in range(copies[i])])
@@ -79,9 +80,24 @@ def test_profile_cosine_equals_rows_of_the_matrix(spark, distances):
     expected = {(a, b) for a in unit for b in unit
                 if a < b and matrix[first[a]] @ matrix[first[b]] >= at_least}
     sizes = spark.createDataFrame([(i, copies[i]) for i in unit], "id long, copies long")
-    dense = similarity.profile_vectors(sparse, vocab, sizes, distances)
-    got = similarity.dense_pairs(dense, at_least, pivots=5)
-    assert {(r.a, r.b) for r in got.collect()} == expected
+    profiles = similarity.profile_vectors(sparse, sizes, distances)
+    got = {(r.a, r.b): r.sim for r in similarity.profile_pairs(profiles, at_least, pivots=5).collect()}
+    assert set(got) == expected
+    assert all(math.isclose(got[a, b], matrix[first[a]] @ matrix[first[b]], abs_tol=1e-9) for a, b in got)
+
+
+def test_profiles_by_blocks_of_the_gram_matrix(spark, monkeypatch):
+    rows = random_titles(80, 40, 7)
+    sparse, _ = sparse_of(spark, rows)
+    sizes = spark.createDataFrame([(i, n) for i, n, _ in rows], "id long, copies long")
+    whole = similarity.profile_pairs(similarity.profile_vectors(sparse, sizes), 0.6)
+    expected = sorted(map(tuple, whole.collect()))
+    for name, value in (("COLUMNS", 7), ("ROWS", 25), ("CELLS", 90)):
+        monkeypatch.setattr(similarity, name, value)
+    again = similarity.profile_pairs(similarity.profile_vectors(sparse, sizes), 0.6)
+    got = sorted(map(tuple, again.collect()))
+    assert [x[:2] for x in got] == [x[:2] for x in expected]
+    assert all(math.isclose(x[2], y[2], abs_tol=1e-9) for x, y in zip(got, expected))
 
 
 def test_grid_meets_every_pair_once_whatever_the_block(spark):
@@ -101,8 +117,40 @@ def test_grid_meets_every_pair_once_whatever_the_block(spark):
     assert sorted((r.a_id, r.b_id) for r in met) == crossed
 
 
-def test_profile_vectors_refuse_a_large_vocabulary(spark):
-    sparse, vocab = sparse_of(spark, random_titles(20, 10, 6))
-    sizes = sparse.select("id", F.lit(1).alias("copies"))
-    with pytest.raises(ValueError):
-        similarity.profile_vectors(sparse, vocab, sizes, max_terms=3)
+def test_profiles_of_a_large_vocabulary(spark):
+    # 20,000 terms, five of them in each title and one in every title.
+    pick = random.Random(9)
+    titles = [(i, 1, "all " + " ".join(f"t{(7 * i + j) % 20_000}" for j in range(4)))
+              for i in range(0, 3000)] + [(3000 + i, 2, f"t{i} x{i} y{i} z{i} u{i} v{i}") for i in range(2500)]
+    sparse, vocab = sparse_of(spark, titles)
+    assert vocab.count() >= 15_000
+    sizes = sparse.select("id", F.when(F.col("id") < 3000, 1).otherwise(2).alias("copies"))
+    profiles = stage(similarity.profile_vectors(sparse, sizes), "profiles")
+    got = {(r.a, r.b): r.sim for r in similarity.profile_pairs(profiles, 0.995).collect()}
+    rows = {r.id: {e.number: e.weight for e in r.vector} for r in sparse.collect()}
+    holders = {}
+    for i, row in rows.items():
+        for n, w in row.items():
+            holders.setdefault(n, []).append((i, w, 1 if i < 3000 else 2))
+
+    def profile(i):
+        out = {}
+        for n, w in rows[i].items():
+            for j, x, _ in holders[n]:
+                out[j] = out.get(j, 0.0) + w * x
+        scale = math.sqrt(sum(s * s * (1 if j < 3000 else 2) for j, s in out.items()))
+        return {j: s / scale for j, s in out.items()}
+
+    for a, b in pick.sample(sorted(got), min(40, len(got))) + [(0, 1), (2, 2900), (5, 3100), (3000, 4000)]:
+        x, y = profile(a), profile(b)
+        sim = sum(s * y.get(j, 0.0) * (1 if j < 3000 else 2) for j, s in x.items())
+        assert math.isclose(got[a, b], sim, abs_tol=1e-9) if (a, b) in got else sim < 0.995 + 1e-9
+
+
+def test_sums_of_sparse_vectors(spark):
+    kind = "array<struct<number: long, weight: double>>"
+    rows = [(1, [(1, 1.0), (4, 2.0)], [(2, 1.0), (4, 0.5)]), (2, None, [(7, 1.0)]), (3, [], None)]
+    df = spark.createDataFrame(rows, f"id long, x {kind}, y {kind}")
+    got = {r.id: [tuple(e) for e in r.s] for r in df.select("id", similarity.sparse_sum(
+        "x.number", "x.weight", "y.number", "y.weight").alias("s")).collect()}
+    assert got == {1: [(1, 1.0), (2, 1.0), (4, 2.5)], 2: [(7, 1.0)], 3: []}

@@ -24,13 +24,17 @@ from ..session import stage
 from .grid import side_pairs
 
 SLACK = 1e-9
+#: Records of a profile that are paired with those of another at a time.
+PIECE = 1000
 
 
 @dataclass(frozen=True)
 class Compare:
     """One field comparison that yields 1 (agree) or 0.
 
-    ``method`` is exact, edit or jaro_winkler; the latter two agree from ``threshold`` on.
+    ``method`` is exact, edit or jaro_winkler; the latter two agree from ``threshold`` on, which
+    is above 0. Low thresholds have weak join keys: edit similarity of two thirds or less joins on
+    lengths, and Jaro-Winkler similarity of 0.8 or less on any character in common.
     """
 
     left: str
@@ -40,10 +44,15 @@ class Compare:
     threshold: float = 0.85
 
     def __post_init__(self) -> None:
-        # Below these bounds two agreeing strings need not share any part.
-        floor = {"exact": None, "edit": 2 / 3, "jaro_winkler": 0.8}[self.method]
-        if floor is not None and self.threshold <= floor:
-            raise ValueError(f"{self.method} needs a threshold above {floor:.2f}")
+        if self.method not in ("exact", "edit", "jaro_winkler"):
+            raise ValueError(f"unknown method {self.method}")
+        if self.method != "exact" and not 0 < self.threshold <= 1:
+            raise ValueError("a threshold is above 0 and at most 1")
+
+    @property
+    def by_length(self) -> bool:
+        """Whether two agreeing strings may have no bigram in common."""
+        return self.method == "edit" and self.threshold <= 2 / 3
 
     def agree(self, left: Column, right: Column) -> Column:
         if self.method == "exact":
@@ -60,7 +69,7 @@ class Compare:
         if self.method == "edit":
             return self.threshold
         jaro = (self.threshold - 0.4) / 0.6
-        return 3 * jaro - 2
+        return max(3 * jaro - 2, 0.0)
 
     def prefix_size(self, length: Column) -> Column:
         """How many of its rarest parts a string must show to meet every partner.
@@ -81,8 +90,13 @@ def shared_parts(values: DataFrame, compare: Compare) -> DataFrame:
     Parts are bigrams (edit) or characters (Jaro-Winkler); a repeat is a part of its own. All
     values are ordered by the same part frequencies, which makes the prefixes comparable.
     """
-    width = 2 if compare.method == "edit" else 1
     length = F.length("value")
+    if compare.by_length:
+        # The lengths of shorter partners and its own: two strings share one if, and only if,
+        # the shorter is long enough for the longer.
+        least = F.ceil(compare.threshold * length - SLACK)
+        return values.select("value", F.sequence(least, length.cast("long")).alias("parts"))
+    width = 2 if compare.method == "edit" else 1
     spots = F.sequence(F.lit(1), length - (width - 1))
     cut = F.when(
         length >= width,
@@ -246,19 +260,24 @@ class Linkage:
         score. For one table, a profile with several records also pairs with itself.
         """
         labels = [c.label for c in self.compares]
-        found = None
+        scored = None
+        done: list[tuple[Compare, ...]] = []
         for chosen in combinations(self.compares, at_least):
             met = self._agreeing(chosen, labels)
-            found = met if found is None else found.unionByName(met)
-        if comb(len(self.compares), at_least) > 1:
-            found = found.dropDuplicates(["a_id", "b_id"])
-        scored = found.select(
-            F.col("a_id").alias("left_id"), F.col("b_id").alias("right_id"),
-            F.col("a_copies").alias("n_left"), F.col("b_copies").alias("n_right"),
-            (F.col("a_copies") * F.col("b_copies")).alias("n_pairs"),
-            *[c.agree(F.col(f"a_{c.label}"), F.col(f"b_{c.label}")).alias(c.label)
-              for c in self.compares],
-        )
+            # What the choice holds agrees; the others are looked at here, once, and a pair that
+            # an earlier choice holds as well has come from there.
+            marks = {c.label: F.lit(1) if c in chosen else
+                     c.agree(F.col(f"a_{c.label}"), F.col(f"b_{c.label}")) for c in self.compares}
+            part = met.select(
+                F.col("a_id").alias("left_id"), F.col("b_id").alias("right_id"),
+                F.col("a_copies").alias("n_left"), F.col("b_copies").alias("n_right"),
+                (F.col("a_copies") * F.col("b_copies")).alias("n_pairs"),
+                *[marks[label].alias(label) for label in labels])
+            for other in done:
+                part = part.filter(reduce(add, [
+                    F.coalesce(F.col(c.label), F.lit(0)) for c in other]) < at_least)
+            done.append(chosen)
+            scored = part if scored is None else scored.unionByName(part)
         if self.itself:
             agreeing = reduce(add, [F.col(label).isNotNull().cast("int") for label in labels])
             own = self._side("left", labels).filter("copies > 1").filter(agreeing >= at_least)
@@ -271,6 +290,61 @@ class Linkage:
         score = reduce(add, [F.col(label) for label in labels])
         return stage(scored.withColumn("score", score), "matches")
 
+    def members(self, side: str) -> DataFrame:
+        """(profile, record): every record of a side with the profile that it belongs to.
+
+        A profile goes by its least record, as in ``matches``. Records without a key are left out
+        where keys say who may meet. Rows meet by a hash of all values and are then compared.
+        """
+        whole = self._sides[side]
+        df, id_col = (self.left, self.left_id) if side == "left" else (self.right, self.right_id)
+        on = self.left_on if side == "left" or self.itself else self.right_on
+        columns = {c.label: c.left if side == "left" else c.right for c in self.compares}
+        if self.keys is not None:
+            columns[f"{side}_key"] = on
+        own = df.select(F.col(f"`{id_col}`").alias("record"), *[
+            F.col(f"`{source}`").alias(f"own_{label}") for label, source in columns.items()])
+        own = own.withColumn("hash", F.xxhash64(*[f"own_{label}" for label in columns]))
+        named = whole.withColumn("hash", F.xxhash64(*columns))
+        same = reduce(lambda p, q: p & q, [
+            F.col(f"own_{label}").eqNullSafe(F.col(label)) for label in columns])
+        return own.join(named, "hash").filter(same).select(F.col("id").alias("profile"), "record")
+
+    def record_pairs(self, matches: DataFrame) -> DataFrame:
+        """``matches`` of profiles as pairs of records: left_record and right_record beside all
+        that is known of the profiles' match.
+
+        A profile's records lie in pieces of about ``PIECE``, and every two pieces of a match are
+        expanded by themselves, spread over the tasks, so neither a profile with a third of all
+        records nor the product of two sizes is in one place. For one table, pairs within a
+        profile are each met once, the lesser record on the left.
+        """
+        def pieces(side: str) -> DataFrame:
+            held = self._sides[side].select(
+                F.col("id").alias("profile"), F.ceil(F.col("copies") / PIECE).alias("cuts"))
+            return self.members(side).join(held, "profile").withColumn(
+                "piece", F.pmod(F.xxhash64("record"), "cuts")).groupBy("profile", "piece").agg(
+                F.collect_list("record").alias("records"))
+
+        def spread(n: str) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / PIECE) - 1))
+
+        met = matches.withColumn("_p", spread("n_left")).withColumn("_q", spread("n_right"))
+        own = F.col("left_id") == F.col("right_id") if self.itself else F.lit(False)
+        if self.itself:
+            met = met.filter(~own | (F.col("_p") <= F.col("_q")))
+        left = pieces("left").toDF("left_id", "_p", "_l")
+        right = pieces("left" if self.itself else "right").toDF("right_id", "_q", "_r")
+        met = met.join(left, ["left_id", "_p"]).join(right, ["right_id", "_q"]).repartition(
+            "left_id", "_p", "right_id", "_q")
+        rows = met.withColumn("_a", F.explode("_l")).withColumn("_b", F.explode("_r"))
+        if self.itself:
+            rows = rows.filter(~own | (F.col("_p") < F.col("_q")) | (F.col("_a") < F.col("_b")))
+        least, most = F.least("_a", "_b"), F.greatest("_a", "_b")
+        return rows.select(
+            F.when(own, least).otherwise(F.col("_a")).alias("left_record"),
+            F.when(own, most).otherwise(F.col("_b")).alias("right_record"), *matches.columns)
+
     def _agreeing_count(self, chosen: tuple[Compare, ...]) -> DataFrame:
         """One row: the number of candidate record pairs on which all of ``chosen`` agree."""
         labels = [c.label for c in chosen]

@@ -48,13 +48,31 @@ def sparse_dot(an: pa.Array, aw: pa.Array, bn: pa.Array, bw: pa.Array) -> pa.Arr
     return pa.array(np.bincount(a_row[shared], weights=product, minlength=rows))
 
 
-@F.arrow_udf(T.DoubleType())
-def dense_dot(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Dot products of two columns of equally long dense vectors."""
-    rows = len(a)
-    left = a.flatten().to_numpy().reshape(rows, -1)
-    right = b.flatten().to_numpy().reshape(rows, -1)
-    return pa.array(np.einsum("ij,ij->i", left, right))
+_SPARSE = T.ArrayType(T.StructType([
+    T.StructField("number", T.LongType()), T.StructField("weight", T.DoubleType())]))
+
+
+@F.arrow_udf(_SPARSE)
+def sparse_sum(an: pa.Array, aw: pa.Array, bn: pa.Array, bw: pa.Array) -> pa.Array:
+    """Sums of two columns of sparse vectors, numbers rising; a missing vector is empty."""
+    rows = len(an)
+    row, number, weight = [], [], []
+    for numbers, weights in ((an, aw), (bn, bw)):
+        sizes = numbers.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row.append(np.repeat(np.arange(rows), sizes))
+        number.append(numbers.flatten().to_numpy())
+        weight.append(weights.flatten().to_numpy())
+    row, number, weight = map(np.concatenate, (row, number, weight))
+    order = np.lexsort((number, row))
+    row, number, weight = row[order], number[order], weight[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
+    first = np.flatnonzero(new)
+    total = np.add.reduceat(weight, first) if len(first) else weight
+    entries = pa.StructArray.from_arrays(
+        [pa.array(number[first], pa.int64()), pa.array(total, pa.float64())], ["number", "weight"])
+    ends = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=rows))))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), entries)
 
 
 def weighted_pairs(
@@ -128,107 +146,165 @@ def cosine_pairs(vectors: DataFrame, at_least: float, vector: str = "vector") ->
     return weighted_pairs(vectors, {vector: 1.0}, at_least)
 
 
-def profile_vectors(
-    sparse: DataFrame, vocabulary: DataFrame, copies: DataFrame,
-    distances: bool = False, max_terms: int = 1500,
-) -> DataFrame:
-    """(id, dense): unit vectors whose cosine is that of rows of the N×N similarity matrix.
+#: Number of the entry that stands for the constant in rows of 1 - S.
+CONSTANT = -1
+#: Columns of the Gram matrix that one task multiplies, and vectors that it multiplies by them.
+COLUMNS, ROWS = 256, 20_000
+#: Entries of a block of vectors written out in full.
+CELLS = 4_000_000
 
-    With unit rows V the matrix is S = V·Vᵀ, and the product of its rows i and j is
-    vᵢ·G·vⱼ with G = Vᵀ·V. G is terms × terms, independent of N; it is summed in Spark and
-    factored as L·Lᵀ, and vᵢ·L stands for row i. ``distances`` does the same for rows of
-    1 - S. ``copies`` (id, copies) gives every record its part in G. The vocabulary is the
-    only thing that reaches the driver and is refused above ``max_terms``.
-    """
-    numbers = [
-        row.number
-        for row in vocabulary.select("number").orderBy("number").limit(max_terms + 1).collect()
-    ]
-    if len(numbers) > max_terms:
-        raise ValueError(f"profile vectors need a vocabulary of at most {max_terms} terms")
-    place = {number: i for i, number in enumerate(numbers)}
-    weighted = sparse.join(copies, "id")
-    one = weighted.select("copies", "vector", F.explode("vector").alias("x"))
-    gram = (
+
+def gram_table(vectors: DataFrame) -> DataFrame:
+    """(k, l, g): the sum of copies * weight k * weight l over ``vectors`` (id, copies, vector)."""
+    one = vectors.select("copies", "vector", F.explode("vector").alias("x"))
+    upper = (
         one.select("copies", "x", F.explode("vector").alias("y"))
         .filter(F.col("x.number") <= F.col("y.number"))
-        .groupBy(F.col("x.number").alias("i"), F.col("y.number").alias("j"))
+        .groupBy(F.col("x.number").alias("k"), F.col("y.number").alias("l"))
         .agg(F.sum(F.col("copies") * F.col("x.weight") * F.col("y.weight")).alias("g"))
     )
-    d = len(numbers)
-    shift = 1 if distances else 0
-    matrix = np.zeros((d + shift, d + shift))
-    for i, j, g in gram.toPandas().itertuples(index=False):
-        r, c = place[i] + shift, place[j] + shift
-        matrix[r, c] = matrix[c, r] = g
+    both = F.when(F.col("k") == F.col("l"), F.array(F.struct("k", "l"))).otherwise(
+        F.array(F.struct("k", "l"), F.struct(F.col("l").alias("k"), F.col("k").alias("l"))))
+    return upper.select(F.explode(both).alias("at"), "g").select("at.*", "g")
+
+
+def _flat(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each entry, all entries one behind the other) of a column of arrays."""
+    sizes = column.map(len).to_numpy()
+    return np.repeat(np.arange(len(column)), sizes), np.concatenate(
+        column.to_numpy()) if len(column) else np.empty(0)
+
+
+def _written_out(numbers: pd.Series, weights: pd.Series, known: np.ndarray) -> np.ndarray:
+    """Rows × ``known`` numbers; entries of other numbers are left out."""
+    out = np.zeros((len(numbers), len(known)))
+    if out.size:
+        row, number = _flat(numbers)
+        at = np.minimum(np.searchsorted(known, number), len(known) - 1)
+        here = known[at] == number
+        out[row[here], at[here]] = _flat(weights)[1][here]
+    return out
+
+
+def profile_vectors(sparse: DataFrame, copies: DataFrame, distances: bool = False) -> DataFrame:
+    """(id, a, b): sparse vectors whose product a·b of two ids is the cosine of their profiles.
+
+    An id's profile is its row of the N×N similarity matrix. With unit rows V the matrix is
+    S = V·Vᵀ, and the product of its rows i and j is vᵢ·G·vⱼ with G = Vᵀ·V. G is terms × terms; it
+    stays a table, which is multiplied with the vectors by blocks of its columns. ``a`` is vᵢ·G and
+    ``b`` is vᵢ, both over the length of the profile. ``distances`` does the same for
+    rows of 1 - S, in which a constant stands beside the terms. ``copies`` (id, copies) gives every
+    record its part in G.
+
+    An ``a`` has an entry for each term that occurs beside one of the id's, so it is as long as
+    the vocabulary at most.
+    """
+    vectors = stage(sparse.join(copies, "id").select(
+        "id", "copies", F.transform("vector", lambda e: F.struct(
+            e.number.alias("number"), e.weight.alias("weight"))).alias("vector")), "gram-vectors")
+    gram = gram_table(vectors)
     if distances:
-        matrix[0, 0] = copies.agg(F.sum("copies")).first()[0]
-        sums = one.groupBy(F.col("x.number").alias("i")).agg(
-            F.sum(F.col("copies") * F.col("x.weight")).alias("s")
-        )
-        for i, s in sums.toPandas().itertuples(index=False):
-            matrix[0, place[i] + 1] = matrix[place[i] + 1, 0] = -s
-    values, axes = np.linalg.eigh(matrix)
-    factor = axes * np.sqrt(np.maximum(values, 0.0))
+        constant = F.struct(F.lit(CONSTANT).cast("long").alias("number"), F.lit(1.0).alias("weight"))
+        with_one = vectors.withColumn("vector", F.concat(F.array(constant), "vector"))
+        signed = F.when((F.col("k") == CONSTANT) != (F.col("l") == CONSTANT), -F.col("g"))
+        gram = gram_table(with_one).withColumn("g", F.coalesce(signed, "g"))
+        vectors = with_one
+    gram = stage(gram, "gram")
+    terms, rows = gram.agg(F.countDistinct("l")).first()[0], vectors.count()
+    columns, chunks = max(1, -(-terms // COLUMNS)), max(1, -(-rows // ROWS))
 
-    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = np.zeros((len(batch), d + shift))
-            if distances:
-                rows[:, 0] = 1.0
-            for r, (terms, weights) in enumerate(zip(batch["terms"], batch["weights"])):
-                rows[r, [place[t] + shift for t in terms]] = weights
-            rows = rows @ factor
-            rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-            yield pd.DataFrame({"id": batch["id"], "dense": list(rows)})
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = vectors.select(
+        "id", F.col("vector.number").alias("numbers"), F.col("vector.weight").alias("weights"),
+        F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"),
+        every(columns).alias("block"))
+    right = gram.select(
+        "k", "l", "g", every(chunks).alias("chunk"),
+        F.pmod(F.xxhash64("l"), F.lit(columns)).cast("int").alias("block"))
+
+    products = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(
+        _multiply, "id long, numbers array<long>, values array<double>, square double")
+    whole = products.groupBy("id").agg(
+        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("numbers", "values")))).alias("product"),
+        F.sqrt(F.greatest(F.sum("square"), F.lit(0.0))).alias("length"))
 
-    return sparse.select(
-        "id", F.col("vector.number").alias("terms"), F.col("vector.weight").alias("weights")
-    ).mapInPandas(project, "id long, dense array<double>")
+    def scaled(column: str, number: str, weight: str) -> Column:
+        return F.transform(column, lambda e: F.struct(
+            e[number].alias("number"), (e[weight] / F.col("length")).alias("weight")))
 
+    return whole.filter("length > 0").join(vectors, "id").select(
+        "id", scaled("product", "numbers", "values").alias("a"),
+        scaled("vector", "number", "weight").alias("b"))
 
-def dense_pairs(dense: DataFrame, at_least: float, pivots: int = 64) -> DataFrame:
-    """All pairs (a, b, sim) of dense unit vectors with cosine at least ``at_least``.
 
-    Angles obey the triangle inequality. Every vector lives in the cell of its nearest pivot
+def _multiply(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+    """Vectors by a block of the Gram matrix's columns, and the block's part of v·G·v."""
+    out, squares = [], [np.empty(0)]
+    if len(one) and len(other):
+        k, row = np.unique(other["k"].to_numpy(), return_inverse=True)
+        columns, column = np.unique(other["l"].to_numpy(), return_inverse=True)
+        block = np.zeros((len(k), len(columns)))
+        block[row, column] = other["g"].to_numpy()
+        step = max(1, CELLS // len(k))
+        for start in range(0, len(one), step):
+            part = one.iloc[start:start + step]
+            found = _written_out(part["numbers"], part["weights"], k) @ block
+            squares.append((found * _written_out(part["numbers"], part["weights"], columns)).sum(axis=1))
+            for i, values in zip(part["id"], found):
+                there = np.flatnonzero(values)
+                out.append((i, columns[there], values[there]))
+    return pd.DataFrame(out, columns=["id", "numbers", "values"]).assign(square=np.concatenate(squares))
+
+
+def profile_pairs(profiles: DataFrame, at_least: float, pivots: int = 64) -> DataFrame:
+    """All pairs (a, b, sim) of ``profile_vectors`` with cosine at least ``at_least``.
+
+    Angles obey the triangle inequality. Every profile lives in the cell of its nearest pivot
     and visits each lower-numbered cell that a partner could live in: one whose pivot is at
     most two cut angles farther than its own. So every similar pair meets exactly once. A cell
     is compared block by block, each a matrix product of bounded size that only yields the
-    similar pairs. The pivots only affect speed. They are ``pivots`` rows picked by hash, so their size is bounded.
+    similar pairs. The pivots only affect speed; they are picked by hash, ``pivots`` or as
+    many as have ``CELLS`` entries.
     """
-    dense = stage(dense, "dense")
-    centres = np.array([
-        row.dense for row in dense.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    ])
-    if not len(centres):
-        return dense.select(F.col("id").alias("a"), F.col("id").alias("b"),
+    lists = stage(profiles.select("id", *[
+        F.col(f"{side}.{part}").alias(side + part[0]) for side in "ab" for part in ("number", "weight")
+    ]), "profiles")
+    longest = lists.agg(F.max(F.size("an"))).first()[0]
+    if longest is None:
+        return lists.select(F.col("id").alias("a"), F.col("id").alias("b"),
                             F.lit(1.0).alias("sim")).filter(F.lit(False))
+    chosen = pd.DataFrame(
+        [row.asDict() for row in lists.select("id", "an", "aw").orderBy(F.xxhash64("id"), "id")
+         .limit(max(1, min(pivots, CELLS // max(longest, 1)))).collect()])
+    known = np.unique(_flat(chosen["an"])[1])
+    centres = _written_out(chosen["an"], chosen["aw"], known)
     cut = math.acos(max(min(at_least - SLACK, 1.0), -1.0)) + SLACK
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = np.array(batch["dense"].tolist()).reshape(len(batch), -1)
-            angles = np.arccos(np.clip(rows @ centres.T, -1.0, 1.0))
-            home = angles.argmin(axis=1)
-            near = angles <= angles.min(axis=1, keepdims=True) + 2 * cut
-            row, cell = np.nonzero(near & (np.arange(len(centres)) <= home[:, None]))
-            yield pd.DataFrame({
-                "id": batch["id"].to_numpy()[row],
-                "dense": list(rows[row]),
-                "cell": cell,
-                "home": home[row] == cell,
-            })
+            step = max(1, CELLS // max(len(known), 1))
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start:start + step]
+                rows = _written_out(part["bn"], part["bw"], known)
+                angles = np.arccos(np.clip(rows @ centres.T, -1.0, 1.0))
+                home = angles.argmin(axis=1)
+                near = angles <= angles.min(axis=1, keepdims=True) + 2 * cut
+                row, cell = np.nonzero(near & (np.arange(len(centres)) <= home[:, None]))
+                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "cell": cell,
+                                    "home": home[row] == cell})
 
-    placed = stage(
-        dense.mapInPandas(
-            place, "id long, dense array<double>, cell int, home boolean"
-        ),
-        "cells",
-    )
+    places = stage(lists.select("id", "bn", "bw").mapInPandas(
+        place, "id long, cell int, home boolean"), "cells")
     least = round(at_least, DIGITS)
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        sims = np.stack(left["dense"].to_numpy()) @ np.stack(right["dense"].to_numpy()).T
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": [], "sim": []})
+        terms = np.unique(_flat(right["bn"])[1])
+        sims = _written_out(left["an"], left["aw"], terms) @ _written_out(
+            right["bn"], right["bw"], terms).T
         sims = np.round(sims, DIGITS)
         a_id, b_id = left["id"].to_numpy()[:, None], right["id"].to_numpy()[None, :]
         apart = ~right["home"].to_numpy()[None, :] | (a_id < b_id)
@@ -236,11 +312,12 @@ def dense_pairs(dense: DataFrame, at_least: float, pivots: int = 64) -> DataFram
         a, b = a_id[i, 0], b_id[0, j]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": sims[i, j]})
 
-    homes, everyone = side_blocks(placed.filter("home"), placed, ["cell"])
-    others = everyone.select(*[F.col(c).alias(c) for c in everyone.columns])
+    block = int(min(4000, max(64, CELLS // max(longest, 1))))
+    homes, everyone = side_blocks(places.filter("home").select("id", "cell"), places, ["cell"],
+                                  block=block)
+    homes = homes.join(lists.select("id", "an", "aw"), "id")
+    others = everyone.join(lists.select("id", "bn", "bw"), "id")
+    others = others.toDF(*others.columns)  # or both sides' columns go by one name
     where = ["cell", "_p", "_q"]
     return homes.groupBy(*where).cogroup(others.groupBy(*where)).applyInPandas(
-        lambda left, right: compare(left, right) if len(left) and len(right) else
-        pd.DataFrame({"a": [], "b": [], "sim": []}),
-        "a long, b long, sim double",
-    )
+        compare, "a long, b long, sim double")

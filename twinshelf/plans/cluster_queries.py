@@ -29,13 +29,13 @@ from .titles import (
 
 
 def _title_vectors(spark, folder, weighting=v.LABELLED_WEIGHTING):
-    """(distinct vectors with their record counts, vocabulary) of the product titles."""
+    """The distinct vectors of the product titles with their record counts."""
     terms = TitleTerms()
     texts = stage(distinct_titles(products(spark, folder), "product_id", "title", terms),
                   "titles")
     grams = text.ngrams(text.word_tokens(F.col("title")), (1, 3))
-    sparse, vocab = v.vectors(texts, grams, weighting)
-    return v.distinct_vectors(stage(sparse, "vectors"), texts, ["vector"])[1], vocab
+    sparse, _ = v.vectors(texts, grams, weighting)
+    return v.distinct_vectors(stage(sparse, "vectors"), texts, ["vector"])[1]
 
 
 _TITLE_VECTORS = f"""{PRODUCTS}, {_TERMS},
@@ -75,7 +75,7 @@ WITH {_TITLE_VECTORS}, pairs AS ({_pairs_sql(0.4)})
 SELECT a, b, round(sim, 6) AS sim FROM pairs
 """)
 def cosine_pairs(spark, folder):
-    one, _ = _title_vectors(spark, folder)
+    one = _title_vectors(spark, folder)
     return similarity.cosine_pairs(one, 0.4).withColumn("sim", F.round("sim", 6))
 
 
@@ -141,10 +141,9 @@ WITH {_TITLE_VECTORS},
 SELECT a, b, round(sim, 6) AS sim FROM p WHERE sim >= 0.75 - 1e-12
 """)
 def profile_cosine(spark, folder):
-    one, vocab = _title_vectors(spark, folder)
-    dense = similarity.profile_vectors(one.select("id", "vector"), vocab,
-                                       one.select("id", "copies"))
-    return similarity.dense_pairs(dense, 0.75).withColumn("sim", F.round("sim", 6))
+    one = _title_vectors(spark, folder)
+    profiles = similarity.profile_vectors(one.select("id", "vector"), one.select("id", "copies"))
+    return similarity.profile_pairs(profiles, 0.75).withColumn("sim", F.round("sim", 6))
 
 
 def _merged_sql(sims: str, within: str, average: bool = False) -> str:
@@ -225,6 +224,119 @@ def cluster_average(spark, folder):
                    space="distance profile")
 
 
+def _kruskal_sql(sims: str, within: str) -> str:
+    """Single linkage one merge at a time: the least pair of ids in different clusters."""
+    return f"""
+sims AS ({sims}),
+near AS MATERIALIZED (
+  SELECT a, b, round(1 - sim, 12) AS d, md5(concat_ws('-', a::VARCHAR, b::VARCHAR)) AS tie
+  FROM sims WHERE round(1 - sim, 12) {within}),
+state(step, id, cluster, distance, gone, kept) AS (
+  SELECT 0, id, id, NULL::DOUBLE, NULL::BIGINT, NULL::BIGINT FROM reps
+  UNION ALL
+  SELECT step + 1, s.id, CASE WHEN s.cluster = m.b THEN m.a ELSE s.cluster END, m.d, m.b, m.a
+  FROM state s, (
+    SELECT least(u.cluster, w.cluster) AS a, greatest(u.cluster, w.cluster) AS b, p.d
+    FROM near p JOIN state u ON u.id = p.a JOIN state w ON w.id = p.b
+    WHERE u.cluster <> w.cluster ORDER BY p.d, p.tie, p.a, p.b LIMIT 1) m),
+merged AS (SELECT id, cluster FROM state WHERE step = (SELECT max(step) FROM state))"""
+
+
+_STEPS = """
+steps AS (SELECT DISTINCT step, distance, kept, gone FROM state WHERE step > 0),
+sizes AS (SELECT step, cluster, sum(copies) AS size FROM state JOIN reps USING (id) GROUP BY ALL)
+SELECT steps.step::BIGINT AS step, kept AS "left", gone AS "right", round(distance, 6) AS distance,
+       size::BIGINT AS size
+FROM steps JOIN sizes ON steps.step = sizes.step AND sizes.cluster = steps.kept
+"""
+
+
+def _single(spark, folder, **how):
+    return cluster_titles(products(spark, folder), "product_id", "title", method="single tree",
+                          inclusive=True, **how)
+
+
+def _numbered(merges):
+    return merges.select(F.col("round").cast("long").alias("step"), "left", "right",
+                         F.round("distance", 6).alias("distance"), "size")
+
+
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_kruskal_sql(_pairs_sql(0.35), '<= 0.65')}, {_STEPS}
+""")
+def merge_tree_single(spark, folder):
+    """The merges of single linkage on cosine distance."""
+    return _numbered(_single(spark, folder, cut=0.65).merges)
+
+
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_profiles_sql('coalesce(s, 0)')},
+{_kruskal_sql('FROM p', '<= 0.25')}, {_STEPS}
+""")
+def merge_tree_single_profile(spark, folder):
+    """The merges of single linkage on rows of the similarity matrix."""
+    return _numbered(_single(spark, folder, cut=0.25, space="profile").merges)
+
+
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_profiles_sql('coalesce(s, 0)')},
+{_merged_sql('FROM p', '<= 0.25')}, {_LISTED}
+""")
+def cluster_profile_close(spark, folder):
+    """Complete linkage on rows of the similarity matrix, at a cut that SQL can follow."""
+    return _listed(spark, folder, cut=0.25, inclusive=True, space="profile")
+
+
+_WARD_K = 12
+_WARD = f"""
+p AS MATERIALIZED (
+  SELECT x.id AS a, y.id AS b, 2 - 2 * coalesce(s, 0) AS q
+  FROM reps x JOIN reps y ON x.id < y.id LEFT JOIN (
+    SELECT u.id AS a, w.id AS b, sum(u.weight * w.weight) AS s
+    FROM weights u JOIN weights w USING (term) WHERE u.id < w.id GROUP BY ALL) t
+  ON t.a = x.id AND t.b = y.id),
+state(step, id, cluster, n, inner_q, distance, gone, kept) AS (
+  SELECT 0, id, id, copies::DOUBLE, 0::DOUBLE, NULL::DOUBLE, NULL::BIGINT, NULL::BIGINT FROM reps
+  UNION ALL
+  SELECT step + 1, s.id, CASE WHEN s.cluster IN (m.a, m.b) THEN m.a ELSE s.cluster END,
+         CASE WHEN s.cluster IN (m.a, m.b) THEN m.n ELSE s.n END,
+         CASE WHEN s.cluster IN (m.a, m.b) THEN m.inner_q ELSE s.inner_q END, m.d, m.b, m.a
+  FROM state s, (
+    SELECT a, b, n, inner_q, sqrt(greatest(round(apart, 10), 0)) AS d FROM (
+      SELECT a, b, na + nb AS n, qa + qb + cross_q AS inner_q,
+             2 * na * nb / (na + nb) * (cross_q / (na * nb) - qa / (na * na) - qb / (nb * nb)) AS apart
+      FROM (
+        SELECT least(u.cluster, w.cluster) AS a, greatest(u.cluster, w.cluster) AS b,
+               any_value(CASE WHEN u.cluster < w.cluster THEN u.n ELSE w.n END) AS na,
+               any_value(CASE WHEN u.cluster < w.cluster THEN w.n ELSE u.n END) AS nb,
+               any_value(CASE WHEN u.cluster < w.cluster THEN u.inner_q ELSE w.inner_q END) AS qa,
+               any_value(CASE WHEN u.cluster < w.cluster THEN w.inner_q ELSE u.inner_q END) AS qb,
+               sum(q * x.copies * y.copies) AS cross_q
+        FROM p JOIN state u ON u.id = p.a JOIN state w ON w.id = p.b
+        JOIN reps x ON x.id = p.a JOIN reps y ON y.id = p.b
+        WHERE u.cluster <> w.cluster GROUP BY 1, 2))
+    ORDER BY round(apart, 10), md5(concat_ws('-', a::VARCHAR, b::VARCHAR)), a, b LIMIT 1) m
+  WHERE step < (SELECT count(*) FROM reps) - {_WARD_K}),
+merged AS (SELECT id, cluster FROM state WHERE step = (SELECT max(step) FROM state))"""
+
+
+@query(f"""
+WITH RECURSIVE {_TITLE_VECTORS}, {_WARD}, {_LISTED}
+""")
+def cluster_ward(spark, folder):
+    """Ward's linkage cut where a fixed number of clusters is left."""
+    return _listed(spark, folder, method="ward", k=_WARD_K)
+
+
+@query()  # hundreds of merges over nearly all pairs of documents: too slow in SQL
+def cluster_documents_loose(spark, folder):
+    """Complete linkage of documents at a loose cut, its pairs found band by band."""
+    rows = table(spark, folder, "documents")
+    found = cluster_titles(rows, "doc_id", "text", TitleTerms(ngrams=(1, 1)),
+                           DOCUMENT_WEIGHTING, cut=0.88, bands=(0.3, 0.5, 0.7, 0.85))
+    return found.records()
+
+
 @query(f"""
 WITH RECURSIVE {_TITLE_VECTORS}, {_merged_sql(_pairs_sql(0.35), '<= 0.65')},
 steps AS (SELECT DISTINCT step, distance, kept, gone FROM state WHERE step > 0),
@@ -302,20 +414,72 @@ def bisecting_kmeans(spark, folder):
     return _centred(spark, folder, centroids.bisecting_kmeans, k=12)
 
 
-@query()
+_MATCHED = f"""
+WITH RECURSIVE {PRODUCTS},
+pooled AS (
+  SELECT CASE WHEN product_id % 2 = 1 THEN 'left' ELSE 'right' END AS side, product_id, brand,
+         regexp_replace(name, '([0-9])([A-Za-z])', '\\1 \\2', 'g') AS title FROM products),
+texts AS (
+  SELECT title, brand, min(product_id * 2 + CASE side WHEN 'left' THEN 0 ELSE 1 END) AS id,
+         count(*) AS copies FROM pooled GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM products),
+split AS (SELECT id, copies, list_filter(string_split(lower(title), ' '),
+            lambda w: w NOT IN ('sale', 'model', 'freeship')) AS t FROM texts),
+counts AS (
+  SELECT 'title' AS feature, id, copies, term, count(*) AS tf FROM (
+    SELECT id, copies, t[i] AS term FROM split, range(1, len(t) + 1) r(i)
+    UNION ALL
+    SELECT id, copies, t[i] || ' ' || t[i + 1] FROM split, range(1, len(t)) r(i)
+    UNION ALL
+    SELECT id, copies, t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]
+    FROM split, range(1, len(t) - 1) r(i)) GROUP BY ALL
+  UNION ALL
+  SELECT 'brand', id, copies, lower(brand), 1 FROM texts WHERE brand IS NOT NULL),
+kept AS (
+  SELECT feature, term, ln((1 + n) / (1 + df)) + 1 AS idf
+  FROM (SELECT feature, term, sum(copies) AS df FROM counts GROUP BY ALL), n
+  WHERE df >= 0.01 * n AND df <= 0.7 * n),
+marks AS (
+  SELECT id, copies, string_agg(feature || '|' || term || '=' || tf, ',' ORDER BY feature, term) AS mark
+  FROM counts JOIN kept USING (feature, term) GROUP BY id, copies),
+reps AS (SELECT mark, min(id) AS id, sum(copies)::BIGINT AS copies FROM marks GROUP BY mark),
+raw AS (SELECT feature, reps.id, term, tf * idf AS w FROM reps JOIN counts USING (id)
+        JOIN kept USING (feature, term)),
+weights AS (SELECT feature, id, term, w / sqrt(sum(w * w) OVER (PARTITION BY feature, id))
+            AS weight FROM raw),
+{_merged_sql("""SELECT a, b, sim FROM (
+  SELECT a.id AS a, b.id AS b, sum(0.5 * a.weight * b.weight) AS sim
+  FROM weights a JOIN weights b USING (feature, term) WHERE a.id < b.id GROUP BY a.id, b.id)
+  WHERE sim >= 0.58 - 1e-12""", '< 0.42')},
+records AS (
+  SELECT side, product_id AS id, coalesce(merged.cluster, texts.id) AS cluster_id
+  FROM pooled JOIN texts ON pooled.title IS NOT DISTINCT FROM texts.title
+                        AND pooled.brand IS NOT DISTINCT FROM texts.brand
+  LEFT JOIN marks ON marks.id = texts.id LEFT JOIN reps USING (mark)
+  LEFT JOIN merged ON merged.id = reps.id)"""
+
+
+@query(f"{_MATCHED} SELECT side, id, cluster_id FROM records")
 def match_catalogues(spark, folder):
     left, right = catalogues(spark, folder)
     return Matcher().match(left, right, "product_id", "product_id").records
 
 
-@query()
+@query(f"""{_MATCHED}
+SELECT cluster_id, count_if(side = 'left')::BIGINT AS n_left, count_if(side = 'right')::BIGINT AS n_right,
+       (n_left * n_right)::BIGINT AS n_pairs
+FROM records GROUP BY cluster_id
+""")
 def match_counts(spark, folder):
     left, right = catalogues(spark, folder)
     found = Matcher().match(left, right, "product_id", "product_id").clusters
     return found.withColumn("n_pairs", F.col("n_left") * F.col("n_right"))
 
 
-@query()
+@query(f"""{_MATCHED}
+SELECT id AS product_id, name, brand, records.cluster_id, side
+FROM records JOIN products ON product_id = id
+""")
 def match_write_back(spark, folder):
     left, right = catalogues(spark, folder)
     records = Matcher().match(left, right, "product_id", "product_id").records

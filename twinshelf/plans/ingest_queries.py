@@ -163,7 +163,7 @@ def flat_documents(spark, folder):
         "l_orderkey", "l_linenumber", "doc.*"
     ).drop(BROKEN)
     return nested_as_text(documents).select(
-        "l_orderkey", "l_linenumber", "id", "categories", "brand"
+        "l_orderkey", "l_linenumber", ingest.whole("id").alias("id"), "categories", "brand"
     )
 
 

@@ -166,6 +166,27 @@ def match_listing(spark, folder):
     )
 
 
+@query(f"""{_compared_sql(_BLOCK)}
+SELECT l.product_id AS left_record, r.product_id AS right_record, left_id, right_id, score,
+       left_lookup, right_lookup
+FROM compared JOIN lp x ON x.id = left_id JOIN rp y ON y.id = right_id
+JOIN l ON (l.brand, l.category, l.name) = (x.brand, x.category, x.name)
+JOIN r ON (r.brand, r.category, r.name) = (y.brand, y.category, y.name)
+WHERE score > 1
+""")
+def match_record_listing(spark, folder):
+    """Every matched pair of records with both lookup texts."""
+    link = linked(spark, folder, "block")
+    pairs = link.record_pairs(link.matches(at_least=2))
+    left, right = catalogues(spark, folder)
+    lookup = lookup_text(F.col("name"), F.col("brand"), F.col("category"))
+    return pairs.join(
+        left.select(F.col("product_id").alias("left_record"), lookup.alias("left_lookup")), "left_record"
+    ).join(
+        right.select(F.col("product_id").alias("right_record"), lookup.alias("right_lookup")), "right_record"
+    ).select("left_record", "right_record", "left_id", "right_id", "score", "left_lookup", "right_lookup")
+
+
 DEDUPE = (Compare("title", "title", "title", "edit", 0.85),)
 
 
@@ -201,6 +222,23 @@ def dedupe_matches(spark, folder):
     )
 
 
+@query(f"""{_DEDUPE_SQL}
+SELECT least(x.product_id, y.product_id) AS left_record,
+       greatest(x.product_id, y.product_id) AS right_record, left_id, right_id
+FROM (SELECT left_id, right_id FROM compared WHERE title >= 1) c
+JOIN p a ON a.id = left_id JOIN p b ON b.id = right_id
+JOIN products x ON (x.cluster_id, x.title) = (a.cluster_id, a.title)
+JOIN products y ON (y.cluster_id, y.title) = (b.cluster_id, b.title)
+WHERE left_id < right_id OR x.product_id < y.product_id
+""")
+def dedupe_record_pairs(spark, folder):
+    """Every pair of records of one table whose titles agree, the lesser first."""
+    link = duplicates(spark, folder)
+    return link.record_pairs(link.matches(at_least=1)).select(
+        F.least("left_record", "right_record").alias("left_record"),
+        F.greatest("left_record", "right_record").alias("right_record"), "left_id", "right_id")
+
+
 @query(f"""{_DEDUPE_SQL}
 SELECT title AS score, sum(n_pairs)::BIGINT AS n_pairs FROM compared GROUP BY title
 """)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import linkage as tree
 from ..operators.selection import copies
-from ..operators.similarity import cosine_pairs, dense_pairs, profile_vectors
+from ..operators.similarity import cosine_pairs, profile_pairs, profile_vectors
 from ..operators.vectors import LABELLED_WEIGHTING, Weighting, distinct_vectors, vectors
 from ..session import stage
 
@@ -75,51 +75,72 @@ def text_of_records(
 def cluster_titles(
     records: DataFrame, id_col: str, title: str, terms: TitleTerms = TitleTerms(),
     weighting: Weighting = LABELLED_WEIGHTING, cut: float = 0.88, method: str = "complete",
-    inclusive: bool = False, space: str = "cosine",
+    inclusive: bool = False, space: str = "cosine", bands: Sequence[float] | None = None,
+    k: int | None = None,
 ) -> TitleClusters:
     """Hierarchical clusters of titles.
 
     ``space`` says which rows are compared by cosine: the term vectors themselves (cosine), the
     rows of their similarity matrix (profile) or of their distance matrix (distance profile).
+    ``method`` is complete, average, single (components only, without merges), single tree or
+    ward. ``bands`` finds the pairs of complete linkage on term vectors band by band, for loose
+    cuts. Ward's linkage has the whole tree as merges and ``k`` clusters in place of a cut.
     Records with the same title share its cluster; a title without terms is its own.
     """
     texts = stage(distinct_titles(records, id_col, title, terms), "titles")
     tokens = text.drop_words(terms.tokenise(F.col("title")), terms.stop_words)
-    sparse, vocab = vectors(texts, text.ngrams(tokens, terms.ngrams), weighting)
+    sparse, _ = vectors(texts, text.ngrams(tokens, terms.ngrams), weighting)
     sparse = stage(sparse, "vectors")
     named, one = distinct_vectors(sparse, texts, ["vector"])
     sizes = one.select("id", "copies")
     members = stage(text_of_records(records, id_col, title, terms, texts), "members")
+    ids = sizes.select("id")
+    if method == "ward":
+        if k is None or space != "cosine":
+            raise ValueError("Ward's linkage takes term vectors and a number of clusters")
+        merges = tree.ward(one.select("id", "vector"), sizes)
+        labels = tree.clusters(ids, stage(tree.cut_to(merges, ids, k), "cut"))
+        return TitleClusters(texts, merges, _labelled(texts, named, labels), members)
     if space == "cosine" and (cut > 1 or (cut == 1 and inclusive)):
         # Weights are not negative, so every two titles with a term are within the cut.
         return TitleClusters(texts, None, _one_cluster(texts, named), members)
-    dense = None
+    if bands is not None:
+        if method != "complete" or space != "cosine":
+            raise ValueError("bands are for complete linkage of term vectors")
+        merges = tree.complete_by_bands(one.select("id", "vector"), sizes, cut, inclusive, bands)
+        return TitleClusters(texts, merges, _labelled(texts, named, tree.clusters(ids, merges)), members)
+    sides = None
     if space == "cosine":
         pairs = cosine_pairs(one, max(1.0 - cut, LEAST))
         if method == "average":
-            dense = written_out(one, vocab)
+            vector = F.transform("vector", lambda e: F.struct(
+                e.number.alias("number"), e.weight.alias("weight")))
+            sides = one.select("id", vector.alias("a"), vector.alias("b"))
     else:
-        dense = stage(
-            profile_vectors(one.select("id", "vector"), vocab, sizes,
-                            distances=space == "distance profile"),
-            "profiles",
-        )
-        pairs = dense_pairs(dense, 1.0 - cut)
-    ids = sizes.select("id")
+        sides = stage(profile_vectors(one.select("id", "vector"), sizes,
+                                      distances=space == "distance profile"), "sides")
+        pairs = profile_pairs(sides, 1.0 - cut)
     if method == "single":
         d = F.round(1.0 - F.col("sim"), 12)
         near = d <= round(cut, 12) if inclusive else d < round(cut, 12)
         merges = None
         labels = tree.components(ids, pairs.filter(near))
+    elif method == "single tree":
+        merges = tree.single_linkage(pairs, sizes, cut, inclusive)
+        labels = tree.components(ids, merges.select(F.col("left").alias("a"), F.col("right").alias("b")))
     else:
-        merges = tree.linkage(pairs, sizes, cut, method, inclusive, dense)
+        merges = tree.linkage(pairs, sizes, cut, method, inclusive, sides)
         labels = tree.clusters(ids, merges)
-    labels = (
+    return TitleClusters(texts, merges, _labelled(texts, named, labels), members)
+
+
+def _labelled(texts: DataFrame, named: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, cluster) of all texts from those of the distinct vectors."""
+    return (
         texts.select("id").join(named, "id", "left")
         .join(labels.toDF("vector_id", "cluster"), "vector_id", "left")
         .select("id", F.coalesce("cluster", "id").alias("cluster"))
     )
-    return TitleClusters(texts, merges, labels, members)
 
 
 def _one_cluster(texts: DataFrame, named: DataFrame) -> DataFrame:
@@ -131,22 +152,6 @@ def _one_cluster(texts: DataFrame, named: DataFrame) -> DataFrame:
     )
 
 
-def written_out(sparse: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, dense): the term vectors themselves written out in full, a place for each term."""
-    places = vocab.select("number", (F.row_number().over(Window.orderBy("number")) - 1).alias("at"))
-    size = places.count()
-    sparse = sparse.select("id", F.explode("vector").alias("entry")).join(
-        places, F.col("entry.number") == F.col("number")
-    ).groupBy("id").agg(F.collect_list(F.struct("at", F.col("entry.weight").alias("weight")))
-                        .alias("vector"))
-    marks = F.sequence(F.lit(0), F.lit(max(size, 1) - 1))
-    weights = F.map_from_entries(F.transform("vector", lambda e: F.struct(e.at, e.weight)))
-    return sparse.withColumn("w", weights).select(
-        "id",
-        F.transform(marks, lambda n: F.coalesce(F.element_at("w", n), F.lit(0.0))).alias("dense"),
-    )
-
-
 def assignments(
     records: DataFrame, id_col: str, title: str, found: TitleClusters,
     terms: TitleTerms = TitleTerms(), carry: Sequence[str] = (),

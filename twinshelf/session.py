@@ -3,7 +3,8 @@
 Iterative jobs cut their lineage by writing a table and reading it back. The folder is the
 session's ``spark.checkpoint.dir``, which a cluster sets to shared storage, so a lost
 executor only costs the tasks it was running. Where the setting is absent the folder lies in
-the session's warehouse, which every executor reaches as well.
+the session's warehouse; on a cluster a warehouse in a plain file system is refused, as it may be
+another folder on each machine.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None)
     if not folder:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{folder} may be local to each machine: set {SETTING}")
     return folder.rstrip("/")
 
 
@@ -28,13 +31,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def release(df: DataFrame) -> None:
-    """Delete the staged table behind ``df``, once nothing reads it any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(conf).delete(folder, True)
+def release(df: DataFrame, part: str = "") -> None:
+    """Delete the staged table ``df``, or one part of it, once nothing reads it any more."""
+    folder = df.__dict__.get("staged_at")
+    if folder:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{folder}/{part}".rstrip("/"))
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -42,10 +45,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return counted_stage(df, name, F.lit(True))[0]
 
 
-def counted_stage(df: DataFrame, name: str, counted: Column) -> tuple[DataFrame, int]:
-    """The same, with the number of rows that meet ``counted``, taken while writing."""
+def counted_stage(
+    df: DataFrame, name: str, counted: Column, parts: str | None = None,
+) -> tuple[DataFrame, int]:
+    """The same, with the number of rows that meet ``counted``, taken while writing.
+
+    The rows lie apart by the column ``parts``, if given, so that a part can be released.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     seen = Observation()
-    df.observe(seen, F.count_if(counted).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+    writer = df.observe(seen, F.count_if(counted).alias("rows")).write
+    (writer.partitionBy(parts) if parts else writer).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.staged_at = path
+    return found, seen.get["rows"]
