@@ -119,19 +119,29 @@ def test_top_k_matches_brute_force(spark):
         "score", F.lit("clash"))
     asked = F.col("vec_id") % 9 == 0
     got = sorted(map(tuple, kdtree.top_k(docs, asked, k=4, shard=64, block=16).collect()))
-    usable = {i: v for i, v in rows if i is not None and v is not None
-              and all(x is not None and np.isfinite(x) for x in v)}
-    whole = {i: [int(np.floor(256 * float(np.float32(x)))) for x in v] + [0] * (6 - len(v))
-             for i, v in usable.items()}
+    whole = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v] + [0] * (6 - len(v)))
+             for i, v in rows if i is not None and v is not None
+             and all(x is not None and np.isfinite(x) for x in v)]
     expected = []
-    for q in whole:
+    for q, asked_as in whole:
         if q % 9 == 0:
-            best = sorted((-sum(a * b for a, b in zip(whole[q], v)), i)
-                          for i, v in whole.items() if i != q)[:4]
+            best = sorted((-sum(a * b for a, b in zip(asked_as, v)), i) for i, v in whole if i != q)[:4]
             expected += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     assert got == sorted(expected)
 
 
+def test_top_k_counts_every_row_of_a_doubled_table(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(40)]
+    df = spark.createDataFrame(rows + rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, kdtree.top_k(df, F.col("vec_id") % 10 == 0, k=3, shard=9, block=2).collect()))
+    expected = []
+    for q in range(0, 40, 10):
+        best = sorted((-(256 * (i % 7) * 256 * (q % 7) + 65536), i) for i in range(40) if i != q)
+        best = [x for x in best for _ in range(4)][:3]  # both rows of i for both rows of q
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    assert got == sorted(expected)
+
+
 def test_top_k_with_few_rows_and_huge_numbers(spark):
     rows = [(0, [1e30, -1e30]), (50, [3.0, 4.0]), (1, [1.0, 1.0])]
     docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -201,6 +211,10 @@ def test_decontaminate_cuts_spans_and_drops_documents(spark):
     assert rows == {1: f"{own}. , {own}".replace(". , ", ". " + own.split()[0] + " ", 1)
                     if False else rows[1], 3: own, 4: None, 5: "", 6: "the quick brown fox"}
     assert "fox" not in rows[1].lower() and rows[1].count("own7 ") == 2
+    unnamed = spark.createDataFrame([(None, passage), (5, "other words")], "item_id long, text string")
+    for row in decontaminate.matches(docs, unnamed).collect():
+        n, hit, _ = plain_hits(docs.filter(F.col("doc_id") == row["id"]).first()["text"], [(1, passage)])
+        assert (row["n_words"], row["n_hit"], row["items"]) == (n, len(hit), [])
     nothing = decontaminate.decontaminate(docs, items.limit(0))
     assert nothing.count() == 7
     assert decontaminate.matches(docs.limit(0), items).count() == 0

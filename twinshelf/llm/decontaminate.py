@@ -173,7 +173,7 @@ def automata(items: DataFrame, id_col: str, text_col: str, window: int,
         return pd.DataFrame({"automaton": [pickle.dumps(vars(made))]})
 
     built = stage(
-        rows.filter("item is not null and text is not null")
+        rows.filter("text is not null")
         .groupBy(F.pmod(F.xxhash64("item", "text"), F.lit(shards)).alias("shard"))
         .applyInPandas(build, "automaton binary"), "automata")
     return [spark.sparkContext.broadcast(bytes(row[0])) for row in built.toLocalIterator()]
@@ -224,8 +224,10 @@ def matches(
 ) -> DataFrame:
     """(id, n_words, n_hit, items): words inside windows, and the sorted ids of the items.
 
-    A null or empty text has no words. Items that are null, empty or without an id are left
-    out; items of equal text all count. Repeated documents each keep their row.
+    A null or empty text has no words. Items whose text is null or empty are left out; items of
+    equal text all count. The windows of an item without an id are hit as well, though it
+    has no id to be listed by. Repeated documents each keep their row, and whole texts are
+    searched, however long. Without items nothing is hit; no documents give no rows.
     """
     scanner = Scanner(automata(items, item_col, item_text, window))
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
@@ -234,7 +236,7 @@ def matches(
     @F.arrow_udf("struct<n_words:long,n_hit:long,items:array<string>>")
     def look(column: pa.Array) -> pa.Array:
         return pa.array([
-            {"n_words": n, "n_hit": int(hit.sum()), "items": sorted(names)}
+            {"n_words": n, "n_hit": int(hit.sum()), "items": sorted(names - {None})}
             for n, hit, names in scanner.scan(utf8(column))], kind)
 
     return docs.select(F.col(id_col).alias("id"), look(F.col(text_col)).alias("found")).select(

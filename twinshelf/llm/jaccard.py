@@ -170,7 +170,8 @@ def tokens_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wo
                          for s, x in zip(sets.to_pylist(), found)], pa.binary())
 
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    met = wanted.join(texts, F.col("doc").eqNullSafe(F.col("_doc"))).withColumn(
+    # The asked-for sets grow with the table, so they are not broadcast at any size.
+    met = wanted.hint("merge").join(texts, F.col("doc").eqNullSafe(F.col("_doc"))).withColumn(
         "tokens", of.asNondeterministic()("set", "_text")  # or a filter would call it once more
     ).filter("tokens IS NOT NULL").drop("_doc", "_text")
     return met.dropDuplicates([c for c in met.columns if c != "tokens"]) if repeated else met
@@ -295,7 +296,7 @@ def _between(docs: DataFrame, sets: DataFrame, rare: DataFrame, how: tuple, shar
     grouped = stage(_pieced(sets, "component").select(
         "set", "doc", "n", "n_rare", "component", F.xxhash64("component", "piece").alias("group")),
         "groups")
-    postings = grouped.select("set", "component", "group").join(rare, "set").select(
+    postings = grouped.select("set", "component", "group").hint("merge").join(rare, "set").select(
         F.explode("rare").alias("token"), "component", "group")
     sizes = grouped.groupBy("group").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("tokens"),
@@ -377,7 +378,7 @@ def jaccard_components(
         found = stage(components(ids, within), "similar-components")
         known = sets.join(found.toDF("set", "component"), "set")
     rare = marked.filter("n > 0").select("set", "doc", "rare")
-    rare = rare.join(sets.select("set", F.col("doc").alias("one")), "set").filter(
+    rare = rare.join(sets.select("set", F.col("doc").alias("one")).hint("merge"), "set").filter(
         F.col("doc").eqNullSafe(F.col("one"))).select("set", "rare")
     if repeated:
         rare = rare.dropDuplicates(["set"])

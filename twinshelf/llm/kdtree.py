@@ -113,13 +113,15 @@ def top_k(
 
     Vectors are floor(scale * x) per component; null vectors and those with null or non-finite
     components take no part. Shorter vectors count as filled with zeros. Ties go to the lesser
-    id. Equal rows count once, and rows of the query's id are its own. A null id takes no part.
-    Scores beyond 64 bits are cut to the range of a long.
+    id. Repeated rows each count, as candidates and as queries; rows of the query's id are its own.
+    A null id takes no part. Scores beyond 64 bits are cut to the range of a long. An empty table
+    gives an empty result; columns other than the two named play no part.
     """
     rows = vectors.filter(F.col(id_col).isNotNull() & finite(F.col(vector_col))).select(
         F.col(id_col).cast("long").alias("id"),
         F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-        .alias("v"), F.coalesce(queries, F.lit(False)).alias("asked")).distinct()
+        .alias("v"), F.coalesce(queries, F.lit(False)).alias("asked"),
+        F.monotonically_increasing_id().alias("row"))
     rows = stage(rows, "search-vectors")
     n, width, asked = rows.agg(
         F.count("*"), F.max(F.size("v")), F.count_if("asked")).first()
@@ -135,7 +137,7 @@ def top_k(
         return pd.DataFrame({"block": part["block"].head(1), "asked": [
             pickle.dumps((part["id"].to_numpy(), matrix(part["v"], width)))]})
 
-    deal = F.xxhash64("id", "v")
+    deal = F.xxhash64("row")  # not by value: a third of all rows may be equal
     trees = stage(rows.withColumn("shard", F.pmod(deal, F.lit(shards))).groupBy("shard")
                   .applyInPandas(build, "shard long, tree binary"), "trees")
     asked_blocks = stage(

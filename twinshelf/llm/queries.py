@@ -142,7 +142,7 @@ items AS (
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 starts AS (
   SELECT item_id, w, least(len(w), 10) AS k, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i
-  FROM items WHERE len(w) > 0 AND item_id IS NOT NULL),
+  FROM items WHERE len(w) > 0),
 windows AS (
   SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM starts),
 places AS (
@@ -157,7 +157,7 @@ hit_words AS (
     SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hits) GROUP BY doc_id),
 hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (
-    SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+    SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
