@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
@@ -36,17 +38,29 @@ def remainder(id_column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def _give_back() -> None:
+    """Freed memory stays with the process otherwise, beside what comes next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim is not None:
+        trim(0)
+
+
 def remembered(owner: str, name: str, make: Callable[[], object], key: object = None) -> object:
     """What a reused Python worker keeps from one task to the next, made on first use.
 
     Functions travel with the job, so their own module's globals are new in every task. With
     another ``key`` it is made anew. A worker keeps things of one ``owner`` only: when another
-    operator comes to it, those of the one before go.
+    operator comes to it, those of the one before go, back to the system.
     """
     memory = sys.modules.setdefault("_worker_memory", ModuleType("_worker_memory")).__dict__
     if memory.get("owner") != owner:
+        before = memory.get("owner")
         memory.clear()
         memory["owner"] = owner
+        if before is not None:
+            _give_back()
     if name not in memory or memory[name][0] != key:
         memory[name] = key, make()
     return memory[name][1]

@@ -35,9 +35,9 @@ from .batches import remembered, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 8
 #: Bytes that a worker's memory of words may take, and the longest word in it.
-REMEMBERED, LONGEST = 96 << 20, 200
+REMEMBERED, LONGEST = 64 << 20, 200
 #: Bytes of text whose words are looked up in one go.
-STRETCH = 1 << 20
+STRETCH = 1 << 19
 #: The longest runs that are segmented together.
 TOGETHER = 48
 SPACE = "▁"
@@ -306,7 +306,7 @@ class Encoder:
             points = np.frombuffer(line.encode("utf-32-le"), "<i4").reshape(-1, length)
             grid = model.of_char[points]
             plain = (grid >= 0).all(axis=1) if length <= TOGETHER else np.zeros(len(where), bool)
-            for at in np.array_split(np.flatnonzero(plain), max(1, plain.sum() * length // 400_000)):
+            for at in np.array_split(np.flatnonzero(plain), max(1, plain.sum() * length // 100_000)):
                 ids, n = model.segment_together(grid[at], self.rate, keys[variant[where[at]]])
                 parts.append(ids.astype(np.int32))
                 starts[where[at]], sizes[where[at]] = used + np.cumsum(n) - n, n
