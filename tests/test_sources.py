@@ -1,11 +1,12 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinshelf import schemas
+from twinshelf import schemas, session
 from twinshelf.functions.documents import nested_as_text, parse
 from twinshelf.operators import selection
 from twinshelf.operators.ordering import number_rows, number_within
@@ -223,3 +224,31 @@ def test_sizes_run_over_blocks_of_parts(spark, monkeypatch):
     df = spark.range(900).repartition(5)
     got = number_rows(df, ["id"], rows=30).collect()
     assert all(r.number == r.id + 1 for r in got) and len(got) == 900
+
+
+def test_a_local_work_folder_is_refused_on_a_cluster():
+    def on(master, **settings):
+        conf = SimpleNamespace(get=lambda name, default=None: settings.get(name.replace(".", "_"), default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    warehouse = {"spark_sql_warehouse_dir": "file:/home/x/spark-warehouse"}
+    assert session.work_folder(on("local[8]", **warehouse)) == "file:/home/x/spark-warehouse/_work"
+    with pytest.raises(ValueError):
+        session.work_folder(on("spark://host:7077", **warehouse))
+    shared = {"spark_sql_warehouse_dir": "hdfs://store/warehouse"}
+    assert session.work_folder(on("yarn", **shared)) == "hdfs://store/warehouse/_work"
+    assert session.work_folder(on("yarn", spark_checkpoint_dir="/shared/c/")) == "/shared/c"
+
+
+def test_staged_tables_are_released_whole_or_in_part(spark):
+    df = spark.createDataFrame([(1, True), (2, False)], "id long, kept boolean")
+    staged, n = session.counted_stage(df, "parts", F.col("kept"), "kept")
+    assert n == 1 and staged.count() == 2
+    session.release(staged, "kept=false")
+    assert [r.id for r in spark.read.parquet(staged.staged_at).collect()] == [1]
+    empty = session.stage(df.limit(0), "empty")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(empty.staged_at)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert files.exists(folder)
+    session.release(empty)
+    assert not files.exists(folder)
