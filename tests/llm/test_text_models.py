@@ -307,6 +307,40 @@ def test_language_of_held_out_documents(spark):
     assert kept.columns == ["doc_id", "text", "_language"] and {r[0] for r in kept.collect()} <= {-4}
 
 
+def invented(seed, syllables, words=300):
+    """A function that makes texts of one invented language."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(words)]
+    return lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+def test_rare_languages_are_recognised(spark):
+    common = invented(1, ["th", "er", "on", "an", "re", "he", "in", "ed"])
+    rare = invented(2, ["ka", "lu", "mi", "po", "tse", "nga"])
+    copied = invented(3, ["gwy", "dd", "llo", "fa", "wr", "yn"])
+    once = copied(80)
+    rows = [(common(90), "aa") for _ in range(100)] + [(rare(90), "bb") for _ in range(3)]
+    rows += [(once, "cc")] * 2_000 + [(copied(90), "cc") for _ in range(6)] + [("qq zz 7", "dd"), ("...", "ee")]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == ["aa", "bb", "cc", "dd"]
+    asked = [(make(60), name) for make, name in ((common, "aa"), (rare, "bb"), (copied, "cc")) for _ in range(20)]
+    docs = spark.createDataFrame(asked, "text string, lang string")
+    got = docs.select("lang", language.predicted(spark, model, "text").alias("p")).collect()
+    assert [r["p"]["lang"] for r in got] == [r["lang"] for r in got]
+    assert language.identified(docs, model).count() == len(asked)
+
+
+def test_language_is_learnt_from_all_parts_of_texts(spark):
+    head, tail = invented(1, ["th", "er", "on", "an"]), invented(2, ["ka", "lu", "mi", "po"])
+    rows = [(f"{head(300)} {tail(3_000)}", "bb") for _ in range(40)] + [(head(300), "aa") for _ in range(40)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = language.fit(docs)
+    assert sorted(model.texts) == sorted(language.fit(docs.repartition(5)).texts)
+    assert model.predict([tail(100)])[0][0] == "bb"
+    longest = " ".join([tail(2_000)] * 400)
+    assert len(longest) > 4_000_000 and model.predict([longest, head(50)])[0][0] == "bb"
+
+
 def test_language_without_labels(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     model = language.fit(docs)

@@ -4,7 +4,7 @@ For each language a suffix automaton holds a sample of its labelled text. A text
 against it into phrases: the longest match that the automaton knows, then the next one, and so
 on. Text of the automaton's language needs few, long phrases. The number of phrases per byte is
 divided by that of other labelled text of the same language, and the language with the least
-quotient wins.
+quotient wins. A language with few texts learns that number by leaving texts out in turn.
 
 Letters are compared as lower-case UTF-8, everything else in ASCII is one space. A text is
 parsed in stretches of ``STRETCH`` bytes, whose phrases are added up, so that many stretches
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,14 @@ from pyspark.sql import functions as F
 
 from .batches import chunks, remembered, utf8
 
-#: The fitted sample: documents of each language (those with the least hashes, on average),
-#: the characters read of each, and the bytes that an automaton is made of.
-DOCUMENTS, CHARACTERS, BYTES = 120, 4_000, 40_000
+#: The fitted sample: different texts of each language, those with the least hashes, and the
+#: characters read of them in all. A text gives its share from a place that its hash draws.
+DOCUMENTS, CHARACTERS = 120, 40_000
+#: Parts that a language's texts are dealt to, each being left out in turn or, from
+#: ``FOLDS * FOLDS`` texts on, only the first.
+FOLDS = 5
+#: A language's own text has at most this share of the phrases that foreign text has.
+FOREIGN = 0.9
 STRETCH = 1024
 #: How sharply quotients become scores, and the quotient from which no language fits.
 SHARPNESS, MISFIT = 12.0, 2.5
@@ -122,21 +128,44 @@ def rates(parser: CrossParser, texts: list[bytes]) -> np.ndarray:
     return found / np.maximum(1, [len(t) for t in texts])
 
 
+def left_out(texts: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """(learnt, held) pairs of a language's texts; a single text is cut in two."""
+    if len(texts) == 1:
+        words = texts[0].split()
+        half = len(words) // 2
+        texts = [b" %b " % b" ".join(w) for w in (words[:half], words[half:]) if w]
+    folds = min(FOLDS, len(texts))
+    used = 1 if len(texts) >= FOLDS * FOLDS else folds
+    return [(b"".join(chain.from_iterable(texts[i::folds] for i in range(folds) if i != fold)),
+             b"".join(texts[fold::folds])) for fold in range(used) if folds > 1]
+
+
 class CrossParsingModel:
-    """Sample text and usual rate of every language; automata are made where they are used."""
+    """Sample text and usual rate of every language; automata are made where they are used.
+
+    ``samples`` holds each language's different texts, dealt in the order given. The usual rate
+    is that of texts that were left out. Foreign text bounds it: too few or too odd samples
+    tell little of their language, and must not make it fit all others.
+    """
 
     def __init__(self, samples: dict[str, list[str]]):
-        self.languages, self.texts, self.usual = [], [], []
+        self.languages, self.texts, usual, held_texts = [], [], [], []
         for language in sorted(samples):
-            texts = [t for t in map(normal, sorted(set(samples[language]))) if t]
-            held = texts[::5] if len(texts) >= 5 else texts
-            learnt = [t for i, t in enumerate(texts) if i % 5] if len(texts) >= 5 else texts
-            text = b"".join(learnt)[:BYTES]
-            if text:
-                rate = rates(CrossParser(text), [b"".join(held)])[0]
-                self.languages.append(language)
-                self.texts.append(text)
-                self.usual.append(max(rate, 1e-3))
+            texts = [t for t in map(normal, samples[language]) if t]
+            if not texts:
+                continue
+            pairs = left_out(texts)
+            phrases = sum(rates(CrossParser(learnt), [held])[0] * len(held)
+                          for learnt, held in pairs)
+            self.languages.append(language)
+            self.texts.append(pairs[0][0] if len(pairs) == 1 else b"".join(texts))
+            usual.append(phrases / sum(len(held) for _, held in pairs) if pairs else np.inf)
+            held_texts.append(pairs[0][1] if len(pairs) == 1 else b"".join(texts))
+        self.usual = []
+        for at, text in enumerate(self.texts):
+            others = [t for i, t in enumerate(held_texts) if i != at]
+            foreign = rates(CrossParser(text), others).min() if others else 1.0
+            self.usual.append(max(min(usual[at], FOREIGN * foreign), 1e-3))
 
     def quotients(self, texts: list[bytes]) -> np.ndarray:
         """Phrases against the usual number, a column for each language."""
@@ -168,26 +197,37 @@ class CrossParsingModel:
 
 def fit(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-    documents: int = DOCUMENTS,
+    documents: int = DOCUMENTS, characters: int = CHARACTERS,
 ) -> CrossParsingModel:
-    """Fit on labelled rows; those without a text or a language are left out."""
-    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
-        "text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    """Fit on labelled rows; those without a text or a language are left out.
+
+    At most ``documents`` different texts of a language are drawn, by hash, so repeated rows
+    count once and the draw does not depend on the rows' order. They give ``characters`` in all:
+    each the same number, from anywhere in the text, and a shorter one all it has. An empty
+    table gives a model without languages.
+    """
+    labelled = docs.select(
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+    ).filter("text is not null and lang is not null").withColumn("hash", F.xxhash64("text"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(
+        F.approx_count_distinct("hash").alias("n")).collect()}
     if not sizes:
         return CrossParsingModel({})
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
-    wanted = reduce(lambda a, b: a | b, [
-        (F.col("lang") == lang) & (place < documents / n) for lang, n in sizes.items()])
-    rows = labelled.filter(wanted).select("lang", F.substring("text", 1, CHARACTERS).alias("text"))
+    # Twice the texts wanted, as their number is not exact; all of a small language.
+    place = F.pmod("hash", F.lit(1 << 30)) / (1 << 30)
+    drawn = reduce(lambda a, b: a | b, [
+        (F.col("lang") == lang) & (place < 2 * documents / n) for lang, n in sizes.items()])
+    share = reduce(lambda otherwise, lang: F.when(
+        F.col("lang") == lang, -(-characters // min(documents, sizes[lang]))).otherwise(otherwise),
+        sizes, F.lit(0)).cast("int")
+    start = F.pmod(F.shiftright("hash", 30), F.greatest(F.lit(1), F.length("text") - share + 1))
+    passages = labelled.filter(drawn).select(
+        "lang", "hash", F.col("text").substr((start + 1).cast("int"), share).alias("text"))
+    rows = passages.groupBy("lang", "hash").agg(F.min("text").alias("text")).collect()
     samples: dict[str, list[str]] = {lang: [] for lang in sizes}
-    for row in rows.distinct().limit(4 * documents * len(sizes)).collect():
-        samples[row["lang"]].append(row["text"])
-    missing = [lang for lang in sizes if not samples[lang]]  # few or equal texts, none drawn
-    for lang in missing:
-        few = labelled.filter(F.col("lang") == lang).select(
-            F.substring("text", 1, CHARACTERS).alias("text")).distinct()
-        samples[lang] = [r["text"] for r in few.orderBy(F.xxhash64("text")).limit(5).collect()]
+    for row in sorted(rows, key=lambda r: (r["hash"] % (1 << 30), r["hash"])):
+        if len(samples[row["lang"]]) < documents:
+            samples[row["lang"]].append(row["text"])
     return CrossParsingModel(samples)
 
 
@@ -195,7 +235,8 @@ def predicted(spark, model: CrossParsingModel, text: str) -> Column:
     """struct(lang, score, quotient) of a text column.
 
     A null text or one without letters is ``und`` with score 0. Equal quotients go to the
-    first language by name.
+    first language by name. Whole texts are parsed, however long, in parts of bounded size;
+    repeated rows get equal results, an empty table none.
     """
     shared = spark.sparkContext.broadcast(model)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("quotient", pa.float64())])
@@ -213,7 +254,8 @@ def identified(docs: DataFrame, model: CrossParsingModel, text_col: str = "text"
     """The rows of ``docs`` with letters that some learned language fits.
 
     Rejected are null texts, texts without letters, and texts whose best language needs
-    ``misfit`` times its usual number of phrases.
+    ``misfit`` times its usual number of phrases. Repeated rows are judged alike, an empty table
+    stays empty, and columns of any name are kept as they are.
     """
     mark = "_language"
     while mark in docs.columns:
