@@ -80,6 +80,32 @@ def test_main_text_of_a_page(tags):
     assert html_text.main_text(page) == "\n\n".join(expected)
 
 
+@pytest.mark.parametrize("body, kept", [
+    # Two articles side by side.
+    ("<article><p>{0}</p><p>{1}</p><p>{2}</p></article><article><p>{3}</p><p>{0}</p></article>", "012 30"),
+    # A lead before the article, wrapped or bare.
+    ("<div><p>{0}</p></div><article><p>{1}</p><p>{2}</p><p>{3}</p></article>", "0123"),
+    ("<p>{0}</p><article><p>{1}</p><p>{2}</p><p>{3}</p></article><div><p>{0} By the author.</p></div>", "0123"),
+    # Names that a topic gives; parts with such names go.
+    ('<article><p>{0}</p><section id="discussion"><h2 class="section-header">H</h2><p id="social-impact">{1}</p>'
+     '</section><p>{2}</p><div class="social"><a href="a">x</a> <a href="b">y</a></div>'
+     '<div class="discussion"><p>{3}</p></div><p class="advert">{3}</p></article>', "0H12"),
+    # A page in one form; a form beside the text.
+    ('<form action="p.aspx"><nav>Menu</nav><div><h1>H</h1><p>{0}</p><p>{1}</p><p>{2}</p></div>'
+     "<footer>f</footer></form>", "H012"),
+    ("<div><p>{0}</p><p>{1}</p><p>{2}</p><form><p>{3}</p></form></div>", "012"),
+    # No wrapper: a list and a short block between paragraphs.
+    ("<p>{0}</p><ul><li>H</li></ul><div>I</div><p>{1}</p><p>{2}</p><footer>f</footer>", "0HI12"),
+    # A second part that holds little.
+    ("<div><div><p>{0}</p><p>{1}</p><p>{2}</p><p>{3}</p><p>{0}</p><p>{1}</p></div><div><p>{2}</p></div></div>",
+     "0123012"),
+])
+def test_all_parts_of_an_article_stay(body, kept):
+    page = f"<html><head><title>t</title></head><body>{body.format(*ARTICLE)}</body></html>"
+    expected = [ARTICLE[int(k)] if k.isdigit() else k for k in kept if k != " "]
+    assert html_text.main_text(page) == "\n\n".join(expected)
+
+
 def test_odd_pages(spark):
     pages = [None, "", "   ", "plain text only", "<p>one", "<nav>menu</nav>", "<p>a</p>" * 2000,
              "<" * 1000, "<![foo[ x ]]><p>y</p>", "<div>" * 3000 + "deep", "<p>&lt;&#233;&nbsp;x</p>", "<!--"]

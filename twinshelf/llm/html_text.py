@@ -4,9 +4,10 @@ The standard library's parser streams a page's events. Block-level tags end a li
 knows its text, the number of tags in it and the element it stands in. The ratio of text to
 tags per line is smoothed with a Gaussian kernel over neighbouring lines, and the smoothed
 ratios are split into two clusters by a threshold halfway between their means. The lines above
-the threshold are seeds of content. Their region is the article or main element, or else the
-lowest element, that holds nearly all their text; it gives all its lines in page order, short
-ones too, except those in elements that are never part of an article.
+the threshold are seeds of content. Their region is the article or main element that holds most
+of their text, with its sibling articles and a lead before it, or else the lowest element that
+holds all seeds; it gives its lines in page order, short ones too, except those in elements that
+are never part of an article.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SIGMA = 1.0
-#: Share of the seeds' text that a region holds at least.
-REGION = 0.8
+#: Clusters of lines whose mean ratios differ by less than this factor are one.
+ALIKE = 1.5
 
 # HTML elements by their role, and names that sites give to parts of a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +45,10 @@ PARTS = set("ad ads advert advertisement adverts advertising banner breadcrumb b
             "sidebar signup skip social sponsor sponsored subscribe subscription toolbar "
             "widget widgets alert discussion login search teaser".split())
 COMMENTS = set("comment comments reply replies respond disqus discussion".split())
+#: Names that a wrapper inside an article may also have from its topic; its text decides.
+TOPICS = set("alert discussion header login notice notices search social".split())
+#: Elements of text, cut only if a whole name is that of a part; headings are never cut by name.
+TEXTS = set("blockquote figcaption p pre".split())
 #: A part's name behind one of these words says what a wrapper has, not what it is.
 HAVING = set("has with no without is hide show".split())
 ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar "
@@ -67,7 +72,8 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parent, self.tag, self.cut = [-1], ["html"], [""]  # cut: "", "tag" or "name"
+        self.parent, self.tag = [-1], ["html"]
+        self.cut = [""]  # "", "tag", "form", "name" or "topic"
         self.open, self.hidden = [0], []
         self.within: list[str] = []  # containers opened in hidden elements
         self.lines: list[tuple[str, int, int, bool]] = []
@@ -93,9 +99,16 @@ class Lines(HTMLParser):
         parts = names_part(given.get("class", "")) | names_part(given.get("id", ""))
         if tag in ("article", "main"):
             return "name" if parts & COMMENTS else ""
+        if tag == "form":
+            return "name" if parts & COMMENTS else "form"
         if tag in FURNITURE or given.get("role", "").lower() in ROLES:
             return "tag"
-        return "name" if parts else ""
+        if tag in TEXTS:
+            parts &= set(f"{given.get('class', '')} {given.get('id', '')}".lower().split())
+        if tag in HEADINGS or not parts:
+            return ""
+        topics = TOPICS if tag == "section" else TOPICS - COMMENTS
+        return "topic" if parts <= topics else "name"
 
     def _end_hidden(self, tag: str, ends: bool) -> None:
         """End hidden elements that were left open, and a head before what it cannot hold."""
@@ -185,13 +198,15 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Halfway between the means of the two clusters that it parts."""
+    """Halfway between the means of the two clusters that it parts; alike values are one."""
     cut = values.mean()
     for _ in range(100):
         low, high = values[values < cut], values[values >= cut]
         if not len(low) or not len(high):
             return float(values.min())
         moved = (low.mean() + high.mean()) / 2
+        if high.mean() < ALIKE * low.mean():
+            return float(values.min())
         if abs(moved - cut) < 1e-9:
             break
         cut = moved
@@ -205,53 +220,111 @@ def main_text(html: str) -> str:
     page.finish()
     if not page.lines:
         return ""
-    n = len(page.tag)
     texts, tags, nodes, headings = zip(*page.lines)
-    holds_main = np.zeros(n, bool)  # an article below: its wrapper is not cut by name
-    for at in range(n - 1, 0, -1):
-        if holds_main[at] or page.tag[at] in ("article", "main") and not page.cut[at]:
-            holds_main[page.parent[at]] = True
-    cut, in_main, only_headings = [False] * n, [False] * n, [False] * n
-    for at in range(1, n):
-        above = page.parent[at]
-        in_main[at] = in_main[above] or page.tag[at] in ("article", "main")
-        own = bool(page.cut[at]) and not (page.cut[at] == "name" and holds_main[at])
-        if own and page.tag[at] == "header" and in_main[above]:
-            own, only_headings[at] = False, True  # an article's own header gives its headings
-        only_headings[at] |= only_headings[above]
-        cut[at] = cut[above] or own
+    lengths = np.array([len(t) for t in texts], float)
+    raw = lengths / np.maximum(1, tags)
+    ratios = smoothed(raw)
+    bar = threshold(ratios)
+    strong = (ratios >= bar) & (raw >= bar)
+    cut, only_headings = cut_elements(page, nodes, lengths, raw >= bar)
     usable = np.array([not cut[v] and (h or not only_headings[v])
                        for v, h in zip(nodes, headings)])
     if not usable.any():
         return ""
-    lengths = np.array([len(t) for t in texts], float)
-    ratios = smoothed(lengths / np.maximum(1, tags))
-    seeds = usable & (ratios >= threshold(ratios))
+    seeds = usable & (ratios >= bar)
     if not seeds.any():
         seeds = usable & (ratios == ratios[usable].max())
+    strong &= seeds
+    if not strong.any():
+        strong = seeds
+    chosen = usable & in_region(page, nodes, headings, lengths, seeds, strong, usable)
+    return "\n\n".join(t for t, use in zip(texts, chosen) if use)
+
 
-    weight, seeded = np.zeros(n), np.zeros(n, bool)
-    for v, size in zip(np.array(nodes)[seeds].tolist(), lengths[seeds].tolist()):
-        seeded[v] = True
-        while v >= 0:
-            weight[v] += size
-            v = page.parent[v]
-    total = weight[0]
-    mains = [v for v in range(n) if page.tag[v] in ("article", "main") and weight[v] >= total / 2]
-    # Children come after their parents, so the last one that holds enough is the lowest.
-    region = max(mains, key=lambda v: (weight[v], v)) if mains else max(
-        v for v in range(n) if weight[v] >= REGION * total)
-    inside = [False] * n
-    for v in range(n):
-        inside[v] = v == region or (v > 0 and inside[page.parent[v]])
-    whole = page.tag[region] not in ("html", "body")
-    return "\n\n".join(
-        t for t, v, use in zip(texts, nodes, usable)
-        if use and inside[v] and (whole or seeded[v]))
+def summed(page: Lines, nodes, values) -> np.ndarray:
+    """Each element's sum over the lines in it and below it."""
+    total = np.bincount(nodes, values, len(page.tag))
+    for at in range(len(total) - 1, 0, -1):  # children come after their parents
+        total[page.parent[at]] += total[at]
+    return total
+
+
+def cut_elements(page: Lines, nodes, lengths, strong) -> tuple[list[bool], list[bool]]:
+    """Which elements are no part of an article, and which give their headings only."""
+    n = len(page.tag)
+    telling = summed(page, nodes, strong)
+    holds_main, in_main = np.zeros(n, bool), [False] * n
+    for at in range(n - 1, 0, -1):  # the wrapper of an article is not cut by name
+        if holds_main[at] or page.tag[at] in ("article", "main") and not page.cut[at]:
+            holds_main[page.parent[at]] = True
+    for at in range(1, n):
+        in_main[at] = in_main[page.parent[at]] or page.tag[at] in ("article", "main")
+
+    def cuts(forms: np.ndarray) -> tuple[list[bool], list[bool]]:
+        cut, only_headings = [False] * n, [False] * n
+        for at in range(1, n):
+            above, kind = page.parent[at], page.cut[at]
+            own = bool(kind)
+            if kind in ("name", "topic") and holds_main[at] or kind == "form" and forms[at]:
+                own = False
+            if kind == "topic" and in_main[above] and telling[at]:
+                own = False
+            if own and page.tag[at] == "header" and in_main[above]:
+                own, only_headings[at] = False, True  # an article's own header: its headings
+            only_headings[at] |= only_headings[above]
+            cut[at] = cut[above] or own
+        return cut, only_headings
+
+    found = cuts(np.zeros(n, bool))
+    if "form" in page.cut:  # some pages stand in one form as a whole
+        open_cut, _ = cuts(np.ones(n, bool))
+        shown = lengths * [not open_cut[v] for v in nodes]
+        held = summed(page, nodes, shown)
+        telling = summed(page, nodes, strong & (shown > 0))
+        forms = (held > held[0] / 2) & (telling >= 2)
+        if any(forms[at] for at in range(n) if page.cut[at] == "form"):
+            found = cuts(forms)
+    return found
+
+
+def in_region(page: Lines, nodes, headings, lengths, seeds, strong, usable) -> np.ndarray:
+    """The lines of the region of content, by the seeds in it."""
+    n, nodes = len(page.tag), np.array(nodes)
+    weight = summed(page, nodes, lengths * seeds)
+    sure = summed(page, nodes, strong)
+    mains = [v for v in range(n)
+             if page.tag[v] in ("article", "main") and weight[v] >= weight[0] / 2]
+    inside = np.zeros(n, bool)
+    if mains:
+        best = max(mains, key=lambda v: (weight[v], v))
+        beside = [v for v in range(1, n) if page.parent[v] == page.parent[best] and sure[v]]
+        inside[best] = True
+        inside[[v for v in beside if page.tag[v] == "article" or v < best]] = True
+    else:
+        # Children come after their parents, so the last one that holds all is the lowest.
+        best = max(v for v in range(n) if sure[v] >= sure[0])
+        inside[best] = page.tag[best] not in ("html", "body")
+    for v in range(1, n):
+        inside[v] |= inside[page.parent[v]]
+    lines = inside[nodes]
+    if mains:  # a lead that stands bare before the article
+        first = np.flatnonzero(lines)[0]
+        lines[:first] |= strong[:first] & (nodes[:first] == page.parent[best])
+    elif not inside[best]:
+        # Without a wrapper: what stands beside a seed, and all from the first seed to the last.
+        lines = np.isin(nodes, nodes[seeds])
+        first = np.flatnonzero(strong)[0]
+        while first and (headings[first - 1] or not usable[first - 1]):
+            first -= 1
+        lines[first:np.flatnonzero(seeds)[-1] + 1] = True
+    return lines
 
 
 def extract(html: str) -> Column:
-    """The main text of a column of pages; a null or empty page has an empty text."""
+    """The main text of a column of pages; a null or empty page has an empty text.
+
+    Whole pages are read, however long; equal pages get equal texts, and an empty table none.
+    """
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         return pa.array([main_text(x) if x else "" for x in column.to_pylist()], pa.string())
