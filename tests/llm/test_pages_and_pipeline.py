@@ -1,6 +1,7 @@
 """URL filter, HTML text and the pipeline."""
 
 import math
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +37,63 @@ def test_rules_and_parts(spark):
     assert {r["verdict"] for r in free} == {"allow"}  # nothing is known to be rejected
 
 
+def plain_verdicts(rows):
+    """(host, path, rule, verdict, margin) of each URL, by counts of all pieces of the labelled URLs."""
+    def symbols(url):  # a character for each byte behind the scheme
+        return (url or "").split("://", 1)[-1].encode().decode("latin-1") + "\n"
+
+    marked = []
+    for url in rows:
+        _, sign, rest = (url or "").partition("://")
+        rest = rest if sign else ""
+        end = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+        host, path = rest[:end].lower(), rest[end:].split("?")[0].split("#")[0]
+        fits = [(len(text), text, kind) for kind, text in queries.URL_RULES
+                if f".{host}".endswith("." + text.split("/", 1)[0]) and path.startswith("/" + text.split("/", 1)[1])]
+        marked.append((host, path, *(max(fits)[1:] if fits else (None, None))))
+    classes = []
+    for kind in ("allow", "block"):
+        texts = sorted(symbols(u) for u in {u for u, m in zip(rows, marked) if m[3] == kind})
+        pieces = Counter(t[a:a + n] for i, t in enumerate(texts) if i % urls.HELD
+                         for n in range(1, urls.ORDER + 2) for a in range(len(t) - n + 1))
+        after = defaultdict(list)
+        for piece, count in pieces.items():
+            after[piece[:-1]].append(count)
+        classes.append((texts[::urls.HELD], pieces, after))
+
+    def rate(text, pieces, after):
+        total = 0.0
+        for at, symbol in enumerate(text):
+            p = 1 / urls.ALPHABET
+            for start in range(at, max(-1, at - urls.ORDER - 1), -1):
+                counts = after.get(text[start:at], [])
+                if counts:
+                    p = (pieces[text[start:at] + symbol] + len(counts) * p) / (sum(counts) + len(counts))
+            total += math.log(p)
+        return total / len(text)
+
+    def ratio(text):
+        return rate(text, *classes[0][1:]) - rate(text, *classes[1][1:])
+
+    good, bad = ([ratio(t) for t in held] for held, _, _ in classes)
+    scores = sorted(good + bad)
+    cuts = scores[:1] + [(a + b) / 2 for a, b in zip(scores, scores[1:])]
+    right = [sum(x >= c for x in good) / len(good) + sum(x < c for x in bad) / len(bad) for c in cuts]
+    cut = next(c for c, r in zip(cuts, right) if r >= max(right) - 1e-12)
+    for url, (host, path, rule, verdict) in zip(rows, marked):
+        above = None if rule else ratio(symbols(url)) - cut
+        yield host, path, rule, verdict or ("allow" if above >= 0 else "block"), above
+
+
+def test_url_query_equals_plain_models(spark):
+    got = queries.op1_url_filter(spark, "/root/testdata/sf0.1").orderBy("page_id").collect()
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").orderBy("page_id").select("url").collect()
+    assert len(got) == len(pages)
+    for row, expected in zip(got, plain_verdicts([r["url"] for r in pages])):
+        assert (row["host"], row["path"], row["rule"], row["verdict"]) == expected[:4]
+        assert row["margin"] == pytest.approx(expected[4], abs=1e-9)
+
+
 def test_markov_probabilities_sum_to_one():
     model = urls.MarkovModel([b"abab", b"abcd", b"bbbb"], order=3)
     for context in (b"", b"a", b"ab", b"zz"):
