@@ -288,3 +288,27 @@ def test_record_pairs_of_profiles(spark, monkeypatch, piece):
     expected = [(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] is not None
                 and a[2] == b[2] is not None and a[3] == b[3]]
     assert sorted(got) == expected
+
+
+@pytest.mark.parametrize("itself", [False, True])
+def test_crowded_keys_are_compared_in_matrices(spark, monkeypatch, itself):
+    for name, value in (("MANY", 0), ("CHEAPER", 1e9), ("SIDE", 5)):
+        monkeypatch.setattr(linking, name, value)
+    rows_l = records(3)
+    rows_r = rows_l if itself else records(4)
+    left = frame(spark, rows_l)
+    right = left if itself else frame(spark, rows_r)
+    compare = (Compare("name", "name", "name", "edit", 0.85),)
+    work = Linkage(left, right, "id", "id", compare, c.block_keys(left, right, "state", "state"),
+                   "state", "state", itself=itself)
+    assert work._crowded(*[df.withColumn("parts", F.array(F.lit(1))) for df in (
+        work._sides["left"].withColumnRenamed("left_key", "right_key"), work._sides["right"])],
+        ["right_key"]).count() > 1
+    got = [(r.left_record, r.right_record) for r in work.record_pairs(work.matches(1)).select(
+        "left_record", "right_record").collect()]
+    expected = [(a[0], b[0]) for a in rows_l for b in rows_r
+                if a[1] is not None and a[1] == b[1] and agree(compare[0], a[3], b[3])]
+    if itself:
+        expected = [pair for pair in expected if pair[0] < pair[1]]
+        got = [tuple(sorted(pair)) for pair in got]
+    assert sorted(got) == sorted(expected)

@@ -16,16 +16,24 @@ from itertools import combinations
 from math import comb
 from operator import add
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import edit_similarity, jaro_winkler_similarity
 from ..session import stage
-from .grid import side_pairs
+from .grid import side_blocks, side_pairs
 
 SLACK = 1e-9
 #: Records of a profile that are paired with those of another at a time.
 PIECE = 1000
+#: Pairs of records that one task lists.
+LISTED = 2_000_000
+#: Pairs of a matrix of shared bigrams in the time of one pair met by a part, least number of met
+#: pairs of a key that is worth matrices, rows on each side of one, and bigrams at a time.
+CHEAPER, MANY, SIDE, WIDE = 16, 200_000, 2000, 4096
 
 
 @dataclass(frozen=True)
@@ -85,7 +93,8 @@ class Compare:
 
 
 def shared_parts(values: DataFrame, compare: Compare) -> DataFrame:
-    """(value, parts): the rarest parts of each distinct string, as far as they are needed.
+    """(value, parts, whole): the rarest parts of each distinct string, as far as they are needed,
+    and all of them.
 
     Parts are bigrams (edit) or characters (Jaro-Winkler); a repeat is a part of its own. All
     values are ordered by the same part frequencies, which makes the prefixes comparable.
@@ -95,7 +104,8 @@ def shared_parts(values: DataFrame, compare: Compare) -> DataFrame:
         # The lengths of shorter partners and its own: two strings share one if, and only if,
         # the shorter is long enough for the longer.
         least = F.ceil(compare.threshold * length - SLACK)
-        return values.select("value", F.sequence(least, length.cast("long")).alias("parts"))
+        lengths = F.sequence(least, length.cast("long"))
+        return values.select("value", lengths.alias("parts"), lengths.alias("whole"))
     width = 2 if compare.method == "edit" else 1
     spots = F.sequence(F.lit(1), length - (width - 1))
     cut = F.when(
@@ -111,10 +121,63 @@ def shared_parts(values: DataFrame, compare: Compare) -> DataFrame:
         "popularity", "part", "nth"
     ).select("part", "nth", F.monotonically_increasing_id().alias("number"))
     ranked = numbered.join(stage(order, "part-order"), ["part", "nth"]).groupBy("value").agg(
-        F.sort_array(F.collect_list("number")).alias("parts")
+        F.sort_array(F.collect_list("number")).alias("whole")
     )
     size = F.greatest(compare.prefix_size(length), F.lit(1)).cast("int")
-    return ranked.withColumn("parts", F.slice("parts", F.lit(1), size))
+    return ranked.select("value", F.slice("whole", F.lit(1), size).alias("parts"), "whole")
+
+
+def _bigram_rows(lists: pa.ChunkedArray, known: np.ndarray, start: int) -> np.ndarray:
+    """Rows × ``WIDE`` of the ``known`` numbers from ``start`` on: 1 where a list holds one."""
+    flat = pa.concat_arrays(lists.chunks)
+    row = np.repeat(np.arange(len(flat)), flat.value_lengths().to_numpy())
+    at = np.searchsorted(known, flat.flatten().to_numpy()) - start
+    out = np.zeros((len(flat), min(WIDE, len(known) - start)), np.float32)
+    here = (at >= 0) & (at < out.shape[1])
+    out[row[here], at[here]] = 1
+    return out
+
+
+def near_in_matrices(
+    left: DataFrame, right: DataFrame, keys: list[str], lead: Compare, itself: bool,
+) -> DataFrame:
+    """Rows of the same ``keys`` that hold enough bigrams in common, as columns ``a_`` and ``b_``.
+
+    One edit touches two bigrams, so strings that agree share all bigrams of the longer but two an
+    edit. The shared ones of ``SIDE`` by ``SIDE`` rows are one matrix product.
+    """
+    kept = [c for c in left.columns if c not in (*keys, "whole")]
+    label, share, reach, ordered = lead.label, 1 - lead.threshold, lead.reach(), bool(itself)
+
+    def compare(one: pa.Table, other: pa.Table) -> pa.Table:
+        known = np.unique(np.concatenate([t["whole"].combine_chunks().flatten().to_numpy()
+                                          if len(t) else [] for t in (one, other)]))
+        n, m = (pc.utf8_length(t[label]).to_numpy() for t in (one, other))
+        found = np.zeros((len(one), len(other)), np.float32)
+        if found.size:
+            for start in range(0, len(known), WIDE):
+                found += _bigram_rows(one["whole"], known, start) @ _bigram_rows(
+                    other["whole"], known, start).T
+            long = np.maximum(n[:, None], m[None, :])
+            least = np.array([max(size - 1 - 2 * int(share * size + SLACK), 0)
+                              for size in range(int(long.max()) + 1)], np.float32)
+            enough = (found >= least[long]) & (
+                np.minimum(n[:, None], m[None, :]) >= reach * long - SLACK)
+        else:
+            enough = np.zeros(found.shape, bool)
+        i, j = map(pa.array, np.nonzero(enough))
+        if ordered:
+            apart = pc.less(one["id"].combine_chunks().take(i), other["id"].combine_chunks().take(j))
+            i, j = i.filter(apart), j.filter(apart)
+        columns = [t[c].combine_chunks().take(at) for t, at in ((one, i), (other, j)) for c in kept]
+        return pa.table(columns, names=[f"{side}_{c}" for side in "ab" for c in kept])
+
+    homes, guests = side_blocks(left, right, keys, block=SIDE)
+    guests = guests.toDF(*guests.columns)  # or both sides' columns go by one name
+    where = [*keys, "_p", "_q"]
+    types = dict(left.dtypes)
+    return homes.groupBy(*where).cogroup(guests.groupBy(*where)).applyInArrow(
+        compare, ", ".join(f"`{side}_{c}` {types[c]}" for side in "ab" for c in kept))
 
 
 def profiles(
@@ -224,9 +287,8 @@ class Linkage:
         if fuzzy:
             lead = fuzzy[0]
             parts = self._parts[lead.label].withColumnRenamed("value", lead.label)
-            left = left.join(parts, lead.label).withColumn("part", F.explode("parts"))
-            right = right.join(parts, lead.label).withColumn("part", F.explode("parts"))
-            join_on.append("part")
+            left = left.join(parts, lead.label)
+            right = right.join(parts, lead.label)
 
         def fits() -> Column:
             checks = []
@@ -241,17 +303,47 @@ class Linkage:
                 checks.append(F.col("a_id") < F.col("b_id"))
             return reduce(lambda p, q: p & q, checks, F.lit(True))
 
-        if not join_on:
+        if not join_on and not fuzzy:
             raise ValueError("a score of 0 asks for every pair")
-        met = side_pairs(left, right, join_on, where=fits)
+        keep = ["id", "copies", *labels]
+        names = [f"{side}_{c}" for side in "ab" for c in keep]
+        if not fuzzy:
+            met = side_pairs(left, right, join_on, where=fits)
+        else:
+            in_matrices = None
+            if lead.method == "edit" and not lead.by_length:
+                if not join_on:
+                    left, right = (df.withColumn("_one", F.lit(0)) for df in (left, right))
+                    join_on = ["_one"]
+                crowded = self._crowded(left, right, join_on)
+                both = [df.select(*join_on, *keep, "whole").join(crowded, join_on, "left_semi")
+                        for df in (left, right)]
+                in_matrices = near_in_matrices(*both, join_on, lead, self.itself).select(*names)
+                left, right = (df.join(crowded, join_on, "left_anti") for df in (left, right))
+            left, right = (df.drop("whole").withColumn("part", F.explode("parts"))
+                           for df in (left, right))
+            met = side_pairs(left, right, [*join_on, "part"], where=fits).select(*names)
+            met = met if in_matrices is None else met.unionByName(in_matrices)
         for c in fuzzy:
             if c.method == "edit":
                 # With a fixed bound Spark stops early; the exact rule follows.
                 least = F.levenshtein(f"a_{c.label}", f"b_{c.label}", self._edits[c.label])
                 met = met.filter(least >= 0)
             met = met.filter(c.agree(F.col(f"a_{c.label}"), F.col(f"b_{c.label}")) == 1)
-        keep = ["id", "copies", *labels]
-        return met.select(*[f"a_{c}" for c in keep], *[f"b_{c}" for c in keep])
+        return met.select(*names)
+
+    def _crowded(self, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        """The ``keys`` whose rows meet by parts more often than matrices of all are worth."""
+        rows, parts = [], []
+        for df, n in ((left, "l"), (right, "r")):
+            rows.append(df.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(n)))
+            parts.append(df.select(*keys, F.explode("parts").alias("part")).groupBy(
+                *keys, "part").agg(F.count(F.lit(1)).cast("double").alias(n)))
+        met = parts[0].join(parts[1], [*keys, "part"]).groupBy(*keys).agg(
+            F.sum(F.col("l") * F.col("r")).alias("met"))
+        found = met.join(rows[0], keys).join(rows[1], keys).filter(
+            (F.col("met") >= MANY) & (F.col("met") * CHEAPER >= F.col("l") * F.col("r")))
+        return stage(found.select(*keys), "crowded")
 
     def matches(self, at_least: int) -> DataFrame:
         """Candidate profile pairs on which at least so many comparisons agree.
@@ -310,21 +402,32 @@ class Linkage:
             F.col(f"own_{label}").eqNullSafe(F.col(label)) for label in columns])
         return own.join(named, "hash").filter(same).select(F.col("id").alias("profile"), "record")
 
-    def record_pairs(self, matches: DataFrame) -> DataFrame:
+    def record_pairs(
+        self, matches: DataFrame, left_texts: DataFrame | None = None,
+        right_texts: DataFrame | None = None,
+    ) -> DataFrame:
         """``matches`` of profiles as pairs of records: left_record and right_record beside all
         that is known of the profiles' match.
 
+        ``left_texts`` and ``right_texts`` (record, and one column more), if given, are joined to
+        the records of their side before these are paired; records without a row have no pair.
+
         A profile's records lie in pieces of about ``PIECE``, and every two pieces of a match are
         expanded by themselves, spread over the tasks, so neither a profile with a third of all
         records nor the product of two sizes is in one place. For one table, pairs within a
         profile are each met once, the lesser record on the left.
         """
-        def pieces(side: str) -> DataFrame:
+        def pieces(side: str, texts: DataFrame | None) -> DataFrame:
+            members = self.members(side)
+            entry = F.struct("record")
+            if texts is not None:
+                members = members.join(texts, "record")
+                entry = F.struct("record", *[c for c in texts.columns if c != "record"])
             held = self._sides[side].select(
                 F.col("id").alias("profile"), F.ceil(F.col("copies") / PIECE).alias("cuts"))
-            return self.members(side).join(held, "profile").withColumn(
+            return members.join(held, "profile").withColumn(
                 "piece", F.pmod(F.xxhash64("record"), "cuts")).groupBy("profile", "piece").agg(
-                F.collect_list("record").alias("records"))
+                F.collect_list(entry).alias("records"))
 
         def spread(n: str) -> Column:
             return F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / PIECE) - 1))
@@ -332,18 +435,29 @@ class Linkage:
         met = matches.withColumn("_p", spread("n_left")).withColumn("_q", spread("n_right"))
         own = F.col("left_id") == F.col("right_id") if self.itself else F.lit(False)
         if self.itself:
+            if left_texts is not None or right_texts is not None:
+                raise ValueError("texts are for two tables")
             met = met.filter(~own | (F.col("_p") <= F.col("_q")))
-        left = pieces("left").toDF("left_id", "_p", "_l")
-        right = pieces("left" if self.itself else "right").toDF("right_id", "_q", "_r")
+        left = pieces("left", left_texts).toDF("left_id", "_p", "_l")
+        right = pieces("left" if self.itself else "right", right_texts).toDF("right_id", "_q", "_r")
+        # So many parts that each lists a bounded number of pairs: by size alone few bytes of
+        # matches, which stand for very many pairs, would go to one task.
+        listed = matches.agg(F.sum("n_pairs")).first()[0] or 0
         met = met.join(left, ["left_id", "_p"]).join(right, ["right_id", "_q"]).repartition(
-            "left_id", "_p", "right_id", "_q")
+            max(1, -(-listed // LISTED)), "left_id", "_p", "right_id", "_q")
         rows = met.withColumn("_a", F.explode("_l")).withColumn("_b", F.explode("_r"))
         if self.itself:
-            rows = rows.filter(~own | (F.col("_p") < F.col("_q")) | (F.col("_a") < F.col("_b")))
-        least, most = F.least("_a", "_b"), F.greatest("_a", "_b")
-        return rows.select(
-            F.when(own, least).otherwise(F.col("_a")).alias("left_record"),
-            F.when(own, most).otherwise(F.col("_b")).alias("right_record"), *matches.columns)
+            rows = rows.filter(~own | (F.col("_p") < F.col("_q")) | (
+                F.col("_a.record") < F.col("_b.record")))
+        swapped = own & (F.col("_a.record") > F.col("_b.record"))
+        found = []
+        for name, side, other, texts in (("left_record", "_a", "_b", left_texts),
+                                         ("right_record", "_b", "_a", right_texts)):
+            found.append(F.when(swapped, F.col(f"{other}.record")).otherwise(
+                F.col(f"{side}.record")).alias(name))
+            found += [F.col(f"{side}.{c}") for c in (texts.columns if texts is not None else [])
+                      if c != "record"]
+        return rows.select(*found, *matches.columns)
 
     def _agreeing_count(self, chosen: tuple[Compare, ...]) -> DataFrame:
         """One row: the number of candidate record pairs on which all of ``chosen`` agree."""

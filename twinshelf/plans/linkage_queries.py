@@ -177,14 +177,13 @@ WHERE score > 1
 def match_record_listing(spark, folder):
     """Every matched pair of records with both lookup texts."""
     link = linked(spark, folder, "block")
-    pairs = link.record_pairs(link.matches(at_least=2))
-    left, right = catalogues(spark, folder)
     lookup = lookup_text(F.col("name"), F.col("brand"), F.col("category"))
-    return pairs.join(
-        left.select(F.col("product_id").alias("left_record"), lookup.alias("left_lookup")), "left_record"
-    ).join(
-        right.select(F.col("product_id").alias("right_record"), lookup.alias("right_lookup")), "right_record"
-    ).select("left_record", "right_record", "left_id", "right_id", "score", "left_lookup", "right_lookup")
+    left, right = [
+        df.select(F.col("product_id").alias("record"), lookup.alias(f"{side}_lookup"))
+        for side, df in zip(("left", "right"), catalogues(spark, folder))
+    ]
+    return link.record_pairs(link.matches(at_least=2), left, right).select(
+        "left_record", "right_record", "left_id", "right_id", "score", "left_lookup", "right_lookup")
 
 
 DEDUPE = (Compare("title", "title", "title", "edit", 0.85),)
