@@ -3,7 +3,9 @@ import math
 from pyspark.sql import functions as F
 
 from twinshelf.functions import strings, text
+from twinshelf.operators.selection import dealt
 from twinshelf.operators import vectors as v
+from twinshelf.plans import text_queries
 
 
 def one(spark, column, *values):
@@ -74,3 +76,23 @@ def test_vectors_are_unit_and_tails_shrink(spark):
         assert math.isclose(sum(e.weight ** 2 for e in row.vector), 1.0)
         assert math.isclose(row.vector[0].tail, 1.0)
         assert [e.tail for e in row.vector] == sorted((e.tail for e in row.vector), reverse=True)
+
+
+def test_rows_are_dealt_to_parts_by_their_number(spark):
+    rows = spark.range(0, 120, 1, 1)
+    parts = dealt(rows, rows.count(), ["id"], rows=10)
+    assert parts.rdd.getNumPartitions() == 12
+    assert sorted(r.id for r in parts.collect()) == list(range(120))
+
+
+def test_titles_are_dealt_before_their_grams_are_counted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text_queries, "dealt", lambda df, n, by: dealt(df, n, by, rows=1))
+    rows = [(1, "red rod", "Brand#1", "SMALL", 3, 1.0), (1, "red rod", "Brand#1", "SMALL", 3, 1.0),
+            (None, "new rod", "Brand#2", "SMALL", 4, 1.0)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, "
+                                "p_size int, p_retailprice double").write.parquet(
+        str(tmp_path / "part.parquet"))
+    found = text_queries.ngrams(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+    counted = {(r.product_id, r.gram): r.n for r in found.collect()}
+    assert counted[1, "red rod"] == 2 and counted[None, "new"] == 1
