@@ -252,3 +252,12 @@ def test_staged_tables_are_released_whole_or_in_part(spark):
     assert files.exists(folder)
     session.release(empty)
     assert not files.exists(folder)
+
+
+def test_selected_products_are_written_before_they_are_sorted(spark):
+    rows = spark.createDataFrame(
+        [(1, 5, "SMALL", "x"), (2, 9, "SMALL", "x"), (3, 1, "SMALL", "x"), (4, 7, "LARGE", "x")],
+        "pid long, price long, category string, brand string")
+    found = products.priced(rows, floor=2, category="SMALL")
+    assert "priced-" in found._jdf.queryExecution().toString()
+    assert [r.pid for r in found.collect()] == [2, 1]

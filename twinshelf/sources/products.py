@@ -11,6 +11,7 @@ from .. import schemas
 from ..functions.documents import parse, usable_id
 from ..functions.text import shop_and_item, url_key, without
 from ..operators.ordering import number_rows
+from ..session import stage
 
 # Least price of a current seller; parts of a price unit; mark to remove.
 CURRENT_SELLER_ABOVE = 3_000_000
@@ -163,7 +164,10 @@ def union_products(*tables: DataFrame) -> DataFrame:
 
 def priced(rows: DataFrame, floor: int | None = None, ceiling: int | None = None,
            category: str | None = None, brand: str | None = None) -> DataFrame:
-    """The selections the sources offer: price range, category, brand; dearest first."""
+    """The selections the sources offer: price range, category, brand; dearest first.
+
+    What is selected is written before it is sorted, as a sort reads its input twice.
+    """
     price: Column = F.col("price")
     if floor is not None:
         rows = rows.filter(price >= floor)
@@ -173,4 +177,4 @@ def priced(rows: DataFrame, floor: int | None = None, ceiling: int | None = None
         rows = rows.filter(F.col("category") == category)
     if brand is not None:
         rows = rows.filter(F.col("brand") == brand)
-    return rows.orderBy(price.desc_nulls_last(), "pid")
+    return stage(rows, "priced").orderBy(price.desc_nulls_last(), "pid")
