@@ -278,3 +278,18 @@ def test_ward_equals_step_by_step(spark, monkeypatch, few):
     with pytest.raises(ValueError):
         tree.cut_to(merges, copies.select("id"), 0)
     assert tree.ward(vectors_of(spark, points).limit(0), copies).count() == 0
+
+
+@pytest.mark.parametrize("method", ["complete", "single"])
+def test_last_rounds_in_one_task_are_the_rounds_of_jobs(spark, monkeypatch, method):
+    points = random_points(40, 9)
+    far = 2 ** 60  # ids that a double does not hold
+    pairs = spark.createDataFrame(
+        [(far + a, far + b, round(float(points[a] @ points[b]), 1)) for a in points for b in points if a < b],
+        "a long, b long, sim double")
+    sizes = spark.createDataFrame([(far + i, i % 3 + 1) for i in points], "id long, copies long")
+    found = []
+    for bound in (0, 300, tree.FINISH):
+        monkeypatch.setattr(tree, "FINISH", bound)
+        found.append(sorted(map(tuple, tree.linkage(pairs, sizes, 0.6, method, True).collect())))
+    assert found[0] and found[0] == found[1] == found[2]
