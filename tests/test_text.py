@@ -6,6 +6,7 @@ from twinshelf.functions import strings, text
 from twinshelf.operators.selection import dealt
 from twinshelf.operators import vectors as v
 from twinshelf.plans import text_queries
+from twinshelf.session import stage
 
 
 def one(spark, column, *values):
@@ -96,3 +97,34 @@ def test_titles_are_dealt_before_their_grams_are_counted(spark, tmp_path, monkey
     assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
     counted = {(r.product_id, r.gram): r.n for r in found.collect()}
     assert counted[1, "red rod"] == 2 and counted[None, "new"] == 1
+
+
+def test_terms_are_counted_without_a_shuffle(spark):
+    rows = [(1, 2, ["b", "a", None, "b", None, "c", "b"]), (2, 1, []), (3, 1, None), (4, 1, ["a"])]
+    texts = stage(spark.createDataFrame(rows, "id long, copies long, t array<string>"), "texts")
+    counts = v.term_counts(texts, F.col("t"))
+    assert {tuple(r) for r in counts.collect()} == {
+        (1, "a", 2, 1), (1, "b", 2, 3), (1, "c", 2, 1), (1, None, 2, 2), (4, "a", 1, 1)}
+    # A row per term went through an exchange and a table of all terms before.
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_of_repeated_and_missing_ids_are_counted_together(spark):
+    rows = [(1, 1, ["a", "b"]), (1, 1, ["b"]), (None, 1, ["a"]), (None, 1, ["a", "c"])]
+    texts = spark.createDataFrame(rows, "id long, copies long, t array<string>")
+    assert {(r.id, r.term, r.tf) for r in v.term_counts(texts, F.col("t")).collect()} == {
+        (1, "a", 1), (1, "b", 2), (None, "a", 2), (None, "c", 1)}
+
+
+def test_texts_are_made_once_for_weights(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(title):
+        made.add(1)
+        return title
+
+    titles = spark.createDataFrame([(i, 1, f"w{i} x") for i in range(20)], "id long, copies long, title string")
+    texts = titles.select("id", "copies", seen("title").alias("title"))
+    v.weigh(texts, text.word_tokens(F.col("title")), v.Weighting()).collect()
+    assert made.value == 20

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import release, stage
 
 
 @dataclass(frozen=True)
@@ -38,12 +38,36 @@ def record_count(texts: DataFrame) -> Column:
 
 
 def term_counts(texts: DataFrame, terms: Column) -> DataFrame:
-    """(id, term, copies, tf): one row per distinct term of a text."""
-    return (
-        texts.select("id", "copies", F.explode(terms).alias("term"))
-        .groupBy("id", "term")
-        .agg(F.first("copies").alias("copies"), F.count(F.lit(1)).alias("tf"))
+    """(id, term, copies, tf): one row per distinct term of a text.
+
+    A text's terms are counted in its row, sorted, so no row per term is shuffled. Where ids
+    repeat, rows of one id count as one text.
+    """
+    size = F.size("sorted")
+    numbers = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+    first = F.filter(numbers, lambda i: (i == 1) | ~F.get("sorted", i - 1).eqNullSafe(
+        F.get("sorted", i - 2)))
+    counted = F.transform("first", lambda i, nth: F.struct(
+        F.get("sorted", i - 1).alias("term"),
+        (F.coalesce(F.get("first", nth + 1), size + 1) - i).cast("long").alias("tf")))
+    counts = (
+        texts.select("id", "copies", F.array_sort(terms).alias("sorted"))
+        .withColumn("first", first).select("id", "copies", F.inline(counted))
     )
+    if not texts.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        counts = counts.groupBy("id", "term").agg(
+            F.first("copies").alias("copies"), F.sum("tf").alias("tf"))
+    return counts.select("id", "term", "copies", "tf")
+
+
+def _kept_counts(
+    texts: DataFrame, terms: Column, weighting: Weighting,
+) -> tuple[DataFrame, DataFrame]:
+    """Term counts, staged, and the terms kept. The texts are made once, not once for each use."""
+    if not texts.__dict__.get("staged_at"):
+        texts = stage(texts, "texts")
+    counts = stage(term_counts(texts, terms), "term-counts")
+    return counts, kept_terms(vocabulary(counts), record_count(texts), weighting)
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
@@ -69,8 +93,7 @@ def kept_terms(terms: DataFrame, n: Column, weighting: Weighting) -> DataFrame:
 
 def weigh(texts: DataFrame, terms: Column, weighting: Weighting) -> DataFrame:
     """Long form (id, term, df, weight) with each id's weights scaled to length 1."""
-    counts = stage(term_counts(texts, terms), "term-counts")
-    kept = kept_terms(vocabulary(counts), record_count(texts), weighting)
+    counts, kept = _kept_counts(texts, terms, weighting)
     weights = counts.join(kept, "term").select(
         "id", "term", "df", (F.col("tf") * F.col("idf")).alias("weight")
     )
@@ -84,15 +107,14 @@ def weigh(texts: DataFrame, terms: Column, weighting: Weighting) -> DataFrame:
 def vectors(
     texts: DataFrame, terms: Column, weighting: Weighting, name: str = "vector",
 ) -> tuple[DataFrame, DataFrame]:
-    """Unit vectors as one array per id, and the vocabulary they index.
+    """Unit vectors as one array per id, and the vocabulary they index; both are staged.
 
     The vocabulary is written once with a number per term that rises with document
     frequency; a vector is an array of (number, weight, tail) in that order, rarest first,
     where ``tail`` is the length of the vector from that entry on. The similarity join prunes
     by it. Ids without a kept term have no row.
     """
-    counts = stage(term_counts(texts, terms), "term-counts")
-    kept = kept_terms(vocabulary(counts), record_count(texts), weighting)
+    counts, kept = _kept_counts(texts, terms, weighting)
     numbered = stage(
         kept.orderBy("df", "term").withColumn("number", F.monotonically_increasing_id()),
         "vocabulary",
@@ -110,6 +132,8 @@ def vectors(
     gathered = raw.select(
         "id", F.struct("number", weight.alias("weight"), tail.alias("tail")).alias("entry")
     ).groupBy("id").agg(F.sort_array(F.collect_list("entry")).alias(name))
+    gathered = stage(gathered, "vectors")
+    release(counts)
     return gathered, numbered
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import vectors as v
 from ..operators.selection import copies, dealt
+from ..session import stage
 from .registry import PRODUCTS, products, query, table
 
 WORD_RULE = r"[^\p{L}\p{N}_]"
@@ -203,7 +204,8 @@ vocabulary AS (
 
 @query(f"WITH {PRODUCTS}, {_TERMS} SELECT term, df, corpus_tf FROM vocabulary")
 def vocabulary(spark, folder):
-    return v.vocabulary(v.term_counts(*_title_texts(spark, folder)))
+    texts, terms = _title_texts(spark, folder)
+    return v.vocabulary(v.term_counts(stage(texts, "texts"), terms))
 
 
 @query(f"""
