@@ -43,6 +43,21 @@ def test_cosine_pairs_equal_brute_force(spark, at_least):
     assert all(math.isclose(got[k], expected[k], abs_tol=1e-9) for k in got)
 
 
+@pytest.mark.parametrize("entries", [11, 40, 90])
+@pytest.mark.parametrize("at_least", [1e-9, 0.3, 0.8])
+def test_cosine_pairs_of_many_blocks_list_no_candidates(spark, entries, at_least):
+    sparse = stage(sparse_of(spark, random_titles(60, 25, 5))[0], "vectors")
+    rows = dense_of(sparse)
+    expected = {(a, b) for a in rows for b in rows
+                if a < b and round(float(rows[a] @ rows[b]), 12) >= at_least}
+    found = similarity.cosine_pairs(sparse, at_least, entries=entries)
+    got = [(r.a, r.b) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    # Term by term meetings, and vectors beside each pair, went through joins and shuffles before.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 @pytest.mark.parametrize("weights", [{"t": 0.5, "b": 0.5}, {"t": 0.9, "b": 0.1}])
 @pytest.mark.parametrize("at_least", [0.3, 0.58])
 def test_weighted_pairs_equal_brute_force(spark, weights, at_least):

@@ -25,14 +25,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import new_path, stage
+from ..session import new_path, opened, shared_uri, stage
 from .batches import chunks, remembered, utf8
 
 END = 2
@@ -147,17 +146,6 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
-
-
-def shared_uri(spark, path: str) -> str:
-    """The path with its file system's name, as tasks on other machines need it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()) \
-        .makeQualified(where).toString()
-
-
 def skippable(kind: int, content: bytes) -> bytes:
     return struct.pack("<II", kind, len(content)) + content
 
