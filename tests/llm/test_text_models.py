@@ -125,6 +125,24 @@ def test_memory_of_words_is_bounded():
     assert words.bytes() < pieces.REMEMBERED + (64 << 20)
 
 
+def test_runs_are_segmented_once_whatever_stands_beside_them(monkeypatch):
+    asked, plain = [], pieces.PieceModel.segment_together
+
+    def counted(self, grid, *rest):
+        asked.append(len(grid))
+        return plain(self, grid, *rest)
+
+    monkeypatch.setattr(pieces.PieceModel, "segment_together", counted)
+    encoder, names = pieces.Encoder(PIECES, 0.0, 5), ["onerndinge", "thlyinga", "beshaanes"]
+    encoder.encode([" ".join(names).encode()])
+    assert sum(asked) == 3
+    for mark in (".", ",", ";"):
+        asked.clear()
+        flat, _ = encoder.encode([(mark + " ").join(names).encode() + mark.encode()])
+        assert sum(asked) == 1  # the mark; words with other marks were segmented again before
+        assert pieces.Decoder(PIECES).decode(flat).decode() == (mark + " ").join(names) + mark
+
+
 def test_pieces_of_an_empty_table(spark):
     none = frame(spark, [])
     assert pieces.decode(pieces.encode(none, PIECES), PIECES).count() == 0

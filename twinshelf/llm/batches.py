@@ -8,6 +8,7 @@ import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,12 @@ def chunks(sizes: list[int], limit: int = CHUNK) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def slices(data: pa.Buffer | None, ends: np.ndarray, skip: int = 0) -> list[bytes]:
+    """The bytes between neighbouring ``ends``, each without its first ``skip``."""
+    view = memoryview(data or b"")
+    return [bytes(view[a + skip:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+
 def remainder(id_column: str, divisor: int) -> Column:
     """crc32 of an id's text modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % divisor

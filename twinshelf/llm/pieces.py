@@ -14,8 +14,10 @@ U+2581 of the text itself is written as byte pieces, so it comes back as it was.
 without a piece become byte pieces as well.
 
 No piece joins certain neighbouring characters (a letter and a space, for instance); runs
-between such places are segmented on their own. What a word comes to is remembered, variant by
-variant as they are drawn; new runs of equal length are segmented together: their agendas are the rows of an array. Long ones have a heap each.
+between such places are segmented on their own. A stretch of text is an Arrow column of words, and
+its different words, runs and variants of runs are found by Arrow and numpy. What a run comes to is
+remembered, variant by variant as they are drawn; new runs of equal length are segmented together:
+their agendas are the rows of an array. Long ones have a heap each.
 """
 
 from __future__ import annotations
@@ -27,17 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import remembered, utf8
+from .batches import chunks, remembered, slices, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 8
-#: Bytes that a worker's memory of words may take, and the longest word in it.
+#: Bytes that a worker's memory of runs may take, and those of the longest words whose runs are in it.
 REMEMBERED, LONGEST = 64 << 20, 200
 #: Bytes of text whose words are looked up in one go.
-STRETCH = 1 << 19
+STRETCH = 2 << 20
+#: Ids that are decoded in one go.
+DECODED = 1 << 20
 #: The longest runs that are segmented together.
 TOGETHER = 48
 SPACE = "▁"
@@ -99,21 +104,45 @@ class PieceModel:
                 if left is not None and right is not None:
                     merges[left * size + right] = number
             beside.update((ord(a) << 21) | ord(b) for a, b in zip(piece, piece[1:]))
-        self.pairs = np.array(sorted(merges), np.int64)
-        self.joined = np.array([merges[x] for x in self.pairs.tolist()], np.int64)
-        self.beside = np.array(sorted(beside), np.int64)
+        self.rank_of = np.unique(self.score_of, return_inverse=True)[1].astype(np.int32)
+        self._place(merges)
+        letters = sorted({x for pair in beside for x in (pair >> 21, pair & 0x1FFFFF)})
+        self.letter = np.zeros(0x110000, np.int32)  # others are 0, and joined with nothing
+        self.letter[letters] = np.arange(1, len(letters) + 1)
+        self.beside = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        pairs = np.array(sorted(beside), np.int64)
+        self.beside[self.letter[pairs >> 21], self.letter[pairs & 0x1FFFFF]] = True
+        self.binary = pa.array(self.bytes, pa.binary())
+
+    def _place(self, merges: dict[int, int]) -> None:
+        """Rows of the right pieces of each left one, laid over each other so that none meet.
+
+        A cell holds the left piece and the joined one; the row of ``left`` starts at ``row``.
+        """
+        rows: dict[int, list[int]] = {}
+        for pair in merges:
+            rows.setdefault(pair // self.size, []).append(pair % self.size)
+        width = 1 << (4 * len(merges) + 1024).bit_length()
+        self.row = np.zeros(self.size + 1, np.int64)
+        self.cells = np.full(width + self.size + 1, -1, np.int64)
+        rng = np.random.default_rng(0)
+        for left in sorted(rows, key=lambda x: (-len(rows[x]), x)):
+            rights = np.array(rows[left])
+            while (self.cells[(start := int(rng.integers(width))) + rights] >= 0).any():
+                pass
+            self.row[left] = start
+            self.cells[start + rights] = (left << 32) + np.array(
+                [merges[left * self.size + x] for x in rows[left]])
 
     def cuts(self, points: np.ndarray) -> np.ndarray:
         """For each character but the first, whether no piece joins it with the one before."""
-        pairs = (points[:-1] << 21) | points[1:]
-        at = np.minimum(np.searchsorted(self.beside, pairs), len(self.beside) - 1)
-        return self.beside[at] != pairs
+        letter = self.letter[points]
+        return ~self.beside[letter[:-1], letter[1:]]
 
     def candidates(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that joins two, or -1."""
-        wanted = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == wanted) & (left >= 0) & (right >= 0), self.joined[at], -1)
+        """The piece that joins two, or -1; ``size`` stands for no piece."""
+        found = self.cells[self.row[left] + right]
+        return np.where(found >> 32 == left, found & 0xFFFFFFFF, -1)
 
     def segment_together(
         self, grid: np.ndarray, rate: float, key: np.ndarray,
@@ -124,39 +153,45 @@ class PieceModel:
         """
         n, length = grid.shape
         limit = rate * 2.0 ** 64
-        piece, alive = grid.astype(np.int64), np.ones((n, length), bool)
-        after = np.tile(np.arange(1, length + 1), (n, 1))
-        before = np.tile(np.arange(-1, length - 1), (n, 1))
-        agenda, joins = np.full((n, length), -np.inf), np.full((n, length), -1, np.int64)
-
-        def offer(row: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-            found = self.candidates(piece[row, a], piece[row, b])
-            score = np.where(found >= 0, self.score_of[found], -np.inf)
+        width = length + 2  # a column without a piece on either side
+        piece = np.full((n, width), self.size, np.int64)
+        piece[:, 1:-1] = grid
+        alive = np.zeros((n, width), bool)
+        alive[:, 1:-1] = True
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        before = np.tile(np.arange(-1, width - 1), (n, 1))
+        agenda, joins = np.full((n, width), -1, np.int32), np.full((n, width), -1, np.int64)
+        piece, alive, after, before, queue, joins = (
+            x.reshape(-1) for x in (piece, alive, after, before, agenda, joins))
+
+        def offer(row: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+            at = first + a
+            found = self.candidates(piece[at], piece[first + b])
+            rank = np.full(len(at), -1, np.int32)
+            some = np.flatnonzero(found >= 0)
             if limit:
-                skipped = mixed_arrays(np.maximum(found, 0), a, b - a, key[row]).astype(np.float64) < limit
-                score[skipped] = -np.inf
-            agenda[row, a], joins[row, a] = score, found
+                hashes = mixed_arrays(found[some], a[some] - 1, (b - a)[some], key[row[some]])
+                some = some[hashes.astype(np.float64) >= limit]
+            rank[some] = self.rank_of[found[some]]
+            queue[at], joins[at] = rank, found
 
-        rows = np.repeat(np.arange(n), length - 1)
-        places = np.tile(np.arange(length - 1), n)
-        offer(rows, places, places + 1)
+        rows, places = np.repeat(np.arange(n), length - 1), np.tile(np.arange(1, length), n)
+        offer(rows, rows * width, places, places + 1)
         row = np.arange(n)
         while len(row):
             a = agenda[row].argmax(axis=1)  # the leftmost of equal ones
-            going = agenda[row, a] > -np.inf
+            going = queue[row * width + a] >= 0
             row, a = row[going], a[going]
-            b = after[row, a]
-            piece[row, a], alive[row, b] = joins[row, a], False
-            agenda[row, b] = agenda[row, a] = -np.inf
-            c = after[row, b]
-            after[row, a] = c
-            inner = c < length
-            before[row[inner], c[inner]] = a[inner]
-            offer(row[inner], a[inner], c[inner])
-            left = before[row, a]
-            inner = left >= 0
-            offer(row[inner], left[inner], a[inner])
-        return piece[alive], alive.sum(axis=1)
+            first = row * width
+            at = first + a
+            there = first + after[at]
+            piece[at], alive[there], queue[there] = joins[at], False, -1
+            after[at] = c = after[there]
+            before[first + c] = a
+            offer(np.concatenate((row, row)), np.concatenate((first, first)),
+                  np.concatenate((a, np.maximum(before[at], 0))), np.concatenate((c, a)))
+        alive = alive.reshape(n, width)
+        return piece.reshape(n, width)[alive], alive.sum(axis=1)
 
     def segment(self, run: str, rate: float, key: int) -> list[int]:
         """One run of any length: merge by score from a heap; equal scores from the left."""
@@ -201,17 +236,17 @@ def model_at(path: str) -> PieceModel:
 
 
 class Words:
-    """What words come to: ``index`` numbers them, and their ids by variant lie in one array."""
+    """What the runs of words come to: ``index`` numbers them, and their ids by variant lie in one array."""
 
-    #: Bytes of a word beside its characters and ids: the string, its number, the places in a dict.
-    BESIDE = 200
+    #: Bytes of a run beside its characters and ids: the object, its number, the places in a dict.
+    BESIDE = 160
 
     def __init__(self, variants: int):
         self.variants = variants
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[bytes, int] = {}
         self.starts = np.full((1024, self.variants), -1, np.int32)
         self.sizes = np.zeros((1024, self.variants), np.int32)
         self.ids, self.used, self.held = np.empty(1 << 16, np.int32), 0, 0
@@ -219,21 +254,25 @@ class Words:
     def bytes(self) -> int:
         return self.held + self.starts.nbytes + self.sizes.nbytes + self.ids.nbytes
 
-    def number(self, words: set[str]) -> None:
-        for word in words:
-            self.index[word] = len(self.index)
-            self.held += self.BESIDE + 4 * len(word)
-        while len(self.index) > len(self.starts):
+    def numbers(self, runs: list[bytes]) -> np.ndarray:
+        """The numbers of different runs; new ones get the next ones."""
+        index = self.index
+        before = len(index)
+        found = np.fromiter((index.setdefault(x, len(index)) for x in runs), np.int64, len(runs))
+        for i in np.flatnonzero(found >= before).tolist():
+            self.held += self.BESIDE + len(runs[i])
+        while len(index) > len(self.starts):
             self.starts = np.concatenate((self.starts, np.full_like(self.starts, -1)))
             self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
+        return found
 
-    def put(self, word: np.ndarray, variant: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Ids one word behind the other."""
+    def put(self, run: np.ndarray, variant: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids one run behind the other."""
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         self.ids[self.used:self.used + len(ids)] = ids
-        self.starts[word, variant] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[word, variant] = sizes
+        self.starts[run, variant] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[run, variant] = sizes
         self.used += len(ids)
 
 
@@ -244,10 +283,16 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
 
 
+def _numbered(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones of values below ``limit``, and for each value its place among them."""
+    seen = np.zeros(limit, bool)
+    seen[values] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
+
+
 class Encoder:
-    """Encodes texts; remembers words by variant."""
+    """Encodes texts; remembers runs by variant."""
 
-    _chunk = re.compile(" +[^ ]*|[^ ]+")
     _gap = re.compile(rb"(?<! ) ")
 
     def __init__(self, path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
@@ -258,26 +303,19 @@ class Encoder:
         packed = [struct.pack("<QQ", self.seed % (1 << 64), v) for v in range(self.variants)]
         return np.array([xxhash.xxh64_intdigest(x) for x in packed], np.uint64)
 
-    def _drawn(self, text: bytes, first: int, count: int) -> np.ndarray:
-        """The variants of the words from place ``first`` on."""
-        places = np.arange(first, first + count)
-        key = np.uint64(xxhash.xxh64_intdigest(text, self.seed % (1 << 64)))
+    def _drawn(self, places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The variants of the words at ``places`` of texts with these keys."""
         none = np.zeros(1, np.int64)
-        return ((mixed_arrays(none, places, none, key) >> np.uint64(32)) % np.uint64(self.variants)
+        return ((mixed_arrays(none, places, none, keys) >> np.uint64(32)) % np.uint64(self.variants)
                 ).astype(np.int64)
 
-    def _stretches(self, text: bytes) -> Iterator[list[str]]:
-        """The words of a text, each without the space before it, about ``STRETCH`` bytes at a time.
-
-        Every further space belongs to the word behind it.
-        """
+    def _stretches(self, text: bytes) -> Iterator[bytes]:
+        """A text with the space before it, cut before words, about ``STRETCH`` bytes at a time."""
         start = 0
         while start < len(text):
             gap = self._gap.search(text, start + STRETCH)
             end = gap.start() if gap else len(text)
-            part = ("" if start else " ") + text[start:end].decode()
-            yield part[1:].split(" ") if "  " not in part else [
-                x[1:] for x in self._chunk.findall(part)]
+            yield text[start:end] if start else b" " + text[:end]
             start = end
 
     def _one(self, word: str, key: int) -> list[int]:
@@ -294,106 +332,139 @@ class Encoder:
                     out += model.segment(part[a:b], self.rate, key)
         return out
 
-    def _runs(self, runs: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, start, size) of each run in its variant."""
+    def _new(self, runs: pa.BinaryArray, which: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these runs, given as code points, in their variants, and how many each has."""
         model, keys = model_at(self.path), self._keys()
-        starts, sizes = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        ends = np.frombuffer(runs.buffers()[1], "<i4", len(runs) + 1, 4 * runs.offset) // 4
+        points = np.frombuffer(runs.buffers()[2], "<i4") if ends[-1] else np.empty(0, "<i4")
+        first, lengths = ends[:-1][which], np.diff(ends)[which]
+        starts, sizes = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
         parts, used = [], 0
-        lengths = np.array([len(x) for x in runs])
         for length in np.unique(lengths).tolist():
             where = np.flatnonzero(lengths == length)
-            line = "".join([runs[i] for i in where.tolist()])
-            points = np.frombuffer(line.encode("utf-32-le"), "<i4").reshape(-1, length)
-            grid = model.of_char[points]
-            plain = (grid >= 0).all(axis=1) if length <= TOGETHER else np.zeros(len(where), bool)
-            for at in np.array_split(np.flatnonzero(plain), max(1, plain.sum() * length // 100_000)):
-                ids, n = model.segment_together(grid[at], self.rate, keys[variant[where[at]]])
-                parts.append(ids.astype(np.int32))
-                starts[where[at]], sizes[where[at]] = used + np.cumsum(n) - n, n
-                used += len(ids)
-            for at in where[~plain].tolist():
-                found = model.segment(runs[at], self.rate, int(keys[variant[at]]))
+            odd = where
+            if length <= TOGETHER:
+                grid = model.of_char[points[first[where, None] + np.arange(length)]]
+                plain = (grid >= 0).all(axis=1)
+                odd = where[~plain]
+                for at in np.array_split(np.flatnonzero(plain), max(1, plain.sum() * length // 100_000)):
+                    ids, n = model.segment_together(grid[at], self.rate, keys[variant[where[at]]])
+                    parts.append(ids.astype(np.int32))
+                    starts[where[at]], sizes[where[at]] = used + np.cumsum(n) - n, n
+                    used += len(ids)
+            for at in odd.tolist():
+                run = points[first[at]:first[at] + length].tobytes().decode("utf-32-le")
+                found = model.segment(run, self.rate, int(keys[variant[at]]))
                 parts.append(np.array(found, np.int32))
                 starts[at], sizes[at] = used, len(found)
                 used += len(found)
-        return np.concatenate(parts) if parts else np.empty(0, np.int32), starts, sizes
-
-    def _learn(self, memory: Words, words: list[str], number: np.ndarray, variant: np.ndarray) -> None:
-        """The ids of words that each have a space before them."""
+        return _gathered(np.concatenate([np.empty(0, np.int32), *parts]), starts, sizes), sizes
+
+    def _of_runs(self, memory: Words, runs: pa.BinaryArray, run: np.ndarray, variant: np.ndarray,
+                 ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each has) of runs in variants, some more than once."""
+        wanted, code = _numbered(run * self.variants + variant, len(runs) * self.variants)
+        which, draw = wanted // self.variants, wanted % self.variants
+        number = memory.numbers(runs.to_pylist())[which]
+        lacks = np.flatnonzero(memory.starts[number, draw] < 0)
+        if len(lacks):
+            ids, sizes = self._new(runs, which[lacks], draw[lacks])
+            memory.put(number[lacks], draw[lacks], ids, sizes)
+        sizes = memory.sizes[number, draw][code]
+        return _gathered(memory.ids, memory.starts[number, draw].astype(np.int64)[code], sizes), sizes
+
+    def _of_words(self, memory: Words, words: pa.BinaryArray, word: np.ndarray, variant: np.ndarray,
+                  ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each has) of words in variants; they are given with the space before them."""
+        if not len(word):
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         model = model_at(self.path)
-        line = "".join([SPACE + w.replace(" ", SPACE) for w in words])
-        points = np.frombuffer(line.encode("utf-32-le"), "<i4").astype(np.int64)
-        first = np.cumsum([0] + [len(w) + 1 for w in words])
+        ends = np.frombuffer(words.buffers()[1], "<i4", len(words) + 1, 4 * words.offset)
+        raw = words.buffers()[2].to_pybytes()[:ends[-1]]
+        points = np.frombuffer(raw.decode().encode("utf-32-le"), "<i4").copy()
+        points[points == 32] = ord(SPACE)
+        begins = np.frombuffer(raw, np.uint8) & 0xC0 != 0x80  # of characters
+        place = np.concatenate(([0], np.cumsum(begins)))[ends]
         cut = np.concatenate(([True], model.cuts(points), [True]))
-        cut[first] = True
+        cut[place] = True
         ends = np.flatnonzero(cut)
-        places = ends.tolist()
-        of_word = np.searchsorted(ends, first)
-        runs_of = np.diff(of_word)
-        draws = np.repeat(variant, runs_of).tolist()
-        # Each different run of a variant once.
-        runs = [(line[a:b], v) for a, b, v in zip(places, places[1:], draws)]
-        distinct = dict(zip(set(runs), range(len(runs))))
-        code = np.fromiter(map(distinct.__getitem__, runs), np.int64, len(runs))
-        ids, starts, sizes = self._runs(
-            [run for run, _ in distinct], np.array([v for _, v in distinct], np.int64))
-        word = np.repeat(np.arange(len(words)), runs_of)
-        total = np.bincount(word, weights=sizes[code], minlength=len(words)).astype(np.int64)
-        memory.put(number, variant, _gathered(ids, starts[code], sizes[code]), total)
-
-    def _looked_up(self, memory: Words, words: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, how many each word has)."""
+        rows = pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [
+            None, pa.py_buffer((4 * ends).astype(np.int32)), pa.py_buffer(points)]).dictionary_encode()
+        runs, of_run = rows.dictionary, rows.indices.to_numpy()
+        first = np.searchsorted(ends, place)
+        count = np.diff(first)[word]
+        at = _gathered(of_run, first[:-1][word], count).astype(np.int64)
+        ids, sizes = self._of_runs(memory, runs, at, np.repeat(variant, count))
+        owner = np.repeat(np.arange(len(word)), count)
+        return ids, np.bincount(owner, weights=sizes, minlength=len(word)).astype(np.int64)
+
+    def _looked_up(self, memory: Words, line: bytes, starts: np.ndarray, variant: np.ndarray,
+                   ) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each has) of the words of ``line`` that start there."""
         if memory.bytes() > REMEMBERED:
             memory.clear()
-        memory.number(set(words) - memory.index.keys())
-        number = np.fromiter(map(memory.index.__getitem__, words), np.int64, len(words))
-        lacks = np.flatnonzero(memory.starts[number, variant] < 0)
-        if len(lacks):
-            missing, at = np.unique(
-                number[lacks] * self.variants + variant[lacks], return_index=True)
-            lacking, draws = missing // self.variants, missing % self.variants
-            found = [words[i] for i in lacks[at].tolist()]
-            odd = np.array([len(w) > LONGEST or SPACE in w for w in found])
-            at = np.flatnonzero(~odd)
-            if len(at):
-                self._learn(memory, [found[i] for i in at.tolist()], lacking[at], draws[at])
-            keys = self._keys()
-            for i in np.flatnonzero(odd).tolist():
-                ids = self._one(found[i], int(keys[draws[i]]))
-                memory.put(lacking[i:i + 1], draws[i:i + 1], np.array(ids, np.int32), np.array([len(ids)]))
-        sizes = memory.sizes[number, variant]
-        return _gathered(memory.ids, memory.starts[number, variant].astype(np.int64), sizes), sizes
+        ends = np.append(starts, len(line)).astype(np.int32)
+        rows = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer(ends), pa.py_buffer(line)]).dictionary_encode()
+        words = rows.dictionary
+        wanted, code = _numbered(rows.indices.to_numpy().astype(np.int64) * self.variants + variant,
+                                 len(words) * self.variants)
+        word, draw = wanted // self.variants, wanted % self.variants
+        odd = np.array(pc.match_substring(words, SPACE)) | (np.array(pc.binary_length(words)) > LONGEST)
+        sizes = np.zeros(len(wanted), np.int64)
+        plain = np.flatnonzero(~odd[word])
+        others = np.flatnonzero(odd[word])
+        own = np.cumsum(~odd) - 1
+        ids, sizes[plain] = self._of_words(
+            memory, words.filter(pa.array(~odd)) if len(others) else words, own[word[plain]], draw[plain])
+        keys, more, used = self._keys(), [ids], len(ids)
+        firsts = np.zeros(len(wanted), np.int64)
+        firsts[plain] = np.cumsum(sizes[plain]) - sizes[plain]
+        for i in others.tolist():
+            found = self._one(words[int(word[i])].as_py()[1:].decode(), int(keys[draw[i]]))
+            firsts[i], sizes[i] = used, len(found)
+            more.append(np.array(found, np.int32))
+            used += len(found)
+        return _gathered(np.concatenate(more), firsts[code], sizes[code]), sizes[code]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all texts one behind the other, how many each has)."""
         memory = remembered("pieces", "words", lambda: Words(self.variants),
                             (self.path, self.rate, self.seed, self.variants))
         parts, counts = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
-        words: list[str] = []
-        draws: list[np.ndarray] = []
-        owners: list[tuple[int, int]] = []
-
-        def flush() -> None:
-            if words:
-                ids, sizes = self._looked_up(memory, words, np.concatenate(draws))
-                parts.append(ids)
-                owner = np.repeat([o for o, _ in owners], [n for _, n in owners])
-                np.add.at(counts, owner, sizes)
-                words.clear(), draws.clear(), owners.clear()
-
-        held = 0
+        held: list[tuple[int, int, int, bytes]] = []
+
+        def flush() -> int:
+            """The number of words in the last part; words start at spaces behind other characters."""
+            owner, key, place, line = zip(*held)
+            begin = np.cumsum([0, *map(len, line[:-1])])
+            line = b"".join(line)
+            space = np.frombuffer(line, np.uint8) == 32
+            starts = space.copy()
+            starts[1:] &= ~space[:-1]
+            starts[begin] = True
+            starts = np.flatnonzero(starts)
+            first = np.searchsorted(starts, begin)
+            many = np.diff(np.append(first, len(starts)))
+            places = np.arange(len(starts)) + np.repeat(np.array(place) - first, many)
+            variant = self._drawn(places, np.repeat(np.array(key, np.uint64), many))
+            ids, sizes = self._looked_up(memory, line, starts, variant)
+            parts.append(ids)
+            np.add.at(counts, np.repeat(owner, many), sizes)
+            held.clear()
+            return int(many[-1])
+
+        size = 0
         for at, text in enumerate(texts):
-            place = 0
-            for found in self._stretches(text):
-                words += found
-                draws.append(self._drawn(text, place, len(found)))
-                owners.append((at, len(found)))
-                place += len(found)
-                held += min(len(text), STRETCH)
-                if held >= STRETCH:
-                    flush()
-                    held = 0
-        flush()
+            place, key = 0, xxhash.xxh64_intdigest(text, self.seed % (1 << 64))
+            for part in self._stretches(text):
+                held.append((at, key, place, part))
+                size += len(part)
+                if size >= STRETCH:  # as each part of a text is but the last
+                    place += flush()
+                    size = 0
+        if held:
+            flush()
         return np.concatenate(parts), counts
 
 
@@ -403,8 +474,17 @@ class Decoder:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text's bytes: those of the pieces without the space that stands before it."""
-        pieces = model_at(self.path).bytes
-        return b"".join([pieces[i] for i in ids.tolist()])[1:]
+        return self.decode_all(ids, np.array([0, len(ids)]))[0]
+
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The texts of the ids between neighbouring ``ends``."""
+        out, pieces = [], model_at(self.path).binary
+        for part in chunks(np.diff(ends).tolist(), DECODED):
+            own = ends[part.start:part.stop + 1]
+            found = pieces.take(pa.array(flat[own[0]:own[-1]]))
+            places = np.frombuffer(found.buffers()[1], "<i4", len(found) + 1)[own - own[0]]
+            out += slices(found.buffers()[2], places, 1)
+        return out
 
 
 def encode(
@@ -441,7 +521,6 @@ def decode(
     def run(column: pa.Array) -> pa.Array:
         ends = column.offsets.to_numpy()
         flat = column.values.to_numpy()
-        return pa.array([decoder.decode(flat[a:b]) for a, b in zip(ends, ends[1:])],
-                        pa.binary()).cast(pa.string())
+        return pa.array(decoder.decode_all(flat, ends), pa.binary()).cast(pa.string())
 
     return docs.withColumn(text_col, run(F.col(ids_col)))
