@@ -177,6 +177,31 @@ def test_token_files_with_added_tokens_equal_the_library(spark, tmp_path):
     assert got == expected and 50256 in library.encode(texts[-4], add_special_tokens=False).ids
 
 
+def test_words_are_cut_without_asking_the_library_about_each(monkeypatch):
+    plain, asked = Tokenizer.from_file(BYTES), []
+
+    class Counting:
+        """The tokenizer, with a list of the strings that it was to cut."""
+        model, pre_tokenizer = plain.model, None
+        encode_batch_fast, get_added_tokens_decoder = plain.encode_batch_fast, plain.get_added_tokens_decoder
+
+        def pre_tokenize_str(self, text):
+            asked.append(text)
+            return plain.pre_tokenizer.pre_tokenize_str(text)
+
+    counting = Counting()
+    counting.pre_tokenizer = counting
+    monkeypatch.setattr(token_files.TokenEncoder, "_tokenizer", lambda self: counting)
+    rng = random.Random(12)
+    words = ["a" + "".join(rng.choice("ab1é.\u0301\n") for _ in range(6)) for _ in range(3000)]
+    texts = [" ".join(words[a:a + 100]) for a in range(0, 3000, 100)] + ["don't we'll ", "\u3000x \u00a0y", " a", "\n"]
+    got = token_files.TokenEncoder(BYTES, True).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        plain.encode(t, add_special_tokens=False).ids for t in texts]
+    odd = {w for w in words if "\n\n" in w}
+    assert len([x for x in asked if len(x) > 3]) <= len(odd) + 5 < 600  # all words with marks or digits before
+
+
 def test_token_files_read_one_document_and_notice_damage(tmp_path):
     path = str(tmp_path / "deep" / "x.zst")
     blobs = [(i, np.arange(i * 10, dtype="<u4").tobytes()) for i in (3, 5, 8)] + [(None, b"")]

@@ -20,7 +20,7 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,11 +32,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import new_path, opened, shared_uri, stage
-from .batches import chunks, remembered, utf8
+from .batches import chunks, remembered, slices, utf8
 
 END = 2
 #: Words and parts of words that a worker remembers before it starts anew.
 WORDS, PARTS, LONGEST = 600_000, 600_000, 200
+#: Bytes of text whose words are looked up in one go.
+STRETCH = 4 << 20
+#: Kinds of characters after letters, numbers and others (1 to 3).
+WHITE, ODD = 4, 5
 
 # Fixed values of the public seekable format.
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -48,14 +52,15 @@ class TokenEncoder:
     """Ids of texts by a byte-level tokenizer of the tokenizers library.
 
     A byte-level tokenizer of the GPT-2 kind cuts a text by a pattern before it merges, and the pattern starts
-    anew where a single space follows another character. Words between such spaces are
-    therefore encoded once, by the library, and remembered. Texts in which white space meets
+    anew where a single space follows another character. The different words between such spaces
+    are therefore cut once, as an Arrow column, and their parts encoded by the library and remembered. Texts in which white space meets
     in a way that the pattern looks across are encoded whole. With ``added``, the strings of
     added tokens in a text are these tokens, as the library has it by default, and texts that
     hold one are encoded whole; else they are ordinary text.
     """
 
-    _across = re.compile(r"\s(?= (?:\s|\Z))")
+    _white = re.compile(r"\s(?= (?:\s|\Z))")
+    _maybe = re.compile(rb"(?:[ \t-\r\x1c-\x1f]|[\x80-\xbf]) (?:[ \t-\r\x1c-\x1f\xc2\xe1-\xe3]|\Z)")
 
     def __init__(self, path: str, added: bool = False):
         self.path, self.added = path, added
@@ -70,6 +75,10 @@ class TokenEncoder:
             return made
         return remembered("token files", f"tokenizer {self.path} {self.added}", load)
 
+    def _across(self, text: bytes) -> bool:
+        """Whether white space meets in a way that the pattern looks across."""
+        return bool(self._maybe.search(text)) and bool(self._white.search(text.decode()))
+
     def _held_whole(self) -> list[str]:
         if not self.added:
             return []
@@ -79,63 +88,136 @@ class TokenEncoder:
         found = self._tokenizer().encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
 
-    def _learn(self, words: set[str], known: dict[str, bytes]) -> None:
-        """Encode new words by the parts that the library's own pattern gives.
-
-        Letters with a mark behind them at most are cut here, other words by the library. Parts
-        are in the byte alphabet of the vocabulary, where a space is written as U+0120.
+    def _kinds(self, points: np.ndarray) -> np.ndarray:
+        """What the library's pattern takes each character for; it is asked once about each."""
+        kinds = remembered("token files", f"kinds {self.path}", lambda: np.zeros(0x110000, np.uint8))
+        seen = np.zeros(0x110000, bool)
+        seen[points] = True
+        cut = self._tokenizer().pre_tokenizer.pre_tokenize_str
+        for point in np.flatnonzero(seen & (kinds == 0)).tolist():
+            one = [len(cut(x + chr(point))) == 1 for x in "a1!"]
+            kinds[point] = ODD if chr(point) == "'" or sum(one) > 1 else [*one, True].index(True) + 1
+        return kinds[points]
+
+    def _of_parts(self, found: list[bytes]) -> list[bytes]:
+        """The ids of different parts of words.
+
+        The library knows them in the byte alphabet, where a space is written as U+0120.
         """
-        tokenizer = self._tokenizer()
-        tokenize, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
         parts = remembered("token files", f"parts {self.path}", dict)
         alphabet = remembered("token files", "byte alphabet", byte_alphabet)
         if len(parts) >= PARTS:
             parts.clear()
-        for word in words:
-            body = word[:-1] if word and word[-1] in ".,;:!?" else word
-            if body.isalpha():
-                found = ["\u0120" + (body if body.isascii() else
-                                     body.encode().decode("latin-1").translate(alphabet))]
-                if len(body) < len(word):
-                    found.append(word[-1])
-            else:
-                found = [x for x, _ in cut(" " + word)]
-            try:
-                known[word] = b"".join([parts[x] for x in found])
-            except KeyError:
-                for part in found:
-                    if part not in parts:
-                        parts[part] = array("I", [t.id for t in tokenize(part)]).tobytes()
-                known[word] = b"".join([parts[x] for x in found])
-                for part in found:
-                    if len(part) > LONGEST:
-                        parts.pop(part, None)
+        tokenize, out = self._tokenizer().model.tokenize, [parts.get(x) for x in found]
+        for at, part in enumerate(found):
+            if out[at] is None:
+                if part[0] == 32 and part[1:].isalnum():  # of ASCII
+                    ids = tokenize("\u0120" + part[1:].decode())
+                else:
+                    ids = tokenize(part.decode("latin-1").translate(alphabet))
+                out[at] = array("I", [t.id for t in ids]).tobytes()
+                if len(part) <= LONGEST:
+                    parts[part] = out[at]
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, little-endian 32-bit integers; an empty text has none."""
+    def _by_library(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words by the parts that the library cuts."""
         known = remembered("token files", f"words {self.path}", dict)
         if len(known) >= WORDS:
             known.clear()
+        tokenizer, out = self._tokenizer(), [known.get(w) for w in words]
+        tokenize, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+        for at, word in enumerate(words):
+            if out[at] is None:
+                out[at] = array("I", [t.id for x, _ in cut(word.decode()) for t in tokenize(x)]).tobytes()
+                if len(word) <= LONGEST:
+                    known[word] = out[at]
+        return out
+
+    def _of_words(self, words: pa.BinaryArray) -> pa.BinaryArray:
+        """The ids of different words.
+
+        Letters, numbers or other characters beside each other are a part, before which the space
+        goes if one stands before the word; so is a single white space. Words with more white space
+        in a row or an apostrophe are cut by the library.
+        """
+        if not len(words):
+            return pa.array([], pa.binary())
+        raw, ends = _bytes_of(words)
+        kinds = self._kinds(np.frombuffer(raw.decode().encode("utf-32-le"), "<i4"))
+        places = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
+        first = np.searchsorted(places, ends)
+        follows = np.ones(len(kinds), bool)
+        follows[first[:-1]] = False
+        before = np.roll(kinds, 1)
+        odd = (kinds == ODD) | (follows & (kinds == WHITE) & (before == WHITE))
+        plain = ~np.logical_or.reduceat(odd, first[:-1])
+        starts = ~follows | (kinds != before)
+        spaces = np.frombuffer(raw, np.uint8)[ends[:-1]] == 32
+        starts[first[:-1][spaces & (np.diff(first) > 1)] + 1] = False
+        if not plain.all():  # each odd word is one part
+            starts &= np.repeat(plain, np.diff(first))
+            starts[first[:-1]] = True
+        at = np.flatnonzero(starts)
+        rows = pa.BinaryArray.from_buffers(pa.binary(), len(at), [
+            None, pa.py_buffer(np.append(places[at], len(raw)).astype(np.int32)), pa.py_buffer(raw)])
+        own = np.append(np.searchsorted(at, first[:-1]), len(at))
+        if plain.all():
+            found = self._of_different(rows, self._of_parts)
+        else:
+            uncut = np.zeros(len(at), bool)
+            uncut[own[:-1][~plain]] = True
+            found = pa.concat_arrays([
+                self._of_different(rows.filter(pa.array(~uncut)), self._of_parts),
+                self._of_different(rows.filter(pa.array(uncut)), self._by_library),
+            ]).take(pa.array(np.where(uncut, np.cumsum(uncut) + (~uncut).sum(), np.cumsum(~uncut)) - 1))
+        _, sizes = _bytes_of(found)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(words), [
+            None, pa.py_buffer(sizes[own].astype(np.int32)), found.buffers()[2]])
+
+    def _of_different(self, rows: pa.BinaryArray, coded: Callable[[list[bytes]], list[bytes]]) -> pa.BinaryArray:
+        """The ids of rows, of which ``coded`` gets different ones."""
+        rows = rows.dictionary_encode()
+        return pa.array(coded(rows.dictionary.to_pylist()), pa.binary()).take(rows.indices)
+
+    def _by_words(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts that the pattern cuts at every space, by their different words."""
+        line, begin = b"".join(texts), np.cumsum([0, *map(len, texts)])
+        starts = np.frombuffer(line, np.uint8) == 32
+        starts[begin[:-1]] = True
+        starts = np.flatnonzero(starts)
+        rows = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(line)).astype(np.int32)), pa.py_buffer(line),
+        ]).dictionary_encode()
+        found = self._of_words(rows.dictionary).take(rows.indices)
+        return slices(found.buffers()[2], _bytes_of(found)[1][np.searchsorted(starts, begin)])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids, little-endian 32-bit integers; an empty text has none."""
+        return self.encode_bytes([t.encode() for t in texts])
+
+    def encode_bytes(self, texts: list[bytes]) -> list[bytes]:
+        """The same, of texts in UTF-8."""
         out: list[bytes] = [b""] * len(texts)
-        lines: dict[int, list[str]] = {}
-        strings = self._held_whole()
+        strings = [x.encode() for x in self._held_whole()]
+        plain = []
         for at, text in enumerate(texts):
-            if any(x in text for x in strings) or self._across.search(text):
-                out[at] = self._whole([text])[0]
+            if any(x in text for x in strings) or self._across(text):
+                out[at] = self._whole([text.decode()])[0]
             elif text:
-                lines[at] = text.split(" ")
-        firsts = [line.pop(0) for line in lines.values()]  # no space stands before these
-        heads = iter(self._whole(firsts))
-        new = set().union(*lines.values()) - known.keys()
-        self._learn(new, known)
-        for at, line in lines.items():
-            out[at] = next(heads) + b"".join([known[w] for w in line])
-        for word in new:
-            if len(word) > LONGEST:
-                del known[word]
+                plain.append(at)
+        if plain:
+            for at, ids in zip(plain, self._by_words([texts[i] for i in plain])):
+                out[at] = ids
         return out
 
 
+def _bytes_of(column: pa.BinaryArray) -> tuple[bytes, np.ndarray]:
+    """The bytes of all rows and the places where rows start and end, of a column that begins with its buffers."""
+    ends = np.frombuffer(column.buffers()[1], "<i4", len(column) + 1)
+    return (column.buffers()[2].to_pybytes()[:ends[-1]] if ends[-1] else b""), ends
+
+
 def byte_alphabet() -> dict[int, str]:
     """The characters that stand for bytes in a byte-level vocabulary.
 
@@ -224,8 +306,8 @@ def write(
         def coded():
             for batch in batches:
                 names, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-                for part in chunks([len(t) for t in texts], 2 << 20):
-                    blobs = encoder.encode([t.decode() for t in texts[part]])
+                for part in chunks([len(t) for t in texts], STRETCH):
+                    blobs = encoder.encode_bytes(texts[part])
                     yield from ((n, blob + tail) for n, blob in zip(names[part], blobs))
 
         rows = coded()
