@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from twinshelf.llm import ctw, language, pieces, queries, token_files, toxicity
+from twinshelf.llm import batches, ctw, language, pieces, queries, token_files, toxicity
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -202,6 +203,20 @@ def test_words_are_cut_without_asking_the_library_about_each(monkeypatch):
     assert len([x for x in asked if len(x) > 3]) <= len(odd) + 5 < 600  # all words with marks or digits before
 
 
+def test_a_resting_worker_gives_back_what_it_kept(monkeypatch):
+    monkeypatch.setattr(batches, "REST", 0.3)
+    made = []
+    work = batches.rested(lambda x: batches.remembered("resting test", "words", lambda: made.append(x) or {}))
+    work(1), work(2)
+    assert made == [1]  # kept from one to the next
+    time.sleep(1.5)
+    work(3)
+    assert made == [1, 3]  # was kept for ever before
+    slow = batches.rested(lambda x: (time.sleep(1.0), work(x)))
+    slow(4)
+    assert made == [1, 3]  # a busy worker keeps it
+
+
 def test_token_files_read_one_document_and_notice_damage(tmp_path):
     path = str(tmp_path / "deep" / "x.zst")
     blobs = [(i, np.arange(i * 10, dtype="<u4").tobytes()) for i in (3, 5, 8)] + [(None, b"")]

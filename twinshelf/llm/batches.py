@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 import sys
+import threading
+import time
 from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bytes of text that an operator looks at in one go.
 CHUNK = 8 << 20
+#: Seconds without work after which a worker gives its memory back.
+REST = 1.0
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -34,6 +40,12 @@ def chunks(sizes: list[int], limit: int = CHUNK) -> Iterator[slice]:
         yield slice(start, len(sizes))
 
 
+def parts(column: pa.Array, limit: int = CHUNK) -> Iterator[pa.Array]:
+    """A column of texts in slices of about ``limit`` bytes."""
+    sizes = np.array(pc.binary_length(column).fill_null(0))
+    return (column[part] for part in chunks(sizes.tolist(), limit))
+
+
 def slices(data: pa.Buffer | None, ends: np.ndarray, skip: int = 0) -> list[bytes]:
     """The bytes between neighbouring ``ends``, each without its first ``skip``."""
     view = memoryview(data or b"")
@@ -54,20 +66,69 @@ def _give_back() -> None:
         trim(0)
 
 
+def _memory() -> ModuleType:
+    """A worker's memory; functions travel with the job, so their own module's globals are new in every task."""
+    found = sys.modules.setdefault("_worker_memory", ModuleType("_worker_memory"))
+    if "kept" not in found.__dict__:
+        found.kept, found.owner, found.lock = {}, None, threading.Lock()
+        found.busy, found.last, found.watched = 0, 0.0, False
+    return found
+
+
+def _watch() -> None:
+    """Waits until the worker rests, and then forgets what it kept."""
+    memory, waiting = _memory(), True
+    while waiting:
+        time.sleep(REST / 4)
+        with memory.lock:
+            waiting = memory.busy > 0 or time.monotonic() - memory.last < REST
+            if not waiting:
+                memory.kept.clear()
+                memory.owner, memory.watched = None, False
+    _give_back()
+
+
+def rested(function: Callable) -> Callable:
+    """``function`` of an Arrow column, after which a worker without further work gives its memory back.
+
+    Spark keeps more workers than work at a time and takes them in turn, so what a stage learned and
+    freed would lie beside the next stage's memory.
+    """
+    @functools.wraps(function)
+    def run(*columns):
+        memory = _memory()
+        with memory.lock:
+            memory.busy += 1
+        try:
+            return function(*columns)
+        finally:
+            with memory.lock:
+                memory.busy -= 1
+                memory.last = time.monotonic()
+                start, memory.watched = not memory.watched, True
+            if start:
+                threading.Thread(target=_watch, daemon=True).start()
+    return run
+
+
 def remembered(owner: str, name: str, make: Callable[[], object], key: object = None) -> object:
     """What a reused Python worker keeps from one task to the next, made on first use.
 
-    Functions travel with the job, so their own module's globals are new in every task. With
-    another ``key`` it is made anew. A worker keeps things of one ``owner`` only: when another
-    operator comes to it, those of the one before go, back to the system.
+    With another ``key`` it is made anew. A worker keeps things of one ``owner`` only: when another
+    operator comes to it, those of the one before go, back to the system. ``rested`` ones go sooner.
     """
-    memory = sys.modules.setdefault("_worker_memory", ModuleType("_worker_memory")).__dict__
-    if memory.get("owner") != owner:
-        before = memory.get("owner")
-        memory.clear()
-        memory["owner"] = owner
-        if before is not None:
-            _give_back()
-    if name not in memory or memory[name][0] != key:
-        memory[name] = key, make()
-    return memory[name][1]
+    memory = _memory()
+    with memory.lock:
+        memory.last = time.monotonic()
+        before = memory.owner
+        if before != owner:
+            memory.kept.clear()
+            memory.owner = owner
+        found = memory.kept.get(name)
+    if before not in (None, owner):
+        _give_back()
+    if found is None or found[0] != key:
+        found = key, make()
+        with memory.lock:
+            memory.kept[name] = found
+    return found[1]

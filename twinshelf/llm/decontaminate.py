@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .batches import chunks, utf8
+from .batches import chunks, rested, utf8
 
 WINDOW = 10
 #: A document goes as a whole when at least this share of its words is hit.
@@ -234,6 +234,7 @@ def matches(
                       ("items", pa.list_(pa.string()))])
 
     @F.arrow_udf("struct<n_words:long,n_hit:long,items:array<string>>")
+    @rested
     def look(column: pa.Array) -> pa.Array:
         return pa.array([
             {"n_words": n, "n_hit": int(hit.sum()), "items": sorted(names - {None})}
@@ -273,6 +274,7 @@ def decontaminate(
     kind = pa.struct([("drop", pa.bool_()), ("text", pa.string())])
 
     @F.arrow_udf("struct<drop:boolean,text:string>")
+    @rested
     def clean(column: pa.Array) -> pa.Array:
         texts, out = utf8(column), []
         for text, (_, hit, _) in zip(texts, scanner.scan(texts)):

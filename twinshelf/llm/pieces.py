@@ -34,15 +34,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import chunks, remembered, slices, utf8
+from .batches import chunks, parts, remembered, rested, slices, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 8
 #: Bytes that a worker's memory of runs may take, and those of the longest words whose runs are in it.
 REMEMBERED, LONGEST = 64 << 20, 200
 #: Bytes of text whose words are looked up in one go.
-STRETCH = 2 << 20
+STRETCH = 1 << 20
 #: Ids that are decoded in one go.
-DECODED = 1 << 20
+DECODED = 1 << 18
 #: The longest runs that are segmented together.
 TOGETHER = 48
 SPACE = "▁"
@@ -474,17 +474,17 @@ class Decoder:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text's bytes: those of the pieces without the space that stands before it."""
-        return self.decode_all(ids, np.array([0, len(ids)]))[0]
+        return self.decode_all(ids, np.array([0, len(ids)]))[0].as_py()
 
-    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
         """The texts of the ids between neighbouring ``ends``."""
-        out, pieces = [], model_at(self.path).binary
+        out, pieces = [pa.array([], pa.binary())], model_at(self.path).binary
         for part in chunks(np.diff(ends).tolist(), DECODED):
             own = ends[part.start:part.stop + 1]
             found = pieces.take(pa.array(flat[own[0]:own[-1]]))
             places = np.frombuffer(found.buffers()[1], "<i4", len(found) + 1)[own - own[0]]
-            out += slices(found.buffers()[2], places, 1)
-        return out
+            out.append(pa.array(slices(found.buffers()[2], places, 1), pa.binary()))
+        return pa.concat_arrays(out)
 
 
 def encode(
@@ -500,10 +500,14 @@ def encode(
     encoder = Encoder(model, rate, seed, variants)
 
     @F.arrow_udf("array<int>")
+    @rested
     def run(column: pa.Array) -> pa.Array:
-        flat, counts = encoder.encode(utf8(column))
-        ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        out = [pa.array([], pa.list_(pa.int32()))]
+        for part in parts(column, 2 * STRETCH):
+            flat, counts = encoder.encode(utf8(part))
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+        return pa.concat_arrays(out)
 
     return docs.withColumn(ids_col, run(F.col(text_col)))
 
@@ -518,9 +522,10 @@ def decode(
     decoder = Decoder(model)
 
     @F.arrow_udf("string")
+    @rested
     def run(column: pa.Array) -> pa.Array:
         ends = column.offsets.to_numpy()
         flat = column.values.to_numpy()
-        return pa.array(decoder.decode_all(flat, ends), pa.binary()).cast(pa.string())
+        return decoder.decode_all(flat, ends).cast(pa.string())
 
     return docs.withColumn(text_col, run(F.col(ids_col)))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import chunks, remembered, utf8
+from .batches import chunks, parts, remembered, rested, utf8
 
 DECAY, SPAN, WINDOW, STEP = 0.6, 6, 14, 4
 LANDMARKS, RIDGE, ROUNDS = 512, 1e-4, 4
@@ -36,8 +36,10 @@ POOL = 30_000
 REJECT = 0.7
 #: Words whose score a worker remembers.
 REMEMBERED = 300_000
-#: Bytes of text whose windows are scored together.
-BLOCK = 64 << 10
+#: Bytes of text whose windows are scored together, and whose words are looked up together.
+BLOCK, STRETCH = 64 << 10, 1 << 20
+#: Windows of words that are scored together.
+TOGETHER = 5_000
 SYMBOLS = 40
 END = SYMBOLS - 2  # the symbol of a word's end
 NOTHING = -3.0  # the score of a text without a window
@@ -121,9 +123,9 @@ def word_scores(words: list[bytes], table: np.ndarray, bias: float) -> np.ndarra
     out = np.full(len(words), NOTHING)
     rows, owners = windows(words)
     for length, part in rows.items():
-        for a in range(0, len(part), 20_000):
-            found, weights, norms = codes(part[a:a + 20_000])
-            np.maximum.at(out, owners[length][a:a + 20_000], table[found] @ weights / norms + bias)
+        for a in range(0, len(part), TOGETHER):
+            found, weights, norms = codes(part[a:a + TOGETHER])
+            np.maximum.at(out, owners[length][a:a + TOGETHER], table[found] @ weights / norms + bias)
     return out
 
 
@@ -466,7 +468,7 @@ class ToxicityModel:
         """Probabilities, and the word or the words that each rests on."""
         known = remembered("toxicity", "words", dict, hash(self.table.tobytes()))
         out, worst = np.full(len(texts), NOTHING), [None] * len(texts)
-        for part in chunks([len(t) for t in texts]):
+        for part in chunks([len(t) for t in texts], STRETCH):
             bags = [words_of(t) for t in texts[part]]
             new = list(set().union(*bags) - known.keys())
             if len(known) + len(new) > REMEMBERED:
@@ -513,10 +515,14 @@ def scored(spark, model: ToxicityModel, text: str) -> Column:
     kind = pa.struct([("score", pa.float64()), ("worst", pa.string())])
 
     @F.arrow_udf("struct<score:double,worst:string>")
+    @rested
     def run(column: pa.Array) -> pa.Array:
-        score, worst = shared.value.judge(utf8(column))
-        return pa.StructArray.from_arrays([pa.array(score), pa.array(worst, pa.string())],
-                                          fields=list(kind))
+        out = [pa.array([], kind)]
+        for part in parts(column):
+            score, worst = shared.value.judge(utf8(part))
+            out.append(pa.StructArray.from_arrays([pa.array(score), pa.array(worst, pa.string())],
+                                                  fields=list(kind)))
+        return pa.concat_arrays(out)
 
     return run(F.col(text))
 
