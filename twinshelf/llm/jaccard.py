@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..operators.grid import self_pairs
 from ..operators.linkage import components
-from ..session import stage
+from ..session import release, stage
 from .batches import utf8
 
 WORDS, SHARE = 5, 80
@@ -265,7 +265,7 @@ def _similar(sets: DataFrame, tokens: DataFrame, at: int, share: int) -> DataFra
                     "least").filter("apart")
     pivots = dealt.filter("set = pivot").withColumn(
         "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-    dealt = stage(dealt.filter("set <> pivot").unionByName(pivots), "similar")
+    placed = dealt = stage(dealt.filter("set <> pivot").unionByName(pivots), "similar")
     cost = F.greatest(F.col("n"), F.lit(LEAST))
     dealt = _lanes(dealt, ["least", "piece"], cost, F.col("pieces") > 1).select(
         "set", "least", "piece", "lane")
@@ -277,16 +277,22 @@ def _similar(sets: DataFrame, tokens: DataFrame, at: int, share: int) -> DataFra
                                  [np.frombuffer(x, np.uint64) for x in group["tokens"]], share)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return stage(dealt.join(tokens, "set").groupBy("lane").applyInPandas(
+    found = stage(dealt.join(tokens, "set").groupBy("lane").applyInPandas(
         solve, "a long, b long"), "similar-links")
+    release(placed)
+    return found
 
 
-def candidates(rare: DataFrame) -> DataFrame:
-    """(a_group, b_group, common): how many of ``rare`` groups of different components share."""
+def matrix(rare: DataFrame) -> DataFrame:
+    """(token, group, component) of the tokens that groups of different components have among their ``rare``."""
     rows = rare.repartition("token").groupBy("token", "group").agg(F.first("component").alias("component"))
     ends = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    shared = rows.join(ends.filter("low <> high").select("token"), "token")
-    met = self_pairs(stage(shared, "matrix"), ["token"], "group")
+    return stage(rows.join(ends.filter("low <> high").select("token"), "token"), "matrix")
+
+
+def candidates(cells: DataFrame) -> DataFrame:
+    """(a_group, b_group, common): how many of the cells' tokens groups of different components share."""
+    met = self_pairs(cells, ["token"], "group")
     return met.filter("a_component <> b_component").groupBy("a_group", "b_group").agg(
         F.count(F.lit(1)).alias("common"))
 
@@ -310,14 +316,18 @@ def _between(docs: DataFrame, sets: DataFrame, rare: DataFrame, how: tuple, shar
             & (F.col("common") >= F.least("a_spare", "b_spare") + needed))
     # The larger group stays, the smaller one is sent to it.
     first = F.struct("a_tokens", "a_group") >= F.struct("b_tokens", "b_group")
+    cells = matrix(postings)
     pairs = stage(
-        candidates(postings).join(a, "a_group").join(b, "b_group").filter(fits).select(
+        candidates(cells).join(a, "a_group").join(b, "b_group").filter(fits).select(
             F.when(first, F.col("a_group")).otherwise(F.col("b_group")).alias("host"),
             F.when(first, F.col("b_group")).otherwise(F.col("a_group")).alias("guest")), "group-pairs")
+    release(cells)
     there = pairs.select(F.explode(F.array("host", "guest")).alias("group")).distinct()
     wanted = stage(grouped.join(there, "group").select("set", "doc", "group"), "wanted")
+    release(grouped)
     members = stage(tokens_of(docs, wanted, *how).groupBy("group").agg(
         F.collect_list(F.struct("set", "tokens")).alias("members")), "members")
+    release(wanted)
     buckets = pairs.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("buckets"))
     placed = pairs.join(buckets, "host").withColumn(
         "bucket", F.pmod(F.xxhash64("guest"), "buckets"))
@@ -340,8 +350,11 @@ def _between(docs: DataFrame, sets: DataFrame, rare: DataFrame, how: tuple, shar
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     guests = guests.toDF(*guests.columns)  # or both sides' columns go by one name
-    return hosts.groupBy("lane").cogroup(guests.groupBy("lane")).applyInPandas(
-        solve, "a long, b long")
+    found = stage(hosts.groupBy("lane").cogroup(guests.groupBy("lane")).applyInPandas(
+        solve, "a long, b long"), "between")
+    release(members)
+    release(pairs)
+    return found
 
 
 def jaccard_components(
@@ -377,6 +390,7 @@ def jaccard_components(
         within = more if within is None else within.unionByName(more)
         found = stage(components(ids, within), "similar-components")
         known = sets.join(found.toDF("set", "component"), "set")
+    release(tokens)
     rare = marked.filter("n > 0").select("set", "doc", "rare")
     rare = rare.join(sets.select("set", F.col("doc").alias("one")).hint("merge"), "set").filter(
         F.col("doc").eqNullSafe(F.col("one"))).select("set", "rare")
