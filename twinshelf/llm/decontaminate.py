@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .batches import chunks, rested, utf8
+from .batches import chunks, parts, rested, utf8
 
 WINDOW = 10
 #: A document goes as a whole when at least this share of its words is hit.
@@ -276,11 +276,13 @@ def decontaminate(
     @F.arrow_udf("struct<drop:boolean,text:string>")
     @rested
     def clean(column: pa.Array) -> pa.Array:
-        texts, out = utf8(column), []
-        for text, (_, hit, _) in zip(texts, scanner.scan(texts)):
-            kept = cleaned(text, hit, coverage) if hit.any() else None
-            out.append({"drop": bool(hit.any()) and kept is None,
-                        "text": None if kept is None else kept.decode()})
+        out = []
+        for part in parts(column):
+            texts = utf8(part)
+            for text, (_, hit, _) in zip(texts, scanner.scan(texts)):
+                kept = cleaned(text, hit, coverage) if hit.any() else None
+                out.append({"drop": bool(hit.any()) and kept is None,
+                            "text": None if kept is None else kept.decode()})
         return pa.array(out, kind)
 
     mark = "_clean"
