@@ -38,10 +38,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether they decode to its text."""
     model = tokenizer_file("piece_bpe_32k.model")
-    back = pieces.decode(pieces.encode(docs, model), model)
-    return back.select(
-        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    coded = pieces.encode(docs, model, lossless_col="lossless")
+    return coded.select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "lossless")
 
 
 STAGES = [

@@ -7,6 +7,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -36,6 +38,19 @@ def test_pieces_decode_to_the_text(spark):
         assert [r["decoded"] for r in back] == [t or "" for t in TEXTS]
 
 
+def test_pieces_say_whether_the_text_comes_back(spark, monkeypatch):
+    docs = frame(spark).withColumns({"_coded": F.lit(1), "same": F.lit("clash")})
+    found = pieces.encode(docs, PIECES, lossless_col="same")
+    assert found.columns == ["doc_id", "text", "_coded", "same", "piece_ids"]
+    plain = pieces.encode(frame(spark), PIECES).collect()
+    assert [(r["piece_ids"], r["same"]) for r in found.collect()] == [(r["piece_ids"], True) for r in plain]
+    assert pieces.encode(frame(spark, []), PIECES, lossless_col="same").count() == 0
+    whole = pieces.Decoder.decode_all
+    monkeypatch.setattr(pieces.Decoder, "decode_all", lambda self, flat, ends: whole(self, np.sort(flat), ends))
+    wrong = pieces.encode(frame(spark, ["b a", None, "a"]), PIECES, lossless_col="same")
+    assert [r["same"] for r in wrong.collect()] == [False, True, True]
+
+
 def test_pieces_without_dropout_are_the_models_own(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     got = pieces.encode(frame(spark), PIECES, rate=0.0).collect()
@@ -217,6 +232,37 @@ def test_a_resting_worker_gives_back_what_it_kept(monkeypatch):
     assert made == [1, 3]  # a busy worker keeps it
 
 
+def test_results_leave_a_worker_part_by_part(spark):
+    seen = []
+    lengths = batches.by_parts("long", 10)(
+        lambda part: seen.append(len(part)) or pc.fill_null(pc.binary_length(part), 0).cast("int64"))
+    columns = [pa.array(["abcde"] * 5 + [None, "x" * 50, "", "y"]), pa.array([], pa.string()), pa.array(["z"])]
+    stream = lengths.func(iter(columns))
+    assert next(stream).to_pylist() == [5, 5] and seen == [2]  # the rest of the column is still to come
+    assert [n for part in stream for n in part.to_pylist()] == [5, 5, 5, 0, 50, 0, 1, 1]
+    texts = [None, "", "ab", "x" * 30] * 500
+    plain = batches.by_parts("long", 10)(lambda part: pc.fill_null(pc.binary_length(part), 0).cast("int64"))
+    got = frame(spark, texts).select("doc_id", plain(F.col("text")).alias("n")).collect()
+    assert dict(got) == {i: len(t or "") for i, t in enumerate(texts)}
+
+
+def test_a_generator_at_work_keeps_its_memory(monkeypatch):
+    monkeypatch.setattr(batches, "REST", 0.3)
+    made = []
+
+    @batches.rested
+    def work(columns):
+        for x in columns:
+            yield batches.remembered("generator test", "words", lambda: made.append(x) or {})
+
+    stream = work(iter([1, 2]))
+    next(stream)
+    time.sleep(1.0)
+    assert list(stream) and made == [1]  # between two parts it is still at work
+    time.sleep(1.5)
+    assert list(work(iter([3]))) and made == [1, 3]
+
+
 def test_token_files_read_one_document_and_notice_damage(tmp_path):
     path = str(tmp_path / "deep" / "x.zst")
     blobs = [(i, np.arange(i * 10, dtype="<u4").tobytes()) for i in (3, 5, 8)] + [(None, b"")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import inspect
 import sys
 import threading
 import time
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that an operator looks at in one go.
 CHUNK = 8 << 20
+#: Bytes of text whose results a worker hands over in one go.
+PART = 2 << 20
 #: Seconds without work after which a worker gives its memory back.
 REST = 1.0
 
@@ -89,26 +92,61 @@ def _watch() -> None:
 
 
 def rested(function: Callable) -> Callable:
-    """``function`` of an Arrow column, after which a worker without further work gives its memory back.
+    """``function`` of Arrow columns, after which a worker without further work gives its memory back.
 
     Spark keeps more workers than work at a time and takes them in turn, so what a stage learned and
-    freed would lie beside the next stage's memory.
+    freed would lie beside the next stage's memory. A generator is at work until it ends; what it
+    freed goes back then, as Arrow gives back a thread's memory only from that thread.
     """
-    @functools.wraps(function)
-    def run(*columns):
+    def begin() -> None:
         memory = _memory()
         with memory.lock:
             memory.busy += 1
+
+    def end() -> None:
+        memory = _memory()
+        with memory.lock:
+            memory.busy -= 1
+            memory.last = time.monotonic()
+            start, memory.watched = not memory.watched, True
+        if start:
+            threading.Thread(target=_watch, daemon=True).start()
+
+    @functools.wraps(function)
+    def run(*columns):
+        begin()
         try:
             return function(*columns)
         finally:
-            with memory.lock:
-                memory.busy -= 1
-                memory.last = time.monotonic()
-                start, memory.watched = not memory.watched, True
-            if start:
-                threading.Thread(target=_watch, daemon=True).start()
-    return run
+            end()
+
+    @functools.wraps(function)
+    def run_on(*columns):
+        begin()
+        try:
+            yield from function(*columns)
+            _give_back()
+        finally:
+            end()
+
+    return run_on if inspect.isgeneratorfunction(function) else run
+
+
+def by_parts(kind: str, limit: int = PART) -> Callable:
+    """Makes an Arrow function of type ``kind`` from one of a column of texts.
+
+    It is given about ``limit`` bytes at a time, and each part's results go to Spark before the
+    next part is looked at, so a worker holds those of one part and not of all rows that came.
+    """
+    def made(function: Callable[[pa.Array], pa.Array]) -> Callable[[Column], Column]:
+        @F.arrow_udf(kind)
+        @rested
+        def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for column in columns:
+                for part in parts(column, limit):
+                    yield function(part)
+        return run
+    return made
 
 
 def remembered(owner: str, name: str, make: Callable[[], object], key: object = None) -> object:

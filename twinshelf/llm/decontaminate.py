@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .batches import chunks, parts, rested, utf8
+from .batches import by_parts, chunks, utf8
 
 WINDOW = 10
 #: A document goes as a whole when at least this share of its words is hit.
@@ -233,12 +233,11 @@ def matches(
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
                       ("items", pa.list_(pa.string()))])
 
-    @F.arrow_udf("struct<n_words:long,n_hit:long,items:array<string>>")
-    @rested
-    def look(column: pa.Array) -> pa.Array:
+    @by_parts("struct<n_words:long,n_hit:long,items:array<string>>")
+    def look(part: pa.Array) -> pa.Array:
         return pa.array([
             {"n_words": n, "n_hit": int(hit.sum()), "items": sorted(names - {None})}
-            for n, hit, names in scanner.scan(utf8(column))], kind)
+            for n, hit, names in scanner.scan(utf8(part))], kind)
 
     return docs.select(F.col(id_col).alias("id"), look(F.col(text_col)).alias("found")).select(
         "id", "found.*")
@@ -273,16 +272,13 @@ def decontaminate(
     scanner = Scanner(automata(items, item_col, item_text, window))
     kind = pa.struct([("drop", pa.bool_()), ("text", pa.string())])
 
-    @F.arrow_udf("struct<drop:boolean,text:string>")
-    @rested
-    def clean(column: pa.Array) -> pa.Array:
-        out = []
-        for part in parts(column):
-            texts = utf8(part)
-            for text, (_, hit, _) in zip(texts, scanner.scan(texts)):
-                kept = cleaned(text, hit, coverage) if hit.any() else None
-                out.append({"drop": bool(hit.any()) and kept is None,
-                            "text": None if kept is None else kept.decode()})
+    @by_parts("struct<drop:boolean,text:string>")
+    def clean(part: pa.Array) -> pa.Array:
+        out, texts = [], utf8(part)
+        for text, (_, hit, _) in zip(texts, scanner.scan(texts)):
+            kept = cleaned(text, hit, coverage) if hit.any() else None
+            out.append({"drop": bool(hit.any()) and kept is None,
+                        "text": None if kept is None else kept.decode()})
         return pa.array(out, kind)
 
     mark = "_clean"

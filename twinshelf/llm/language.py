@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import chunks, remembered, rested, utf8
+from .batches import by_parts, chunks, remembered, utf8
 
 #: The fitted sample: different texts of each language, those with the least hashes, and the
 #: characters read of them in all. A text gives its share from a place that its hash draws.
@@ -241,10 +241,9 @@ def predicted(spark, model: CrossParsingModel, text: str) -> Column:
     shared = spark.sparkContext.broadcast(model)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("quotient", pa.float64())])
 
-    @F.arrow_udf("struct<lang:string,score:double,quotient:double>")
-    @rested
-    def run(column: pa.Array) -> pa.Array:
-        found = shared.value.predict([t.decode() for t in utf8(column)])
+    @by_parts("struct<lang:string,score:double,quotient:double>")
+    def run(part: pa.Array) -> pa.Array:
+        found = shared.value.predict([t.decode() for t in utf8(part)])
         return pa.array([dict(zip(("lang", "score", "quotient"), x)) for x in found], kind)
 
     return run(F.col(text))

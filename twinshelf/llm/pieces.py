@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import chunks, parts, remembered, rested, slices, utf8
+from .batches import by_parts, chunks, remembered, rested, slices, utf8
 
 RATE, SEED, VARIANTS = 0.1, 17, 8
 #: Bytes that a worker's memory of runs may take, and those of the longest words whose runs are in it.
@@ -489,27 +489,36 @@ class Decoder:
 
 def encode(
     docs: DataFrame, model: str, text_col: str = "text", ids_col: str = "piece_ids",
-    rate: float = RATE, seed: int = SEED, variants: int = VARIANTS,
+    rate: float = RATE, seed: int = SEED, variants: int = VARIANTS, lossless_col: str | None = None,
 ) -> DataFrame:
     """``docs`` with the ids of the text's pieces; null and empty texts have no ids.
 
     ``ids_col`` replaces a column of that name. ``rate`` 0 gives the model's own segmentation.
-    Equal texts have equal ids, repeated rows stay, and texts of any length are encoded whole, a
+    With ``lossless_col`` the ids are decoded as well, and it says whether the text came back; so
+    decoded texts do not leave the worker, which has those of one part at a time. Equal texts have equal ids, repeated rows stay, and texts of any length are encoded whole, a
     stretch of words at a time. An empty table gives an empty one.
     """
-    encoder = Encoder(model, rate, seed, variants)
-
-    @F.arrow_udf("array<int>")
-    @rested
-    def run(column: pa.Array) -> pa.Array:
-        out = [pa.array([], pa.list_(pa.int32()))]
-        for part in parts(column, 2 * STRETCH):
-            flat, counts = encoder.encode(utf8(part))
-            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
-        return pa.concat_arrays(out)
-
-    return docs.withColumn(ids_col, run(F.col(text_col)))
+    encoder, decoder = Encoder(model, rate, seed, variants), Decoder(model)
+
+    def coded(part: pa.Array) -> tuple[pa.Array, pa.Array | None]:
+        texts = utf8(part)
+        flat, counts = encoder.encode(texts)
+        ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        same = lossless_col and pc.equal(decoder.decode_all(flat, ends), pa.array(texts, pa.binary()))
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), same
+
+    if lossless_col is None:
+        return docs.withColumn(ids_col, by_parts("array<int>")(lambda part: coded(part)[0])(F.col(text_col)))
+
+    @by_parts("struct<ids:array<int>,lossless:boolean>")
+    def run(part: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(coded(part), names=["ids", "lossless"])
+
+    mark = "_coded"
+    while mark in docs.columns:
+        mark += "_"
+    return docs.withColumn(mark, run(F.col(text_col))).withColumns(
+        {ids_col: F.col(f"{mark}.ids"), lossless_col: F.col(f"{mark}.lossless")}).drop(mark)
 
 
 def decode(

@@ -92,11 +92,9 @@ def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids with merge-dropout of every document, and whether they decode to its text."""
     model = tokenizer_file("piece_bpe_32k.model")
-    coded = pieces.encode(table(spark, folder, "documents"), model)
-    back = pieces.decode(coded, model)
-    return back.select(
-        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    coded = pieces.encode(table(spark, folder, "documents"), model, lossless_col="lossless")
+    return coded.select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "lossless")
 
 
 @query

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.linkage import components
 from ..session import counted_stage, stage
-from .batches import chunks, rested, utf8
+from .batches import by_parts, chunks, utf8
 
 SEED, SHINGLE, DISTANCE = 42, 3, 3
 #: Fingerprints that one bucket may hold before it is dealt again.
@@ -73,10 +73,9 @@ def fingerprints(texts: list[bytes], words: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: str, words: int = SHINGLE) -> Column:
     """The fingerprint of a text column as a signed long."""
-    @F.arrow_udf("long")
-    @rested
-    def of(column: pa.Array) -> pa.Array:
-        return pa.array(fingerprints(utf8(column), words).view(np.int64))
+    @by_parts("long")
+    def of(part: pa.Array) -> pa.Array:
+        return pa.array(fingerprints(utf8(part), words).view(np.int64))
     return of(F.col(text))
 
 

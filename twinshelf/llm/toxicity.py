@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import chunks, parts, remembered, rested, utf8
+from .batches import by_parts, chunks, remembered, utf8
 
 DECAY, SPAN, WINDOW, STEP = 0.6, 6, 14, 4
 LANDMARKS, RIDGE, ROUNDS = 512, 1e-4, 4
@@ -514,15 +514,11 @@ def scored(spark, model: ToxicityModel, text: str) -> Column:
     shared = spark.sparkContext.broadcast(model)
     kind = pa.struct([("score", pa.float64()), ("worst", pa.string())])
 
-    @F.arrow_udf("struct<score:double,worst:string>")
-    @rested
-    def run(column: pa.Array) -> pa.Array:
-        out = [pa.array([], kind)]
-        for part in parts(column):
-            score, worst = shared.value.judge(utf8(part))
-            out.append(pa.StructArray.from_arrays([pa.array(score), pa.array(worst, pa.string())],
-                                                  fields=list(kind)))
-        return pa.concat_arrays(out)
+    @by_parts("struct<score:double,worst:string>")
+    def run(part: pa.Array) -> pa.Array:
+        score, worst = shared.value.judge(utf8(part))
+        return pa.StructArray.from_arrays([pa.array(score), pa.array(worst, pa.string())],
+                                          fields=list(kind))
 
     return run(F.col(text))
 
