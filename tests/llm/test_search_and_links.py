@@ -151,6 +151,21 @@ def test_top_k_with_few_rows_and_huge_numbers(spark):
     assert kdtree.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_neither_broadcasts_nor_copies_trees_and_queries(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "LANES", 3)  # a lane has more than LANE trees
+    rows = [(i, [float(i % 13), float(i % 7), 1.0]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = kdtree.top_k(docs, F.col("vec_id") % 20 == 0, k=2, shard=20, block=8)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "search-vectors" not in plan
+    whole = [(i, [int(256 * x) for x in v]) for i, v in rows]
+    expected = []
+    for q, asked_as in whole[::20]:
+        best = sorted((-sum(a * b for a, b in zip(asked_as, v)), i) for i, v in whole if i != q)[:2]
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def words_of(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)

@@ -8,24 +8,28 @@ first, and stops when the bound falls below the k-th score found so far. That sc
 from one shard to the next, so later shards are pruned by what earlier ones held.
 
 Queries meet shards in blocks: a task searches one block in the few trees of a lane, one tree
-after the other, and the lanes' results are merged by rank.
+after the other, and the lanes' results are merged by rank. Trees and blocks lie in the work folder,
+from which a task reads its own, so neither is copied for each meeting nor passes the driver.
 """
 
 from __future__ import annotations
 
 import heapq
 import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import counted_stage, opened, release, shared_uri, stage
 
 SHARD, LEAF = 16_384, 64
-#: Queries in a block, and trees that one task searches in turn.
-BLOCK, LANE = 512, 4
+#: Queries in a block, the least number of trees that one task searches in turn, and lanes at most.
+BLOCK, LANE, LANES = 512, 4, 32
 LARGEST = 1 << 53  # integers up to this are exact as doubles
 
 
@@ -105,6 +109,16 @@ def exact(a: np.ndarray, b: np.ndarray) -> type:
     return np.float64 if size < LARGEST else object
 
 
+def packed(folder: str, column: str, part: int) -> list[bytes]:
+    """What a part of a staged table has in its binary column; a part without rows has no folder."""
+    fs, path = opened(folder)
+    path = f"{path}/part={part}"
+    if fs.get_file_info(path).type == pyarrow.fs.FileType.NotFound:
+        return []
+    return pq.read_table(path, columns=[column], filesystem=fs, partitioning=None,
+                         use_threads=False).column(column).to_pylist()
+
+
 def top_k(
     vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id",
     vector_col: str = "embedding", scale: int = 256, shard: int = SHARD, block: int = BLOCK,
@@ -128,43 +142,54 @@ def top_k(
     shards, blocks_ = -(-n // shard) or 1, -(-asked // block) or 1
     width = width or 0
 
-    def build(part: pd.DataFrame) -> pd.DataFrame:
-        ids, values = part["id"].to_numpy(), matrix(part["v"], width)
-        return pd.DataFrame({"shard": part["shard"].head(1), "tree": [
+    def build(rows_: pd.DataFrame) -> pd.DataFrame:
+        ids, values = rows_["id"].to_numpy(), matrix(rows_["v"], width)
+        return pd.DataFrame({"part": rows_["part"].head(1), "tree": [
             pickle.dumps(vars(KdTree(ids, values)))]})
 
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": part["block"].head(1), "asked": [
-            pickle.dumps((part["id"].to_numpy(), matrix(part["v"], width)))]})
+    def pack(rows_: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": rows_["part"].head(1), "asked": [
+            pickle.dumps((rows_["id"].to_numpy(), matrix(rows_["v"], width)))]})
 
     deal = F.xxhash64("row")  # not by value: a third of all rows may be equal
-    trees = stage(rows.withColumn("shard", F.pmod(deal, F.lit(shards))).groupBy("shard")
-                  .applyInPandas(build, "shard long, tree binary"), "trees")
-    asked_blocks = stage(
-        rows.filter("asked").withColumn("block", F.pmod(deal, F.lit(blocks_))).groupBy("block")
-        .applyInPandas(pack, "block long, asked binary"), "query-blocks")
-    meetings = asked_blocks.withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<long>"))
-    ).join(trees, "shard").withColumn("lane", F.floor(F.col("shard") / LANE))
-
-    def search(part: pd.DataFrame) -> pd.DataFrame:
-        ids, values = pickle.loads(part["asked"].iloc[0])
+
+    def apart(some: DataFrame, n: int, make: Callable, column: str) -> str:
+        """The folder of ``some`` rows, made into one object for each of n parts."""
+        made = some.withColumn("part", F.pmod(deal, F.lit(n))).groupBy("part").applyInPandas(
+            make, f"part long, {column} binary")
+        staged, _ = counted_stage(made, f"{column}-parts", F.lit(True), parts="part")
+        return shared_uri(vectors.sparkSession, staged.staged_at)
+
+    trees = apart(rows, shards, build, "tree")
+    asked_blocks = apart(rows.filter("asked"), blocks_, pack, "asked")
+    release(rows)
+    lane = max(LANE, -(-shards // LANES))
+    lanes = -(-shards // lane)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for task in batch["id"].tolist():
+                for asked_ in packed(asked_blocks, "asked", task % blocks_):
+                    yield meet(*pickle.loads(asked_), task // blocks_)
+
+    def meet(ids: np.ndarray, values: np.ndarray, nth: int) -> pd.DataFrame:
         best: list[list] = [[] for _ in ids]
-        for packed in part.sort_values("shard")["tree"]:
-            tree = KdTree.__new__(KdTree)
-            vars(tree).update(pickle.loads(packed))
-            kind = exact(tree.vectors, values)
-            for name in ("low", "high", "vectors"):
-                setattr(tree, name, getattr(tree, name).astype(kind))
-            asked_as = values.astype(kind)
-            bounds = tree.bounds(asked_as)
-            for at, own in enumerate(ids.tolist()):
-                tree.search(asked_as[at], own, bounds[at], best[at], k)
+        for number in range(nth * lane, min((nth + 1) * lane, shards)):
+            for held in packed(trees, "tree", number):
+                tree = KdTree.__new__(KdTree)
+                vars(tree).update(pickle.loads(held))
+                kind = exact(tree.vectors, values)
+                for name in ("low", "high", "vectors"):
+                    setattr(tree, name, getattr(tree, name).astype(kind))
+                asked_as = values.astype(kind)
+                bounds = tree.bounds(asked_as)
+                for at, own in enumerate(ids.tolist()):
+                    tree.search(asked_as[at], own, bounds[at], best[at], k)
         out = [(own, -name, max(-(1 << 63), min((1 << 63) - 1, score)))
                for own, found in zip(ids.tolist(), best) for score, name in found]
         return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype("int64")
 
-    found = meetings.groupBy("block", "lane").applyInPandas(
+    found = vectors.sparkSession.range(0, blocks_ * lanes, 1, blocks_ * lanes).mapInPandas(
         search, "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
