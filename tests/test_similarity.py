@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinshelf.functions import text
@@ -169,3 +170,60 @@ def test_sums_of_sparse_vectors(spark):
     got = {r.id: [tuple(e) for e in r.s] for r in df.select("id", similarity.sparse_sum(
         "x.number", "x.weight", "y.number", "y.weight").alias("s")).collect()}
     assert got == {1: [(1, 1.0), (2, 1.0), (4, 2.5)], 2: [(7, 1.0)], 3: []}
+
+
+@pytest.mark.parametrize("entries, at_least", [(60, 0.5), (10_000, 0.3)])
+def test_a_forest_of_pairs_connects_what_all_pairs_connect(spark, entries, at_least):
+    sparse, _ = sparse_of(spark, random_titles(300, 60, seed=11))
+    sparse = stage(sparse, "forest-test")
+    every = {(r.a, r.b): r.sim for r in similarity.cosine_pairs(sparse, at_least, entries=entries).collect()}
+    some = {(r.a, r.b): r.sim for r in similarity.cosine_pairs(
+        sparse, at_least, entries=entries, forest=True).collect()}
+    assert some.items() <= every.items() and len(some) < len(every)
+
+    def connected(pairs):
+        label = {}
+
+        def top(x):
+            while label.setdefault(x, x) != x:
+                x = label[x]
+            return x
+        for a, b in pairs:
+            low, high = sorted((top(a), top(b)))
+            label[high] = low
+        return {x: top(x) for x in label}
+    assert connected(some) == connected(every)
+
+
+def test_places_of_numbers_by_hash():
+    rng = np.random.default_rng(2)
+    held = np.unique(np.concatenate([rng.integers(0, 1 << 62, 3000), (1 << 33) + np.arange(3000)]))
+    asked = np.concatenate([held, rng.integers(0, 1 << 62, 3000), [0, 1 << 33]])
+    expected = {n: i for i, n in enumerate(held.tolist())}
+    assert similarity.Places(held).of(asked).tolist() == [expected.get(n, -1) for n in asked.tolist()]
+    crowded = np.arange(200) * 0  # nothing is found among no numbers
+    assert (similarity.Places(np.empty(0, np.int64)).of(crowded) == -1).all()
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+def test_distinct_vectors_by_hash_are_those_by_value(spark, monkeypatch, crowded):
+    if crowded:  # every vector has the hash of every other
+        monkeypatch.setattr(v, "_hash", lambda names: F.lit(7).cast("long"))
+    else:  # whole vectors are no keys
+        monkeypatch.setattr(DataFrame, "groupBy", lambda self, *c, f=DataFrame.groupBy: f(self, *c) if
+                            "vector" not in c else pytest.fail("grouped by vector"))
+    rows = [(i, 1 + i % 3, t) for i, (_, _, t) in enumerate(random_titles(60, 8, seed=4))]
+    rows += [(100 + i, 2, t) for i, _, t in rows[:20]] + [(5, 4, rows[5][2]), (None, 1, "w1 w2")]
+    texts = spark.createDataFrame(rows, "id long, copies long, title string")
+    sparse, _ = v.vectors(texts, text.word_tokens(F.col("title")), v.Weighting())
+    of = {r.id: tuple(map(tuple, r.vector)) for r in sparse.collect()}
+    copies, least = {}, {}
+    for i, n, _ in rows:
+        if i in of and i is not None:
+            copies[of[i]] = copies.get(of[i], 0) + n
+            least[of[i]] = min(least.get(of[i], i), i)
+    named, one = v.distinct_vectors(sparse, texts, ["vector"])
+    assert sorted(map(tuple, named.select("id", "vector_id").collect())) == sorted(
+        (i, least[of[i]]) for i, _, _ in rows if i in of and i is not None)
+    assert {(r.id, r.copies): tuple(map(tuple, r.vector)) for r in one.collect()} == {
+        (least[x], copies[x]): x for x in copies}
