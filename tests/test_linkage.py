@@ -293,3 +293,35 @@ def test_last_rounds_in_one_task_are_the_rounds_of_jobs(spark, monkeypatch, meth
         monkeypatch.setattr(tree, "FINISH", bound)
         found.append(sorted(map(tuple, tree.linkage(pairs, sizes, 0.6, method, True).collect())))
     assert found[0] and found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("method", ["complete", "single"])
+def test_components_link_by_themselves_as_all_together(spark, monkeypatch, method):
+    rows, first = [], 2 ** 60
+    for group in range(12):  # one of 28 points, the others smaller
+        points = random_points(28 if group == 5 else 3 + group % 6, 20 + group)
+        rows += [(first + a, first + b, round(float(points[a] @ points[b]), 1))
+                 for a in points for b in points if a < b]
+        first += 100
+    ids = sorted({x for a, b, _ in rows for x in (a, b)})
+    pairs = spark.createDataFrame(rows, "a long, b long, sim double").repartition(5)
+    sizes = spark.createDataFrame([(i, i % 3 + 1) for i in ids], "id long, copies long")
+    found, rounds = [], []
+    monkeypatch.setattr(tree, "_mutual", lambda edges, f=tree._mutual: rounds.append(1) or f(edges))
+    for bound, by_jobs in ((0, True), (100, True), (len(rows) - 1, False), (tree.FINISH, False)):
+        monkeypatch.setattr(tree, "FINISH", bound)
+        rounds.clear()
+        found.append(sorted(map(tuple, tree.linkage(pairs, sizes, 0.9, method, True).collect())))
+        assert bool(rounds) == by_jobs
+    assert found[0] and found[0] == found[1] == found[2] == found[3]
+
+
+def test_pairs_of_unknown_number_are_not_broadcast(spark, monkeypatch):
+    points = vectors_of(spark, random_points(30, 3))
+    from twinshelf.operators.similarity import cosine_pairs
+    pairs = cosine_pairs(points.withColumn("vector", F.transform("vector", lambda e: F.struct(
+        e.number.alias("number"), e.weight.alias("weight"), F.lit(1.0).alias("tail")))), 0.5)
+    sizes = points.select("id", F.lit(1).cast("long").alias("copies"))
+    plan = tree._edges(pairs, sizes, 0.5, True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and "Join" not in plan
+    assert tree.linkage(pairs, sizes, 0.5, inclusive=True).count()
